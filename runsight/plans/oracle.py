@@ -84,3 +84,111 @@ METRICS_COLS = ("job_name, team, impact, sla_minutes, total_runs, duration_runs,
                 "verdict, priority_score")
 
 BASE = with_(SUP, RUNS, metrics_cte())
+
+
+def with_rec(*ctes: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
+
+
+EDGES = """edges AS (
+  SELECT p.job_name AS parent, c.job_name AS child FROM sup c JOIN sup p ON p.k = c.k - 1 WHERE c.k % 20 <> 0
+  UNION ALL
+  SELECT p.job_name, c.job_name FROM sup c JOIN sup p ON p.k = c.k - 2 WHERE c.k % 20 IN (5, 11))"""
+
+CLOSURE = """cr(anc, job, hops) AS (
+  SELECT parent, child, 1 FROM edges
+  UNION ALL SELECT cr.anc, e.child, cr.hops + 1 FROM cr JOIN edges e ON cr.job = e.parent),
+clo AS (SELECT anc, job, min(hops) AS hops FROM cr GROUP BY anc, job)"""
+
+EV = """ev AS (
+  SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS pk FROM events)"""
+
+SLOW = """slow AS (SELECT job_name FROM m WHERE coalesce(time_drift_score, 0.0) > 1.5),
+an AS (SELECT * FROM m WHERE verdict IN ('breached', 'at_risk')),
+cnt AS (SELECT job, count(*) AS n_anc FROM clo GROUP BY job),
+relp AS (
+  SELECT a.job_name, s.job_name AS s FROM an a JOIN slow s ON s.job_name = a.job_name
+  UNION SELECT a.job_name, c.anc FROM an a JOIN clo c ON c.job = a.job_name JOIN slow s ON s.job_name = c.anc
+  UNION SELECT a.job_name, c.job FROM an a JOIN clo c ON c.anc = a.job_name JOIN slow s ON s.job_name = c.job),
+unrel AS (SELECT a.job_name, (SELECT count(*) FROM slow) - (SELECT count(*) FROM relp WHERE relp.job_name = a.job_name)
+            AS unrelated_slow FROM an a),
+roots AS (SELECT c.job AS job_name, arg_max(c.anc, (coalesce(cnt.n_anc, 0), c.anc)) AS root, count(*) AS slow_ancestors
+          FROM clo c JOIN slow s ON s.job_name = c.anc LEFT JOIN cnt ON cnt.job = c.anc
+          WHERE c.job IN (SELECT job_name FROM an) GROUP BY c.job),
+pth(root, job, path, hops) AS (
+  SELECT DISTINCT root, root, root, 0 FROM roots
+  UNION ALL SELECT p.root, e.child, p.path || ' → ' || e.child, p.hops + 1 FROM pth p JOIN edges e ON e.parent = p.job),
+chains AS (SELECT r.job_name, r.root, arg_min(p.path, (p.hops, p.path)) AS chain
+           FROM roots r JOIN pth p ON p.root = r.root AND p.job = r.job_name GROUP BY r.job_name, r.root)"""
+
+
+def ci_cte(as_of_sql: str) -> str:
+    """CI runs, the ten newest at or before as_of, nearest failure in minutes."""
+    return f"""ci AS (SELECT ts AS created_at, CASE WHEN pk >= 50 THEN 'failure' ELSE 'success' END AS conclusion,
+               'ci-' || CAST(event_id AS VARCHAR) AS name FROM ev WHERE event_type = 'purchase'),
+now_t AS (SELECT {as_of_sql} AS t),
+ci10 AS (SELECT ci.* FROM ci, now_t WHERE created_at <= now_t.t ORDER BY created_at DESC, name DESC LIMIT 10),
+cim AS (SELECT min(abs(epoch_us((SELECT t FROM now_t)) - epoch_us(created_at)) / 60000000.0::DOUBLE) AS ci_minutes
+        FROM ci10 WHERE conclusion = 'failure')"""
+
+
+def infra_cte(minutes: int) -> str:
+    return f"""inf AS (SELECT CAST(coalesce(sum(CASE WHEN pk % 2 = 0 THEN 1.0 END), 0) AS BIGINT) AS se,
+                      CAST(coalesce(sum(CASE WHEN pk % 2 = 0 THEN NULL ELSE 1.0 END), 0) AS BIGINT) AS ce
+  FROM ev, now_t WHERE event_type = 'error' AND ev.ts > now_t.t - INTERVAL {minutes} MINUTE AND ev.ts <= now_t.t)"""
+
+
+def fingerprint_select() -> str:
+    td, vd = "coalesce(a.time_drift_score, 0.0)", "coalesce(a.volume_drift_score, 0.0)"
+    se, ce, cm = "(SELECT se FROM inf)", "(SELECT ce FROM inf)", "(SELECT ci_minutes FROM cim)"
+    gap = "abs(a.latest_duration / nullif(a.avg_duration, 0) - a.latest_rows / nullif(a.avg_rows, 0))"
+    hit = f"({cm} IS NOT NULL AND {cm} < 30)"
+    return f"""fp0 AS (
+  SELECT a.*, u.unrelated_slow, r.root, ch.chain, rt.team AS root_team,
+    CASE WHEN {vd} < -1.5 AND abs({td}) < 0.5 THEN 'data_quality_issue'
+         WHEN coalesce(u.unrelated_slow, 0) >= 2 AND ({se} > 0 OR {ce} > 0) THEN 'infrastructure_issue'
+         WHEN r.root IS NOT NULL THEN 'cascade_failure'
+         WHEN {vd} > 1.5 AND {td} > 1.5 AND coalesce(a.avg_duration <> 0, false) AND coalesce({gap} < 0.3, false)
+           THEN 'volume_spike'
+         ELSE 'logic_bug' END AS ft
+  FROM an a LEFT JOIN unrel u ON u.job_name = a.job_name LEFT JOIN roots r ON r.job_name = a.job_name
+  LEFT JOIN chains ch ON ch.job_name = a.job_name LEFT JOIN m rt ON rt.job_name = r.root)
+SELECT job_name, team, verdict, ft AS fingerprint_type,
+  least(CASE ft WHEN 'data_quality_issue' THEN 70 WHEN 'infrastructure_issue' THEN 85 WHEN 'cascade_failure' THEN 75
+       WHEN 'volume_spike' THEN 65
+       ELSE 40 + CASE WHEN {hit} THEN (CASE WHEN {ce} > 0 AND {cm} < 5 THEN 25 ELSE 35 END) ELSE 0 END END, 100)
+    AS evidence_score,
+  CASE ft WHEN 'data_quality_issue' THEN 'Volume drift ' || CAST({R(vd.replace('a.', ''), 2)} AS VARCHAR) || 'σ — time drift normal'
+    WHEN 'infrastructure_issue' THEN CAST(unrelated_slow AS VARCHAR) || ' unrelated jobs slow simultaneously'
+    WHEN 'cascade_failure' THEN 'Root: ' || root || ' | Chain: ' || coalesce(chain, root || ' → ' || job_name)
+    WHEN 'volume_spike' THEN 'Duration and rows up proportionally — expected linear scaling'
+    ELSE 'Isolated: time drift ' || CAST({R(td.replace('a.', ''), 2)} AS VARCHAR) || 'σ — dependencies healthy' END
+    AS statistical_evidence,
+  CASE WHEN ft = 'infrastructure_issue'
+         THEN 'Storage errors: ' || CAST({se} AS VARCHAR) || ' | Compute errors: ' || CAST({ce} AS VARCHAR)
+       WHEN ft = 'logic_bug' AND {hit} THEN 'Failed CI run ' || CAST({R(cm, 1)} AS VARCHAR) || 'min ago'
+       ELSE 'none' END AS external_evidence,
+  CASE WHEN ft IN ('data_quality_issue', 'volume_spike') THEN 'ingestion_team'
+       WHEN ft = 'infrastructure_issue' THEN 'devops_team'
+       WHEN ft = 'cascade_failure' THEN coalesce(root_team, team) ELSE team END AS route_to_team,
+  CASE ft WHEN 'data_quality_issue' THEN 'Check upstream data source, not a pipeline bug'
+    WHEN 'infrastructure_issue' THEN 'Route to DevOps — do NOT page pipeline engineers'
+    WHEN 'cascade_failure' THEN 'Fix ' || root || ' first — this job recovers automatically'
+    WHEN 'volume_spike' THEN 'Monitor — will self-resolve as volume normalises'
+    ELSE 'Check recent deployments and job logs' END AS recommended_action,
+  CAST(coalesce(unrelated_slow, 0) AS BIGINT) AS unrelated_slow, root AS cascade_root,
+  strftime((SELECT t FROM now_t), '%Y-%m-%d %H:%M:%S.%f') AS detected_at
+FROM fp0"""
+
+
+def fingerprint_sql(as_of_sql: str, infra_minutes: int, tail: str = "") -> str:
+    body = with_rec(SUP, RUNS, metrics_cte(), EDGES, CLOSURE, SLOW, EV, ci_cte(as_of_sql), infra_cte(infra_minutes),
+                    fingerprint_select().split("\nSELECT ", 1)[0])
+    sel = "SELECT " + fingerprint_select().split("\nSELECT ", 1)[1]
+    if tail:
+        return body + ", fpx AS (" + sel + ")\n" + tail
+    return body + sel
+
+
+GRAPH = with_rec(SUP, RUNS, metrics_cte(), EDGES, CLOSURE)
