@@ -10,10 +10,10 @@ so lineage stays short and a lost executor recomputes one round only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from runsight.session import ensure_checkpoint_dir
+from runsight.session import ensure_checkpoint_dir, scratch_dir
 
 ARROW = " → "  # separator of the displayed chain: " → "
 
@@ -32,32 +32,44 @@ def nodes(registry: DataFrame) -> DataFrame:
     return named.unionByName(parents).distinct()
 
 
+def _materialize(df: DataFrame, tag: str, *metrics):
+    """Write ``df`` to a fresh folder under the shared checkpoint folder and read it back.
+
+    One job per call: the observed metrics come with the write.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, tag)
+    obs = Observation(tag)
+    df.observe(obs, *metrics).write.parquet(path)
+    return spark.read.parquet(path), obs.get
+
+
 def closure(edges_df: DataFrame, max_rounds: int = 64) -> DataFrame:
     """All (anc, job) pairs with the fewest hops between them.
 
-    Path doubling with per-round checkpoints; stops when the pair count and the
-    hop sum are both unchanged.  Pairs (x, x) only arise from cycles: they are
-    dropped from the result (see ``cycles``).
+    Path doubling: after round i the table holds every pair whose shortest path
+    has at most 2^i hops.  A sub-path of a shortest path is itself shortest, so
+    once the longest pair found is below 2^i nothing longer exists and the loop
+    stops (about log2(depth) rounds).  Each round is one written table in the
+    shared checkpoint folder; its pair count and longest path come back through
+    ``observe``.  Pairs (x, x) only arise from cycles and are dropped (see ``cycles``).
     """
-    spark = edges_df.sparkSession
-    ensure_checkpoint_dir(spark)
-    c = (edges_df.select(F.col("parent").alias("anc"), F.col("child").alias("job"), F.lit(1).alias("hops"))
-         .groupBy("anc", "job").agg(F.min("hops").alias("hops")).checkpoint())
-    prev = None
-    for _ in range(max_rounds):
+    c, st = _materialize(
+        edges_df.select(F.col("parent").alias("anc"), F.col("child").alias("job"), F.lit(1).alias("hops"))
+        .groupBy("anc", "job").agg(F.min("hops").alias("hops")), "closure0",
+        F.count(F.lit(1)).alias("n"), F.max("hops").alias("mx"))
+    if st["n"] == 0:
+        return c
+    for i in range(1, max_rounds + 1):
         a, b = c.alias("a"), c.alias("b")
         step = (a.join(b, F.col("a.job") == F.col("b.anc"))
                 .select(F.col("a.anc").alias("anc"), F.col("b.job").alias("job"),
                         (F.col("a.hops") + F.col("b.hops")).alias("hops")))
-        nxt = c.unionByName(step).groupBy("anc", "job").agg(F.min("hops").alias("hops")).checkpoint()
-        stats = tuple(nxt.agg(F.count(F.lit(1)), F.coalesce(F.sum("hops"), F.lit(0))).first())
-        c = nxt
-        if stats == prev:
-            break
-        prev = stats
-    else:
-        raise RuntimeError("closure did not converge; raise max_rounds")
-    return c.filter(F.col("anc") != F.col("job"))
+        c, st = _materialize(c.unionByName(step).groupBy("anc", "job").agg(F.min("hops").alias("hops")),
+                             f"closure{i}", F.count(F.lit(1)).alias("n"), F.max("hops").alias("mx"))
+        if st["mx"] < 2 ** i:
+            return c.filter(F.col("anc") != F.col("job"))
+    raise RuntimeError("closure did not converge; raise max_rounds")
 
 
 def closure_recursive(edges_df: DataFrame) -> DataFrame:

@@ -47,4 +47,4 @@ def register(name: str, sql: str | None = None):
 
 
 # Importing the query modules fills the two dictionaries.
-from runsight.plans import q_core, q_graph  # noqa: E402,F401
+from runsight.plans import q_core, q_graph, q_ops  # noqa: E402,F401

@@ -192,3 +192,26 @@ def fingerprint_sql(as_of_sql: str, infra_minutes: int, tail: str = "") -> str:
 
 
 GRAPH = with_rec(SUP, RUNS, metrics_cte(), EDGES, CLOSURE)
+
+
+RUNS_TIGHT = """runs_t AS (SELECT * REPLACE (CAST(26 + 2 * (k % 12) AS DOUBLE) AS sla_minutes) FROM runs)"""
+
+TX = """tx AS (SELECT user_id AS account_id, event_id AS txn_id, value AS amount, CAST(ts AS TIMESTAMP) AS ts FROM events)"""
+
+INC_AS_OF = "TIMESTAMP '2001-11-05 00:00:00'"
+
+INCIDENTS = f"""inc AS (
+  SELECT m.job_name, m.team, m.verdict, {INC_AS_OF} - to_minutes(s.k + 1) AS detected_at,
+         CASE WHEN s.k % 8 = 0 THEN {INC_AS_OF} - to_minutes(s.k + 1) + to_minutes(s.k % 50) END AS resolved_at
+  FROM m JOIN sup s ON s.job_name = m.job_name WHERE m.verdict IN ('breached', 'at_risk') AND s.k % 4 = 0)"""
+
+TASKS = """ti AS (SELECT job_name AS dag_id, run_id, start_time AS start_date,
+               CASE WHEN line_no = 7 THEN NULL ELSE duration_minutes * 60.0 END AS duration, status AS state FROM runs),
+reg AS (SELECT job_name, team, CASE k % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END AS impact,
+               CAST(40 + k % 12 AS DOUBLE) AS sla_minutes, CAST(50000 AS BIGINT) AS normal_rows, k FROM sup),
+known AS (SELECT * FROM reg WHERE k % 10 <> 9)"""
+
+RESULTS = """res AS (
+  SELECT s.job_name, CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey % 86400) AS recorded_at,
+         max(CAST(floor(o_totalprice) AS BIGINT)) AS rows_processed
+  FROM orders JOIN sup s ON s.k = o_custkey % (SELECT count(*) FROM supplier) GROUP BY 1, 2)"""
