@@ -30,7 +30,8 @@ def rnd(x, n: int) -> Column:
     ``round_even(x * 10^n, 0) / 10^n`` reproduces bit for bit.
     """
     s = float(10 ** n)
-    return F.rint(_c(x) * F.lit(s)) / F.lit(s)
+    # "+ 0.0" turns a rounded -0.0 into 0.0, so zero has one spelling.
+    return F.rint(_c(x) * F.lit(s)) / F.lit(s) + F.lit(0.0)
 
 
 def minutes_between(later, earlier) -> Column:

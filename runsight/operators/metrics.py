@@ -26,23 +26,8 @@ def _order_key(order: tuple[str, ...]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
-def job_metrics(runs: DataFrame, min_runs: int = MIN_RUNS, p95: str = "exact", rounding: bool = True,
-                order: tuple[str, ...] = RUN_ORDER, group_attrs: bool = False,
-                duration_status: str | None = None) -> DataFrame:
-    """Per-job baseline over run records.
-
-    runs: job_name, team, impact, sla_minutes, start_time, run_id, duration_minutes,
-    rows_processed, status.  One output row per job.
-
-    * ``min_runs``: below it every statistic is NULL (warm-up); 0 disables the gate.
-    * ``p95``: "exact" (linear interpolation, ``percentile``) or "approx"
-      (``percentile_approx``; bounded state, the choice for very large jobs).
-    * ``rounding``: compare and report rounded values (latest 2 dp, z 3 dp).
-    * ``group_attrs``: group by the job's attributes too (an SLA change splits a job).
-    * ``duration_status``: restrict duration statistics to runs with this status.
-    """
-    r = runs.filter(F.col("job_name").isNotNull())
-    keys = ["job_name"] + (["team", "impact", "sla_minutes"] if group_attrs else [])
+def metric_aggs(order: tuple[str, ...] = RUN_ORDER, p95: str = "exact", duration_status: str | None = None):
+    """The aggregate columns of A1 (usable in batch and in a streaming ``groupBy``)."""
     d = F.col("duration_minutes")
     if duration_status is not None:
         d = F.when(F.col("status") == duration_status, d)
@@ -54,13 +39,18 @@ def job_metrics(runs: DataFrame, min_runs: int = MIN_RUNS, p95: str = "exact", r
         p = F.percentile_approx(d, F.lit(0.95), F.lit(10000))
     else:
         raise ValueError("p95 must be 'exact' or 'approx'")
-    agg = r.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_runs"),
-        F.count(d).alias("duration_runs"),
-        F.avg(d).alias("_avg_d"), F.stddev_samp(d).alias("_sd_d"), p.alias("_p95"),
-        F.avg("rows_processed").alias("_avg_r"), F.stddev_samp("rows_processed").alias("_sd_r"),
-        F.avg(F.when(F.col("status") == "failed", 1.0).otherwise(0.0)).alias("_fail"),
-        latest.alias("_l"))
+    return [F.count(F.lit(1)).alias("total_runs"), F.count(d).alias("duration_runs"),
+            F.avg(d).alias("_avg_d"), F.stddev_samp(d).alias("_sd_d"), p.alias("_p95"),
+            F.avg("rows_processed").alias("_avg_r"), F.stddev_samp("rows_processed").alias("_sd_r"),
+            F.avg(F.when(F.col("status") == "failed", 1.0).otherwise(0.0)).alias("_fail"),
+            latest.alias("_l")]
+
+
+def finalize_metrics(agg: DataFrame, min_runs: int = MIN_RUNS, rounding: bool = True,
+                     keys: tuple[str, ...] = ("job_name",)) -> DataFrame:
+    """Turn the aggregate buffers of ``metric_aggs`` into the gold metrics row."""
+    keys = list(keys)
+    group_attrs = "team" in keys
     warm = F.col("total_runs") >= F.lit(min_runs)
     rn = (lambda x, n: rnd(x, n)) if rounding else (lambda x, n: x)
     td = rn(safe_z(F.col("_l.duration_minutes"), "_avg_d", "_sd_d"), 3)
@@ -84,6 +74,26 @@ def job_metrics(runs: DataFrame, min_runs: int = MIN_RUNS, p95: str = "exact", r
     return with_priority(with_verdict(out), rounding=rounding)
 
 
+def job_metrics(runs: DataFrame, min_runs: int = MIN_RUNS, p95: str = "exact", rounding: bool = True,
+                order: tuple[str, ...] = RUN_ORDER, group_attrs: bool = False,
+                duration_status: str | None = None) -> DataFrame:
+    """Per-job baseline over run records.
+
+    runs: job_name, team, impact, sla_minutes, start_time, run_id, duration_minutes,
+    rows_processed, status.  One output row per job.
+
+    * ``min_runs``: below it every statistic is NULL (warm-up); 0 disables the gate.
+    * ``p95``: "exact" (linear interpolation, ``percentile``) or "approx"
+      (``percentile_approx``; bounded state, the choice for very large jobs).
+    * ``rounding``: compare and report rounded values (latest 2 dp, z 3 dp).
+    * ``group_attrs``: group by the job's attributes too (an SLA change splits a job).
+    * ``duration_status``: restrict duration statistics to runs with this status.
+    """
+    keys = ("job_name", "team", "impact", "sla_minutes") if group_attrs else ("job_name",)
+    agg = runs.filter(F.col("job_name").isNotNull()).groupBy(*keys).agg(*metric_aggs(order, p95, duration_status))
+    return finalize_metrics(agg, min_runs, rounding, keys)
+
+
 def with_verdict(metrics: DataFrame, time_z: float = TIME_Z, volume_z: float = VOLUME_Z) -> DataFrame:
     """safe / at_risk / breached / insufficient_data.  Warm-up outranks breach."""
     td, vd = F.col("time_drift_score"), F.col("volume_drift_score")

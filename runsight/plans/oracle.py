@@ -11,7 +11,7 @@ from __future__ import annotations
 
 def R(expr: str, n: int) -> str:
     s = 10 ** n
-    return f"(round_even(({expr}) * {s}.0, 0) / {s}.0)"
+    return f"(round_even(({expr}) * {s}.0, 0) / {s}.0 + 0.0::DOUBLE)"
 
 
 def TS(expr: str) -> str:
