@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runsight.functions.core import lit_ts
+from runsight.functions.joins import join_dim
 
 # Fixed fixture parameters (FIXTURES.md section 2).
 NORMAL_ROWS = 50000
@@ -30,14 +31,35 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
         self._cache: dict[str, DataFrame] = {}
 
+    def dim_rows(self) -> int:
+        """Row count of the job dimension (counted once per Tables)."""
+        if "_dim_rows" not in self.__dict__:
+            self.__dict__["_dim_rows"] = self.supplier.count()
+        return self.__dict__["_dim_rows"]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._cache[name] = spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
         return self._cache[name]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least as many partitions as the session's default parallelism.
+
+    A small table stored as one file (one row group) scans as one task, and so
+    would every narrow operator after it; round-robin redistribution spreads
+    it.  Large inputs already scan as many splits and pass through untouched,
+    so this never adds a shuffle at scale.  Filters and column pruning still
+    reach the parquet scan below the repartition.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def _ts(c):
     """Driver timestamps are naive; the session runs in UTC, so the cast keeps wall time."""
     return F.col(c).cast("timestamp")
@@ -61,16 +83,23 @@ def _impact(k):
     return F.when(m == 0, "high").when(m == 1, "medium").otherwise("low")
 
 
+def _run_id():
+    """Zero-padded "orderkey-line-partkey" (lpad stays in codegen; format_string does not)."""
+    return F.concat(F.lpad(F.col("l_orderkey").cast("string"), 10, "0"), F.lit("-"),
+                    F.lpad(F.col("l_linenumber").cast("string"), 2, "0"), F.lit("-"),
+                    F.lpad(F.col("l_partkey").cast("string"), 10, "0"))
+
+
 def runs(t: Tables) -> DataFrame:
     """Run records, one per lineitem row (600 per job on average)."""
-    s = suppliers(t)
-    li = t.lineitem
-    return (li.join(s, li.l_suppkey == s.k)
+    s = suppliers(t).withColumnRenamed("k", "l_suppkey")
+    return (join_dim(t.lineitem, s, "l_suppkey", known_rows=t.dim_rows())
+            .withColumnRenamed("l_suppkey", "k")
             .select(
                 F.col("job_name"), F.col("team"), _impact(F.col("k")).alias("impact"),
                 (F.lit(40.0) + (F.col("k") % 12)).cast("double").alias("sla_minutes"),
                 F.lit(NORMAL_ROWS).cast("long").alias("normal_rows"),
-                F.format_string("%010d-%02d-%010d", "l_orderkey", "l_linenumber", "l_partkey").alias("run_id"),
+                _run_id().alias("run_id"),
                 _plus_seconds(_ts("l_shipdate"), F.col("l_orderkey") % 86400).alias("start_time"),
                 F.col("l_quantity").alias("duration_minutes"),
                 F.floor("l_extendedprice").cast("long").alias("rows_processed"),
@@ -113,7 +142,8 @@ def registry(t: Tables, tight: bool = False) -> DataFrame:
 def runs_tight(t: Tables) -> DataFrame:
     """Runs whose SLA comes from ``registry(tight=True)`` (spreads tightness over all bands)."""
     s = suppliers(t).select("job_name", (F.lit(26.0) + F.lit(2.0) * (F.col("k") % 12)).alias("sla_t"))
-    return runs(t).join(s, "job_name").withColumn("sla_minutes", F.col("sla_t")).drop("sla_t")
+    return (join_dim(runs(t), s, "job_name", known_rows=t.dim_rows())
+            .withColumn("sla_minutes", F.col("sla_t")).drop("sla_t"))
 
 
 def task_instances(t: Tables) -> DataFrame:
@@ -140,7 +170,7 @@ def results(t: Tables) -> DataFrame:
                         _plus_seconds(_ts("o_orderdate"), F.col("o_orderkey") % 86400).alias("recorded_at"),
                         F.floor("o_totalprice").cast("long").alias("rows_processed"))
     names = suppliers(t).select("k", "job_name")
-    return (o.join(names, "k").groupBy("job_name", "recorded_at")
+    return (join_dim(o, names, "k", known_rows=t.dim_rows()).groupBy("job_name", "recorded_at")
             .agg(F.max("rows_processed").alias("rows_processed")))
 
 
