@@ -115,22 +115,32 @@ def drift_scores(metrics: DataFrame) -> DataFrame:
     return metrics.select("job_name", "time_drift_score", "volume_drift_score")
 
 
-def replay_scores(runs: DataFrame, min_runs: int = MIN_RUNS, order: tuple[str, ...] = RUN_ORDER) -> DataFrame:
+def replay_scores(runs: DataFrame, min_runs: int = MIN_RUNS, order: tuple[str, ...] = RUN_ORDER,
+                  split_hot: bool = True) -> DataFrame:
     """Score every run against the history before it.
 
-    Expanding frame ``rowsBetween(unboundedPreceding, -1)`` per job; the frame
-    keeps running count/sum/sum-of-squares only.
+    Default: running (n, mean, M2) per (job, day) window merged with a small
+    per-job prefix of day totals (``chunked.prior_stats``), so a job with most of
+    the runs is spread over many tasks.  ``split_hot=False`` is the plain
+    expanding frame ``rowsBetween(unboundedPreceding, -1)`` per job.
     """
     from pyspark.sql import Window as W
-    w = W.partitionBy("job_name").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    d = F.col("duration_minutes")
-    n = F.count(d).over(w)
-    mean = F.avg(d).over(w)
-    sd = F.stddev_samp(d).over(w)
-    r = F.col("rows_processed").cast("double")
-    out = runs.select("job_name", "run_id", "start_time", "duration_minutes", "rows_processed",
-                      n.alias("prior_runs"), mean.alias("_m"), sd.alias("_s"),
-                      F.avg(r).over(w).alias("_mr"), F.stddev_samp(r).over(w).alias("_sr"))
+    base = runs.select("job_name", *[c for c in order if c != "job_name"], "duration_minutes", "rows_processed")
+    if split_hot:
+        from runsight.operators.chunked import prior_stats
+        s = prior_stats(base, "job_name", list(order), "duration_minutes", "_d")
+        s = prior_stats(s, "job_name", list(order), "rows_processed", "_r")
+        out = s.select("job_name", "run_id", "start_time", "duration_minutes", "rows_processed",
+                       F.col("_d_n").alias("prior_runs"), F.col("_d_mean").alias("_m"), F.col("_d_sd").alias("_s"),
+                       F.col("_r_mean").alias("_mr"), F.col("_r_sd").alias("_sr"))
+    else:
+        w = W.partitionBy("job_name").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+        d = F.col("duration_minutes")
+        r = F.col("rows_processed").cast("double")
+        out = base.select("job_name", "run_id", "start_time", "duration_minutes", "rows_processed",
+                          F.count(d).over(w).alias("prior_runs"), F.avg(d).over(w).alias("_m"),
+                          F.stddev_samp(d).over(w).alias("_s"),
+                          F.avg(r).over(w).alias("_mr"), F.stddev_samp(r).over(w).alias("_sr"))
     warm = F.col("prior_runs") >= F.lit(min_runs)
     return out.select("job_name", "run_id", "start_time", "prior_runs",
                       F.when(warm, rnd(safe_z("duration_minutes", "_m", "_s"), 3)).alias("time_drift_score"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runsight.functions.core import rnd
+from runsight.operators.chunked import positions
 from runsight.operators.metrics import RUN_ORDER
 
 # Fixed thresholds of the reference.
@@ -14,16 +15,21 @@ TIGHT, AMBER = 0.8, 0.6
 SLA_HEADROOM = 1.3
 
 
-def volume_growth(runs: DataFrame, order: tuple[str, ...] = RUN_ORDER) -> DataFrame:
+def volume_growth(runs: DataFrame, order: tuple[str, ...] = RUN_ORDER, split_hot: bool = True) -> DataFrame:
     """Mean rows of the first and the last 20 % of each job's runs (split = max(1, n div 5)).
 
-    One window spec gives both the position and the job's run count, then a
-    plain conditional aggregate: one sort per job, no self-join.
+    Positions come from ``chunked.positions`` (per (job, day) windows plus a
+    small per-job prefix of day counts), so a job with most of the runs is
+    still sorted in many tasks; ``split_hot=False`` uses one window per job.
+    Then a plain conditional aggregate.
     """
-    w = Window.partitionBy("job_name").orderBy(*order)
-    wn = Window.partitionBy("job_name")
-    r = runs.select("job_name", "rows_processed", F.row_number().over(w).alias("pos"),
-                    F.count(F.lit(1)).over(wn).alias("n"))
+    if split_hot:
+        r = positions(runs.select("job_name", "rows_processed", *order), "job_name", list(order))
+    else:
+        w = Window.partitionBy("job_name").orderBy(*order)
+        wn = Window.partitionBy("job_name")
+        r = runs.select("job_name", "rows_processed", F.row_number().over(w).alias("pos"),
+                        F.count(F.lit(1)).over(wn).alias("n"))
     split = F.greatest(F.lit(1), F.floor(F.col("n") / 5))
     g = r.groupBy("job_name").agg(
         F.avg(F.when(F.col("pos") <= split, F.col("rows_processed"))).alias("first_rows"),

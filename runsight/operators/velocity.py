@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runsight.functions.core import rnd
+from runsight.operators.chunked import trailing_counts
 
 THRESHOLD, WINDOW_MINUTES = 10, 5
 
@@ -30,9 +31,18 @@ def velocity_summary(txn: DataFrame, threshold: int = THRESHOLD, window_minutes:
                    F.lit(threshold).alias("threshold"), F.lit(window_minutes).alias("window_minutes"))
 
 
-def velocity_trailing(txn: DataFrame, minutes: int = WINDOW_MINUTES, threshold: int = THRESHOLD) -> DataFrame:
+def velocity_trailing(txn: DataFrame, minutes: int = WINDOW_MINUTES, threshold: int = THRESHOLD,
+                      split_hot: bool = True) -> DataFrame:
     """Transactions whose account made more than ``threshold`` transactions in the
-    trailing ``minutes`` (range frame on epoch micros, both ends inclusive)."""
+    trailing ``minutes`` (both ends inclusive).
+
+    Default: time chunks one window wide, so a busy account is spread over
+    many tasks (``chunked.trailing_counts``).  ``split_hot=False`` is the plain
+    range frame per account.
+    """
+    if split_hot:
+        c = trailing_counts(txn, "account_id", "ts", "txn_id", minutes)
+        return c.select("account_id", "txn_id", "ts", "trailing_count").filter(F.col("trailing_count") > threshold)
     w = (Window.partitionBy("account_id").orderBy(F.unix_micros("ts"))
          .rangeBetween(-minutes * 60_000_000, 0))
     return (txn.select("account_id", "txn_id", "ts", F.count(F.lit(1)).over(w).alias("trailing_count"))
