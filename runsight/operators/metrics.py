@@ -33,12 +33,15 @@ def metric_aggs(order: tuple[str, ...] = RUN_ORDER, p95: str = "exact", duration
         d = F.when(F.col("status") == duration_status, d)
     latest = F.max_by(F.struct("team", "impact", "sla_minutes", "duration_minutes", "rows_processed",
                                "status", "start_time", "run_id"), _order_key(order))
-    if p95 == "exact":
+    if p95 in ("map", "exact"):
+        # "exact" is replaced by the banded exact quantile in job_metrics; this buffer serves streams
         p = F.percentile(d, F.lit(0.95))
     elif p95 == "approx":
         p = F.percentile_approx(d, F.lit(0.95), F.lit(10000))
+    elif p95 == "none":
+        p = F.lit(None).cast("double")
     else:
-        raise ValueError("p95 must be 'exact' or 'approx'")
+        raise ValueError("p95 must be 'exact', 'map', 'approx' or 'none'")
     return [F.count(F.lit(1)).alias("total_runs"), F.count(d).alias("duration_runs"),
             F.avg(d).alias("_avg_d"), F.stddev_samp(d).alias("_sd_d"), p.alias("_p95"),
             F.avg("rows_processed").alias("_avg_r"), F.stddev_samp("rows_processed").alias("_sd_r"),
@@ -83,14 +86,28 @@ def job_metrics(runs: DataFrame, min_runs: int = MIN_RUNS, p95: str = "exact", r
     rows_processed, status.  One output row per job.
 
     * ``min_runs``: below it every statistic is NULL (warm-up); 0 disables the gate.
-    * ``p95``: "exact" (linear interpolation, ``percentile``) or "approx"
-      (``percentile_approx``; bounded state, the choice for very large jobs).
+    * ``p95``: "exact" (linear interpolation; banded exact quantile with bounded state,
+      ``quantiles.exact_quantile``), "map" (Spark's ``percentile``: one pass, state per
+      distinct duration) or "approx" (``percentile_approx``, fixed-size sketch).
     * ``rounding``: compare and report rounded values (latest 2 dp, z 3 dp).
     * ``group_attrs``: group by the job's attributes too (an SLA change splits a job).
     * ``duration_status``: restrict duration statistics to runs with this status.
     """
     keys = ("job_name", "team", "impact", "sla_minutes") if group_attrs else ("job_name",)
-    agg = runs.filter(F.col("job_name").isNotNull()).groupBy(*keys).agg(*metric_aggs(order, p95, duration_status))
+    r = runs.filter(F.col("job_name").isNotNull())
+    agg = r.groupBy(*keys).agg(*metric_aggs(order, "none" if p95 == "exact" else p95, duration_status))
+    if p95 == "exact":
+        from runsight.operators.quantiles import exact_quantile
+        d = F.col("duration_minutes")
+        if duration_status is not None:
+            d = F.when(F.col("status") == duration_status, d)
+        src = r.select(F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys]).alias("_gk"),
+                       d.alias("_d")) if group_attrs else r.select(F.col("job_name").alias("_gk"), d.alias("_d"))
+        q = exact_quantile(src, "_gk", "_d", 0.95, alias="_pq")
+        gk = (F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys]) if group_attrs
+              else F.col("job_name"))
+        agg = (agg.withColumn("_gk", gk).join(q, "_gk", "left")
+               .withColumn("_p95", F.col("_pq")).drop("_gk", "_pq"))
     return finalize_metrics(agg, min_runs, rounding, keys)
 
 

@@ -70,3 +70,18 @@ def test_trailing_split_equals_plain(spark):
         a = sorted(map(tuple, VL.velocity_trailing(df, minutes, thr).collect()))
         b = sorted(map(tuple, VL.velocity_trailing(df, minutes, thr, split_hot=False).collect()))
         assert a == b and len(a) > 0
+
+
+def test_exact_quantile_large_keys_and_ties(spark):
+    from runsight.operators.quantiles import exact_quantile
+    rnd = random.Random(9)
+    rows = [("hot", float(rnd.randint(0, 10**6))) for _ in range(20000)]
+    rows += [("ties", float(rnd.choice([1, 2, 2, 3, 3, 3]))) for _ in range(8000)]
+    rows += [("small", float(x)) for x in range(7)] + [("one", 5.0), ("nulls", None), ("nulls", 4.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    for q in (0.95, 0.5, 0.0, 1.0):
+        got = {r["k"]: r["p"] for r in exact_quantile(df, "k", "v", q, accuracy=100, alias="p").collect()}
+        want = {r["k"]: r["p"] for r in df.groupBy("k").agg(F.percentile("v", q).alias("p")).collect()}
+        assert got.keys() == want.keys()
+        for k in want:
+            assert abs(got[k] - want[k]) <= 1e-9 * max(1.0, abs(want[k])), (q, k, got[k], want[k])
