@@ -2,8 +2,8 @@
 
 A window ``partitionBy(key).orderBy(time)`` sorts all rows of one key in one
 task: a job or account holding a third of all rows would become one task.
-Here rows are windowed per (key, chunk), where chunk = floor(time / width) is
-monotone in the order, and a small table of per-(key, chunk) totals carries
+Here rows are windowed per (key, chunk), where chunk = floor((time - t0) / width)
+is monotone in the order (width per key, for about CHUNK_ROWS rows per chunk), and a small table of per-(key, chunk) totals carries
 what earlier chunks contribute (rows = keys x chunks, not runs).  The big side
 is shuffled once on (key, chunk); the prefix table joins back on the same keys.
 """
@@ -13,7 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from runsight.functions.joins import join_dim
+
 DAY_MICROS = 86_400_000_000
+CHUNK_ROWS = 2_000_000
 
 
 def chunk_of(ts: str | Column, width_micros: int = DAY_MICROS) -> Column:
@@ -21,12 +24,28 @@ def chunk_of(ts: str | Column, width_micros: int = DAY_MICROS) -> Column:
     return F.floor(F.unix_micros(t) / F.lit(width_micros))
 
 
-def positions(df: DataFrame, key: str, order: list[str], width_micros: int = DAY_MICROS) -> DataFrame:
+def with_chunks(df: DataFrame, key: str, ts: str, target_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Adds ``_c``: equal-width time chunks per key, about ``target_rows`` rows each on average.
+
+    The width comes from the key's row count and time span (one small
+    aggregate), so a key with few rows is one chunk and a hot key is cut into
+    many.
+    """
+    t = F.unix_micros(F.col(ts))
+    st = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_kn"), F.min(t).alias("_t0"), F.max(t).alias("_t1"))
+          .select(key, "_t0", F.greatest(F.lit(1), F.ceil((F.col("_t1") - F.col("_t0") + 1)
+                                                          * F.lit(float(target_rows)) / F.col("_kn")))
+                  .cast("long").alias("_w")))
+    return (join_dim(df, st, key).withColumn("_c", F.floor((t - F.col("_t0")) / F.col("_w")))
+            .drop("_t0", "_w"))
+
+
+def positions(df: DataFrame, key: str, order: list[str], target_rows: int = CHUNK_ROWS) -> DataFrame:
     """Adds ``pos`` (1-based rank in the key's order) and ``n`` (rows of the key).
 
     ``order[0]`` must be a timestamp; the chunk is taken from it.
     """
-    d = df.withColumn("_c", chunk_of(order[0], width_micros))
+    d = with_chunks(df, key, order[0], target_rows)
     local = d.withColumn("_lpos", F.row_number().over(Window.partitionBy(key, "_c").orderBy(*order)))
     # totals come from the windowed frame: both branches share its exchange
     sizes = local.groupBy(key, "_c").agg(F.count(F.lit(1)).alias("_cn"))
@@ -38,7 +57,7 @@ def positions(df: DataFrame, key: str, order: list[str], width_micros: int = DAY
 
 
 def prior_stats(df: DataFrame, key: str, order: list[str], value: str, prefix: str,
-                width_micros: int = DAY_MICROS) -> DataFrame:
+                target_rows: int = CHUNK_ROWS) -> DataFrame:
     """Adds count, mean and sample stddev of ``value`` over the key's rows strictly before each row.
 
     In-chunk running (n, mean, M2) come from a window over (key, chunk); the
@@ -47,7 +66,7 @@ def prior_stats(df: DataFrame, key: str, order: list[str], value: str, prefix: s
     Chan's formula.  Output columns: {prefix}_n, {prefix}_mean, {prefix}_sd.
     """
     v = F.col(value).cast("double")
-    d = df.withColumn("_c", chunk_of(order[0], width_micros)).withColumn("_v", v)
+    d = (df if "_c" in df.columns else with_chunks(df, key, order[0], target_rows)).withColumn("_v", v)
     w_in = Window.partitionBy(key, "_c").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     ln = F.count("_v").over(w_in)
     local = (d.withColumn("_ln", ln).withColumn("_lm", F.avg("_v").over(w_in))
@@ -80,7 +99,7 @@ def prior_stats(df: DataFrame, key: str, order: list[str], value: str, prefix: s
     return (j.withColumn(f"{prefix}_n", n)
             .withColumn(f"{prefix}_mean", F.when(n > 0, mean_s + F.col("_k")))
             .withColumn(f"{prefix}_sd", sd)
-            .drop("_c", "_v", "_ln", "_lm", "_lM2", "_k", "_pn", "_ps1", "_ps2"))
+            .drop("_v", "_ln", "_lm", "_lM2", "_k", "_pn", "_ps1", "_ps2"))
 
 
 def trailing_counts(df: DataFrame, key: str, ts: str, id_col: str, minutes: int) -> DataFrame:

@@ -95,19 +95,23 @@ def job_metrics(runs: DataFrame, min_runs: int = MIN_RUNS, p95: str = "exact", r
     """
     keys = ("job_name", "team", "impact", "sla_minutes") if group_attrs else ("job_name",)
     r = runs.filter(F.col("job_name").isNotNull())
-    agg = r.groupBy(*keys).agg(*metric_aggs(order, "none" if p95 == "exact" else p95, duration_status))
-    if p95 == "exact":
-        from runsight.operators.quantiles import exact_quantile
-        d = F.col("duration_minutes")
-        if duration_status is not None:
-            d = F.when(F.col("status") == duration_status, d)
-        src = r.select(F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys]).alias("_gk"),
-                       d.alias("_d")) if group_attrs else r.select(F.col("job_name").alias("_gk"), d.alias("_d"))
-        q = exact_quantile(src, "_gk", "_d", 0.95, alias="_pq")
-        gk = (F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys]) if group_attrs
-              else F.col("job_name"))
-        agg = (agg.withColumn("_gk", gk).join(q, "_gk", "left")
-               .withColumn("_p95", F.col("_pq")).drop("_gk", "_pq"))
+    if p95 != "exact":
+        agg = r.groupBy(*keys).agg(*metric_aggs(order, p95, duration_status))
+        return finalize_metrics(agg, min_runs, rounding, keys)
+    # Exact p95 with bounded state: the sketch rides along in the one aggregation, whose
+    # (per-job, small) result is written once to the shared checkpoint folder; a second pass
+    # over the runs counts only the narrow value band around each job's p95.
+    from runsight.operators import quantiles as QT
+    from runsight.operators.graph import _materialize
+    d = F.col("duration_minutes")
+    if duration_status is not None:
+        d = F.when(F.col("status") == duration_status, d)
+    gk = F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys]) if group_attrs else F.col("job_name")
+    agg = r.groupBy(*keys).agg(*metric_aggs(order, "none", duration_status), *QT.sketch_cols(d))
+    agg, st = _materialize(agg.withColumn("_gk", gk), "job-metrics", F.count(F.lit(1)).alias("n"))
+    q = QT.banded(r.select(gk.alias("_gk"), d.alias("_d")), "_gk", "_d", QT.bounds(agg, "_gk"), 0.95, "_pq",
+                  known_keys=st["n"])
+    agg = agg.join(q, "_gk", "left").withColumn("_p95", F.col("_pq")).drop("_gk", "_pq", "_qn", "_qb")
     return finalize_metrics(agg, min_runs, rounding, keys)
 
 
@@ -133,7 +137,7 @@ def drift_scores(metrics: DataFrame) -> DataFrame:
 
 
 def replay_scores(runs: DataFrame, min_runs: int = MIN_RUNS, order: tuple[str, ...] = RUN_ORDER,
-                  split_hot: bool = True) -> DataFrame:
+                  split_hot: bool = True, chunk_rows: int = 2_000_000) -> DataFrame:
     """Score every run against the history before it.
 
     Default: running (n, mean, M2) per (job, day) window merged with a small
@@ -145,8 +149,8 @@ def replay_scores(runs: DataFrame, min_runs: int = MIN_RUNS, order: tuple[str, .
     base = runs.select("job_name", *[c for c in order if c != "job_name"], "duration_minutes", "rows_processed")
     if split_hot:
         from runsight.operators.chunked import prior_stats
-        s = prior_stats(base, "job_name", list(order), "duration_minutes", "_d")
-        s = prior_stats(s, "job_name", list(order), "rows_processed", "_r")
+        s = prior_stats(base, "job_name", list(order), "duration_minutes", "_d", chunk_rows)
+        s = prior_stats(s, "job_name", list(order), "rows_processed", "_r", chunk_rows).drop("_c")
         out = s.select("job_name", "run_id", "start_time", "duration_minutes", "rows_processed",
                        F.col("_d_n").alias("prior_runs"), F.col("_d_mean").alias("_m"), F.col("_d_sd").alias("_s"),
                        F.col("_r_mean").alias("_mr"), F.col("_r_sd").alias("_sr"))

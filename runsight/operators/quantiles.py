@@ -25,24 +25,34 @@ from pyspark.sql import functions as F
 from runsight.functions.joins import join_dim
 
 
-def exact_quantile(df: DataFrame, key: str, value: str, q: float = 0.95, accuracy: int = 10000,
-                   alias: str | None = None) -> DataFrame:
-    """(key, alias): the exact q-quantile of ``value`` per key (NULL values ignored)."""
-    out = alias or f"{value}_q"
+def sketch_cols(value, q: float = 0.95, accuracy: int = 10000) -> list:
+    """Aggregate columns for step 1 (can ride along in another ``groupBy.agg``)."""
     margin = 3.0 / accuracy
     qs = [max(0.0, q - margin), min(1.0, q + margin)]
-    v = F.col(value).cast("double")
-    base = df.select(key, v.alias("_v")).filter(F.col("_v").isNotNull())
-    sk = (base.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
-                                F.percentile_approx("_v", F.array(*[F.lit(x) for x in qs]), F.lit(accuracy))
-                                .alias("_b"))
-          # a key with at most `accuracy` values is its own band (bounded); larger keys use the bracket,
-          # whose rank margin (3n/accuracy) then exceeds the sketch's error (n/accuracy) by two ranks or more
-          .select(key, "_n",
-                  F.when(F.col("_n") <= accuracy, F.lit(float("-inf"))).otherwise(F.col("_b")[0]).alias("_lo"),
-                  F.when(F.col("_n") <= accuracy, F.lit(float("inf"))).otherwise(F.col("_b")[1]).alias("_hi"),
-                  (F.lit(q) * (F.col("_n") - 1)).alias("_r")))
-    j = join_dim(base, sk, key)
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    return [F.count(v).alias("_qn"),
+            F.percentile_approx(v, F.array(*[F.lit(x) for x in qs]), F.lit(accuracy)).alias("_qb")]
+
+
+def bounds(sketched: DataFrame, key: str, q: float = 0.95, accuracy: int = 10000) -> DataFrame:
+    """(key, _n, _lo, _hi, _r) from the sketch columns.
+
+    A key with at most ``accuracy`` values is its own band (bounded); for larger
+    keys the bracket's rank margin (3n/accuracy) exceeds the sketch's rank error
+    (n/accuracy) by at least two ranks.
+    """
+    small = F.col("_qn") <= accuracy
+    return sketched.select(key, F.col("_qn").alias("_n"),
+                           F.when(small, F.lit(float("-inf"))).otherwise(F.col("_qb")[0]).alias("_lo"),
+                           F.when(small, F.lit(float("inf"))).otherwise(F.col("_qb")[1]).alias("_hi"),
+                           (F.lit(q) * (F.col("_qn") - 1)).alias("_r"))
+
+
+def banded(df: DataFrame, key: str, value: str, bnd: DataFrame, q: float, out: str,
+           known_keys: int | None = None) -> DataFrame:
+    """Steps 2-3 given the per-key bracket ``bnd``; returns (key, out)."""
+    base = df.select(key, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    j = join_dim(base, bnd.select(key, "_lo", "_hi"), key, known_rows=known_keys)
     # rows under the bracket collapse into one (key, -inf) group; rows above it are dropped
     bv = F.when(F.col("_v") < F.col("_lo"), F.lit(float("-inf"))).otherwise(F.col("_v"))
     band = (j.filter(F.col("_v") <= F.col("_hi")).groupBy(key, bv.alias("_v"))
@@ -51,17 +61,22 @@ def exact_quantile(df: DataFrame, key: str, value: str, q: float = 0.95, accurac
     ranked = (band.withColumn("_end", F.sum("_cnt").over(w))
               .withColumn("_start", F.col("_end") - F.col("_cnt")))        # ranks [_start, _end) hold _v
     lo_r, hi_r = F.floor(F.col("_r")), F.ceil(F.col("_r"))
-    picked = (ranked.join(sk.select(key, "_r", "_n"), key)
+    picked = (ranked.join(bnd.select(key, "_r"), key)
               .groupBy(key).agg(
                   F.max(F.when((F.col("_start") <= lo_r) & (lo_r < F.col("_end")), F.col("_v"))).alias("_vlo"),
                   F.max(F.when((F.col("_start") <= hi_r) & (hi_r < F.col("_end")), F.col("_v"))).alias("_vhi"),
                   F.first("_r").alias("_r")))
     frac = F.col("_r") - F.floor(F.col("_r"))
     hit = (F.col("_vlo") > F.lit(float("-inf"))) & F.col("_vhi").isNotNull()   # NULL/-inf: rank outside band
-    exact = picked.filter(hit).select(key, (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias(out))
-    good = exact
+    good = picked.filter(hit).select(key, (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias(out))
     # keys whose bracket missed (not expected): exact percentile on those keys only
-    missed = sk.select(key).join(good.select(key), key, "left_anti")
-    rest = (base.join(missed, key, "left_semi").groupBy(key)
-            .agg(F.percentile("_v", F.lit(q)).alias(out)))
+    missed = bnd.filter(F.col("_n") > 0).select(key).join(good.select(key), key, "left_anti")
+    rest = base.join(missed, key, "left_semi").groupBy(key).agg(F.percentile("_v", F.lit(q)).alias(out))
     return good.unionByName(rest)
+
+
+def exact_quantile(df: DataFrame, key: str, value: str, q: float = 0.95, accuracy: int = 10000,
+                   alias: str | None = None) -> DataFrame:
+    """(key, alias): the exact q-quantile of ``value`` per key (NULL values ignored)."""
+    sk = df.groupBy(key).agg(*sketch_cols(value, q, accuracy))
+    return banded(df, key, value, bounds(sk, key, q, accuracy), q, alias or f"{value}_q")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runsight.functions.core import rnd
-from runsight.operators.chunked import positions
+from runsight.operators.chunked import CHUNK_ROWS, positions
 from runsight.operators.metrics import RUN_ORDER
 
 # Fixed thresholds of the reference.
@@ -15,7 +15,8 @@ TIGHT, AMBER = 0.8, 0.6
 SLA_HEADROOM = 1.3
 
 
-def volume_growth(runs: DataFrame, order: tuple[str, ...] = RUN_ORDER, split_hot: bool = True) -> DataFrame:
+def volume_growth(runs: DataFrame, order: tuple[str, ...] = RUN_ORDER, split_hot: bool = True,
+                  chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Mean rows of the first and the last 20 % of each job's runs (split = max(1, n div 5)).
 
     Positions come from ``chunked.positions`` (per (job, day) windows plus a
@@ -24,7 +25,7 @@ def volume_growth(runs: DataFrame, order: tuple[str, ...] = RUN_ORDER, split_hot
     Then a plain conditional aggregate.
     """
     if split_hot:
-        r = positions(runs.select("job_name", "rows_processed", *order), "job_name", list(order))
+        r = positions(runs.select("job_name", "rows_processed", *order), "job_name", list(order), chunk_rows)
     else:
         w = Window.partitionBy("job_name").orderBy(*order)
         wn = Window.partitionBy("job_name")

@@ -29,6 +29,13 @@ def skewed_runs(spark):
     return spark.createDataFrame(rows, SCHEMA)
 
 
+def test_hot_key_gets_many_chunks(spark):
+    from runsight.operators.chunked import with_chunks
+    c = with_chunks(skewed_runs(spark), "job_name", "start_time", target_rows=50)
+    per = {r["job_name"]: r["n"] for r in c.groupBy("job_name").agg(F.count_distinct("_c").alias("n")).collect()}
+    assert per["hot"] >= 30 and per["cold0"] == 1
+
+
 def test_positions_equal_row_number(spark):
     from pyspark.sql import Window
     r = skewed_runs(spark)
@@ -37,20 +44,20 @@ def test_positions_equal_row_number(spark):
             r.select("job_name", "run_id", F.row_number().over(w).alias("pos"),
                      F.count(F.lit(1)).over(Window.partitionBy("job_name")).alias("n")).collect()}
     got = {(x["job_name"], x["run_id"]): (x["pos"], x["n"]) for x in
-           positions(r, "job_name", ["start_time", "run_id"]).collect()}
+           positions(r, "job_name", ["start_time", "run_id"], target_rows=50).collect()}
     assert got == want
 
 
 def test_volume_growth_split_equals_plain(spark):
     r = skewed_runs(spark)
-    a = sorted(map(tuple, H.volume_growth(r).collect()))
+    a = sorted(map(tuple, H.volume_growth(r, chunk_rows=50).collect()))
     b = sorted(map(tuple, H.volume_growth(r, split_hot=False).collect()))
     assert a == b
 
 
 def test_replay_split_equals_plain(spark):
     r = skewed_runs(spark)
-    a = {(x["job_name"], x["run_id"]): x for x in M.replay_scores(r).collect()}
+    a = {(x["job_name"], x["run_id"]): x for x in M.replay_scores(r, chunk_rows=50).collect()}
     b = {(x["job_name"], x["run_id"]): x for x in M.replay_scores(r, split_hot=False).collect()}
     assert a.keys() == b.keys()
     diff = [k for k in a if a[k]["prior_runs"] != b[k]["prior_runs"]
