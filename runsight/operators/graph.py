@@ -47,10 +47,10 @@ def _materialize(df: DataFrame, tag: str, *metrics):
 def closure(edges_df: DataFrame, max_rounds: int = 64) -> DataFrame:
     """All (anc, job) pairs with the fewest hops between them.
 
-    Path doubling: after round i the table holds every pair whose shortest path
-    has at most 2^i hops.  A sub-path of a shortest path is itself shortest, so
-    once the longest pair found is below 2^i nothing longer exists and the loop
-    stops (about log2(depth) rounds).  Each round is one written table in the
+    Path doubling: after s squarings the table holds every pair whose shortest
+    path has at most 2^s hops.  A sub-path of a shortest path is itself shortest,
+    so once the longest pair found is below 2^s nothing longer exists and the
+    loop stops (about log2(depth) squarings, two per round).  Each round is one written table in the
     shared checkpoint folder; its pair count and longest path come back through
     ``observe``.  Pairs (x, x) only arise from cycles and are dropped (see ``cycles``).
     """
@@ -60,14 +60,21 @@ def closure(edges_df: DataFrame, max_rounds: int = 64) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.max("hops").alias("mx"))
     if st["n"] == 0:
         return c
-    for i in range(1, max_rounds + 1):
-        a, b = c.alias("a"), c.alias("b")
+
+    def square(x):
+        a, b = x.alias("a"), x.alias("b")
         step = (a.join(b, F.col("a.job") == F.col("b.anc"))
                 .select(F.col("a.anc").alias("anc"), F.col("b.job").alias("job"),
                         (F.col("a.hops") + F.col("b.hops")).alias("hops")))
-        c, st = _materialize(c.unionByName(step).groupBy("anc", "job").agg(F.min("hops").alias("hops")),
-                             f"closure{i}", F.count(F.lit(1)).alias("n"), F.max("hops").alias("mx"))
-        if st["mx"] < 2 ** i:
+        return x.unionByName(step).groupBy("anc", "job").agg(F.min("hops").alias("hops"))
+
+    squarings = 0
+    for i in range(1, max_rounds + 1):
+        # two squarings per written table: half the jobs, same stop rule per squaring
+        c, st = _materialize(square(square(c)), f"closure{i}", F.count(F.lit(1)).alias("n"),
+                             F.max("hops").alias("mx"))
+        squarings += 2
+        if st["mx"] < 2 ** squarings:
             return c.filter(F.col("anc") != F.col("job"))
     raise RuntimeError("closure did not converge; raise max_rounds")
 

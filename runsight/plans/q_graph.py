@@ -97,8 +97,15 @@ def q_blast_radius(t):
     return G.impacted(_slow(m), G.closure(_edges(t)))
 
 
+def gold_table(t):
+    """Gold metrics computed once and written to the shared checkpoint folder (as the pipeline does)."""
+    from runsight.operators.graph import _materialize
+    m, _ = _materialize(M.job_metrics(fx.runs(t)), "gold-metrics", F.count(F.lit(1)).alias("n"))
+    return m
+
+
 def _fp(t, as_of, infra_minutes):
-    m = M.job_metrics(fx.runs(t))
+    m = gold_table(t)
     infra = S.infra_signals(fx.infra_metrics(t), as_of, infra_minutes)
     return FP.fingerprint(m, _edges(t), infra, fx.ci_runs(t), as_of)
 

@@ -112,7 +112,8 @@ TSF = "'%Y-%m-%d %H:%M:%S.%f'"
 
 
 def _urgent_fp(t):
-    m = M.job_metrics(fx.runs(t))
+    from runsight.plans.q_graph import gold_table
+    m = gold_table(t)
     fp = FP.fingerprint(m, G.edges(fx.registry(t)), S.infra_signals(fx.infra_metrics(t), fx.events_max_ts(t), 0),
                         fx.ci_runs(t), fx.events_max_ts(t))
     return m, m.filter(F.col("verdict").isin("breached", "at_risk")), fp
