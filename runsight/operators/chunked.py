@@ -102,25 +102,44 @@ def prior_stats(df: DataFrame, key: str, order: list[str], value: str, prefix: s
             .drop("_v", "_ln", "_lm", "_lM2", "_k", "_pn", "_ps1", "_ps2"))
 
 
-def trailing_counts(df: DataFrame, key: str, ts: str, id_col: str, minutes: int) -> DataFrame:
+def trailing_counts(df: DataFrame, key: str, ts: str, id_col: str, minutes: int,
+                    target_rows: int = CHUNK_ROWS) -> DataFrame:
     """(key, id, ts, trailing_count): rows of the key with time in [t - minutes, t], both ends inclusive.
 
-    Chunks are one window wide, so the frame of a row in chunk c lies in chunks
-    c - 1 and c.  The chunk-c part is a range frame; the chunk c - 1 part is
-    answered by a probe row at t - width placed in chunk c - 1.  Both parts are
-    then summed per row.
+    trailing_count = #(rows with time <= t) - #(rows with time < t - minutes).
+    Both counts are ranks on the key's timeline: each row adds a probe at
+    t - minutes, rows and probes get the key's adaptive chunk, and a rank is the
+    in-chunk running count (range frame: ties included / excluded) plus the
+    rows of all earlier chunks (small per-(key, chunk) prefix table).  A busy
+    account is cut into many chunks; a probe before the key's first row gets 0.
     """
     width = minutes * 60_000_000
     t = F.unix_micros(F.col(ts))
-    data = df.select(key, id_col, t.alias("_t"), F.floor(t / width).alias("_c"), F.lit(1).alias("_d"),
-                     F.col(ts).alias("_ts"))
-    probes = data.select(key, id_col, (F.col("_t") - width).alias("_t"), (F.col("_c") - 1).alias("_c"),
-                         F.lit(0).alias("_d"), F.lit(None).cast(data.schema["_ts"].dataType).alias("_ts"))
+    st = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_kn"), F.min(t).alias("_t0"), F.max(t).alias("_t1"))
+          .select(key, "_t0", F.greatest(F.lit(1), F.ceil((F.col("_t1") - F.col("_t0") + 1)
+                                                          * F.lit(float(target_rows)) / F.col("_kn")))
+                  .cast("long").alias("_w")))
+    base = join_dim(df.select(key, id_col, F.col(ts).alias("_ts"), t.alias("_t")), st, key)
+    chunk = F.floor((F.col("_t") - F.col("_t0")) / F.col("_w"))
+    data = base.select(key, id_col, "_ts", "_t", chunk.alias("_c"), F.lit(1).alias("_d"))
+    probes = base.select(key, id_col, F.lit(None).cast(base.schema["_ts"].dataType).alias("_ts"),
+                         (F.col("_t") - width).alias("_t"), F.lit(0).alias("_d"), "_t0", "_w") \
+        .select(key, id_col, "_ts", "_t", chunk.alias("_c"), "_d")
     u = data.unionByName(probes)
     w = Window.partitionBy(key, "_c").orderBy("_t")
-    upto = F.sum("_d").over(w.rangeBetween(Window.unboundedPreceding, 0))        # data rows with time <= t
-    below = F.sum("_d").over(w.rangeBetween(Window.unboundedPreceding, -1))      # data rows with time < t
-    total = F.sum("_d").over(Window.partitionBy(key, "_c"))
-    part = F.when(F.col("_d") == 1, upto).otherwise(total - F.coalesce(below, F.lit(0)))
-    return (u.select(key, id_col, "_ts", part.alias("_p"))
+    upto = F.sum("_d").over(w.rangeBetween(Window.unboundedPreceding, 0))       # rows with time <= x in chunk
+    below = F.sum("_d").over(w.rangeBetween(Window.unboundedPreceding, -1))     # rows with time < x in chunk
+    local = u.withColumn("_in", F.when(F.col("_d") == 1, upto).otherwise(F.coalesce(below, F.lit(0))))
+    sizes = data.groupBy(key, "_c").agg(F.count(F.lit(1)).alias("_cn"))
+    # a probe chunk may hold no rows: its offset is every row in earlier chunks (an as-of lookup on
+    # the small chunk table), 0 before the first chunk
+    pc = local.select(key, "_c").distinct().withColumn("_cn", F.lit(None).cast("long"))
+    allc = sizes.unionByName(pc)
+    # markers (NULL _cn) sort before the chunk's own count, so they see earlier chunks only
+    wc = Window.partitionBy(key).orderBy("_c", F.col("_cn").isNotNull()).rowsBetween(Window.unboundedPreceding, -1)
+    cum = (allc.withColumn("_off", F.coalesce(F.sum("_cn").over(wc), F.lit(0)))
+           .groupBy(key, "_c").agg(F.max("_off").alias("_off")))
+    rank = F.col("_in") + F.col("_off")
+    signed = F.when(F.col("_d") == 1, rank).otherwise(-rank)
+    return (local.join(cum, [key, "_c"]).select(key, id_col, "_ts", signed.alias("_p"))
             .groupBy(key, id_col).agg(F.max("_ts").alias(ts), F.sum("_p").alias("trailing_count")))

@@ -32,16 +32,16 @@ def velocity_summary(txn: DataFrame, threshold: int = THRESHOLD, window_minutes:
 
 
 def velocity_trailing(txn: DataFrame, minutes: int = WINDOW_MINUTES, threshold: int = THRESHOLD,
-                      split_hot: bool = True) -> DataFrame:
+                      split_hot: bool = True, chunk_rows: int = 2_000_000) -> DataFrame:
     """Transactions whose account made more than ``threshold`` transactions in the
     trailing ``minutes`` (both ends inclusive).
 
-    Default: time chunks one window wide, so a busy account is spread over
-    many tasks (``chunked.trailing_counts``).  ``split_hot=False`` is the plain
+    Default: ranks on adaptive per-account time chunks, so a busy account is
+    spread over many tasks (``chunked.trailing_counts``).  ``split_hot=False`` is the plain
     range frame per account.
     """
     if split_hot:
-        c = trailing_counts(txn, "account_id", "ts", "txn_id", minutes)
+        c = trailing_counts(txn, "account_id", "ts", "txn_id", minutes, chunk_rows)
         return c.select("account_id", "txn_id", "ts", "trailing_count").filter(F.col("trailing_count") > threshold)
     w = (Window.partitionBy("account_id").orderBy(F.unix_micros("ts"))
          .rangeBetween(-minutes * 60_000_000, 0))

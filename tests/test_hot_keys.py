@@ -74,7 +74,7 @@ def test_trailing_split_equals_plain(spark):
     tx += [(0, 5000, 1.0, t0 + timedelta(minutes=5)), (0, 5001, 1.0, t0 + timedelta(minutes=10))]  # on edges
     df = spark.createDataFrame(tx, "account_id long, txn_id long, amount double, ts timestamp")
     for minutes, thr in ((5, 3), (60, 10)):
-        a = sorted(map(tuple, VL.velocity_trailing(df, minutes, thr).collect()))
+        a = sorted(map(tuple, VL.velocity_trailing(df, minutes, thr, chunk_rows=40).collect()))
         b = sorted(map(tuple, VL.velocity_trailing(df, minutes, thr, split_hot=False).collect()))
         assert a == b and len(a) > 0
 
