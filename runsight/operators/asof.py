@@ -1,7 +1,9 @@
 """As-of join: latest right row at or before each left row's time, per key.
 
 The right side is reduced to one row per (key, time) first.  Then both sides
-are bucketed by time (default one day) and:
+are bucketed by time, with a bucket width per key sized from the key's row
+count and time span (about ``target_rows`` rows per bucket; or a fixed
+``bucket_micros``), and:
 
 1. the carry-in of every (key, bucket) is the last right row of any earlier
    bucket: an aggregate to one row per (key, bucket) and a running
@@ -18,18 +20,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from runsight.functions.joins import join_dim
+
 DAY_MICROS = 86_400_000_000
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: str, left_time: str, right_time: str,
-              values: list[str], bucket_micros: int = DAY_MICROS) -> DataFrame:
+              values: list[str], bucket_micros: int | None = None, target_rows: int = 2_000_000) -> DataFrame:
     """Left rows with the ``values`` of the latest right row whose time <= left time (NULL if none)."""
     lcols = left.columns
     lt = F.unix_micros(F.col(left_time))
-    L = left.select(*lcols, lt.alias("_t"), F.floor(lt / bucket_micros).alias("_b"), F.lit(1).alias("_side"))
     rt = F.unix_micros(F.col(right_time))
-    R = right.select(F.col(by), rt.alias("_t"), F.floor(rt / bucket_micros).alias("_b"),
-                     F.struct(*values).alias("_v"))
+    L0 = left.select(*lcols, lt.alias("_t"))
+    R0 = right.select(F.col(by), rt.alias("_t"), F.struct(*values).alias("_v"))
+    if bucket_micros is not None:
+        L = L0.withColumn("_b", F.floor(F.col("_t") / bucket_micros))
+        R = R0.withColumn("_b", F.floor(F.col("_t") / bucket_micros))
+    else:
+        both = L0.select(by, "_t").unionByName(R0.select(by, "_t"))
+        st = (both.groupBy(by).agg(F.count(F.lit(1)).alias("_kn"), F.min("_t").alias("_t0"),
+                                   F.max("_t").alias("_t1"))
+              .select(by, "_t0", F.greatest(F.lit(1), F.ceil((F.col("_t1") - F.col("_t0") + 1)
+                                                             * F.lit(float(target_rows)) / F.col("_kn")))
+                      .cast("long").alias("_w")))
+        n = st.count()
+        bucket = F.floor((F.col("_t") - F.col("_t0")) / F.col("_w"))
+        L = join_dim(L0, st, by, known_rows=n).withColumn("_b", bucket).drop("_t0", "_w")
+        R = join_dim(R0, st, by, known_rows=n).withColumn("_b", bucket).drop("_t0", "_w")
+    L = L.withColumn("_side", F.lit(1))
     # 1. carry-in per (key, bucket) from earlier buckets
     last_per_bucket = R.groupBy(by, "_b").agg(F.max_by("_v", "_t").alias("_bv"))
     lb = L.select(by, "_b").distinct().withColumn("_bv", F.lit(None).cast(last_per_bucket.schema["_bv"].dataType))

@@ -80,6 +80,8 @@ def test_asof_join_matches_merge_asof(spark):
     R = R.groupBy("job", "rt").agg(F.max("v").alias("v"))
     got = {r["id"]: r["v"] for r in asof_join(L, R, "job", "t", "rt", ["v"], bucket_micros=6 * 3600 * 10**6)
            .collect()}
+    adaptive = {r["id"]: r["v"] for r in asof_join(L, R, "job", "t", "rt", ["v"], target_rows=20).collect()}
+    assert adaptive == got
     lp = pd.DataFrame(left, columns=["job", "id", "t"]).sort_values("t")
     rp = R.toPandas().rename(columns={"rt": "t"}).sort_values("t")
     lp["t"] = lp["t"].astype("datetime64[us]")
