@@ -36,6 +36,9 @@ def sink_text(df: DataFrame) -> DataFrame:
 def register(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # The driver tables hold naive (wall-clock) timestamps; reading them as UTC keeps every
+            # date part, window and deadline independent of the caller's zone.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return sink_text(fn(fx.Tables(spark, sf_dir)))
         run.__name__ = name
         run.__doc__ = fn.__doc__
