@@ -177,3 +177,65 @@ def q_ci_nearest(t):
     from runsight.functions import rnd
     a = fx.ci_as_of(t, 10)
     return S.nearest_failure(S.ci_recent(fx.ci_runs(t), a, 10), a).select(rnd("ci_minutes", 6).alias("ci_minutes"))
+
+
+_GOLD_PATHS: dict = {}
+
+
+def _views(t):
+    """Gold tables written by the pipeline, registered as views (S11).  The written tables are
+    reused for the same session and input folder (they are read back, not recomputed)."""
+    from runsight.plans import pipeline
+    from runsight.plans.views import register_views
+    from runsight.session import scratch_dir
+    spark = t.spark
+    k = (spark.sparkContext.applicationId, t.sf_dir)
+    names = ["gold_job_metrics", "gold_verdicts", "gold_fingerprint", "gold_sla_health", "gold_deadline_risk"]
+    if k not in _GOLD_PATHS:
+        out = scratch_dir(spark, "gold-views")
+        pipeline.run(fx.runs(t), fx.registry(t), fx.infra_metrics(t), fx.ci_runs(t), fx.deadlines(t),
+                     fx.DEADLINE_AS_OF, out, infra_minutes=0)
+        _GOLD_PATHS[k] = out
+    gold = {n: spark.read.parquet(f"{_GOLD_PATHS[k]}/{n}") for n in names}
+    register_views(spark, {**gold, "silver_job_runs": fx.runs(t)})
+    return spark
+
+
+@register("view_heatmap", O.BASE + """SELECT job_name, team, verdict, priority_score, latest_duration, sla_minutes,
+  total_runs FROM m""")
+def q_view_heatmap(t):
+    """The heatmap page as Spark SQL over the registered gold views."""
+    from runsight.plans.views import page
+    return page(_views(t), "heatmap")
+
+
+@register("view_urgent", O.BASE + """SELECT job_name, team, verdict, latest_duration, sla_minutes FROM m
+  WHERE verdict IN ('breached', 'at_risk')""")
+def q_view_urgent(t):
+    """The alert poller's urgent-jobs query as Spark SQL."""
+    from runsight.plans.views import page
+    return page(_views(t), "urgent")
+
+
+@register("view_deadline_gate", O.with_(O.SUP, O.RUNS) + "SELECT count(DISTINCT job_name) AS n FROM runs")
+def q_view_deadline_gate(t):
+    """The deadline page's distinct-jobs gate (D23) as Spark SQL."""
+    from runsight.plans.views import page
+    return page(_views(t), "deadline_gate")
+
+
+@register("view_fingerprints", O.fingerprint_sql("TIMESTAMP '2001-11-04 22:45:00'", 0, """SELECT job_name,
+  fingerprint_type, evidence_score, statistical_evidence, external_evidence, recommended_action, route_to_team
+  FROM fpx"""))
+def q_view_fingerprints(t):
+    """The fingerprint page as Spark SQL over the gold view."""
+    from runsight.plans.views import page
+    return page(_views(t), "fingerprints")
+
+
+@register("view_deadlines", "SELECT deadline_name, buffer_minutes, critical_jobs, risk_level FROM ("
+          + __import__("runsight.plans.q_ops", fromlist=["_deadline_sql"])._deadline_sql(False) + ")")
+def q_view_deadlines(t):
+    """The deadline page as Spark SQL over the gold view."""
+    from runsight.plans.views import page
+    return page(_views(t), "deadlines")

@@ -129,3 +129,15 @@ def q_silver_clean(t):
                    F.col("rows_processed").cast("string").alias("rows_processed"), "status")
     c = IO.clean_runs(raw, fx.INCIDENT_AS_OF)
     return c.select("job_name", "run_id", "duration_minutes", "rows_processed", "quarantined", "processed_at")
+
+
+@register("incident_open", O.with_(O.SUP, O.RUNS, O.metrics_cte(), O.INCIDENTS) + """SELECT job_name, team,
+  strftime(detected_at, '%Y-%m-%d %H:%M:%S.%f') AS detected_at FROM inc WHERE resolved_at IS NULL""")
+def q_incident_open(t):
+    """Open incidents read back from the incident table (appended, partitioned by date)."""
+    from runsight.operators.metrics import job_metrics
+    spark = t.spark
+    urgent = job_metrics(fx.runs(t)).filter(F.col("verdict").isin("breached", "at_risk"))
+    path = scratch_dir(spark, "incidents-open")
+    IO.write_incidents(fx.incidents(t, urgent), path)
+    return spark.read.parquet(path).filter(F.col("resolved_at").isNull()).select("job_name", "team", "detected_at")

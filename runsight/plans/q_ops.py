@@ -476,3 +476,12 @@ def q_fn_rounding(t):
     return r.select("run_id", rnd(F.col("duration_minutes") / 7.0, 2).alias("r2"),
                     rnd(F.col("rows_processed") / 3.0, 3).alias("r3"),
                     rnd(F.col("duration_minutes") * 1.3, 0).alias("r0"))
+
+
+@register("view_sla", O.with_(O.SUP, O.RUNS, "runs_t AS (SELECT * FROM runs)", O.metrics_cte(runs="runs_t")) + ", "
+          + VG + ", " + HEALTH + " SELECT job_name, tightness_score, volume_growth, recommended_sla FROM h")
+def q_view_sla(t):
+    """The SLA page as Spark SQL over the gold view."""
+    from runsight.plans.q_graph import _views
+    from runsight.plans.views import page
+    return page(_views(t), "sla")
