@@ -119,8 +119,7 @@ def _urgent_fp(t):
     return m, m.filter(F.col("verdict").isin("breached", "at_risk")), fp
 
 
-FP_PART = O.fingerprint_sql(MAXTS := "(SELECT max(ts) FROM ev)", 0,
-                            tail="__TAIL__")
+FP_PART = O.fingerprint_sql("(SELECT max(ts) FROM ev)", 0, tail="__TAIL__")
 INC_FP = FP_PART.replace("__TAIL__", "").rstrip() + ", " + O.INCIDENTS + ", " + """det AS (
   SELECT a.job_name, a.team, a.verdict, coalesce(f.fingerprint_type, 'unknown') AS fingerprint_type,
     coalesce(CAST(f.evidence_score AS VARCHAR), '?') AS evidence_score,
