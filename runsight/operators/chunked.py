@@ -3,41 +3,41 @@
 A window ``partitionBy(key).orderBy(time)`` sorts all rows of one key in one
 task: a job or account holding a third of all rows would become one task.
 Here rows are windowed per (key, chunk), where chunk = floor((time - t0) / width)
-is monotone in the order (width per key, for about CHUNK_ROWS rows per chunk), and a small table of per-(key, chunk) totals carries
+is monotone in the order (one width, sized so the busiest key has about
+CHUNK_ROWS rows per chunk), and a small table of per-(key, chunk) totals carries
 what earlier chunks contribute (rows = keys x chunks, not runs).  The big side
 is shuffled once on (key, chunk); the prefix table joins back on the same keys.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runsight.functions.joins import join_dim
-
-DAY_MICROS = 86_400_000_000
 CHUNK_ROWS = 2_000_000
 
 
-def chunk_of(ts: str | Column, width_micros: int = DAY_MICROS) -> Column:
-    t = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_micros(t) / F.lit(width_micros))
-
-
 def with_chunks(df: DataFrame, key: str, ts: str, target_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Adds ``_c``: equal-width time chunks per key, about ``target_rows`` rows each on average.
+    """Adds ``_c``: equal-width time chunks, sized so the busiest key has about ``target_rows``
+    rows per chunk on average.
 
-    The width comes from the key's row count and time span (one small
-    aggregate), so a key with few rows is one chunk and a hot key is cut into
-    many.
+    The width comes from one scalar subquery (global time span and the largest
+    per-key row count), so no per-key table is joined back: a quiet key gets
+    one or a few chunks, the hot key is cut into many.
     """
+    t0, width = _plan(df, key, ts, target_rows)
+    return df.withColumn("_c", F.floor((F.unix_micros(F.col(ts)) - t0) / width))
+
+
+def _plan(df: DataFrame, key: str, ts: str, target_rows: int):
+    """(t0, width) as scalar-subquery columns: global first time and a chunk width that gives the
+    busiest key about ``target_rows`` rows per chunk."""
     t = F.unix_micros(F.col(ts))
-    st = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_kn"), F.min(t).alias("_t0"), F.max(t).alias("_t1"))
-          .select(key, "_t0", F.greatest(F.lit(1), F.ceil((F.col("_t1") - F.col("_t0") + 1)
-                                                          * F.lit(float(target_rows)) / F.col("_kn")))
-                  .cast("long").alias("_w")))
-    return (join_dim(df, st, key).withColumn("_c", F.floor((t - F.col("_t0")) / F.col("_w")))
-            .drop("_t0", "_w"))
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_kn"), F.min(t).alias("_a"), F.max(t).alias("_b"))
+    plan = per_key.agg(F.struct(F.min("_a").alias("t0"), F.max("_b").alias("t1"), F.max("_kn").alias("n"))
+                       .alias("p")).scalar()
+    width = F.greatest(F.lit(1), F.ceil((plan.t1 - plan.t0 + 1) * F.lit(float(target_rows)) / plan.n))
+    return plan.t0, width
 
 
 def positions(df: DataFrame, key: str, order: list[str], target_rows: int = CHUNK_ROWS) -> DataFrame:
@@ -115,16 +115,12 @@ def trailing_counts(df: DataFrame, key: str, ts: str, id_col: str, minutes: int,
     """
     width = minutes * 60_000_000
     t = F.unix_micros(F.col(ts))
-    st = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_kn"), F.min(t).alias("_t0"), F.max(t).alias("_t1"))
-          .select(key, "_t0", F.greatest(F.lit(1), F.ceil((F.col("_t1") - F.col("_t0") + 1)
-                                                          * F.lit(float(target_rows)) / F.col("_kn")))
-                  .cast("long").alias("_w")))
-    base = join_dim(df.select(key, id_col, F.col(ts).alias("_ts"), t.alias("_t")), st, key)
-    chunk = F.floor((F.col("_t") - F.col("_t0")) / F.col("_w"))
-    data = base.select(key, id_col, "_ts", "_t", chunk.alias("_c"), F.lit(1).alias("_d"))
-    probes = base.select(key, id_col, F.lit(None).cast(base.schema["_ts"].dataType).alias("_ts"),
-                         (F.col("_t") - width).alias("_t"), F.lit(0).alias("_d"), "_t0", "_w") \
-        .select(key, id_col, "_ts", "_t", chunk.alias("_c"), "_d")
+    t0, cw = _plan(df, key, ts, target_rows)          # one chunk plan for rows and probes
+    data = df.select(key, id_col, F.col(ts).alias("_ts"), t.alias("_t"), F.floor((t - t0) / cw).alias("_c"),
+                     F.lit(1).alias("_d"))
+    probe_t = t - width
+    probes = df.select(key, id_col, F.lit(None).cast(df.schema[ts].dataType).alias("_ts"), probe_t.alias("_t"),
+                       F.floor((probe_t - t0) / cw).alias("_c"), F.lit(0).alias("_d"))
     u = data.unionByName(probes)
     w = Window.partitionBy(key, "_c").orderBy("_t")
     upto = F.sum("_d").over(w.rangeBetween(Window.unboundedPreceding, 0))       # rows with time <= x in chunk

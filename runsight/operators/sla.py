@@ -44,7 +44,7 @@ def volume_growth(runs: DataFrame, order: tuple[str, ...] = RUN_ORDER, split_hot
 def sla_health(runs: DataFrame, metrics: DataFrame) -> DataFrame:
     """H1-H3: one row per warmed job (avg_duration not NULL)."""
     warm = metrics.filter(F.col("avg_duration").isNotNull())
-    g = volume_growth(runs.join(warm.select("job_name"), "job_name", "left_semi"))
+    g = volume_growth(runs)  # every job; the warm ones are kept by the join below
     tight = rnd(F.col("avg_duration") / F.col("sla_minutes"), 3)
     return (warm.join(g, "job_name", "left")
             .select("job_name", "team", "impact", tight.alias("tightness_score"), "volume_growth",
