@@ -61,8 +61,8 @@ def fingerprint(metrics: DataFrame, edges_df: DataFrame, infra: DataFrame, ci: D
     chains = G.shortest_paths(roots.select("root", "job_name"), c)
     root_team = metrics.select(F.col("job_name").alias("root"), F.col("team").alias("root_team"))
 
-    s_err = infra.select(F.col(STORAGE)).scalar()
-    c_err = infra.select(F.col(COMPUTE)).scalar()
+    sig = infra.select(F.struct(F.col(STORAGE).alias("s"), F.col(COMPUTE).alias("c"))).scalar()  # one subquery
+    s_err, c_err = sig.s, sig.c
     recent = ci_recent(ci, as_of, ci_page) if ci_page else ci
     ci_min = nearest_failure(recent, as_of).select("ci_minutes").scalar()
 
