@@ -142,30 +142,65 @@ def cascade_root(targets: DataFrame, slow: DataFrame, closure_df: DataFrame, cou
     return sa.groupBy("job_name").agg(pick.alias("root"), F.count(F.lit(1)).alias("slow_ancestors"))
 
 
-def shortest_paths(pairs: DataFrame, closure_df: DataFrame) -> DataFrame:
+def shortest_paths(pairs: DataFrame, closure_df: DataFrame, steps_per_table: int = 1) -> DataFrame:
     """Shortest path root -> job as "a → b → c" for each (root, job_name) pair.
 
     A node m lies on a shortest path iff d(root, m) + d(m, job) = d(root, job);
-    its level is d(root, m).  The path lists one node per level (the smallest
-    name when several shortest paths exist).  Pairs without a path get the
-    two-node fallback "root → job".
+    its level is d(root, m).  The path is walked level by level: from the node
+    chosen so far, take the smallest-named child that lies on a shortest path,
+    so the chain always follows real edges even when several shortest paths
+    tie.  The walk touches only the (small) pair and candidate tables; it is
+    written out every ``steps_per_table`` levels to keep lineage short.  Pairs
+    without a path get the two-node fallback "root → job".
     """
     c = closure_df
     p = pairs.select("root", "job_name").distinct()
     d = (p.join(c.select(F.col("anc").alias("root"), F.col("job").alias("job_name"), F.col("hops").alias("D")),
                 ["root", "job_name"], "left"))
+    found = d.filter(F.col("D").isNotNull())
     first = c.select(F.col("anc").alias("root"), F.col("job").alias("m"), F.col("hops").alias("d1"))
     second = c.select(F.col("anc").alias("m"), F.col("job").alias("job_name"), F.col("hops").alias("d2"))
-    mids = (d.filter(F.col("D").isNotNull()).join(first, "root").join(second, ["m", "job_name"])
-            .filter(F.col("d1") + F.col("d2") == F.col("D"))
-            .groupBy("root", "job_name", "d1").agg(F.min("m").alias("m")))
-    inner = mids.groupBy("root", "job_name").agg(
-        F.array_sort(F.collect_list(F.struct("d1", "m"))).alias("steps"))
-    return (d.join(inner, ["root", "job_name"], "left")
+    cand, st = _materialize(found.join(first, "root").join(second, ["m", "job_name"])
+                            .filter(F.col("d1") + F.col("d2") == F.col("D")).select("root", "job_name", "m", "d1"),
+                            "path-candidates", F.max("d1").alias("mx"))
+    # pairs whose shortest path is unique: one candidate per level gives the path directly
+    per_level = cand.groupBy("root", "job_name", "d1").agg(F.count(F.lit(1)).alias("k"), F.min("m").alias("m"))
+    tied, tst = _materialize(per_level.filter(F.col("k") > 1).select("root", "job_name").distinct(), "path-ties",
+                             F.count(F.lit(1)).alias("n"))
+    direct = (per_level.join(tied, ["root", "job_name"], "left_anti").groupBy("root", "job_name")
+              .agg(F.array_sort(F.collect_list(F.struct("d1", "m"))).alias("steps"))
+              .select("root", "job_name", F.concat(F.array("root"), F.col("steps.m")).alias("path")))
+    walked = direct
+    if tst["n"]:
+        walked = walked.unionByName(_walk(found.join(tied, ["root", "job_name"], "left_semi"),
+                                          cand.join(tied, ["root", "job_name"], "left_semi"), c, st["mx"] or 0,
+                                          steps_per_table))
+    chain = F.array_join(F.concat("path", F.array("job_name")), ARROW)
+    return (d.join(walked.select("root", "job_name", chain.alias("chain")), ["root", "job_name"], "left")
             .select("root", "job_name", F.col("D").alias("hops"),
-                    F.array_join(F.flatten(F.array(F.array("root"),
-                                                   F.coalesce(F.col("steps.m"), F.array().cast("array<string>")),
-                                                   F.array("job_name"))), ARROW).alias("chain")))
+                    F.coalesce("chain", F.concat_ws(ARROW, "root", "job_name")).alias("chain")))
+
+
+def _walk(found: DataFrame, cand: DataFrame, c: DataFrame, max_level: int, steps_per_table: int) -> DataFrame:
+    """Greedy level walk for pairs with tied shortest paths: from the node chosen so far, the
+    smallest-named child that lies on a shortest path (so the chain follows real edges)."""
+    edges1 = c.filter(F.col("hops") == 1).select(F.col("anc").alias("node"), F.col("job").alias("m"))
+    cur, _ = _materialize(found.select("root", "job_name", "D", F.col("root").alias("node"),
+                                       F.array("root").alias("path")), "paths0", F.count(F.lit(1)).alias("n"))
+    finished = []
+    for i in range(1, max_level + 1):
+        finished.append(cur.filter(F.col("D") <= i))
+        step = (cur.filter(F.col("D") > i).join(edges1, "node")
+                .join(cand.filter(F.col("d1") == i), ["root", "job_name", "m"])
+                .groupBy("root", "job_name", "D", "path").agg(F.min("m").alias("node")))
+        cur = step.select("root", "job_name", "D", "node", F.concat("path", F.array("node")).alias("path"))
+        if i % steps_per_table == 0:
+            cur, _ = _materialize(cur, f"paths{i}", F.count(F.lit(1)).alias("n"))
+    finished.append(cur)
+    out = finished[0]
+    for f in finished[1:]:
+        out = out.unionByName(f)
+    return out.select("root", "job_name", "path")
 
 
 def impacted(slow: DataFrame, closure_df: DataFrame) -> DataFrame:

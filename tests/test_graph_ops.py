@@ -143,3 +143,12 @@ def test_deadline_roll_and_buffers(spark):
     assert out["b"]["buffer_minutes"] == 15.0 and out["b"]["risk_level"] == "high"
     assert out["c"]["buffer_minutes"] == 74.0 and out["c"]["critical_jobs"] == "j1"
     assert out["c"]["risk_level"] == "high"
+
+
+def test_shortest_path_with_ties_is_a_real_path(spark):
+    # two shortest paths a-x-z-j and a-y-w-j: the smallest node per level (x, w) would not connect
+    edges = [("a", "x"), ("x", "z"), ("z", "j"), ("a", "y"), ("y", "w"), ("w", "j")]
+    e = spark.createDataFrame(edges, "parent string, child string")
+    c = G.closure(e)
+    p = spark.createDataFrame([("a", "j")], "root string, job_name string")
+    assert G.shortest_paths(p, c).first()["chain"] == "a → x → z → j"
