@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runsight.llm import exact_dedup, mixing, packing, quality, warc
+from runsight.llm import exact_dedup, mixing, packing, pii, quality, toxicity, warc
 from runsight.llm.common import table
 from runsight.llm.oracle import SQL
 
@@ -23,6 +23,13 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_pii(spark, sf_dir):
+    """Personal data in every document: pattern spans and those that the field adds."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
 @query
 def op2_exact_dedup(spark, sf_dir):
     """Groups of equal texts, the largest doc_id stays."""
@@ -41,6 +48,13 @@ def op6_warc_revisit(spark, sf_dir):
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
 
+@query
+def op8_toxicity(spark, sf_dir):
+    """Category probabilities and the verdict of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op9_mix_sources(spark, sf_dir):
     """Words that the mix takes of every document."""
