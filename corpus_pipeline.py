@@ -9,16 +9,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runsight.llm import exact_dedup, mixing, packing
+from runsight.llm import exact_dedup, minhash, mixing, packing, toxicity
 from runsight.llm.common import table, written
 from runsight.llm.queries import tokenizer_path
 
 
+def nontoxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain, fitted on the labels table, does not reject."""
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays."""
     return exact_dedup.dedup(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest doc_id of each component of near duplicates stays."""
+    return minhash.near_dedup(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows repeated or left out so that sources come near their target weights."""
     return mixing.mixed_documents(docs)
@@ -29,7 +39,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path())
 
 
-STAGES = [("exact_dedup", exact), ("mix_sources", mix), ("pack", pack)]
+STAGES = [("toxicity", nontoxic), ("exact_dedup", exact), ("near_dedup", near), ("mix_sources", mix), ("pack", pack)]
 
 ORACLE_SQL = None
 

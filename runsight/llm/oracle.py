@@ -77,3 +77,25 @@ SELECT a.doc_id, a.size, k.source_size, k.target,
         + least(greatest(k.word_limit - 2 * k.source_size - a.pos, 0), a.size))::BIGINT AS taken
 FROM a JOIN k ON a.source IS NOT DISTINCT FROM k.source
 """
+
+SQL["op3_minhash_join"] = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, unnest(CASE WHEN len(w) = 1 THEN w
+             ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END) AS g FROM w),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+k AS (SELECT doc_id, sha256(string_agg(g, chr(10) ORDER BY g)) AS d FROM s GROUP BY doc_id),
+r AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY d) AS rep FROM k),
+u AS (SELECT s.doc_id, g FROM s JOIN r ON s.doc_id = r.doc_id AND r.doc_id = r.rep),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+      FROM u x JOIN u y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN c x ON x.doc_id = a JOIN c y ON y.doc_id = b
+      WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+t AS (SELECT a AS id, a AS root FROM e UNION SELECT e.b, t.root FROM t JOIN e ON e.a = t.id),
+m AS (SELECT id, min(root) AS root FROM t GROUP BY id)
+SELECT w.doc_id, coalesce(c.n, 0) AS n_shingles, coalesce(m.root, r.rep, w.doc_id) AS component_id,
+       w.doc_id = coalesce(m.root, r.rep, w.doc_id) AS kept
+FROM w LEFT JOIN c ON c.doc_id = w.doc_id LEFT JOIN r ON r.doc_id = w.doc_id LEFT JOIN m ON m.id = r.rep
+"""

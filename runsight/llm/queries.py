@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runsight.llm import exact_dedup, mixing, packing, pii, quality, toxicity, warc
+from runsight.llm import exact_dedup, minhash, mixing, packing, pii, quality, toxicity, warc
 from runsight.llm.common import table
 from runsight.llm.oracle import SQL
 
@@ -36,6 +36,12 @@ def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.classify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_minhash_join(spark, sf_dir):
+    """Near-duplicate components of all documents."""
+    return minhash.classify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_quality_cascade(spark, sf_dir):
     """Base measures and the cascade's verdict of every document."""
