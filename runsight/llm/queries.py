@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runsight.llm import exact_dedup, minhash, mixing, packing, pii, quality, toxicity, warc
+from runsight.llm import exact_dedup, lm, minhash, mixing, packing, pii, quality, toxicity, warc
 from runsight.llm.common import table
 from runsight.llm.oracle import SQL
 
@@ -54,6 +54,12 @@ def op6_warc_revisit(spark, sf_dir):
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
 
+@query
+def op7_lm_score(spark, sf_dir):
+    """Unigram and trie scores of all documents."""
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_toxicity(spark, sf_dir):
     """Category probabilities and the verdict of every document."""
