@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runsight.llm import exact_dedup, lm, minhash, mixing, packing, pii, quality, toxicity, warc
+from runsight.llm import exact_dedup, lm, minhash, mixing, packing, pii, quality, suffix, toxicity, warc
 from runsight.llm.common import table
 from runsight.llm.oracle import SQL
 
@@ -48,6 +48,12 @@ def op4_quality_cascade(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_sparse_suffix(spark, sf_dir):
+    """Stretches of 50 words or more that occur again, in all documents."""
+    return suffix.passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_warc_revisit(spark, sf_dir):
     """Pages written as deduplicated WARC archives and read back."""
