@@ -102,7 +102,7 @@ class Graph:
 
     def __init__(self):
         self.shapes, self.clamped, self.spans, self.doc = [], [], [], []
-        self.near, self.skip = [], []
+        self.near, self.skip, self.key = [], [], []
 
     def add(self, doc: int, text: str, base: list[tuple[int, int, int]]) -> None:
         marks = sorted((a, b, k) for k, a, b in base)
@@ -124,6 +124,7 @@ class Graph:
                 self.near.append((i - 1, i))
             end = b
             key = skip_key(t[0])
+            self.key.append(key)
             if key is not None:
                 if key in last_of:
                     self.skip.append((last_of[key], i))
@@ -232,7 +233,10 @@ def _suspects(docs: DataFrame, text: str, id_col: str) -> DataFrame:
 
 
 def _counts(batches):
-    """Counts of shapes by label and of label pairs by sort of link, as text keys."""
+    """Counts of shapes by label and of label pairs by sort of link, as text keys.
+
+    A free token that repeats one of a base span is unlabelled, not "none": it is left out.
+    """
     seen: Counter = Counter()
     for batch in batches:
         g = Graph()
@@ -240,9 +244,11 @@ def _counts(batches):
             if t:
                 g.add(i, t, base_spans(t))
         label = [max(c, 0) for c in g.clamped]
-        seen.update(("u", *s, y) for s, y in zip(g.shapes, label, strict=True))
-        seen.update(("n", label[a], label[b]) for a, b in g.near)
-        seen.update(("s", label[a], label[b]) for a, b in g.skip)
+        named = {(d, k) for d, k, c in zip(g.doc, g.key, g.clamped, strict=True) if c >= 0 and k is not None}
+        known = [c >= 0 or (d, k) not in named for d, k, c in zip(g.doc, g.key, g.clamped, strict=True)]
+        seen.update(("u", *s, y) for s, y, ok in zip(g.shapes, label, known, strict=True) if ok)
+        seen.update(("n", label[a], label[b]) for a, b in g.near if known[a] and known[b])
+        seen.update(("s", label[a], label[b]) for a, b in g.skip if known[a] and known[b])
     keys = list(seen)
     yield pa.RecordBatch.from_arrays([pa.array([" ".join(map(str, k)) for k in keys], pa.string()),
                                       pa.array([seen[k] for k in keys], pa.int64())], ["k", "n"])
