@@ -51,7 +51,8 @@ def main() -> None:
               "ci": fx.ci_runs(t), "deadlines": fx.deadlines(t), "txn": fx.transactions(t),
               "tasks": fx.task_instances(t), "results": fx.results(t), "hourly": fx.hourly_volumes(t)}
     for name, df in inputs.items():
-        df.write.mode("overwrite").parquet(f"{silver}/{name}")
+        # a landed table has many files; the driver's tables are one row group each
+        df.repartition(int(cpus)).write.mode("overwrite").parquet(f"{silver}/{name}")
     times["setup_silver"] = round(time.time() - t0, 3)
     tb = {name: spark.read.parquet(f"{silver}/{name}") for name in inputs}
     as_of_events = tb["infra"].select(F.max("ts")).scalar()

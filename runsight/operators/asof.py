@@ -1,9 +1,8 @@
 """As-of join: latest right row at or before each left row's time, per key.
 
 The right side is reduced to one row per (key, time) first.  Then both sides
-are bucketed by time, with a bucket width per key sized from the key's row
-count and time span (about ``target_rows`` rows per bucket; or a fixed
-``bucket_micros``), and:
+are bucketed by time, a key with more than ``target_rows`` rows at the quantiles
+of its own times (or all at a fixed ``bucket_micros``), and:
 
 1. the carry-in of every (key, bucket) is the last right row of any earlier
    bucket: an aggregate to one row per (key, bucket) and a running
@@ -12,7 +11,8 @@ count and time span (about ``target_rows`` rows per bucket; or a fixed
    ``last(ignorenulls)`` over (key, bucket) fills each left row.
 
 Windows are partitioned by (key, bucket), so one key with a long history is
-spread over many tasks, and no pairs are formed.
+spread over many tasks, and no pairs are formed.  Every left row is kept: one with
+a NULL key or time matches nothing.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runsight.functions.joins import join_dim
+from runsight.operators.chunked import chunk_of, cuts_of, join_same
 
 DAY_MICROS = 86_400_000_000
 
@@ -32,21 +32,16 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_time: str, right_
     lt = F.unix_micros(F.col(left_time))
     rt = F.unix_micros(F.col(right_time))
     L0 = left.select(*lcols, lt.alias("_t"))
-    R0 = right.select(F.col(by), rt.alias("_t"), F.struct(*values).alias("_v"))
+    R0 = right.select(F.col(by), rt.alias("_t"), F.struct(*values).alias("_v")).filter(
+        F.col(by).isNotNull() & F.col("_t").isNotNull())
     if bucket_micros is not None:
         L = L0.withColumn("_b", F.floor(F.col("_t") / bucket_micros))
         R = R0.withColumn("_b", F.floor(F.col("_t") / bucket_micros))
     else:
-        both = L0.select(by, "_t").unionByName(R0.select(by, "_t"))
-        st = (both.groupBy(by).agg(F.count(F.lit(1)).alias("_kn"), F.min("_t").alias("_t0"),
-                                   F.max("_t").alias("_t1"))
-              .select(by, "_t0", F.greatest(F.lit(1), F.ceil((F.col("_t1") - F.col("_t0") + 1)
-                                                             * F.lit(float(target_rows)) / F.col("_kn")))
-                      .cast("long").alias("_w")))
-        n = st.count()
-        bucket = F.floor((F.col("_t") - F.col("_t0")) / F.col("_w"))
-        L = join_dim(L0, st, by, known_rows=n).withColumn("_b", bucket).drop("_t0", "_w")
-        R = join_dim(R0, st, by, known_rows=n).withColumn("_b", bucket).drop("_t0", "_w")
+        cuts = cuts_of(L0.select(by, "_t").unionByName(R0.select(by, "_t")), by, "_t", target_rows)
+        b = F.when(F.col("_cuts").isNull(), 0).otherwise(chunk_of(F.col("_t"), F.col("_cuts")))
+        L = join_same(L0, cuts, [by], "left").withColumn("_b", b).drop("_cuts")
+        R = join_same(R0, cuts, [by], "left").withColumn("_b", b).drop("_cuts")
     L = L.withColumn("_side", F.lit(1))
     # 1. carry-in per (key, bucket) from earlier buckets
     last_per_bucket = R.groupBy(by, "_b").agg(F.max_by("_v", "_t").alias("_bv"))
@@ -63,5 +58,5 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_time: str, right_
     w = Window.partitionBy(by, "_b").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
     filled = (u.withColumn("_f", F.last("_v", ignorenulls=True).over(w)).filter(F.col("_side") == 1)
               .join(carry, [by, "_b"], "left"))
-    v = F.coalesce("_f", "_carry")
+    v = F.when(F.col("_t").isNotNull(), F.coalesce("_f", "_carry"))
     return filled.select(*lcols, *[v[c].alias(c) for c in values])

@@ -1,43 +1,49 @@
-"""Per-key ordered computations that split hot keys by time chunks.
-
-A window ``partitionBy(key).orderBy(time)`` sorts all rows of one key in one
-task: a job or account holding a third of all rows would become one task.
-Here rows are windowed per (key, chunk), where chunk = floor((time - t0) / width)
-is monotone in the order (one width, sized so the busiest key has about
-CHUNK_ROWS rows per chunk), and a small table of per-(key, chunk) totals carries
-what earlier chunks contribute (rows = keys x chunks, not runs).  The big side
-is shuffled once on (key, chunk); the prefix table joins back on the same keys.
+"""Per-key ordered computations that split hot keys into chunks of their own order.
+
+A window ``partitionBy(key).orderBy(time)`` sorts all rows of one key in one task: a job or account holding a
+third of all rows would become one task.  Here a key with more than CHUNK_ROWS rows is cut at the quantiles of
+its own times (one mergeable sketch per key, map-side combined), so a burst inside a long history is cut as finely
+as an even history.  Rows are windowed per (key, chunk) and a small table of per-(key, chunk) totals carries what
+earlier chunks contribute.  NULL times come first, in chunk -1; NULL keys are a key of their own.
+
+Rows that share one instant stay in one chunk; ``trailing_counts`` folds them into one weighted row first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK_ROWS = 2_000_000
+#: Chunks of a key that is cut.
+CUTS = 128
 
 
-def with_chunks(df: DataFrame, key: str, ts: str, target_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Adds ``_c``: equal-width time chunks, sized so the busiest key has about ``target_rows``
-    rows per chunk on average.
+def join_same(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal columns where NULL equals NULL; the columns are kept once."""
+    named = right.select(*[F.col(c).alias(f"_on_{c}") if c in on else F.col(c) for c in right.columns])
+    cond = [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on]
+    return left.join(named, cond, how).drop(*[f"_on_{c}" for c in on])
 
-    The width comes from one scalar subquery (global time span and the largest
-    per-key row count), so no per-key table is joined back: a quiet key gets
-    one or a few chunks, the hot key is cut into many.
-    """
-    t0, width = _plan(df, key, ts, target_rows)
-    return df.withColumn("_c", F.floor((F.unix_micros(F.col(ts)) - t0) / width))
 
+def cuts_of(times: DataFrame, key: str, t: str, target_rows: int = CHUNK_ROWS) -> DataFrame:
+    """(key, _cuts): sorted inner quantiles of ``t`` (a long) for the keys with more than ``target_rows`` rows."""
+    at = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
+    per = times.groupBy(key).agg(F.count(F.lit(1)).alias("_kn"), F.percentile_approx(t, at, F.lit(10_000)).alias("_cuts"))
+    return per.filter(F.col("_kn") > target_rows).select(key, "_cuts")
 
-def _plan(df: DataFrame, key: str, ts: str, target_rows: int):
-    """(t0, width) as scalar-subquery columns: global first time and a chunk width that gives the
-    busiest key about ``target_rows`` rows per chunk."""
+
+def chunk_of(t: Column, cuts: Column) -> Column:
+    """How many of the key's cuts are at or before ``t``; -1 for a NULL time."""
+    return F.when(t.isNull(), -1).otherwise(F.coalesce(F.size(F.filter(cuts, lambda c: c <= t)), F.lit(0)))
+
+
+def with_chunks(df: DataFrame, key: str, ts: str, target_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Adds ``_c``, the row's chunk in the order of ``ts`` within its key."""
     t = F.unix_micros(F.col(ts))
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_kn"), F.min(t).alias("_a"), F.max(t).alias("_b"))
-    plan = per_key.agg(F.struct(F.min("_a").alias("t0"), F.max("_b").alias("t1"), F.max("_kn").alias("n"))
-                       .alias("p")).scalar()
-    width = F.greatest(F.lit(1), F.ceil((plan.t1 - plan.t0 + 1) * F.lit(float(target_rows)) / plan.n))
-    return plan.t0, width
+    cuts = cuts_of(df.select(key, t.alias("_t")), key, "_t", target_rows)
+    return (join_same(df, cuts, [key], "left").withColumn(
+        "_c", F.when(F.col("_cuts").isNull() & t.isNotNull(), 0).otherwise(chunk_of(t, F.col("_cuts")))).drop("_cuts"))
 
 
 def positions(df: DataFrame, key: str, order: list[str], target_rows: int = CHUNK_ROWS) -> DataFrame:
@@ -52,7 +58,7 @@ def positions(df: DataFrame, key: str, order: list[str], target_rows: int = CHUN
     before = Window.partitionBy(key).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
     offs = sizes.select(key, "_c", F.coalesce(F.sum("_cn").over(before), F.lit(0)).alias("_off"),
                         F.sum("_cn").over(Window.partitionBy(key)).alias("n"))
-    return (local.join(offs, [key, "_c"])
+    return (join_same(local, offs, [key, "_c"])
             .withColumn("pos", F.col("_lpos") + F.col("_off")).drop("_c", "_lpos", "_off"))
 
 
@@ -72,7 +78,7 @@ def prior_stats(df: DataFrame, key: str, order: list[str], value: str, prefix: s
     local = (d.withColumn("_ln", ln).withColumn("_lm", F.avg("_v").over(w_in))
              .withColumn("_lM2", F.coalesce(F.var_pop("_v").over(w_in) * F.col("_ln"), F.lit(0.0))))
     tot = local.groupBy(key, "_c").agg(F.count("_v").alias("_cn"), F.avg("_v").alias("_cm"),
-                                   (F.coalesce(F.var_pop("_v"), F.lit(0.0)) * F.count("_v")).alias("_cM2"))
+                                       (F.coalesce(F.var_pop("_v"), F.lit(0.0)) * F.count("_v")).alias("_cM2"))
     wk = Window.partitionBy(key).orderBy("_c")
     before = wk.rowsBetween(Window.unboundedPreceding, -1)
     shift = F.first("_cm", ignorenulls=True).over(wk.rowsBetween(Window.unboundedPreceding,
@@ -84,7 +90,7 @@ def prior_stats(df: DataFrame, key: str, order: list[str], value: str, prefix: s
                    F.coalesce(F.sum(F.col("_cn") * dev).over(before), F.lit(0.0)).alias("_ps1"),
                    F.coalesce(F.sum(F.col("_cM2") + F.col("_cn") * dev * dev).over(before), F.lit(0.0))
                    .alias("_ps2")))
-    j = local.join(pre, [key, "_c"])
+    j = join_same(local, pre, [key, "_c"])
     pn, ln_, lm, lM2 = F.col("_pn"), F.col("_ln"), F.col("_lm"), F.col("_lM2")
     pmean_s = F.when(pn > 0, F.col("_ps1") / pn)                     # shifted mean of earlier chunks
     pM2 = F.when(pn > 0, F.col("_ps2") - pn * pmean_s * pmean_s).otherwise(F.lit(0.0))
@@ -102,40 +108,34 @@ def prior_stats(df: DataFrame, key: str, order: list[str], value: str, prefix: s
             .drop("_v", "_ln", "_lm", "_lM2", "_k", "_pn", "_ps1", "_ps2"))
 
 
-def trailing_counts(df: DataFrame, key: str, ts: str, id_col: str, minutes: int,
-                    target_rows: int = CHUNK_ROWS) -> DataFrame:
-    """(key, id, ts, trailing_count): rows of the key with time in [t - minutes, t], both ends inclusive.
+def trailing_counts(df: DataFrame, key: str, ts: str, minutes: int, target_rows: int = CHUNK_ROWS) -> DataFrame:
+    """(key, ts, trailing_count): rows of the key with time in [t - minutes, t], both ends inclusive.
 
-    trailing_count = #(rows with time <= t) - #(rows with time < t - minutes).
-    Both counts are ranks on the key's timeline: each row adds a probe at
-    t - minutes, rows and probes get the key's adaptive chunk, and a rank is the
-    in-chunk running count (range frame: ties included / excluded) plus the
-    rows of all earlier chunks (small per-(key, chunk) prefix table).  A busy
-    account is cut into many chunks; a probe before the key's first row gets 0.
+    The count depends on key and time only, so rows are first folded to one weighted row per (key, time).
+    trailing_count = #(rows with time <= t) - #(rows with time < t - minutes): two ranks on the key's timeline.
+    Each time adds a probe at t - minutes; a rank is the running weight inside the (key, chunk) plus the rows of
+    all earlier chunks.  NULL times count each other.
     """
     width = minutes * 60_000_000
     t = F.unix_micros(F.col(ts))
-    t0, cw = _plan(df, key, ts, target_rows)          # one chunk plan for rows and probes
-    data = df.select(key, id_col, F.col(ts).alias("_ts"), t.alias("_t"), F.floor((t - t0) / cw).alias("_c"),
-                     F.lit(1).alias("_d"))
-    probe_t = t - width
-    probes = df.select(key, id_col, F.lit(None).cast(df.schema[ts].dataType).alias("_ts"), probe_t.alias("_t"),
-                       F.floor((probe_t - t0) / cw).alias("_c"), F.lit(0).alias("_d"))
-    u = data.unionByName(probes)
-    w = Window.partitionBy(key, "_c").orderBy("_t")
-    upto = F.sum("_d").over(w.rangeBetween(Window.unboundedPreceding, 0))       # rows with time <= x in chunk
-    below = F.sum("_d").over(w.rangeBetween(Window.unboundedPreceding, -1))     # rows with time < x in chunk
-    local = u.withColumn("_in", F.when(F.col("_d") == 1, upto).otherwise(F.coalesce(below, F.lit(0))))
-    sizes = data.groupBy(key, "_c").agg(F.count(F.lit(1)).alias("_cn"))
-    # a probe chunk may hold no rows: its offset is every row in earlier chunks (an as-of lookup on
-    # the small chunk table), 0 before the first chunk
-    pc = local.select(key, "_c").distinct().withColumn("_cn", F.lit(None).cast("long"))
-    allc = sizes.unionByName(pc)
-    # markers (NULL _cn) sort before the chunk's own count, so they see earlier chunks only
-    wc = Window.partitionBy(key).orderBy("_c", F.col("_cn").isNotNull()).rowsBetween(Window.unboundedPreceding, -1)
-    cum = (allc.withColumn("_off", F.coalesce(F.sum("_cn").over(wc), F.lit(0)))
-           .groupBy(key, "_c").agg(F.max("_off").alias("_off")))
+    every = df.groupBy(key, ts).agg(F.count(F.lit(1)).alias("_d")).withColumn("_t", t)
+    cuts = cuts_of(every, key, "_t", target_rows)
+    marks = join_same(every, cuts, [key], "left").filter(F.col("_t").isNotNull()).select(
+        key, ts, "_cuts", F.explode(F.array(
+            F.struct(F.col("_t").alias("x"), F.col("_d").alias("d"), F.lit(True).alias("own")),
+            F.struct((F.col("_t") - width).alias("x"), F.lit(0).cast("long").alias("d"), F.lit(False).alias("own"))))
+        .alias("m"))
+    marks = marks.select(key, ts, "m.x", "m.d", "m.own", F.coalesce(chunk_of(F.col("m.x"), F.col("_cuts")), F.lit(0))
+                         .alias("_c"))
+    marks = marks.withColumn("_c", F.when(F.col("_c") < 0, 0).otherwise(F.col("_c")))
+    w = Window.partitionBy(key, "_c").orderBy("x")
+    upto = F.sum("d").over(w.rangeBetween(Window.unboundedPreceding, 0))       # weight at times <= x in the chunk
+    below = F.sum("d").over(w.rangeBetween(Window.unboundedPreceding, -1))     # weight at times < x in the chunk
+    local = marks.withColumn("_in", F.when(F.col("own"), upto).otherwise(F.coalesce(below, F.lit(0))))
+    sizes = local.groupBy(key, "_c").agg(F.sum("d").alias("_cn"))
+    earlier = Window.partitionBy(key).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    cum = sizes.select(key, "_c", F.coalesce(F.sum("_cn").over(earlier), F.lit(0)).alias("_off"))
     rank = F.col("_in") + F.col("_off")
-    signed = F.when(F.col("_d") == 1, rank).otherwise(-rank)
-    return (local.join(cum, [key, "_c"]).select(key, id_col, "_ts", signed.alias("_p"))
-            .groupBy(key, id_col).agg(F.max("_ts").alias(ts), F.sum("_p").alias("trailing_count")))
+    counted = (join_same(local, cum, [key, "_c"]).groupBy(key, ts)
+               .agg(F.sum(F.when(F.col("own"), rank).otherwise(-rank)).alias("trailing_count")))
+    return counted.unionByName(every.filter(F.col("_t").isNull()).select(key, ts, F.col("_d").alias("trailing_count")))

@@ -11,9 +11,9 @@ HIGH_BUFFER, MEDIUM_BUFFER = 30, 90
 
 
 def explode_deadlines(deadlines: DataFrame) -> DataFrame:
-    """Array form (name, hour, minute, tz, jobs array) -> long form with the job's position."""
+    """Array form (name, hour, minute, tz, jobs array) -> long form with the job's position (NULL: no jobs)."""
     return deadlines.select("deadline_name", "hour", "minute", "tz",
-                            F.posexplode("jobs").alias("pos", "job_name"))
+                            F.posexplode_outer("jobs").alias("pos", "job_name"))
 
 
 def deadline_risk(metrics: DataFrame, deadlines: DataFrame, as_of) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from runsight.functions.core import lit_ts, rnd
 from runsight.operators import graph as G
-from runsight.sources.signals import COMPUTE, STORAGE, ci_recent, nearest_failure
+from runsight.sources.signals import COMPUTE, STORAGE, ci_window, nearest_failure
 
 URGENT = ("breached", "at_risk")
 
@@ -44,7 +44,7 @@ def _s(x):
 
 
 def fingerprint(metrics: DataFrame, edges_df: DataFrame, infra: DataFrame, ci: DataFrame, as_of,
-                root: str = "nearest", closure_df: DataFrame | None = None, ci_page: int | None = 10) -> DataFrame:
+                root: str = "nearest", closure_df: DataFrame | None = None) -> DataFrame:
     """One row per anomalous job (verdict breached or at_risk).
 
     metrics: gold job metrics; edges_df: parent/child edges; infra: one-row
@@ -63,8 +63,7 @@ def fingerprint(metrics: DataFrame, edges_df: DataFrame, infra: DataFrame, ci: D
 
     sig = infra.select(F.struct(F.col(STORAGE).alias("s"), F.col(COMPUTE).alias("c"))).scalar()  # one subquery
     s_err, c_err = sig.s, sig.c
-    recent = ci_recent(ci, as_of, ci_page) if ci_page else ci
-    ci_min = nearest_failure(recent, as_of).select("ci_minutes").scalar()
+    ci_min = nearest_failure(ci_window(ci, as_of, CI_WINDOW_MIN), as_of).select("ci_minutes").scalar()
 
     a = (anomalous.join(unrel, "job_name", "left")
          .join(roots, "job_name", "left")

@@ -79,19 +79,6 @@ def closure(edges_df: DataFrame, max_rounds: int = 64) -> DataFrame:
     raise RuntimeError("closure did not converge; raise max_rounds")
 
 
-def closure_recursive(edges_df: DataFrame) -> DataFrame:
-    """Small-graph form: a recursive CTE (one level per iteration)."""
-    spark = edges_df.sparkSession
-    name = f"edges_{abs(hash(edges_df.semanticHash()))}"
-    edges_df.createOrReplaceTempView(name)
-    return spark.sql(f"""
-      WITH RECURSIVE c(anc, job, hops) AS (
-        SELECT parent, child, 1 FROM {name}
-        UNION ALL
-        SELECT c.anc, e.child, c.hops + 1 FROM c JOIN {name} e ON c.job = e.parent)
-      SELECT anc, job, min(hops) AS hops FROM c GROUP BY anc, job""")
-
-
 def ancestor_counts(closure_df: DataFrame, all_nodes: DataFrame | None = None) -> DataFrame:
     """Number of ancestors of every job (0 for roots when ``all_nodes`` is given)."""
     n = closure_df.groupBy("job").agg(F.count(F.lit(1)).alias("n_ancestors"))

@@ -54,7 +54,7 @@ def open_incidents(urgent: DataFrame, fp: DataFrame, incidents: DataFrame, as_of
 
 def resolve(incidents: DataFrame, resolutions: DataFrame) -> DataFrame:
     """K3: set resolved_at from (job_name, detected_at, resolved_at) rows; first resolution wins."""
-    r = resolutions.select("job_name", "detected_at", F.col("resolved_at").alias("_r"))
+    r = resolutions.groupBy("job_name", "detected_at").agg(F.min("resolved_at").alias("_r"))
     return (incidents.join(r, ["job_name", "detected_at"], "left")
             .withColumn("resolved_at", F.coalesce("resolved_at", "_r")).drop("_r"))
 

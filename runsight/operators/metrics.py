@@ -86,19 +86,20 @@ def job_metrics(runs: DataFrame, min_runs: int = MIN_RUNS, p95: str = "exact", r
     rows_processed, status.  One output row per job.
 
     * ``min_runs``: below it every statistic is NULL (warm-up); 0 disables the gate.
-    * ``p95``: "exact" (linear interpolation; banded exact quantile with bounded state,
-      ``quantiles.exact_quantile``), "map" (Spark's ``percentile``: one pass, state per
-      distinct duration) or "approx" (``percentile_approx``, fixed-size sketch).
+    * ``p95``: "exact" (linear interpolation by Spark's ``percentile``: one pass, one counter per distinct
+      duration of a job; extracted durations have 4 decimals, so 10,000 a minute of their range), "banded" (the
+      same value with bounded state for unrounded durations, a second pass, ``quantiles.exact_quantile``), "approx"
+      (``percentile_approx``, fixed-size sketch) or "none" (NULL).
     * ``rounding``: compare and report rounded values (latest 2 dp, z 3 dp).
     * ``group_attrs``: group by the job's attributes too (an SLA change splits a job).
     * ``duration_status``: restrict duration statistics to runs with this status.
     """
     keys = ("job_name", "team", "impact", "sla_minutes") if group_attrs else ("job_name",)
     r = runs.filter(F.col("job_name").isNotNull())
-    if p95 != "exact":
-        agg = r.groupBy(*keys).agg(*metric_aggs(order, p95, duration_status))
+    if p95 != "banded":
+        agg = r.groupBy(*keys).agg(*metric_aggs(order, "map" if p95 == "exact" else p95, duration_status))
         return finalize_metrics(agg, min_runs, rounding, keys)
-    # Exact p95 with bounded state: the sketch rides along in the one aggregation, whose
+    # The same p95 with bounded state: the sketch rides along in the one aggregation, whose
     # (per-job, small) result is written once to the shared checkpoint folder; a second pass
     # over the runs counts only the narrow value band around each job's p95.
     from runsight.operators import quantiles as QT
@@ -108,9 +109,8 @@ def job_metrics(runs: DataFrame, min_runs: int = MIN_RUNS, p95: str = "exact", r
         d = F.when(F.col("status") == duration_status, d)
     gk = F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys]) if group_attrs else F.col("job_name")
     agg = r.groupBy(*keys).agg(*metric_aggs(order, "none", duration_status), *QT.sketch_cols(d))
-    agg, st = _materialize(agg.withColumn("_gk", gk), "job-metrics", F.count(F.lit(1)).alias("n"))
-    q = QT.banded(r.select(gk.alias("_gk"), d.alias("_d")), "_gk", "_d", QT.bounds(agg, "_gk"), 0.95, "_pq",
-                  known_keys=st["n"])
+    agg, _ = _materialize(agg.withColumn("_gk", gk), "job-metrics", F.count(F.lit(1)).alias("n"))
+    q = QT.banded(r.select(gk.alias("_gk"), d.alias("_d")), "_gk", "_d", QT.bounds(agg, "_gk"), 0.95, "_pq")
     agg = agg.join(q, "_gk", "left").withColumn("_p95", F.col("_pq")).drop("_gk", "_pq", "_qn", "_qb")
     return finalize_metrics(agg, min_runs, rounding, keys)
 
@@ -140,8 +140,8 @@ def replay_scores(runs: DataFrame, min_runs: int = MIN_RUNS, order: tuple[str, .
                   split_hot: bool = True, chunk_rows: int = 2_000_000) -> DataFrame:
     """Score every run against the history before it.
 
-    Default: running (n, mean, M2) per (job, day) window merged with a small
-    per-job prefix of day totals (``chunked.prior_stats``), so a job with most of
+    Default: running (n, mean, M2) per (job, chunk of its history) merged with a small
+    per-job prefix of chunk totals (``chunked.prior_stats``), so a job with most of
     the runs is spread over many tasks.  ``split_hot=False`` is the plain
     expanding frame ``rowsBetween(unboundedPreceding, -1)`` per job.
     """

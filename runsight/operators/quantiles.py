@@ -22,8 +22,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runsight.functions.joins import join_dim
-
 
 def sketch_cols(value, q: float = 0.95, accuracy: int = 10000) -> list:
     """Aggregate columns for step 1 (can ride along in another ``groupBy.agg``)."""
@@ -48,11 +46,10 @@ def bounds(sketched: DataFrame, key: str, q: float = 0.95, accuracy: int = 10000
                            (F.lit(q) * (F.col("_qn") - 1)).alias("_r"))
 
 
-def banded(df: DataFrame, key: str, value: str, bnd: DataFrame, q: float, out: str,
-           known_keys: int | None = None) -> DataFrame:
+def banded(df: DataFrame, key: str, value: str, bnd: DataFrame, q: float, out: str) -> DataFrame:
     """Steps 2-3 given the per-key bracket ``bnd``; returns (key, out)."""
     base = df.select(key, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    j = join_dim(base, bnd.select(key, "_lo", "_hi"), key, known_rows=known_keys)
+    j = base.join(bnd.select(key, "_lo", "_hi"), key)
     # rows under the bracket collapse into one (key, -inf) group; rows above it are dropped
     bv = F.when(F.col("_v") < F.col("_lo"), F.lit(float("-inf"))).otherwise(F.col("_v"))
     band = (j.filter(F.col("_v") <= F.col("_hi")).groupBy(key, bv.alias("_v"))

@@ -19,8 +19,8 @@ def volume_growth(runs: DataFrame, order: tuple[str, ...] = RUN_ORDER, split_hot
                   chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Mean rows of the first and the last 20 % of each job's runs (split = max(1, n div 5)).
 
-    Positions come from ``chunked.positions`` (per (job, day) windows plus a
-    small per-job prefix of day counts), so a job with most of the runs is
+    Positions come from ``chunked.positions`` (windows per (job, chunk of its own history) plus a
+    small prefix of chunk counts), so a job with most of the runs is
     still sorted in many tasks; ``split_hot=False`` uses one window per job.
     Then a plain conditional aggregate.
     """

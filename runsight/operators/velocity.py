@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runsight.functions.core import rnd
-from runsight.operators.chunked import trailing_counts
+from runsight.operators.chunked import join_same, trailing_counts
 
 THRESHOLD, WINDOW_MINUTES = 10, 5
 
@@ -36,13 +36,13 @@ def velocity_trailing(txn: DataFrame, minutes: int = WINDOW_MINUTES, threshold:
     """Transactions whose account made more than ``threshold`` transactions in the
     trailing ``minutes`` (both ends inclusive).
 
-    Default: ranks on adaptive per-account time chunks, so a busy account is
-    spread over many tasks (``chunked.trailing_counts``).  ``split_hot=False`` is the plain
-    range frame per account.
+    Default: ranks on the account's own time chunks, so a busy account is spread over many tasks
+    (``chunked.trailing_counts``); rows that repeat a txn_id stay rows of their own.  ``split_hot=False`` is the
+    plain range frame per account.
     """
     if split_hot:
-        c = trailing_counts(txn, "account_id", "ts", "txn_id", minutes, chunk_rows)
-        return c.select("account_id", "txn_id", "ts", "trailing_count").filter(F.col("trailing_count") > threshold)
+        c = trailing_counts(txn, "account_id", "ts", minutes, chunk_rows).filter(F.col("trailing_count") > threshold)
+        return join_same(txn.select("account_id", "txn_id", "ts"), c, ["account_id", "ts"])
     w = (Window.partitionBy("account_id").orderBy(F.unix_micros("ts"))
          .rangeBetween(-minutes * 60_000_000, 0))
     return (txn.select("account_id", "txn_id", "ts", F.count(F.lit(1)).over(w).alias("trailing_count"))

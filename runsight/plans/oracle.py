@@ -124,13 +124,13 @@ chains AS (SELECT r.job_name, r.root, arg_min(p.path, (p.hops, p.path)) AS chain
 
 
 def ci_cte(as_of_sql: str) -> str:
-    """CI runs, the ten newest at or before as_of, nearest failure in minutes."""
+    """CI runs, the ten newest at or before as_of, minutes since the last failure among all of them."""
     return f"""ci AS (SELECT ts AS created_at, CASE WHEN pk >= 50 THEN 'failure' ELSE 'success' END AS conclusion,
                'ci-' || CAST(event_id AS VARCHAR) AS name FROM ev WHERE event_type = 'purchase'),
 now_t AS (SELECT {as_of_sql} AS t),
 ci10 AS (SELECT ci.* FROM ci, now_t WHERE created_at <= now_t.t ORDER BY created_at DESC, name DESC LIMIT 10),
 cim AS (SELECT min(abs(epoch_us((SELECT t FROM now_t)) - epoch_us(created_at)) / 60000000.0::DOUBLE) AS ci_minutes
-        FROM ci10 WHERE conclusion = 'failure')"""
+        FROM ci, now_t WHERE created_at <= now_t.t AND conclusion = 'failure')"""
 
 
 def infra_cte(minutes: int) -> str:
@@ -196,7 +196,7 @@ GRAPH = with_rec(SUP, RUNS, metrics_cte(), EDGES, CLOSURE)
 
 RUNS_TIGHT = """runs_t AS (SELECT * REPLACE (CAST(26 + 2 * (k % 12) AS DOUBLE) AS sla_minutes) FROM runs)"""
 
-TX = """tx AS (SELECT user_id AS account_id, event_id AS txn_id, value AS amount, CAST(ts AS TIMESTAMP) AS ts FROM events)"""
+TX = """tx AS (SELECT user_id AS account_id, event_id // 2 AS txn_id, value AS amount, CAST(ts AS TIMESTAMP) AS ts FROM events)"""
 
 INC_AS_OF = "TIMESTAMP '2001-11-05 00:00:00'"
 

@@ -1,8 +1,8 @@
 """The whole batch product in one call: runs in, five gold tables out.
 
 Gold metrics are computed once and written as a table under ``out``; every
-later output reads that table back, so the raw runs are scanned and shuffled
-once and the lineage of the downstream jobs starts at a small written table.
+later output but volume growth (which needs the runs' order) reads that table
+back, so the lineage of the downstream jobs starts at a small written table.
 """
 
 from __future__ import annotations
@@ -21,26 +21,29 @@ from runsight.sources import signals as S
 
 
 def run(runs: DataFrame, registry: DataFrame, infra_metrics: DataFrame, ci: DataFrame, deadlines: DataFrame,
-        as_of, out: str, infra_minutes: int = 30, p95: str = "exact", min_runs: int = M.MIN_RUNS
-        ) -> dict[str, DataFrame]:
+        as_of, out: str, infra_minutes: int = 30, p95: str = "exact", min_runs: int = M.MIN_RUNS,
+        signals_as_of=None) -> dict[str, DataFrame]:
     """Compute and write gold_job_metrics, gold_verdicts, gold_fingerprint, gold_sla_health and
-    gold_deadline_risk under ``out``; return them as DataFrames read back from there."""
+    gold_deadline_risk under ``out``, each published as a whole (``replace_atomic``); return them read back.
+
+    ``signals_as_of``: the time at which infra and CI signals are read, as_of unless given."""
     spark = runs.sparkSession
     base = out.rstrip("/")
-    IO.write_snapshot(M.job_metrics(runs, min_runs=min_runs, p95=p95), f"{base}/gold_job_metrics")
-    metrics = spark.read.parquet(f"{base}/gold_job_metrics")
+    IO.replace_atomic(M.job_metrics(runs, min_runs=min_runs, p95=p95), f"{base}/gold_job_metrics")
+    metrics = IO.read_current(spark, f"{base}/gold_job_metrics")
     edges = G.edges(registry)
-    infra = S.infra_signals(infra_metrics, as_of, infra_minutes)
+    seen = as_of if signals_as_of is None else signals_as_of
+    infra = S.infra_signals(infra_metrics, seen, infra_minutes)
     outputs = {
         "gold_verdicts": V.gold_verdicts(metrics, as_of),
-        "gold_fingerprint": FP.fingerprint(metrics, edges, infra, ci, as_of),
+        "gold_fingerprint": FP.fingerprint(metrics, edges, infra, ci, seen),
         "gold_sla_health": H.sla_health(runs, metrics),
         "gold_deadline_risk": D.deadline_risk(metrics, deadlines, as_of),
     }
     for name, df in outputs.items():
-        IO.write_snapshot(df, f"{base}/{name}")
+        IO.replace_atomic(df, f"{base}/{name}")
     res = {"gold_job_metrics": metrics}
-    res.update({name: spark.read.parquet(f"{base}/{name}") for name in outputs})
+    res.update({name: IO.read_current(spark, f"{base}/{name}") for name in outputs})
     return res
 
 

@@ -169,11 +169,12 @@ def q_priority(t):
 FROM (SELECT *, count(duration_minutes) OVER w AS prior_runs, avg(duration_minutes) OVER w AS a,
         stddev_samp(duration_minutes) OVER w AS s, avg(rows_processed::DOUBLE) OVER w AS ar,
         stddev_samp(rows_processed::DOUBLE) OVER w AS sr
-      FROM runs WINDOW w AS (PARTITION BY job_name ORDER BY start_time, run_id
-                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""")
+      FROM (SELECT * REPLACE (CASE WHEN line_no <> 7 THEN start_time END AS start_time) FROM runs)
+      WINDOW w AS (PARTITION BY job_name ORDER BY start_time NULLS FIRST, run_id
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""")
 def q_replay_scores(t):
-    """Every run scored against the history before it."""
-    return M.replay_scores(fx.runs(t))
+    """Every run scored against the history before it; undated runs come first."""
+    return M.replay_scores(fx.undated_runs(fx.runs(t)))
 
 
 @register("urgent_jobs", B + """SELECT job_name, team, verdict, latest_duration, sla_minutes FROM m

@@ -39,12 +39,6 @@ def q_graph_closure(t):
     return G.closure(_edges(t))
 
 
-@register("graph_closure_recursive", GR + "SELECT anc, job, hops FROM clo")
-def q_graph_closure_recursive(t):
-    """G2 small-graph form: recursive CTE on Spark SQL."""
-    return G.closure_recursive(_edges(t))
-
-
 @register("ancestor_counts", GR + """, nodes AS (SELECT job_name FROM sup)
   SELECT n.job_name, CAST(count(c.anc) AS BIGINT) AS n_ancestors FROM nodes n LEFT JOIN clo c ON c.job = n.job_name
   GROUP BY n.job_name""")
@@ -115,10 +109,10 @@ FAIL10 = "(SELECT max(ts) FROM ev WHERE event_type = 'purchase' AND pk >= 50) +
 FAIL3 = "(SELECT max(ts) FROM ev WHERE event_type = 'purchase' AND pk >= 50) + INTERVAL 3 MINUTE"
 
 
-@register("fingerprint_quiet", O.fingerprint_sql(MAXTS, 0))
+@register("fingerprint_quiet", O.fingerprint_sql(MAXTS, 30))
 def q_fingerprint_quiet(t):
-    """F1-F6 with no infra errors: data quality / cascade / spike / logic bug."""
-    return _fp(t, fx.events_max_ts(t), 0)
+    """F1-F6 with the default 30-minute infra window at the newest event."""
+    return _fp(t, fx.events_max_ts(t), 30)
 
 
 @register("fingerprint_noisy", O.fingerprint_sql(MAXTS, 720))
@@ -127,10 +121,10 @@ def q_fingerprint_noisy(t):
     return _fp(t, fx.events_max_ts(t), 720)
 
 
-@register("fingerprint_ci", O.fingerprint_sql(FAIL10, 0))
+@register("fingerprint_ci", O.fingerprint_sql(FAIL10, 30))
 def q_fingerprint_ci(t):
     """failed CI run 10 min before as_of adds 35."""
-    return _fp(t, fx.ci_as_of(t, 10), 0)
+    return _fp(t, fx.ci_as_of(t, 10), 30)
 
 
 @register("fingerprint_ci_infra", O.fingerprint_sql(FAIL3, 720))
@@ -139,12 +133,26 @@ def q_fingerprint_ci_infra(t):
     return _fp(t, fx.ci_as_of(t, 3), 720)
 
 
-@register("fingerprint_counts", O.fingerprint_sql(MAXTS, 0, """SELECT fingerprint_type, count(*) AS jobs,
+# Every event is a CI run here; one of 97 fails.  as_of: 29 minutes after the last failure that is older than a day.
+BUSY_FAIL = "(SELECT max(ts) FROM ev WHERE event_id % 97 = 5 AND ts < (SELECT max(ts) FROM ev) - INTERVAL 1 DAY)"
+BUSY_SQL = O.fingerprint_sql(BUSY_FAIL + " + INTERVAL 29 MINUTE", 30).replace(
+    "CASE WHEN pk >= 50 THEN 'failure' ELSE 'success' END", "CASE WHEN event_id % 97 = 5 THEN 'failure' ELSE 'success' END"
+).replace("FROM ev WHERE event_type = 'purchase')", "FROM ev)")
+
+
+@register("fingerprint_busy_ci", BUSY_SQL)
+def q_fingerprint_busy_ci(t):
+    """F5 on a busy CI: the failure counts however many newer runs there are."""
+    ci, as_of = fx.busy_ci(t)
+    return FP.fingerprint(gold_table(t), _edges(t), S.infra_signals(fx.infra_metrics(t), as_of, 30), ci, as_of)
+
+
+@register("fingerprint_counts", O.fingerprint_sql(MAXTS, 30, """SELECT fingerprint_type, count(*) AS jobs,
   round_even(avg(evidence_score) * 1000000.0, 0) / 1000000.0 AS avg_score FROM fpx GROUP BY fingerprint_type"""))
 def q_fingerprint_counts(t):
     """F6 summary: jobs and mean score per class."""
     from runsight.functions import rnd
-    c = FP.fingerprint_counts(_fp(t, fx.events_max_ts(t), 0))
+    c = FP.fingerprint_counts(_fp(t, fx.events_max_ts(t), 30))
     return c.withColumn("avg_score", rnd("avg_score", 6))
 
 
@@ -173,32 +181,23 @@ def q_ci_recent(t):
 
 @register("ci_nearest_failure", O.with_(O.EV, O.ci_cte(FAIL10)) + f"SELECT {O.R('ci_minutes', 6)} AS ci_minutes FROM cim")
 def q_ci_nearest(t):
-    """Minutes to the nearest failed CI run among the recent ones."""
+    """Minutes since the nearest failed CI run at or before as_of."""
     from runsight.functions import rnd
+    from runsight.functions.core import lit_ts
     a = fx.ci_as_of(t, 10)
-    return S.nearest_failure(S.ci_recent(fx.ci_runs(t), a, 10), a).select(rnd("ci_minutes", 6).alias("ci_minutes"))
-
-
-_GOLD_PATHS: dict = {}
+    return S.nearest_failure(fx.ci_runs(t).filter(F.col("created_at") <= lit_ts(a)), a).select(rnd("ci_minutes", 6).alias("ci_minutes"))
 
 
 def _views(t):
-    """Gold tables written by the pipeline, registered as views (S11).  The written tables are
-    reused for the same session and input folder (they are read back, not recomputed)."""
+    """Gold tables written by the pipeline, registered as views (S11); signals are read at the newest event."""
     from runsight.plans import pipeline
     from runsight.plans.views import register_views
     from runsight.session import scratch_dir
-    spark = t.spark
-    k = (spark.sparkContext.applicationId, t.sf_dir)
-    names = ["gold_job_metrics", "gold_verdicts", "gold_fingerprint", "gold_sla_health", "gold_deadline_risk"]
-    if k not in _GOLD_PATHS:
-        out = scratch_dir(spark, "gold-views")
-        pipeline.run(fx.runs(t), fx.registry(t), fx.infra_metrics(t), fx.ci_runs(t), fx.deadlines(t),
-                     fx.DEADLINE_AS_OF, out, infra_minutes=0)
-        _GOLD_PATHS[k] = out
-    gold = {n: spark.read.parquet(f"{_GOLD_PATHS[k]}/{n}") for n in names}
-    register_views(spark, {**gold, "silver_job_runs": fx.runs(t)})
-    return spark
+    gold = pipeline.run(fx.runs(t), fx.registry(t), fx.infra_metrics(t), fx.ci_runs(t), fx.deadlines(t),
+                        fx.DEADLINE_AS_OF, scratch_dir(t.spark, "gold-views"), signals_as_of=fx.events_max_ts(t))
+    urgent = gold["gold_job_metrics"].filter(F.col("verdict").isin(*FP.URGENT))
+    register_views(t.spark, {**gold, "silver_job_runs": fx.runs(t), "incidents": fx.incidents(t, urgent)})
+    return t.spark
 
 
 @register("view_heatmap", O.BASE + """SELECT job_name, team, verdict, priority_score, latest_duration, sla_minutes,
@@ -224,7 +223,7 @@ def q_view_deadline_gate(t):
     return page(_views(t), "deadline_gate")
 
 
-@register("view_fingerprints", O.fingerprint_sql("TIMESTAMP '2001-11-04 22:45:00'", 0, """SELECT job_name,
+@register("view_fingerprints", O.fingerprint_sql(MAXTS, 30, """SELECT job_name,
   fingerprint_type, evidence_score, statistical_evidence, external_evidence, recommended_action, route_to_team
   FROM fpx"""))
 def q_view_fingerprints(t):
@@ -233,9 +232,3 @@ def q_view_fingerprints(t):
     return page(_views(t), "fingerprints")
 
 
-@register("view_deadlines", "SELECT deadline_name, buffer_minutes, critical_jobs, risk_level FROM ("
-          + __import__("runsight.plans.q_ops", fromlist=["_deadline_sql"])._deadline_sql(False) + ")")
-def q_view_deadlines(t):
-    """The deadline page as Spark SQL over the gold view."""
-    from runsight.plans.views import page
-    return page(_views(t), "deadlines")

@@ -45,12 +45,16 @@ def _tight_metrics(t):
     return r, M.job_metrics(r)
 
 
-@register("volume_growth", TIGHT + ", " + VG + f"""
+VG_UNDATED = """runs_n AS (SELECT * REPLACE (CASE WHEN line_no <> 7 THEN start_time END AS start_time) FROM runs_t),
+""" + VG.replace("FROM runs_t WHERE", "FROM runs_n WHERE").replace("ORDER BY start_time,", "ORDER BY start_time NULLS FIRST,")
+
+
+@register("volume_growth", TIGHT + ", " + VG_UNDATED + f"""
   SELECT job_name, {R('first_rows', 6)} AS first_rows, {R('last_rows', 6)} AS last_rows, volume_growth FROM vg2""")
 def q_volume_growth(t):
-    """First vs last 20 % of each job's runs."""
+    """First vs last 20 % of each job's runs; undated runs come first."""
     r, m = _tight_metrics(t)
-    return H.volume_growth(r.join(m.filter(F.col("avg_duration").isNotNull()).select("job_name"), "job_name",
+    return H.volume_growth(fx.undated_runs(r).join(m.filter(F.col("avg_duration").isNotNull()).select("job_name"), "job_name",
                                   "left_semi"))
 
 
@@ -76,9 +80,10 @@ def _deadline_sql(kolkata: bool) -> str:
     tz = "Asia/Kolkata" if kolkata else "UTC"
     mk = "make_timestamp(year(lt), month(lt), day(lt), hour, minute, 0)"
     return O.with_(O.SUP, O.RUNS, O.metrics_cte(), f"""dl AS (
-  SELECT CASE k % 20 WHEN 0 THEN 'eod_cutoff' WHEN 1 THEN 'eod_settlement' ELSE 'daily_return' END AS deadline_name,
-         CASE k % 20 WHEN 0 THEN 19 ELSE 23 END AS hour, CASE k % 20 WHEN 2 THEN 59 ELSE 0 END AS minute,
-         job_name, k // 20 AS pos FROM sup WHERE k % 20 < 3)""",
+  SELECT ['ledger_lock', 'branch_close', 'fee_posting', 'night_seal'][k % 20 + 1] AS deadline_name,
+         [6, 17, 22, 23][k % 20 + 1] AS hour, [30, 45, 55, 40][k % 20 + 1] AS minute,
+         job_name, k // 20 AS pos FROM sup WHERE k % 20 < 4
+  UNION ALL SELECT 'spare_window', 12, 15, NULL, NULL)""",
                    "now_t AS (SELECT TIMESTAMP '2001-11-04 22:45:00' AS t)",
                    f"""hdr AS (SELECT DISTINCT deadline_name, hour, minute, t, t + to_minutes({off}) AS lt FROM dl, now_t)""",
                    f"""d2 AS (SELECT deadline_name, t, (CASE WHEN {mk} < lt THEN {mk} + INTERVAL 1 DAY ELSE {mk} END)
@@ -114,12 +119,12 @@ TSF = "'%Y-%m-%d %H:%M:%S.%f'"
 def _urgent_fp(t):
     from runsight.plans.q_graph import gold_table
     m = gold_table(t)
-    fp = FP.fingerprint(m, G.edges(fx.registry(t)), S.infra_signals(fx.infra_metrics(t), fx.events_max_ts(t), 0),
+    fp = FP.fingerprint(m, G.edges(fx.registry(t)), S.infra_signals(fx.infra_metrics(t), fx.events_max_ts(t), 30),
                         fx.ci_runs(t), fx.events_max_ts(t))
     return m, m.filter(F.col("verdict").isin("breached", "at_risk")), fp
 
 
-FP_PART = O.fingerprint_sql("(SELECT max(ts) FROM ev)", 0, tail="__TAIL__")
+FP_PART = O.fingerprint_sql("(SELECT max(ts) FROM ev)", 30, tail="__TAIL__")
 INC_FP = FP_PART.replace("__TAIL__", "").rstrip() + ", " + O.INCIDENTS + ", " + """det AS (
   SELECT a.job_name, a.team, a.verdict, coalesce(f.fingerprint_type, 'unknown') AS fingerprint_type,
     coalesce(CAST(f.evidence_score AS VARCHAR), '?') AS evidence_score,
@@ -127,7 +132,7 @@ INC_FP = FP_PART.replace("__TAIL__", "").rstrip() + ", " + O.INCIDENTS + ", " +
     coalesce(f.external_evidence, 'none') AS external_evidence,
     coalesce(f.recommended_action, 'Investigate manually') AS recommended_action,
     coalesce(f.route_to_team, a.team) AS route_to_team
-  FROM an a LEFT JOIN (SELECT * FROM fpx WHERE fingerprint_type <> 'logic_bug') f ON f.job_name = a.job_name)
+  FROM an a LEFT JOIN fpx f ON f.job_name = a.job_name)
 """
 
 
@@ -148,7 +153,7 @@ def _report_sql(prefix: str) -> str:
 def q_incident_report(t):
     """Urgent jobs with fingerprint details (defaults where none) and the report text."""
     m, urgent, fp = _urgent_fp(t)
-    d = K.incident_details(urgent, fp.filter(F.col("fingerprint_type") != "logic_bug"))
+    d = K.incident_details(urgent, fp)
     return K.incident_text(d.withColumn("detected_at", F.to_timestamp(F.lit(fx.INCIDENT_AS_OF))))
 
 
@@ -159,7 +164,7 @@ def q_incident_new_only(t):
     """Incidents only for urgent jobs without an open incident."""
     m, urgent, fp = _urgent_fp(t)
     inc = fx.incidents(t, urgent)
-    new = K.open_incidents(urgent, fp.filter(F.col("fingerprint_type") != "logic_bug"), inc, fx.INCIDENT_AS_OF)
+    new = K.open_incidents(urgent, fp, inc, fx.INCIDENT_AS_OF)
     return new.select("job_name", "team", "verdict", "fingerprint_type", "evidence_score", "route_to_team",
                       "detected_at")
 
@@ -167,11 +172,13 @@ def q_incident_new_only(t):
 @register("incident_resolved", INC + f"""SELECT job_name, strftime(detected_at, {TSF}) AS detected_at,
   strftime(resolved_at, {TSF}) AS resolved_at FROM inc""")
 def q_incident_resolved(t):
-    """K3: resolutions applied to the open incident table."""
+    """K3: resolutions applied to the open incident table; of two the first counts."""
     urgent = M.job_metrics(fx.runs(t)).filter(F.col("verdict").isin("breached", "at_risk"))
     inc = fx.incidents(t, urgent)
     base = inc.withColumn("resolved_at", F.lit(None).cast("timestamp"))
-    return K.resolve(base, inc.filter(F.col("resolved_at").isNotNull())).select("job_name", "detected_at",
+    first = inc.filter(F.col("resolved_at").isNotNull())
+    again = first.withColumn("resolved_at", F.col("resolved_at") + F.expr("INTERVAL 4 MINUTES"))
+    return K.resolve(base, again.unionByName(first)).select("job_name", "detected_at",
                                                                                 "resolved_at")
 
 
@@ -200,12 +207,11 @@ DIRTY = O.with_(O.SUP, O.RUNS, """dirty AS (SELECT * REPLACE (CASE WHEN line_no
 REQ = sorted(Q.REQUIRED)
 
 
-def _dq_sql(src: str, cols: list[str], missing: list[str], by: str | None = None, empty: bool = False) -> str:
+def _dq_sql(src: str, cols: list[str], missing: list[str], by: str | None = None) -> str:
     present = [c for c in REQ if c in cols]
     nulls = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS n_{c}" for c in present)
     key = f"{by} AS run_date, " if by else ""
     grp = f" GROUP BY {by}" if by else ""
-    where = " WHERE false" if empty else ""
     msgs = []
     if missing:
         msgs.append("'Schema drift — missing columns: " + ", ".join(missing) + "'")
@@ -216,7 +222,7 @@ def _dq_sql(src: str, cols: list[str], missing: list[str], by: str | None = None
                 "' rows (expected 30+ for healthy system)' END")
     arr = "list_filter([" + ", ".join(msgs) + "], lambda x: x IS NOT NULL)"
     sel_key = "strftime(run_date, '%Y-%m-%d') AS run_date, " if by else ""
-    return f"""{src}, g AS (SELECT {key}count(*) AS row_count, {nulls} FROM src{where}{grp}),
+    return f"""{src}, g AS (SELECT {key}count(*) AS row_count, {nulls} FROM src{grp}),
   g2 AS (SELECT *, CASE WHEN row_count = 0 THEN [] ELSE {arr} END AS iss FROM g)
 SELECT {sel_key}CASE WHEN row_count = 0 THEN 'WARM_UP' WHEN len(iss) > 0 THEN 'FAIL' ELSE 'PASS' END AS status,
   row_count, CASE WHEN row_count = 0 THEN 0 ELSE greatest(0, 3 - len(iss)) END AS checks_passed,
@@ -244,12 +250,6 @@ def q_dq_report_clean(t):
     return _dq(fx.runs(t))
 
 
-@register("dq_report_empty", _dq_sql(RUNS_ONLY + ", src AS (SELECT * FROM runs)", RUN_COLS, [], empty=True))
-def q_dq_report_empty(t):
-    """Q1: no rows gives the WARM_UP report."""
-    return _dq(fx.runs(t).filter(F.lit(False)))
-
-
 @register("dq_report_drift", _dq_sql(RUNS_ONLY + ", src AS (SELECT * EXCLUDE (team) FROM runs)",
                                      [c for c in RUN_COLS if c != "team"], ["team"]))
 def q_dq_report_drift(t):
@@ -278,13 +278,13 @@ def _recon_sql(tol: float) -> str:
     return f"""WITH o AS (SELECT o_orderkey, strftime(CAST(o_orderdate AS TIMESTAMP), '%Y-%m') AS period,
     o_totalprice AS amount FROM orders),
   d AS (SELECT * FROM o WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)),
-  sc AS (SELECT period, count(*) AS c, sum(amount) AS a FROM o GROUP BY period),
+  sc AS (SELECT period, count(*) AS c, sum(amount) AS a FROM o WHERE period <> '1996-02' GROUP BY period),
   dc AS (SELECT period, count(*) AS c, sum(amount) AS a FROM d GROUP BY period),
   j AS (SELECT coalesce(sc.period, dc.period) AS period, coalesce(sc.c, 0) AS s, coalesce(dc.c, 0) AS dd,
           coalesce(sc.a, 0.0) AS sa, coalesce(dc.a, 0.0) AS da FROM sc FULL OUTER JOIN dc ON sc.period = dc.period),
   k AS (SELECT *, CASE WHEN s > 0 THEN abs(s - dd)::DOUBLE / s * 100.0 ELSE 0.0 END AS pct FROM j)
 SELECT period, s AS source_count, dd AS destination_count, abs(s - dd) AS diff, {R('pct', 4)} AS diff_pct,
-  CASE WHEN pct > {tol} THEN 'MISMATCH' ELSE 'RECONCILED' END AS status,
+  CASE WHEN pct > {tol} OR (s = 0 AND dd > 0) THEN 'MISMATCH' ELSE 'RECONCILED' END AS status,
   {R('sa', 2)} AS source_amount, {R('da', 2)} AS destination_amount FROM k"""
 
 
@@ -384,20 +384,19 @@ def q_share_ranked(t):
 EXT = O.with_(O.SUP, O.RUNS, O.TASKS)
 
 
-def _extract_sql(hours: int, cap: int | None = None) -> str:
-    lim = f" ORDER BY start_date DESC, run_id DESC LIMIT {cap}" if cap else ""
+def _extract_sql(hours: int) -> str:
     return EXT + f""", now_t AS (SELECT max(start_date) AS t FROM ti),
   cut AS (SELECT ti.* FROM ti, now_t WHERE start_date >= now_t.t - to_hours({hours})
-          AND state IN ('success', 'failed'){lim})
+          AND state IN ('success', 'failed'))
 SELECT dag_id AS job_name, run_id, strftime(start_date, {TSF}) AS start_time,
   {R('duration / 60.0', 4)} AS duration_minutes, state AS status, team, impact, sla_minutes, normal_rows
 FROM cut JOIN known ON known.job_name = cut.dag_id WHERE duration IS NOT NULL"""
 
 
-def _extract(t, hours, cap=None):
+def _extract(t, hours):
     ti = fx.task_instances(t)
     as_of = ti.select(F.max("start_date")).scalar()
-    return X.extract_runs(ti, fx.registry_known(t), as_of, hours, max_rows=cap)
+    return X.extract_runs(ti, fx.registry_known(t), as_of, hours)
 
 
 @register("extract_runs_24h", _extract_sql(24))
@@ -412,10 +411,10 @@ def q_extract_runs_90d(t):
     return _extract(t, 90 * 24)
 
 
-@register("extract_runs_capped", _extract_sql(90 * 24, 1000))
-def q_extract_runs_capped(t):
-    """The page cap: newest 1000 task records, then filtered."""
-    return _extract(t, 90 * 24, 1000)
+@register("extract_runs_newest", _extract_sql(90 * 24) + " ORDER BY start_date DESC, run_id DESC")
+def q_extract_runs_newest(t):
+    """The extract newest first, all rows."""
+    return _extract(t, 90 * 24).orderBy(F.col("start_time").desc(), F.col("run_id").desc())
 
 
 @register("join_enrich", EXT + """SELECT r.job_name, r.run_id, reg.team, reg.impact, reg.sla_minutes
@@ -484,3 +483,22 @@ def q_view_sla(t):
     from runsight.plans.q_graph import _views
     from runsight.plans.views import page
     return page(_views(t), "sla")
+
+
+@register("view_deadlines", "SELECT deadline_name, buffer_minutes, critical_jobs, risk_level FROM ("
+          + _deadline_sql(False) + ")")
+def q_view_deadlines(t):
+    """The deadline page as Spark SQL over the gold view."""
+    from runsight.plans.q_graph import _views
+    from runsight.plans.views import page
+    return page(_views(t), "deadlines")
+
+
+@register("view_incidents", INC + f"""SELECT job_name, strftime(detected_at, {TSF}) AS detected_at,
+  strftime(resolved_at, {TSF}) AS resolved_at, CASE WHEN resolved_at IS NOT NULL THEN 'resolved' ELSE 'open' END
+  AS state FROM inc ORDER BY detected_at DESC, job_name LIMIT 20""")
+def q_view_incidents(t):
+    """The incident page over the registered incident table."""
+    from runsight.plans.q_graph import _views
+    from runsight.plans.views import page
+    return page(_views(t), "incidents")

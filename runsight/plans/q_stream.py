@@ -9,6 +9,7 @@ from runsight.functions import rnd
 from runsight.plans import oracle as O
 from runsight.plans.catalog import register
 from runsight.plans.q_io import JOB_AGG_SQL, _job_agg
+from runsight.sources import files as IO
 from runsight.sources import fixtures as fx
 from runsight.streaming import runs as ST
 
@@ -24,10 +25,23 @@ def _landed_runs(t, files=4):
     return src, r.schema
 
 
-def _complete_to(stream_df, path, ckpt):
-    def per_batch(df, _bid):
-        df.write.mode("overwrite").parquet(path)
-    ST.run_available(stream_df.writeStream.outputMode("complete").foreachBatch(per_batch), ckpt)
+RUN_CUTS = ["1997-01-01", "1999-01-01", "2001-01-01"]
+EVENT_CUTS = ["2024-01-09", "2024-01-17", "2024-01-25"]
+#: Windows that the watermark (10 minutes behind the newest event) has closed.
+CLOSED = "+ INTERVAL 10 MINUTE <= (SELECT max(ts) FROM {})"
+
+
+def _append_windows(t, df, build, name):
+    """Run a windowed stream in append mode over four landings; closed windows only, state is evicted."""
+    src, _ = ST.scratch(t.spark, f"{name}-src")
+    out, ck = ST.scratch(t.spark, name)
+
+    def run():
+        s = build(ST.read_stream(t.spark, src, df.schema))
+        ST.run_available(s.writeStream.outputMode("append").format("parquet").option("path", out), ck)
+
+    ST.in_steps(df, src, "ts", EVENT_CUTS, run)
+    return t.spark.read.parquet(out)
 
 
 @register("stream_incremental_ingest", JOB_AGG_SQL)
@@ -40,12 +54,14 @@ def q_stream_ingest(t):
     return _job_agg(spark.read.parquet(out))
 
 
-def _gold_stream(t):
+def _gold_stream(t, incidents=None):
     spark = t.spark
-    src, schema = _landed_runs(t)
+    r = fx.runs(t).select(*RUN_STREAM_COLS)
+    src, _ = ST.scratch(spark, "gold-src")
     gold, ck = ST.scratch(spark, "gold")
-    ST.gold_refresh(spark, ST.read_stream(spark, src, schema, max_files=1), gold, ck)
-    return spark.read.parquet(gold)
+    ST.in_steps(r, src, "start_time", RUN_CUTS, lambda: ST.gold_refresh(
+        spark, ST.read_stream(spark, src, r.schema), gold, ck, incidents, fx.INCIDENT_AS_OF))
+    return IO.read_current(spark, gold)
 
 
 @register("stream_job_metrics", O.with_(O.SUP, O.RUNS, O.metrics_cte()) + """SELECT job_name, total_runs,
@@ -64,25 +80,20 @@ def q_stream_gold_refresh(t):
     return _gold_stream(t).select("job_name", "verdict", "priority_score")
 
 
-@register("stream_incidents", O.BASE + """SELECT job_name, team, verdict,
-  '2001-11-05 00:00:00.000000' AS detected_at FROM m WHERE verdict IN ('breached', 'at_risk')""")
-def q_stream_incidents(t):
-    """One incident per urgent job, deduplicated against earlier batches."""
-    spark = t.spark
-    src, schema = _landed_runs(t)
-    gold, ck = ST.scratch(spark, "gold-inc")
-    inc, _ = ST.scratch(spark, "incidents")
-    ST.gold_refresh(spark, ST.read_stream(spark, src, schema), gold, ck, incidents_path=inc,
-                    as_of=fx.INCIDENT_AS_OF)
-    return spark.read.parquet(inc).select("job_name", "team", "verdict", "detected_at")
+def _urgent_sql(n: int, cut: str | None) -> str:
+    part = f"runs_p AS (SELECT * FROM runs WHERE start_time < TIMESTAMP '{cut}')" if cut else "runs_p AS (SELECT * FROM runs)"
+    return (f"SELECT {n} AS b, job_name, team, verdict FROM (" + O.with_(O.SUP, O.RUNS, part, O.metrics_cte(runs="runs_p"))
+            + "SELECT job_name, team, verdict FROM m WHERE verdict IN ('breached', 'at_risk'))")
 
 
-def _landed_txn(t):
-    spark = t.spark
-    src, _ = ST.scratch(spark, "txn-src")
-    tx = fx.transactions(t)
-    ST.land(tx, src, 4, "ts")
-    return ST.read_stream(spark, src, tx.schema)
+@register("stream_incidents", "SELECT job_name, arg_min(team, b) AS team, arg_min(verdict, b) AS verdict, "
+          "'2001-11-05 00:00:00.000000' AS detected_at FROM ("
+          + " UNION ALL ".join(_urgent_sql(n, c) for n, c in enumerate([*RUN_CUTS, None])) + ") GROUP BY job_name")
+def q_stream_incidents(t):
+    """Four batches; a job gets one incident, in the first batch that finds it urgent."""
+    inc, _ = ST.scratch(t.spark, "incidents")
+    _gold_stream(t, inc)
+    return t.spark.read.parquet(inc).select("job_name", "team", "verdict", "detected_at")
 
 
 def _win_sql(size_min: int, slide_min: int | None) -> str:
@@ -95,40 +106,32 @@ def _win_sql(size_min: int, slide_min: int | None) -> str:
     return O.with_(O.TX) + f""", w AS ({wins})
 SELECT account_id, strftime(ws, '%Y-%m-%d %H:%M:%S.%f') AS window_start,
   strftime(ws + to_minutes({size_min}), '%Y-%m-%d %H:%M:%S.%f') AS window_end, count(*) AS txn_count
-FROM w GROUP BY account_id, ws"""
+FROM w WHERE ws + to_minutes({size_min}) {CLOSED.format('tx')} GROUP BY account_id, ws"""
 
 
 @register("stream_velocity_tumbling", _win_sql(5, None))
 def q_stream_velocity_tumbling(t):
-    """Transactions per account per 5-minute tumbling window (watermarked stream)."""
-    spark = t.spark
-    out, ck = ST.scratch(spark, "vel-tumble")
-    _complete_to(ST.windowed_counts(_landed_txn(t), "5 minutes"), out, ck)
-    return spark.read.parquet(out)
+    """Transactions per account per closed 5-minute tumbling window (watermarked stream)."""
+    return _append_windows(t, fx.transactions(t), lambda s: ST.windowed_counts(s, "5 minutes"), "vel-tumble")
 
 
 @register("stream_velocity_sliding", _win_sql(5, 1))
 def q_stream_velocity_sliding(t):
-    """5-minute windows sliding by 1 minute ("any 5-minute window")."""
-    spark = t.spark
-    out, ck = ST.scratch(spark, "vel-slide")
-    _complete_to(ST.windowed_counts(_landed_txn(t), "5 minutes", "1 minute"), out, ck)
-    return spark.read.parquet(out)
+    """Closed 5-minute windows sliding by 1 minute ("any 5-minute window")."""
+    return _append_windows(t, fx.transactions(t), lambda s: ST.windowed_counts(s, "5 minutes", "1 minute"), "vel-slide")
 
 
 @register("stream_dedupe", O.with_(O.SUP, O.RUNS) + "SELECT job_name, count(*) AS runs FROM runs GROUP BY job_name")
 def q_stream_dedupe(t):
-    """A re-appended window of runs arrives after a restart and is dropped."""
+    """Newer runs first, then late ones together with copies of runs already there; all are kept once."""
     spark = t.spark
-    src, schema = _landed_runs(t)
+    r = fx.runs(t).select(*RUN_STREAM_COLS)
+    src, _ = ST.scratch(spark, "dedupe-src")
     out, ck = ST.scratch(spark, "dedupe")
-
-    def run():
-        s = ST.dedupe_stream(ST.read_stream(spark, src, schema))
-        ST.run_available(s.writeStream.format("parquet").option("path", out), ck)
-    run()
-    ST.land(fx.runs(t).select(*RUN_STREAM_COLS).filter(F.col("line_no") <= 4), src, 1)
-    run()
+    late = F.col("line_no") == 2
+    for part in (r.filter(~late), r.filter(late | (F.col("line_no") == 3))):
+        part.write.mode("append").parquet(src)
+        ST.append_new_runs(spark, ST.read_stream(spark, src, r.schema), out, ck)
     return spark.read.parquet(out).groupBy("job_name").agg(F.count(F.lit(1)).alias("runs"))
 
 
@@ -137,16 +140,11 @@ def q_stream_dedupe(t):
   CAST(count(*) FILTER (WHERE pk % 2 = 0) AS BIGINT) AS storage_errors,
   CAST(count(*) FILTER (WHERE pk % 2 = 0 IS NOT TRUE) AS BIGINT) AS compute_errors
 FROM (SELECT *, time_bucket(INTERVAL 30 MINUTE, ts, TIMESTAMP '1970-01-01') AS ws FROM ev WHERE event_type = 'error')
+WHERE ws + INTERVAL 30 MINUTE + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM ev WHERE event_type = 'error')
 GROUP BY ws""")
 def q_stream_infra_30m(t):
-    """Infra errors per 30-minute window from a stream."""
-    spark = t.spark
-    src, _ = ST.scratch(spark, "infra-src")
-    m = fx.infra_metrics(t)
-    ST.land(m, src, 4, "ts")
-    out, ck = ST.scratch(spark, "infra")
-    _complete_to(ST.infra_windows(ST.read_stream(spark, src, m.schema)), out, ck)
-    return spark.read.parquet(out)
+    """Infra errors per closed 30-minute window from a stream."""
+    return _append_windows(t, fx.infra_metrics(t), ST.infra_windows, "infra")
 
 
 @register("stream_run_drift", O.with_(O.SUP, O.RUNS) + f"""SELECT job_name, run_id,
@@ -166,8 +164,11 @@ def q_stream_run_drift(t):
     src, _ = ST.scratch(spark, "drift-src")
     r = fx.runs(t).select(*RUN_STREAM_COLS)
     schema = r.schema
-    ST.land_in_order(r, src, "start_time", ["1997-01-01", "1999-01-01", "2001-01-01"])
     out, ck = ST.scratch(spark, "drift")
-    s = ST.run_drift(ST.read_stream(spark, src, schema, max_files=1))
-    ST.run_available(s.writeStream.format("parquet").option("path", out), ck)
+
+    def run():
+        d = ST.run_drift(ST.read_stream(spark, src, schema))
+        ST.run_available(d.writeStream.format("parquet").option("path", out), ck)
+
+    ST.in_steps(r, src, "start_time", RUN_CUTS, run)
     return spark.read.parquet(out)

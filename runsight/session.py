@@ -34,10 +34,13 @@ def get_spark(cpus: int | str = "*", app: str = "runsight", shuffle_partitions:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private folder created.
+    Only a local session that has none gets a private folder; on a cluster that is an error, as executors do not
+    share the driver's disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="runsight-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -12,18 +12,15 @@ COMPLETED = ("success", "failed")
 
 
 def extract_runs(task_instances: DataFrame, registry: DataFrame, as_of, lookback_hours: int = 24,
-                 states=COMPLETED, max_rows: int | None = None) -> DataFrame:
+                 states=COMPLETED) -> DataFrame:
     """Task records -> run records of known jobs, enriched from the registry.
 
-    Order of the reference: lookback cut and state filter at the source, the
-    newest ``max_rows`` (optional page cap), then drop NULL durations and
-    unknown jobs, seconds to minutes (4 dp) and enrich.
+    Lookback cut and state filter at the source, then drop NULL durations and
+    unknown jobs, seconds to minutes (4 dp) and enrich.  All rows: no page cap.
     """
     t = lit_ts(as_of)
     ti = task_instances.filter((F.col("start_date") >= t - F.make_dt_interval(hours=F.lit(lookback_hours)))
                                & F.col("state").isin(*states))
-    if max_rows is not None:
-        ti = ti.orderBy(F.col("start_date").desc(), F.col("run_id").desc()).limit(max_rows)
     reg = registry.select(F.col("job_name").alias("dag_id"), "team", "impact", "sla_minutes", "normal_rows")
     return (ti.filter(F.col("duration").isNotNull())
             .join(reg, "dag_id")  # inner join = known jobs only (semi join + enrich in one)

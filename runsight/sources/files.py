@@ -95,15 +95,15 @@ def append_partitioned(df: DataFrame, path: str, as_of=None, ts_col: str | None
 
     With ``as_of`` the whole batch lands in the folder of its processing date
     (one folder per append, as the reference does); with ``ts_col`` rows are
-    filed by their own event date, clustered by the partition columns first so
-    each day's files come from one task.
+    filed by their own event date, clustered by the partition columns first (a
+    large day is split over several tasks and files).
     """
     if (as_of is None) == (ts_col is None):
         raise ValueError("give exactly one of as_of or ts_col")
     d = F.to_date(lit_ts(as_of)) if as_of is not None else F.to_date(ts_col)
     out = df.withColumn("year", F.year(d)).withColumn("month", F.month(d)).withColumn("day", F.dayofmonth(d))
     if ts_col is not None:
-        out = out.repartition("year", "month", "day")
+        out = out.hint("rebalance", "year", "month", "day")
     out.write.mode("append").partitionBy("year", "month", "day").parquet(path)
 
 
@@ -145,6 +145,11 @@ def replace_atomic(df: DataFrame, path: str) -> str:
     return version
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return fs.exists(p)
+
+
 def read_current(spark: SparkSession, path: str) -> DataFrame:
     """Read the version the ``_CURRENT`` pointer names."""
     fs, _, jvm = _fs(spark, path)

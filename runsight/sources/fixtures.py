@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runsight.functions.core import lit_ts
-from runsight.functions.joins import join_dim
 
 # Fixed fixture parameters (FIXTURES.md section 2).
 NORMAL_ROWS = 50000
 DEADLINE_AS_OF = "2001-11-04 22:45:00"
 INCIDENT_AS_OF = "2001-11-05 00:00:00"
 EXTRACT_LOOKBACK_HOURS = 90 * 24
+DEADLINES = (("ledger_lock", 6, 30), ("branch_close", 17, 45), ("fee_posting", 22, 55), ("night_seal", 23, 40),
+             ("spare_window", 12, 15))  # name, hour, minute; the last has no jobs
 
 
 class Tables:
@@ -31,35 +32,14 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
         self._cache: dict[str, DataFrame] = {}
 
-    def dim_rows(self) -> int:
-        """Row count of the job dimension (counted once per Tables)."""
-        if "_dim_rows" not in self.__dict__:
-            self.__dict__["_dim_rows"] = self.supplier.count()
-        return self.__dict__["_dim_rows"]
-
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
+            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._cache[name]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least as many partitions as the session's default parallelism.
-
-    A small table stored as one file (one row group) scans as one task, and so
-    would every narrow operator after it; round-robin redistribution spreads
-    it.  Large inputs already scan as many splits and pass through untouched,
-    so this never adds a shuffle at scale.  Filters and column pruning still
-    reach the parquet scan below the repartition.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
-
-
 def _ts(c):
     """Driver timestamps are naive; the session runs in UTC, so the cast keeps wall time."""
     return F.col(c).cast("timestamp")
@@ -93,7 +73,7 @@ def _run_id():
 def runs(t: Tables) -> DataFrame:
     """Run records, one per lineitem row (600 per job on average)."""
     s = suppliers(t).withColumnRenamed("k", "l_suppkey")
-    return (join_dim(t.lineitem, s, "l_suppkey", known_rows=t.dim_rows())
+    return (t.lineitem.join(s, "l_suppkey")
             .withColumnRenamed("l_suppkey", "k")
             .select(
                 F.col("job_name"), F.col("team"), _impact(F.col("k")).alias("impact"),
@@ -109,6 +89,11 @@ def runs(t: Tables) -> DataFrame:
             ))
 
 
+def undated_runs(r: DataFrame) -> DataFrame:
+    """Runs whose line 7 has no start time."""
+    return r.withColumn("start_time", F.when(F.col("line_no") != 7, F.col("start_time")))
+
+
 def dirty_runs(t: Tables) -> DataFrame:
     """Runs with duration missing on line 7 (about 14 %: above the 5 % null limit)."""
     return runs(t).withColumn(
@@ -142,7 +127,7 @@ def registry(t: Tables, tight: bool = False) -> DataFrame:
 def runs_tight(t: Tables) -> DataFrame:
     """Runs whose SLA comes from ``registry(tight=True)`` (spreads tightness over all bands)."""
     s = suppliers(t).select("job_name", (F.lit(26.0) + F.lit(2.0) * (F.col("k") % 12)).alias("sla_t"))
-    return (join_dim(runs(t), s, "job_name", known_rows=t.dim_rows())
+    return (runs(t).join(s, "job_name")
             .withColumn("sla_minutes", F.col("sla_t")).drop("sla_t"))
 
 
@@ -170,7 +155,7 @@ def results(t: Tables) -> DataFrame:
                         _plus_seconds(_ts("o_orderdate"), F.col("o_orderkey") % 86400).alias("recorded_at"),
                         F.floor("o_totalprice").cast("long").alias("rows_processed"))
     names = suppliers(t).select("k", "job_name")
-    return (join_dim(o, names, "k", known_rows=t.dim_rows()).groupBy("job_name", "recorded_at")
+    return (o.join(names, "k").groupBy("job_name", "recorded_at")
             .agg(F.max("rows_processed").alias("rows_processed")))
 
 
@@ -194,6 +179,16 @@ def ci_runs(t: Tables) -> DataFrame:
                     F.concat(F.lit("ci-"), F.col("event_id").cast("string")).alias("name"))
 
 
+def busy_ci(t: Tables):
+    """(CI runs, as_of): every event is a CI run, one of 97 fails; as_of is 29 minutes after a failure."""
+    ts = _ts("ts")
+    fails = F.col("event_id") % 97 == 5
+    ci = t.events.select(ts.alias("created_at"), F.when(fails, "failure").otherwise("success").alias("conclusion"),
+                         F.concat(F.lit("ci-"), F.col("event_id").cast("string")).alias("name"))
+    last = t.events.filter(fails & (ts < events_max_ts(t) - F.expr("INTERVAL 1 DAY"))).select(F.max(ts)).scalar()
+    return ci, last + F.make_dt_interval(mins=F.lit(29))
+
+
 def events_max_ts(t: Tables):
     """Scalar subquery: newest event time."""
     return t.events.select(F.max(_ts("ts"))).scalar()
@@ -208,16 +203,21 @@ def ci_as_of(t: Tables, minutes_after_failure: int):
 def deadlines(t: Tables, kolkata: bool = False) -> DataFrame:
     """Deadlines in long form: deadline_name, hour, minute, tz, job_name, pos.
 
-    Three deadlines at 19:00, 23:00 and 23:59; deadline i covers jobs k % 20 = i.
+    Four invented deadlines; deadline i covers jobs k % 20 = i.  A fifth has no jobs yet (one row, NULL job).
     """
-    s = suppliers(t).filter(F.col("k") % 20 < 3)
-    idx = F.col("k") % 20
-    name = (F.when(idx == 0, "eod_cutoff").when(idx == 1, "eod_settlement").otherwise("daily_return"))
-    hour = F.when(idx == 0, 19).when(idx == 1, 23).otherwise(23)
-    minute = F.when(idx == 2, 59).otherwise(0)
+    s = suppliers(t).filter(F.col("k") % 20 < 4)
     tz = F.lit("Asia/Kolkata") if kolkata else F.lit("UTC")
-    return s.select(name.alias("deadline_name"), hour.alias("hour"), minute.alias("minute"), tz.alias("tz"),
-                    "job_name", (F.col("k") / 20).cast("int").alias("pos"))
+    i = (F.col("k") % 20).cast("int")
+
+    def of(field):
+        return F.element_at(F.array(*[F.lit(d[field]) for d in DEADLINES[:4]]), i + 1)
+
+    idle = DEADLINES[4]
+    none = t.region.filter(F.col("r_regionkey") == 0).select(
+        F.lit(idle[0]).alias("deadline_name"), F.lit(idle[1]).alias("hour"), F.lit(idle[2]).alias("minute"),
+        tz.alias("tz"), F.lit(None).cast("string").alias("job_name"), F.lit(None).cast("int").alias("pos"))
+    return s.select(of(0).alias("deadline_name"), of(1).alias("hour"), of(2).alias("minute"), tz.alias("tz"),
+                    "job_name", (F.col("k") / 20).cast("int").alias("pos")).unionByName(none)
 
 
 def incidents(t: Tables, urgent: DataFrame, as_of: str = INCIDENT_AS_OF) -> DataFrame:
@@ -237,7 +237,8 @@ def incidents(t: Tables, urgent: DataFrame, as_of: str = INCIDENT_AS_OF) -> Data
 
 def transactions(t: Tables) -> DataFrame:
     """Transactions: account_id, txn_id, amount, ts."""
-    return t.events.select(F.col("user_id").alias("account_id"), F.col("event_id").alias("txn_id"),
+    # two events share each txn_id: a source that delivers an id twice
+    return t.events.select(F.col("user_id").alias("account_id"), F.floor(F.col("event_id") / 2).alias("txn_id"),
                            F.col("value").alias("amount"), _ts("ts").alias("ts"))
 
 
@@ -255,11 +256,11 @@ def type_counts(t: Tables) -> DataFrame:
 
 
 def reconcile_sides(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Source = orders per month; destination = orders that have a lineitem, per month."""
+    """Source = orders per month, one month missing; destination = orders that have a lineitem, per month."""
     o = t.orders.select("o_orderkey", F.date_format(_ts("o_orderdate"), "yyyy-MM").alias("period"),
                         F.col("o_totalprice").alias("amount"))
     dst = o.join(t.lineitem.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_semi")
-    return o, dst
+    return o.filter(F.col("period") != "1996-02"), dst
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

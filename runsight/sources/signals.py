@@ -29,6 +29,12 @@ def ci_recent(ci: DataFrame, as_of, n: int = 10) -> DataFrame:
             .orderBy(F.col("created_at").desc(), F.col("name").desc()).limit(n))
 
 
+def ci_window(ci: DataFrame, as_of, minutes: int) -> DataFrame:
+    """CI runs created in the ``minutes`` up to as_of, however many they are."""
+    t = lit_ts(as_of)
+    return ci.filter((F.col("created_at") > t - F.make_dt_interval(mins=F.lit(minutes))) & (F.col("created_at") <= t))
+
+
 def nearest_failure(ci: DataFrame, as_of) -> DataFrame:
     """One row: minutes between as_of and the nearest failed CI run (NULL if none)."""
     f = ci.filter(F.col("conclusion") == "failure")

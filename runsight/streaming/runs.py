@@ -19,6 +19,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from runsight.operators import metrics as M
 from runsight.session import scratch_dir
+from runsight.sources import files as IO
 
 
 def land(df: DataFrame, path: str, files: int = 4, order: str | None = None) -> None:
@@ -27,17 +28,17 @@ def land(df: DataFrame, path: str, files: int = 4, order: str | None = None) ->
     out.write.mode("append").parquet(path)
 
 
-def land_in_order(df: DataFrame, path: str, col: str, cuts: list[str]) -> None:
-    """Land ``df`` as one write per time range, oldest first, so the file source
-    (which orders new files by modification time) sees them in time order."""
+def in_steps(df: DataFrame, path: str, col: str, cuts: list[str], run) -> None:
+    """Land ``df`` one time range after the other and call ``run`` after each, as a source that grows."""
     bounds = [None, *cuts, None]
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
+    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
         part = df
         if lo is not None:
             part = part.filter(F.col(col) >= F.lit(lo).cast("timestamp"))
         if hi is not None:
             part = part.filter(F.col(col) < F.lit(hi).cast("timestamp"))
-        part.coalesce(1).write.mode("append").parquet(path)
+        part.write.mode("append").parquet(path)
+        run()
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
@@ -75,8 +76,8 @@ def stream_metrics(runs: DataFrame, p95: str = "approx") -> DataFrame:
 
 def gold_refresh(spark: SparkSession, runs: DataFrame, gold_path: str, checkpoint: str,
                  incidents_path: str | None = None, as_of=None, min_runs: int = M.MIN_RUNS) -> None:
-    """Each micro-batch turns the full state into gold metrics (overwrite: replaying a
-    batch id rewrites the same snapshot) and opens incidents for urgent jobs without an open one.
+    """Each micro-batch turns the full state into gold metrics (published as a whole, so a reader
+    sees the old or the new table) and opens incidents for urgent jobs without an open one.
 
     Incidents of batch b are written to ``batch_id=b`` with dynamic partition overwrite and
     compared only with earlier batches, so a replayed batch yields the same rows.
@@ -85,18 +86,15 @@ def gold_refresh(spark: SparkSession, runs: DataFrame, gold_path: str, checkpoin
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
         gold = M.finalize_metrics(df, min_runs=min_runs)
-        gold.write.mode("overwrite").parquet(gold_path)
+        IO.replace_atomic(gold, gold_path)
         if incidents_path is None:
             return
-        g = spark.read.parquet(gold_path)
+        g = IO.read_current(spark, gold_path)
         urgent = g.filter(F.col("verdict").isin("breached", "at_risk")).select("job_name", "team", "verdict")
-        try:
+        if IO.exists(spark, incidents_path):
             seen = spark.read.parquet(incidents_path).filter(F.col("batch_id") < batch_id)
             urgent = urgent.join(seen.filter(F.col("resolved_at").isNull()).select("job_name"), "job_name",
                                  "left_anti")
-        except Exception as e:  # noqa: BLE001 - first batch: no incident table yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
         stamp = F.lit(as_of).cast("timestamp") if as_of is not None else F.lit(None).cast("timestamp")
         (urgent.select("job_name", "team", "verdict", stamp.alias("detected_at"),
                        F.lit(None).cast("timestamp").alias("resolved_at"), F.lit(batch_id).alias("batch_id"))
@@ -115,9 +113,22 @@ def windowed_counts(txn: DataFrame, size: str, slide: str | None = None, delay:
                     "txn_count"))
 
 
-def dedupe_stream(runs: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Drop re-appended copies of a run (same key) within the watermark delay."""
-    return runs.withWatermark("start_time", delay).dropDuplicatesWithinWatermark(["job_name", "run_id"])
+def append_new_runs(spark: SparkSession, runs: DataFrame, silver_path: str, checkpoint: str) -> None:
+    """Append runs that the silver table does not have yet, however late they come.
+
+    Each micro-batch is deduplicated by (job_name, run_id) and compared with the silver rows of the months it
+    touches.  Rows of batch b go to ``batch_id=b`` and are compared with earlier batches only, so a replayed
+    batch writes the same rows.  No state is kept and nothing is dropped for its age.
+    """
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        new = df.dropDuplicates(["job_name", "run_id"]).withColumn("run_month", F.date_format("start_time", "yyyy-MM"))
+        if IO.exists(spark, silver_path):
+            seen = spark.read.parquet(silver_path).filter(F.col("batch_id") < batch_id)
+            new = new.join(seen.select("run_month", "job_name", "run_id"), ["run_month", "job_name", "run_id"], "left_anti")
+        (new.withColumn("batch_id", F.lit(batch_id)).hint("rebalance", "run_month").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("run_month", "batch_id").parquet(silver_path))
+
+    run_available(runs.writeStream.foreachBatch(per_batch), checkpoint)
 
 
 def infra_windows(metrics: DataFrame, size: str = "30 minutes", delay: str = "10 minutes") -> DataFrame:

@@ -92,3 +92,42 @@ def test_exact_quantile_large_keys_and_ties(spark):
         assert got.keys() == want.keys()
         for k in want:
             assert abs(got[k] - want[k]) <= 1e-9 * max(1.0, abs(want[k])), (q, k, got[k], want[k])
+
+
+def test_undated_runs_stay(spark):
+    r = skewed_runs(spark).withColumn("start_time", F.when(~F.col("run_id").endswith("7"), F.col("start_time")))
+    for rows in (30, 2_000_000):
+        a = sorted(map(str, M.replay_scores(r, chunk_rows=rows).collect()))
+        assert len(a) == r.count() and a == sorted(map(str, M.replay_scores(r, split_hot=False).collect()))
+        g = sorted(map(tuple, H.volume_growth(r, chunk_rows=rows).collect()))
+        assert g == sorted(map(tuple, H.volume_growth(r, split_hot=False).collect()))
+
+
+def test_repeated_ids_stay_rows(spark):
+    t0 = datetime(2026, 1, 1)
+    rows = [("a", i % 3, t0 + timedelta(minutes=i % 5)) for i in range(20)] + [("a", 1, None), ("a", 2, None), (None, 7, t0)]
+    tx = spark.createDataFrame(rows, "account_id string, txn_id long, ts timestamp")
+    for n in (4, 2_000_000):
+        got = sorted(map(str, VL.velocity_trailing(tx, 2, 0, chunk_rows=n).collect()))
+        assert got == sorted(map(str, VL.velocity_trailing(tx, 2, 0, split_hot=False).collect()))
+
+
+def test_burst_in_a_long_history_is_split(spark):
+    from runsight.operators.chunked import with_chunks
+    burst = spark.range(200_000).select(F.lit("hot").alias("job_name"), F.timestamp_micros(
+        F.lit(1_700_000_000_000_000) + F.col("id") * 1_000_000).alias("start_time"))
+    cold = spark.range(400).select(F.lit("cold").alias("job_name"), F.timestamp_micros(
+        F.lit(1_380_000_000_000_000) + F.col("id") * 800_000_000_000).alias("start_time"))
+    size = with_chunks(burst.unionByName(cold), "job_name", "start_time", target_rows=2000).groupBy("job_name", "_c").count()
+    assert size.agg(F.max("count")).first()[0] <= 4000
+
+
+def test_asof_keeps_left_rows_without_key_or_time(spark):
+    from runsight.operators.asof import asof_join
+    t0 = datetime(2026, 1, 1)
+    left = spark.createDataFrame([("a", t0 + timedelta(hours=2)), (None, t0), ("a", None)], "k string, at timestamp")
+    right = spark.createDataFrame([("a", t0, 1), (None, t0, 9), ("a", None, 8)], "k string, seen timestamp, v int")
+    for n in (1, 2_000_000):
+        got = asof_join(left, right, "k", "at", "seen", ["v"], target_rows=n).collect()
+        assert sorted((str(r["k"]), str(r["at"]), r["v"]) for r in got) == sorted(
+            [("a", str(t0 + timedelta(hours=2)), 1), ("None", str(t0), None), ("a", "None", None)])

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 FAST = ["job_metrics", "gold_verdicts", "verdict_counts", "agg_latest", "agg_p95_exact", "agg_p95_approx",
         "replay_scores", "urgent_topk", "heatmap", "graph_closure", "cascade_chain", "fingerprint_noisy",
         "sla_health", "deadline_risk", "deadline_risk_tz", "incident_new_only", "mttr", "dq_report_by_day",
-        "reconcile", "velocity_trailing", "daily_summary", "share_ranked", "extract_runs_capped",
+        "reconcile", "velocity_trailing", "daily_summary", "share_ranked", "extract_runs_newest",
         "asof_rows_processed", "silver_clean", "sink_atomic_replace", "stream_job_metrics", "stream_run_drift"]
 
 
