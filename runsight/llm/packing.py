@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import zlib
 from math import ceil
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -26,33 +27,101 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 4096
-#: Words whose ids a worker remembers; the memory is emptied when full, results do not depend on it.
-REMEMBERED = 500_000
+#: Words whose ids a worker remembers, twice: the older half is dropped when full.  Results do not depend on it.
+REMEMBERED = 700_000
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 class Encoder:
-    """Token ids of texts as little-endian unsigned 32-bit bytes.
+    """Token ids of texts as little-endian unsigned 32-bit bytes, for tokenizers that never join across blanks.
 
-    The tokenizer never joins characters across blanks, so each blank-separated word is encoded once and
-    remembered.
+    Each blank-separated word is encoded once and remembered (folded in A-Z if the tokenizer does so itself).  New
+    words are encoded in bulk: those of letters only, in the form that the tokenizer would give them, by its model
+    alone, told apart by the model's mark of word ends; a last stop or comma is a part of its own; all others by the
+    whole tokenizer, held apart by a special token.  Each short cut is used only if it agrees on PROBES; if words
+    can't be told apart the texts are encoded whole.
     """
 
+    PROBES = ("word", "in", "the", "été", "straße", "σοφός", "日本語", "naïveté", "ñandú", "don", "x", "zqxj")
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        fold = self._ids("A").tobytes() == self._ids("a").tobytes()
+        self.table = bytes(c + 32 if fold and 65 <= c <= 90 else (32 if c in (9, 10, 13) else c) for c in range(256))
+        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        self.gap, self.gap_id = max(special.items(), key=lambda x: x[1]) if special else (None, None)
+        self.marks = [m.encode() for m in special]
+        apart = b"".join(self._ids(w).tobytes() for w in self.PROBES)
+        self.by_word = self._ids("\n ".join(self.PROBES)).tobytes() == apart
+        self.stops = b".,;:!?" if all(self._ids(f"{w}{c}").tobytes() == self._ids(w).tobytes() + self._ids(c).tobytes()
+                                     for w in self.PROBES for c in ".,;:!?") else b""
+        self.light, suffix = None, getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if suffix and fold:
+            self.light = Tokenizer.from_file(path)
+            self.light.normalizer = normalizers.Sequence([])
+            self.light.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            vocabulary = self.light.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+            if b"".join(self._plain(list(self.PROBES))) != apart:
+                self.light = None
+        self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """Ids of words that need no normalising, by the model alone."""
+        ids = np.array(self.light.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        return _parts(ids, np.flatnonzero(self.ends[ids]) + 1, 0)
+
+    def learn(self, words: list[bytes]) -> None:
+        """Remember the ids of ``words``."""
+        known, whole = self.known, []
+        new = {w[:-1] if w[-1:] in self.stops and w[-2:-1].isalnum() else w for w in words if w} if self.stops else {*words}
+        new = [w for w in new if w not in known]
+        if self.light is not None:
+            text = [w.decode() for w in new]
+            ok = [t.isalpha() and t == t.lower() and is_normalized("NFC", t) for t in text]
+            plain = [t for t, y in zip(text, ok, strict=True) if y]
+            if plain:
+                known.update(zip([t.encode() for t in plain], self._plain(plain), strict=True))
+            new = [w for w, y in zip(new, ok, strict=True) if not y]
+        for w in new:
+            if w and self.gap is not None and not any(m in w for m in self.marks):
+                whole.append(w)
+            else:
+                known[w] = self._ids(w.decode()).tobytes()
+        if whole:
+            ids = self._ids(self.gap.join([w.decode() for w in whole]))
+            known.update(zip(whole, _parts(ids, np.append(np.flatnonzero(ids == self.gap_id), len(ids)), 1), strict=True))
+        stop = {c: self._ids(chr(c)).tobytes() for c in self.stops}
+        for w in words:
+            if w not in known:
+                known[w] = known[w[:-1]] + stop[w[-1]] if w else b""
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        if not self.by_word:
+            return [self._ids(t).tobytes() for t in texts]
+        split = [t.encode().translate(self.table).split(b" ") for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[w] for w in words]) for words in split]
+            self.before, self.known = self.known, {}
+        known, before = self.known, self.before
+        new = set().union(*split).difference(known)
+        again = new.intersection(before)
+        known.update((w, before[w]) for w in again)
+        self.learn(list(new - again))
+        return [b"".join(map(known.__getitem__, words)) for words in split]
+
+
+def _parts(ids: np.ndarray, ends: np.ndarray, gap: int) -> list[bytes]:
+    """Runs of ids that end before the positions ``ends``, ``gap`` ids apart."""
+    raw, stop = ids.tobytes(), (ends * 4).tolist()
+    return [raw[a:b] for a, b in zip([0, *[e + 4 * gap for e in stop[:-1]]], stop, strict=True)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
