@@ -16,6 +16,7 @@ from runsight.operators import graph as G
 from runsight.operators import metrics as M
 from runsight.operators import sla as H
 from runsight.operators import verdicts as V
+from runsight.sources import extract as X
 from runsight.sources import files as IO
 from runsight.sources import signals as S
 
@@ -47,6 +48,30 @@ def run(runs: DataFrame, registry: DataFrame, infra_metrics: DataFrame, ci: Data
     return res
 
 
+def land_runs(task_records: DataFrame, results: DataFrame, registry: DataFrame, as_of, lookback_hours: int,
+              silver: str) -> DataFrame:
+    """Extract completed runs of known jobs, give each its rows_processed, append those that silver lacks.
+
+    Calling it again with the same records appends nothing.  Returns the silver table.
+    """
+    spark = task_records.sparkSession
+    new = X.attach_rows_processed(X.extract_runs(task_records, registry, as_of, lookback_hours), results, registry)
+    new = new.dropDuplicates(["job_name", "run_id"])
+    if IO.exists(spark, silver):
+        new = new.join(spark.read.parquet(silver).select("job_name", "run_id"), ["job_name", "run_id"], "left_anti")
+    IO.append_partitioned(new, silver, ts_col="start_time")
+    return spark.read.parquet(silver)
+
+
+def end_to_end(task_records: DataFrame, results: DataFrame, registry: DataFrame, infra_metrics: DataFrame,
+               ci: DataFrame, deadlines: DataFrame, as_of, lookback_hours: int, out: str,
+               signals_as_of=None) -> dict[str, DataFrame]:
+    """The product's own flow: task records and results to silver runs, silver runs to the five gold tables."""
+    base = out.rstrip("/")
+    runs = land_runs(task_records, results, registry, as_of, lookback_hours, f"{base}/silver_job_runs")
+    return run(runs, registry, infra_metrics, ci, deadlines, as_of, f"{base}/gold", signals_as_of=signals_as_of)
+
+
 def summary(gold: dict[str, DataFrame]) -> DataFrame:
     """Counts per verdict, read from the gold table (no recomputation)."""
     return V.verdict_counts(gold["gold_job_metrics"]).orderBy(F.col("verdict"))

@@ -502,3 +502,25 @@ def q_view_incidents(t):
     from runsight.plans.q_graph import _views
     from runsight.plans.views import page
     return page(_views(t), "incidents")
+
+
+@register("pipeline_end_to_end", O.with_(O.SUP, O.RUNS, O.RESULTS, O.TASKS, f"""x AS (
+  SELECT dag_id AS job_name, run_id, start_date AS start_time, {R('duration / 60.0', 4)} AS duration_minutes,
+         state AS status, known.team, impact, sla_minutes, normal_rows
+  FROM ti JOIN known ON known.job_name = ti.dag_id WHERE state IN ('success', 'failed') AND duration IS NOT NULL)""",
+    """xr AS (SELECT x.*, coalesce(res.rows_processed, x.normal_rows) AS rows_processed
+  FROM (SELECT *, start_time + to_microseconds(CAST(duration_minutes * 60000000 AS BIGINT)) AS run_end FROM x) x
+  ASOF LEFT JOIN res ON x.job_name = res.job_name AND x.run_end >= res.recorded_at)""",
+    O.metrics_cte(runs="xr")) + """SELECT job_name, team, total_runs, avg_duration, p95_duration, avg_rows, latest_duration,
+  latest_rows, verdict, priority_score FROM m""")
+def q_pipeline_end_to_end(t):
+    """Task records and results to silver and five gold tables, run twice: the second run adds no run."""
+    from runsight.plans import pipeline
+    from runsight.session import scratch_dir
+    ti, out = fx.task_instances(t), scratch_dir(t.spark, "end-to-end")
+    as_of = ti.select(F.max("start_date")).scalar()
+    for _ in range(2):
+        gold = pipeline.end_to_end(ti, fx.results(t), fx.registry_known(t), fx.infra_metrics(t), fx.ci_runs(t),
+                                   fx.deadlines(t), as_of, 20 * 365 * 24, out, signals_as_of=fx.events_max_ts(t))
+    return gold["gold_job_metrics"].select("job_name", "team", "total_runs", "avg_duration", "p95_duration", "avg_rows",
+                                           "latest_duration", "latest_rows", "verdict", "priority_score")
