@@ -21,6 +21,8 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         if new == mark:
             break
         mark = new
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
