@@ -163,11 +163,12 @@ def neighbours(rows: DataFrame, order: list[str]) -> DataFrame:
     whole = schema + ", " + ", ".join(f"e_{c}" for c in _CONTEXT.split(", "))
     cols = [c.split()[0] for c in _CONTEXT.split(", ")]
     sort = [*order, "doc_id", "pos"]
-    out = written(rows.select(cols).repartitionByRange(*sort).sortWithinPartitions(*sort).mapInArrow(run, whole),
+    # Ranges go by the first side only: ties on it have the longest match there, wherever they are cut.
+    out = written(rows.select(cols).repartitionByRange(*order[:2], "doc_id", "pos").sortWithinPartitions(*sort).mapInArrow(run, whole),
                   "neighbours")
     # The first and last suffix of each task: as many rows as two a task, compared once more across tasks.
     ends = out.filter(F.col("e_gram").isNotNull()).select(*[F.col(f"e_{c}").alias(c) for c in cols])
-    across = ends.coalesce(1).sortWithinPartitions(*sort).mapInArrow(run, whole)
+    across = ends.repartition(1).sortWithinPartitions(*sort).mapInArrow(run, whole)
     return out.unionByName(across).filter(F.col("gram").isNotNull()).select(names)
 
 
