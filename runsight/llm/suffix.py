@@ -141,10 +141,11 @@ def neighbours(rows: DataFrame, order: list[str]) -> DataFrame:
         return [pa.array(x) for x in both]
 
     def run(batches):
-        held, edge = None, []
+        held, edge, seen = None, [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
+            seen += batch.num_rows
             cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)] + [
                 _side(batch.column(5)), _side(batch.column(6))]
             edge.append(batch.slice(0, 1)) if held is None else None
@@ -155,7 +156,8 @@ def neighbours(rows: DataFrame, order: list[str]) -> DataFrame:
             empty = [pa.nulls(len(found[0]), f.type) for f in last.schema]
             yield pa.RecordBatch.from_arrays([*found, *empty], [*names, *[f"e_{f.name}" for f in last.schema]])
         if held is not None:
-            ends = pa.Table.from_batches([*edge, last]).combine_chunks().to_batches()[0]
+            # a task's only row is one end, not two: it must not meet itself
+            ends = pa.Table.from_batches([*edge, last] if seen > 1 else edge).combine_chunks().to_batches()[0]
             none = [pa.nulls(ends.num_rows, t) for t in
                     (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())]
             yield pa.RecordBatch.from_arrays([*none, *ends.columns], [*names, *[f"e_{f.name}" for f in ends.schema]])

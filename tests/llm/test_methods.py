@@ -141,14 +141,10 @@ def test_chosen_paths_reach_the_recall():
     assert found >= 299
 
 
-def test_suffix_matches_brute_force(spark, docs, texts):
-    rng = random.Random(2)
-    extra = [sentence(rng, 400) for _ in range(3)]
-    more = [(10_000 + i, " ".join([sentence(rng, 30), " ".join(extra[i % 3].split()[rng.randrange(200):][:rng.randint(45, 90)]),
-                                   sentence(rng, 30)])) for i in range(60)]
-    every = {**texts, **dict(more)}
+def repeated_words(texts):
+    """Words of each text that lie in a run of 50 words found twice."""
     seen = defaultdict(list)
-    for i, t in every.items():
+    for i, t in texts:
         w = fold(t)
         for k in range(len(w) - 49):
             seen[tuple(w[k:k + 50])].append((i, k))
@@ -157,12 +153,42 @@ def test_suffix_matches_brute_force(spark, docs, texts):
         if len(places) > 1:
             for i, k in places:
                 want[i].update(range(k, k + 50))
-    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    return want
+
+
+def passage_rows(seed, n):
+    rng = random.Random(seed)
+    extra = [sentence(rng, 400) for _ in range(3)]
+    return [(10_000 + i, " ".join([sentence(rng, 30), " ".join(extra[i % 3].split()[rng.randrange(200):][:rng.randint(45, 90)]),
+                                   sentence(rng, 30)])) for i in range(n)]
+
+
+def found_words(df):
     got = defaultdict(set)
-    for r in suffix.passages(rows).collect():
+    for r in df.collect():
         got[r.doc_id].update(range(r.start, r.end))
-        assert r.other_id in every and r.n_words == r.end - r.start >= 50
-    assert got == want
+        assert r.n_words == r.end - r.start >= 50
+    return got
+
+
+def test_suffix_matches_brute_force(spark, docs, texts):
+    more = passage_rows(2, 60)
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    assert found_words(suffix.passages(rows)) == repeated_words([*texts.items(), *more])
+
+
+def test_suffix_over_many_tasks(spark):
+    keys = {"spark.sql.shuffle.partitions": "150", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        for seed in (5, 6):
+            rows = passage_rows(seed, 14)
+            assert found_words(suffix.passages(spark.createDataFrame(rows, "doc_id long, text string"))) == repeated_words(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_language_model(spark, docs, texts):
