@@ -16,6 +16,7 @@ from runsight.operators import graph as G
 from runsight.operators import metrics as M
 from runsight.operators import sla as H
 from runsight.operators import verdicts as V
+from runsight.operators.chunked import join_same
 from runsight.sources import extract as X
 from runsight.sources import files as IO
 from runsight.sources import signals as S
@@ -56,9 +57,10 @@ def land_runs(task_records: DataFrame, results: DataFrame, registry: DataFrame,
     """
     spark = task_records.sparkSession
     new = X.attach_rows_processed(X.extract_runs(task_records, registry, as_of, lookback_hours), results, registry)
-    new = new.dropDuplicates(["job_name", "run_id"])
+    key = ["job_name", "run_id", "start_time"]
+    new = new.dropDuplicates(key)
     if IO.exists(spark, silver):
-        new = new.join(spark.read.parquet(silver).select("job_name", "run_id"), ["job_name", "run_id"], "left_anti")
+        new = join_same(new, spark.read.parquet(silver).select(*key), key, "left_anti")
     IO.append_partitioned(new, silver, ts_col="start_time")
     return spark.read.parquet(silver)
 

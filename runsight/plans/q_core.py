@@ -160,7 +160,8 @@ def q_priority(t):
     return gold(t).select("job_name", "impact", "priority_score")
 
 
-@register("replay_scores", RUNS_ONLY + f"""SELECT job_name, run_id, strftime(start_time, '%Y-%m-%d %H:%M:%S.%f') AS start_time,
+def _replay_sql(runs: str) -> str:
+    return RUNS_ONLY + f"""SELECT job_name, run_id, strftime(start_time, '%Y-%m-%d %H:%M:%S.%f') AS start_time,
   prior_runs,
   CASE WHEN prior_runs >= 30 THEN (CASE WHEN s > 0 THEN {O.R('(duration_minutes - a) / s', 3)} ELSE 0.0 END) END
     AS time_drift_score,
@@ -169,11 +170,20 @@ def q_priority(t):
 FROM (SELECT *, count(duration_minutes) OVER w AS prior_runs, avg(duration_minutes) OVER w AS a,
         stddev_samp(duration_minutes) OVER w AS s, avg(rows_processed::DOUBLE) OVER w AS ar,
         stddev_samp(rows_processed::DOUBLE) OVER w AS sr
-      FROM (SELECT * REPLACE (CASE WHEN line_no <> 7 THEN start_time END AS start_time) FROM runs)
-      WINDOW w AS (PARTITION BY job_name ORDER BY start_time NULLS FIRST, run_id
-                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""")
+      FROM {runs} WINDOW w AS (PARTITION BY job_name ORDER BY start_time NULLS FIRST, run_id
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+
+
+@register("replay_scores", _replay_sql("runs"))
 def q_replay_scores(t):
-    """Every run scored against the history before it; undated runs come first."""
+    """Every run scored against the history before it."""
+    return M.replay_scores(fx.runs(t))
+
+
+@register("replay_scores_undated", _replay_sql(
+    "(SELECT * REPLACE (CASE WHEN line_no <> 7 THEN start_time END AS start_time) FROM runs)"))
+def q_replay_scores_undated(t):
+    """C6 when some runs have no start time: they come first."""
     return M.replay_scores(fx.undated_runs(fx.runs(t)))
 
 

@@ -49,13 +49,25 @@ VG_UNDATED = """runs_n AS (SELECT * REPLACE (CASE WHEN line_no <> 7 THEN start_t
 """ + VG.replace("FROM runs_t WHERE", "FROM runs_n WHERE").replace("ORDER BY start_time,", "ORDER BY start_time NULLS FIRST,")
 
 
-@register("volume_growth", TIGHT + ", " + VG_UNDATED + f"""
-  SELECT job_name, {R('first_rows', 6)} AS first_rows, {R('last_rows', 6)} AS last_rows, volume_growth FROM vg2""")
+GROWTH = f"""
+  SELECT job_name, {R('first_rows', 6)} AS first_rows, {R('last_rows', 6)} AS last_rows, volume_growth FROM vg2"""
+
+
+def _growth(r, m):
+    return H.volume_growth(r.join(m.filter(F.col("avg_duration").isNotNull()).select("job_name"), "job_name", "left_semi"))
+
+
+@register("volume_growth", TIGHT + ", " + VG + GROWTH)
 def q_volume_growth(t):
-    """First vs last 20 % of each job's runs; undated runs come first."""
+    """First vs last 20 % of each job's runs."""
+    return _growth(*_tight_metrics(t))
+
+
+@register("volume_growth_undated", TIGHT + ", " + VG_UNDATED + GROWTH)
+def q_volume_growth_undated(t):
+    """W2/H2 when some runs have no start time: they come first."""
     r, m = _tight_metrics(t)
-    return H.volume_growth(fx.undated_runs(r).join(m.filter(F.col("avg_duration").isNotNull()).select("job_name"), "job_name",
-                                  "left_semi"))
+    return _growth(fx.undated_runs(r), m)
 
 
 @register("sla_health", TIGHT + ", " + VG + ", " + HEALTH + " SELECT * FROM h")

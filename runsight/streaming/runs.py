@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from runsight.operators import metrics as M
+from runsight.operators.chunked import join_same
 from runsight.session import scratch_dir
 from runsight.sources import files as IO
 
@@ -113,18 +114,21 @@ def windowed_counts(txn: DataFrame, size: str, slide: str | None = None, delay:
                     "txn_count"))
 
 
+RUN_KEY = ["job_name", "run_id", "start_time"]
+
+
 def append_new_runs(spark: SparkSession, runs: DataFrame, silver_path: str, checkpoint: str) -> None:
     """Append runs that the silver table does not have yet, however late they come.
 
-    Each micro-batch is deduplicated by (job_name, run_id) and compared with the silver rows of the months it
+    Each micro-batch is deduplicated by (job_name, run_id, start_time) and compared with the silver rows of the months it
     touches.  Rows of batch b go to ``batch_id=b`` and are compared with earlier batches only, so a replayed
     batch writes the same rows.  No state is kept and nothing is dropped for its age.
     """
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        new = df.dropDuplicates(["job_name", "run_id"]).withColumn("run_month", F.date_format("start_time", "yyyy-MM"))
+        new = df.dropDuplicates(RUN_KEY).withColumn("run_month", F.date_format("start_time", "yyyy-MM"))
         if IO.exists(spark, silver_path):
             seen = spark.read.parquet(silver_path).filter(F.col("batch_id") < batch_id)
-            new = new.join(seen.select("run_month", "job_name", "run_id"), ["run_month", "job_name", "run_id"], "left_anti")
+            new = join_same(new, seen.select("run_month", *RUN_KEY), ["run_month", *RUN_KEY], "left_anti")
         (new.withColumn("batch_id", F.lit(batch_id)).hint("rebalance", "run_month").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("run_month", "batch_id").parquet(silver_path))
 

@@ -15,7 +15,7 @@ FAST = ["job_metrics", "gold_verdicts", "verdict_counts", "agg_latest", "agg_p95
         "sla_health", "deadline_risk", "deadline_risk_tz", "incident_new_only", "mttr", "dq_report_by_day",
         "reconcile", "velocity_trailing", "daily_summary", "share_ranked", "extract_runs_newest",
         "asof_rows_processed", "silver_clean", "sink_atomic_replace", "stream_job_metrics", "stream_run_drift",
-        "fingerprint_busy_ci", "volume_growth", "incident_resolved", "incident_report", "view_fingerprints",
+        "fingerprint_busy_ci", "volume_growth_undated", "replay_scores_undated", "incident_resolved", "incident_report", "view_fingerprints",
         "stream_dedupe", "stream_incidents", "stream_velocity_tumbling", "pipeline_end_to_end"]
 
 
