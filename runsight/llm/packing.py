@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 BLOCK = 4096
 #: Words whose ids a worker remembers, twice: the older half is dropped when full.  Results do not depend on it.
-REMEMBERED = 700_000
+REMEMBERED = 400_000
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
