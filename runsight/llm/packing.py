@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 BLOCK = 4096
 #: Words whose ids a worker remembers, twice: the older half is dropped when full.  Results do not depend on it.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
@@ -44,7 +44,8 @@ class Encoder:
 
     PROBES = ("word", "in", "the", "été", "straße", "σοφός", "日本語", "naïveté", "ñandú", "don", "x", "zqxj")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
@@ -108,7 +109,7 @@ class Encoder:
         if not self.by_word:
             return [self._ids(t).tobytes() for t in texts]
         split = [t.encode().translate(self.table).split(b" ") for t in texts]
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.before, self.known = self.known, {}
         known, before = self.known, self.before
         new = set().union(*split).difference(known)
@@ -127,10 +128,11 @@ def _parts(ids: np.ndarray, ends: np.ndarray, gap: int) -> list[bytes]:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     """The worker's encoder for the vocabulary file ``path``."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].remembered = remembered
     return _ENCODERS[path]
 
 
@@ -164,12 +166,13 @@ def assign(lengths: np.ndarray, size: int, linear: float, quadratic: float) -> l
 
 
 def pack(docs: DataFrame, tokenizer_path: str, text: str = "text", id_col: str = "doc_id", size: int = 2048,
-         end_id: int = 1, linear: float = 1.0, quadratic: float = 1 / 2048, block: int = BLOCK) -> DataFrame:
+         end_id: int = 1, linear: float = 1.0, quadratic: float = 1 / 2048, block: int = BLOCK,
+         remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     names = [c.split()[0] for c in SCHEMA.split(", ")]
 
     def run(batches):
-        encode, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(tokenizer_path, remembered), np.array([end_id], "<u4").tobytes()
         base, used = TaskContext.get().partitionId() << 40, 0
         out: list[tuple] = []
         rests: list[tuple] = []
