@@ -8,6 +8,10 @@ point u_i = i * 1327217885 mod 2^31, whose place in the cumulated targets names
 within their source.  Block r of a source is words [r * block, (r + 1) * block) of its documents in a shuffled
 order (MD5 of doc_id), repeated at most REPEAT times.  Slot with rank r of a source takes block r.
 
+A block grows with the corpus, so a source whose target is under FINE blocks would meet its slots by chance.  Where
+a block is more than one word, such a source has blocks of its own, up to FINE of them however small its target;
+they are spread evenly over the slots and end at its target exactly.
+
 All arithmetic is on integers, so reruns agree.  Ranks and offsets are prefix sums over small (source, chunk)
 tables; no window holds a whole source.  Unpartitioned windows exist over the table of sources only.
 
@@ -25,6 +29,7 @@ from runsight.llm.common import free_name, words_of, written
 WEIGHTS = (5, 2, 1)
 REPEAT = 3
 SLOTS = 1 << 20
+FINE = 1024
 GOLDEN, RING = 1327217885, 1 << 31
 CELLS = 4096
 CHUNK = 1 << 14
@@ -115,20 +120,27 @@ def mix(sized: DataFrame, weights=WEIGHTS, repeat: int = REPEAT, slots: int = SL
     shares = written(targets(sized, weights, repeat), "shares")
     total = shares.agg(F.sum("source_size")).first()[0] or 0
     block = max(1, -(-total // slots))
+    n_slots = -(-total // block)
     docs = written(placed(sized, shares), "placed")
     begin = F.col("round") * F.col("source_size") + F.col("at")
-    parts = (docs.filter(F.col("size") > 0)
-             .withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(repeat - 1))))
-             .withColumn("begin", begin)
-             .filter(F.col("begin") < F.col("target") + 64 * block)
-             .withColumn("rank", F.explode(F.sequence(F.floor(F.col("begin") / block),
-                                                      F.floor((F.col("begin") + F.col("size") - 1) / block)))))
-    timed = schedule(shares, -(-total // block)).select("skey", "rank", "slot")
-    pieces = parts.join(timed, ["skey", "rank"]).select(
+    own = F.lit(block > 1) & (F.col("target") < FINE * block)
+    rows = docs.filter(F.col("size") > 0).withColumns({
+        "own": own, "stop": F.when(own, F.round("target")).otherwise(F.col("target") + 64 * block).cast("long"),
+        "step": F.when(own, F.ceil(F.col("target") / FINE)).otherwise(F.lit(block)).cast("long")})
+    end = F.when(F.col("own"), F.least(F.col("begin") + F.col("size"), F.col("stop"))).otherwise(
+        F.col("begin") + F.col("size"))
+    parts = (rows.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(repeat - 1))))
+             .withColumn("begin", begin).filter(F.col("begin") < F.col("stop")).withColumn("end", end)
+             .withColumn("rank", F.explode(F.sequence(F.floor(F.col("begin") / F.col("step")),
+                                                      F.floor((F.col("end") - 1) / F.col("step"))))))
+    coarse = parts.filter(~F.col("own")).join(schedule(shares, n_slots).select("skey", "rank", "slot"), ["skey", "rank"])
+    fine = parts.filter("own").withColumn("slot", F.expr(
+        f"((rank * {CELLS} + pmod(xxhash64(skey), {CELLS})) * {n_slots}) div (ceil(stop / step) * {CELLS})"))
+    pieces = coarse.unionByName(fine).select(
         "slot", "doc_id", "skey", "source", "size", "source_size", "target", "at", "round",
-        (F.least(F.col("begin") + F.col("size"), (F.col("rank") + 1) * block)
-         - F.greatest(F.col("begin"), F.col("rank") * block)).alias("words"),
-        (F.floor(F.col("begin") / block) == F.col("rank")).alias("opens"))
+        (F.least(F.col("end"), (F.col("rank") + 1) * F.col("step"))
+         - F.greatest(F.col("begin"), F.col("rank") * F.col("step"))).alias("words"),
+        (F.floor(F.col("begin") / F.col("step")) == F.col("rank")).alias("opens"))
     return docs, pieces
 
 

@@ -302,6 +302,22 @@ def test_mix_comes_near_its_targets(spark, docs):
     assert all(abs(t - g) <= 0.01 * g + 5 for t, g in per.values())
 
 
+def test_small_sources_beside_a_large_one(spark, monkeypatch):
+    """Blocks of thousands of words: every small source still comes to its target, and no document of it is lost."""
+    rng = random.Random(3)
+    rows = [(i, sentence(rng, 2000), "a") for i in range(50)]
+    rows += [(100 + 10 * k + i, sentence(rng, 20 + 30 * k), f"s{k}") for k in range(8) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing.mix, "__defaults__", (mixing.WEIGHTS, mixing.REPEAT, 20))
+    by_id, per = {i: s for i, _, s in rows}, defaultdict(lambda: [0, 0.0])
+    for r in mixing.taken(docs).collect():
+        per[by_id[r.doc_id]][0] += r.taken
+        per[by_id[r.doc_id]][1] = r.target
+    assert all(abs(t - g) <= 1 for s, (t, g) in per.items() if s != "a"), dict(per)
+    kept = {r.doc_id for r in mixing.mixed_documents(docs).collect()}
+    assert {i for i in by_id if i >= 100} <= kept
+
+
 def test_packing_balances_cost():
     rng = np.random.default_rng(0)
     n = rng.integers(1, 2048, 800)
