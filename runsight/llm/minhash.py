@@ -7,8 +7,9 @@ Join: each representative has WIDTH minwise values.  A tree maps it to paths: at
 selects one coordinate, or with probability 1/4 two, and the minwise value there names the child; the mean of
 1.25 branches is 1 / THRESHOLD, so a pair at the threshold keeps about one common path at any depth.  Nodes are
 first counted at a depth that grows with the logarithm of the input; those above NODE members branch on, the
-others are compared exhaustively.  The number of independent trees follows from the recall sought and the
-chance that a pair at the threshold still shares a node at that depth.
+others are compared exhaustively.  The number of trees follows from the recall sought and the chance that a pair at
+the threshold still shares a node at that depth, averaged over the minwise values, which all trees read alike.  Members
+of nodes that branched on get further trees, as many as the depth really reached needs.
 
 Confirmed links are gathered in three passes, each on 8-bit sketches first and on the full sets in the end.  A few
 trees link every document to the best of its nodes' smallest members, so that groups of near copies, however
@@ -142,12 +143,22 @@ def first_depth(n: int) -> int:
 
 
 def tree_count(depth: int, recall: float = RECALL) -> int:
-    """Trees needed so that a pair at the threshold shares a node of this depth in one of them."""
-    p, lost = THRESHOLD / 100, 0.0
+    """Trees needed so that a pair at the threshold shares a node of this depth in one of them.
+
+    The trees are independent only given the signatures, so the chance is averaged over how many of the WIDTH
+    minwise values agree.
+    """
+    p = THRESHOLD / 100
+    agree = np.arange(WIDTH + 1)
+    chance = np.array([math.comb(WIDTH, k) * p**k * (1 - p)**(WIDTH - k) for k in agree.tolist()])
+    lost = np.zeros(WIDTH + 1)
     for _ in range(depth):
-        miss = 1 - p + p * lost
+        miss = 1 - agree / WIDTH + agree / WIDTH * lost
         lost = 0.75 * miss + 0.25 * miss * miss
-    return math.ceil(math.log(1 - recall) / math.log(lost))
+    trees = 1
+    while chance @ lost**trees > 1 - recall:
+        trees += 1
+    return trees
 
 
 def step(rows: np.ndarray, path: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,16 +186,16 @@ def _nodes(path, ids, part):
                                       ["node", "id", "component"])
 
 
-def paths(reps: DataFrame, depth: int, trees: int) -> DataFrame:
-    """(node, id, component): the nodes at ``depth`` of all trees that each representative reaches."""
+def paths(reps: DataFrame, depth: int, trees: int, first: int = 0) -> DataFrame:
+    """(node, id, component): the nodes at ``depth`` of the trees from ``first`` that each representative reaches."""
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 4000):
                 some = batch.slice(at, 4000)
                 ids, part = (some.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
                 sig = _signatures(some.column(2))
-                rows = np.tile(np.arange(len(ids)), trees)
-                path = mixed(np.repeat(np.arange(1, trees + 1, dtype=np.uint64) * _BASE, len(ids)))
+                rows = np.tile(np.arange(len(ids)), trees - first)
+                path = mixed(np.repeat(np.arange(first + 1, trees + 1, dtype=np.uint64) * _BASE, len(ids)))
                 for _ in range(depth):
                     rows, path = step(rows, path, sig)
                 yield _nodes(path, ids[rows], part[rows])
@@ -236,23 +247,36 @@ def blocks(big: DataFrame, node: int) -> DataFrame:
 
 
 def leaves(reps: DataFrame, depth: int, trees: int, node: int = NODE) -> DataFrame:
-    """(node, id, component) of all nodes to be compared exhaustively."""
-    level = unsettled(paths(reps, depth, trees))
-    out = [level.filter(F.col("n") <= node)]
-    for _ in range(MORE_LEVELS):
-        big = level.filter(F.col("n") > node)
-        if big.isEmpty():
-            break
-        many = (big.select("node", "component").distinct().groupBy("node").agg(F.count(F.lit(1)).alias("k"))
-                .filter(F.col("k") > node).select("node"))
-        out.append(blocks(big.join(many, "node", "left_anti"), node))
-        level = unsettled(deeper(big.join(many, "node", "left_semi"), reps))
+    """(node, id, component) of all nodes to be compared exhaustively.
+
+    Every further token loses pairs, so members of the nodes that branched on get more trees, until there are as many
+    as ``tree_count`` asks for at the depth reached.  Both ends of a pair that is lost there are such members.
+    """
+    out, members, first, reached = [], reps, 0, 0
+    while first < trees:
+        level = unsettled(paths(members, depth, trees, first))
         out.append(level.filter(F.col("n") <= node))
-    else:
-        out.append(blocks(level.filter(F.col("n") > node), node))
+        for more in range(1, MORE_LEVELS + 1):
+            big = level.filter(F.col("n") > node)
+            if big.isEmpty():
+                break
+            many = (big.select("node", "component").distinct().groupBy("node").agg(F.count(F.lit(1)).alias("k"))
+                    .filter(F.col("k") > node).select("node"))
+            out.append(blocks(big.join(many, "node", "left_anti"), node))
+            on = written(big.join(many, "node", "left_semi"), "branched")
+            if on.isEmpty():
+                break
+            reached = max(reached, more)
+            if first == 0 and more == 1:  # whatever branches later is a member of these nodes
+                members = written(reps.join(on.select("id").distinct(), "id", "left_semi"), "members")
+            level = unsettled(deeper(on, reps))
+            out.append(level.filter(F.col("n") <= node))
+        else:
+            out.append(blocks(level.filter(F.col("n") > node), node))
+        first, trees = trees, max(trees, tree_count(depth + reached)) if reached else trees
     every = out[0].select("node", "id", "component")
-    for more in out[1:]:
-        every = every.unionByName(more.select("node", "id", "component"))
+    for some in out[1:]:
+        every = every.unionByName(some.select("node", "id", "component"))
     return every
 
 

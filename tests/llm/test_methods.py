@@ -141,6 +141,21 @@ def test_chosen_paths_reach_the_recall():
     assert found >= 299
 
 
+def test_recall_holds_when_nodes_branch_on(spark):
+    """Many documents with half of their values in common, in nodes too large: pairs at the threshold still meet."""
+    rng = np.random.default_rng(11)
+    n = 700
+    one = rng.integers(0, 2, (n, minhash.WIDTH))
+    two = np.where(rng.random((n, minhash.WIDTH)) < 0.6, one, rng.integers(0, 2, (n, minhash.WIDTH)))  # 0.8 agree
+    sig = np.stack([one, two], 1).reshape(2 * n, -1).astype("<u4")
+    reps = written(spark.createDataFrame([(i, i, s.tobytes()) for i, s in enumerate(sig)],
+                                         "id long, component long, sig binary").repartition(4), "reps")
+    leaf = minhash.leaves(reps, 2, minhash.tree_count(2), 12)
+    met = (leaf.withColumn("pair", F.floor(F.col("id") / 2)).groupBy("node", "pair")
+           .agg(F.countDistinct("id").alias("k")).filter("k = 2").select("pair").distinct().count())
+    assert met >= n - 2
+
+
 def repeated_words(texts):
     """Words of each text that lie in a run of 50 words found twice."""
     seen = defaultdict(list)
