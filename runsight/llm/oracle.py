@@ -99,3 +99,78 @@ SELECT w.doc_id, coalesce(c.n, 0) AS n_shingles, coalesce(m.root, r.rep, w.doc_i
        w.doc_id = coalesce(m.root, r.rep, w.doc_id) AS kept
 FROM w LEFT JOIN c ON c.doc_id = w.doc_id LEFT JOIN r ON r.doc_id = w.doc_id LEFT JOIN m ON m.id = r.rep
 """
+
+#: CRC-32 of a short text, bit by bit.
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                             lambda x, z: xor(x >> 1, (x & 1) * 3988292384))), 4294967295::BIGINT)"""
+
+SQL["op12_periodic_runs"] = rf"""
+WITH d AS (SELECT doc_id, {_CRC} AS h, {_WORDS} AS w FROM documents),
+a AS (SELECT doc_id, h, w, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+p AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM a),
+t AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w
+             ELSE list_transform(range(0, n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) END AS w
+      FROM p),
+u AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, n)) AS i FROM t),
+g AS (SELECT doc_id, i, word, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o,
+                                       lead(word, 4) OVER o) AS gram, lead(word, 4) OVER o IS NOT NULL AS full_gram
+      FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+e AS (SELECT doc_id, i, word, full_gram AND count(*) OVER (PARTITION BY doc_id, gram) > 1 AS again FROM g),
+c AS (SELECT doc_id, i, word, max(again::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS 4 PRECEDING) AS near FROM e),
+s AS (SELECT doc_id, i, word, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS stretch FROM c WHERE near = 1),
+z AS (SELECT doc_id, stretch, min(i) AS first, list(word ORDER BY i) AS w FROM s GROUP BY 1, 2),
+q AS (SELECT doc_id, first, w, unnest(range(1, len(w) // 4 + 1)) AS q FROM z),
+m AS (SELECT doc_id, first, q, unnest(list_filter(range(1, len(w) - q + 1), lambda k: w[k] = w[k + q])) AS k FROM q),
+l AS (SELECT doc_id, first, q, k, k - row_number() OVER (PARTITION BY doc_id, first, q ORDER BY k) AS island FROM m),
+f AS (SELECT doc_id, first + min(k) - 1 AS start, count(*) + q AS length, q FROM l GROUP BY doc_id, first, q, island
+      HAVING count(*) + q >= greatest(6, 4 * q)),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM f GROUP BY doc_id, start, length),
+b AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), ''
+                                                    ORDER BY start, period) AS lines FROM r GROUP BY doc_id),
+x AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) AS place FROM r),
+v AS (SELECT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+k AS (SELECT u.doc_id, string_agg(word, ' ' ORDER BY u.i) AS kept FROM u ANTI JOIN v ON u.doc_id = v.doc_id AND u.i = v.i
+      GROUP BY u.doc_id)
+SELECT t.doc_id, coalesce(b.n_runs, 0) AS n_runs, x.start, x.length, x.period,
+       1000 * x.length // x.period AS exponent_milli, sha256(coalesce(b.lines, '')) AS runs_sha256,
+       sha256(coalesce(k.kept, '')) AS collapsed_sha256
+FROM t LEFT JOIN b ON t.doc_id = b.doc_id LEFT JOIN x ON t.doc_id = x.doc_id AND x.place = 1
+LEFT JOIN k ON t.doc_id = k.doc_id
+"""
+
+
+def _codes(book: str) -> str:
+    """Every part with its nearest entry of ``book``; of equal distances the lowest entry."""
+    return f"""SELECT vec_id, part, v, arg_min(entry, (dist, entry)) AS entry, min(dist) AS dist FROM (
+    SELECT p.vec_id, p.part, p.v, b.entry, list_sum(list_transform(list_zip(p.v, b.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT
+           AS dist FROM p JOIN {book} b ON p.part = b.part) GROUP BY ALL"""
+
+
+def _book(codes: str, book: str) -> str:
+    """``book`` with every used entry replaced by the floored mean of its parts."""
+    return f"""SELECT b.part, b.entry, coalesce(m.e, b.e) AS e FROM {book} b LEFT JOIN (
+    SELECT part, entry, list(c ORDER BY i) AS e FROM (
+        SELECT part, entry, i, floor(sum(x) / count(*))::BIGINT AS c
+        FROM (SELECT part, entry, unnest(v) AS x, unnest(range(len(v))) AS i FROM {codes}) GROUP BY 1, 2, 3)
+    GROUP BY 1, 2) m ON b.part = m.part AND b.entry = m.entry"""
+
+
+SQL["op13_orchard_codes"] = f"""
+WITH k AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x,
+                  row_number() OVER (ORDER BY vec_id) - 1 AS place FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+j AS (SELECT vec_id, place, x, unnest(range(16)) AS part FROM k),
+p AS MATERIALIZED (SELECT vec_id, place, part, x[part * len(x) // 16 + 1:(part + 1) * len(x) // 16] AS v FROM j),
+b0 AS (SELECT part, place AS entry, v AS e FROM p WHERE place < 64),
+c0 AS MATERIALIZED ({_codes("b0")}),
+b1 AS MATERIALIZED ({_book("c0", "b0")}),
+c1 AS MATERIALIZED ({_codes("b1")}),
+b2 AS MATERIALIZED ({_book("c1", "b1")}),
+c2 AS MATERIALIZED ({_codes("b2")}),
+r AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(dist)::BIGINT AS error
+      FROM c2 GROUP BY vec_id),
+s AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b2)
+SELECT r.vec_id, r.code, r.error, (sum(r.error) OVER (PARTITION BY k.label))::BIGINT AS label_error, s.codebooks_sha256
+FROM r JOIN k ON r.vec_id = k.vec_id CROSS JOIN s
+"""

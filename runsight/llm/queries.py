@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from runsight.llm import exact_dedup, lm, minhash, mixing, packing, pii, quality, suffix, toxicity, warc
+from runsight.llm import (exact_dedup, langid, lm, minhash, mixing, packing, periods, pii, quality, suffix, toxicity,
+                          vectors, warc)
 from runsight.llm.common import table
 from runsight.llm.oracle import SQL
 
@@ -85,4 +87,27 @@ def op10_pack(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@query
+def op11_langid(spark, sf_dir):
+    """Language of every document by bitmask n-gram filters."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    """Runs of repeated words in every document, a tenth of them made periodic first."""
+    docs = table(spark, sf_dir, "documents")
+    return periods.digests(periods.find(
+        docs.select("doc_id", periods.made_periodic(F.col("doc_id"), F.col("text")).alias("text"))))
+
+
+@query
+def op13_orchard_codes(spark, sf_dir):
+    """Codes of every sound vector, in hexadecimal."""
+    found = vectors.compressed(table(spark, sf_dir, "embeddings"))
+    digits = F.concat_ws("", F.transform("code", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")))
+    return found.select("vec_id", digits.alias("code"), "error", "label_error", "codebooks_sha256")
+
+
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}
