@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +49,24 @@ def free_name(df: DataFrame, *wanted: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def sliced(batches, text: int, rows: int, size: int):
+    """Slices of Arrow batches of at most ``rows`` rows and ``size`` bytes in column ``text`` (a longer one alone)."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            end = int(np.searchsorted(ends, before + size, side="right"))
+            end = min(max(end, at + 1), at + rows, batch.num_rows)
+            yield batch.slice(at, end - at)
+            at = end
+
+
+def releasing(run):
+    """``run`` over a task's batches; what Arrow no longer uses then goes back to the system, as workers live on."""
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+    return whole

@@ -25,11 +25,10 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runsight.llm.common import written
+from runsight.llm.common import sliced, written
 
 TRAIN_TEXTS = 4000
 ORDERS = (1, 2, 3, 4)
@@ -160,22 +159,9 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def _texts(batches):
-    """Batches in bounded slices."""
-    for batch in batches:
-        at = 0
-        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy())
-        while at < batch.num_rows:
-            before = sizes[at - 1] if at else 0
-            end = int(np.searchsorted(sizes, before + BLOCK))
-            end = min(max(end, at + 1), at + SLICE_TEXTS, batch.num_rows)
-            yield batch.slice(at, end - at)
-            at = end
-
-
 def _counted(batches):
     """(lang, order, key, n), combined per slice."""
-    for part in _texts(batches):
+    for part in sliced(batches, 0, SLICE_TEXTS, BLOCK):
         c, of, _ = characters(part.column("text").to_pylist())
         lang = np.asarray(part.column("lang").to_pylist(), np.int64)
         for order in ORDERS:
@@ -226,7 +212,7 @@ def fit(docs: DataFrame, text: str = "text", id_col: str = "doc_id", lang: str =
 def predict(docs: DataFrame, model: Filter, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document."""
     def run(batches):
-        for part in _texts(batches):
+        for part in sliced(batches, 2, SLICE_TEXTS, BLOCK):
             names, share = model.predict(part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(names, pa.string()), pa.array(share)],

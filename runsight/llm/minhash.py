@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runsight.llm.common import free_name, written
+from runsight.llm.common import free_name, releasing, written
 from runsight.llm.components import components
 from runsight.llm.groups import with_groups
 
@@ -134,7 +134,7 @@ def sketches(docs: DataFrame, text: str, id_col: str) -> DataFrame:
                     ["doc_id", "n_shingles", "digest", "sig", "sketch"])
 
     return written(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string"))
-                   .mapInArrow(run, "doc_id long, n_shingles long, digest string, sig binary, sketch binary"), "sketches")
+                   .mapInArrow(releasing(run), "doc_id long, n_shingles long, digest string, sig binary, sketch binary"), "sketches")
 
 
 def first_depth(n: int) -> int:

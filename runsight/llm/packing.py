@@ -22,13 +22,20 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from runsight.llm.common import releasing, sliced
+
 BLOCK = 4096
 #: Words whose ids a worker remembers, twice: the older half is dropped when full.  Results do not depend on it.
 REMEMBERED = 700_000
+#: ASCII characters that may end a word without being a part of it.
+PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Texts and characters that are encoded together; a longer text is encoded alone.
+SLICE_TEXTS, SLICE_CHARS = 1024, 4_000_000
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
@@ -37,9 +44,9 @@ class Encoder:
 
     Each blank-separated word is encoded once and remembered (folded in A-Z if the tokenizer does so itself).  New
     words are encoded in bulk: those of letters only, in the form that the tokenizer would give them, by its model
-    alone, told apart by the model's mark of word ends; a last stop or comma is a part of its own; all others by the
-    whole tokenizer, held apart by a special token.  Each short cut is used only if it agrees on PROBES; if words
-    can't be told apart the texts are encoded whole.
+    alone, told apart by the model's mark of word ends; up to three signs of punctuation at the end are a part of their
+    own; all others by the whole tokenizer, held apart by a special token.  Each short cut, and each such end, is used
+    only if it agrees on PROBES; if words can't be told apart the texts are encoded whole.
     """
 
     PROBES = ("word", "in", "the", "été", "straße", "σοφός", "日本語", "naïveté", "ñandú", "don", "x", "zqxj")
@@ -56,8 +63,9 @@ class Encoder:
         self.marks = [m.encode() for m in special]
         apart = b"".join(self._ids(w).tobytes() for w in self.PROBES)
         self.by_word = self._ids("\n ".join(self.PROBES)).tobytes() == apart
-        self.stops = b".,;:!?" if all(self._ids(f"{w}{c}").tobytes() == self._ids(w).tobytes() + self._ids(c).tobytes()
-                                     for w in self.PROBES for c in ".,;:!?") else b""
+        self.stops = PUNCTUATION if self.by_word else b""
+        #: Ids of the runs of punctuation that were tried after words, None for those that change a word's ids.
+        self.tails: dict[bytes, bytes | None] = {}
         self.light, suffix = None, getattr(self.tokenizer.model, "end_of_word_suffix", None)
         if suffix and fold:
             self.light = Tokenizer.from_file(path)
@@ -80,11 +88,29 @@ class Encoder:
         ids = np.array(self.light.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         return _parts(ids, np.flatnonzero(self.ends[ids]) + 1, 0)
 
+    def _tail(self, word: bytes) -> int:
+        """Length of the punctuation at the end of ``word`` that is encoded apart from what is before it, else 0."""
+        head = word.rstrip(self.stops)
+        n = len(word) - len(head)
+        if not 0 < n <= 3 or not head or any(m in word for m in self.marks):
+            return 0
+        if not (head[-1:].isalnum() or (head[-1] > 127 and head.decode()[-1].isalpha())):
+            return 0
+        tail = word[-n:]
+        if tail not in self.tails:
+            own, end = self._ids(tail.decode()).tobytes(), tail.decode()
+            want = b"".join(self._ids(w).tobytes() + own for w in self.PROBES)
+            same = self._ids("\n ".join(w + end for w in self.PROBES)).tobytes() == want
+            self.tails[tail] = own if same else None
+        return n if self.tails[tail] is not None else 0
+
     def learn(self, words: list[bytes]) -> None:
         """Remember the ids of ``words``."""
         known, whole = self.known, []
-        new = {w[:-1] if w[-1:] in self.stops and w[-2:-1].isalnum() else w for w in words if w} if self.stops else {*words}
-        new = [w for w in new if w not in known]
+        cut = [(w, n) for w in words if w[-1:] in self.stops and w and (n := self._tail(w))] if self.stops else []
+        new = set(words).difference(w for w, _ in cut)
+        new.update(w[:-n] for w, n in cut)
+        new = [w for w in new if w and w not in known]
         if self.light is not None:
             text = [w.decode() for w in new]
             ok = [t.isalpha() and t == t.lower() and is_normalized("NFC", t) for t in text]
@@ -100,23 +126,41 @@ class Encoder:
         if whole:
             ids = self._ids(self.gap.join([w.decode() for w in whole]))
             known.update(zip(whole, _parts(ids, np.append(np.flatnonzero(ids == self.gap_id), len(ids)), 1), strict=True))
-        stop = {c: self._ids(chr(c)).tobytes() for c in self.stops}
-        for w in words:
-            if w not in known:
-                known[w] = known[w[:-1]] + stop[w[-1]] if w else b""
+        known.update((w, known[w[:-n]] + self.tails[w[-n:]]) for w, n in cut)
+        known[b""] = b""
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [self._ids(t).tobytes() for t in texts]
-        split = [t.encode().translate(self.table).split(b" ") for t in texts]
+        raw = pa.array([t.encode().translate(self.table) for t in texts], pa.binary())
+        split = pc.split_pattern(raw, " ")
+        coded = split.flatten().dictionary_encode()  # each different word is looked up once
+        words, at = _values(coded.dictionary), coded.indices.to_numpy()
         if len(self.known) > self.remembered:
             self.before, self.known = self.known, {}
         known, before = self.known, self.before
-        new = set().union(*split).difference(known)
-        again = new.intersection(before)
-        known.update((w, before[w]) for w in again)
-        self.learn(list(new - again))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        own = list(map(known.get, words))
+        new = [w for w, ids in zip(words, own, strict=True) if ids is None]
+        if before:
+            known.update((w, before[w]) for w in new if w in before)
+        self.learn([w for w in new if w not in before])
+        if new:
+            own = [known[w] if ids is None else ids for w, ids in zip(words, own, strict=True)]
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        starts = np.cumsum(sizes) - sizes
+        n = sizes[at]
+        ends = np.cumsum(n)
+        place = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[at] - (ends - n), n)
+        ids = np.frombuffer(b"".join(own), "<u4")[place].tobytes()
+        stop = np.concatenate([[0], ends])[split.offsets.to_numpy()] * 4
+        return [ids[a:b] for a, b in zip(stop.tolist(), stop[1:].tolist(), strict=False)]
+
+
+def _values(column: pa.Array) -> list[bytes]:
+    """The values of a binary column without nulls."""
+    stop = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].tolist()
+    raw = column.buffers()[2].to_pybytes() if column.buffers()[2] else b""
+    return [raw[a:b] for a, b in zip(stop, stop[1:], strict=False)]
 
 
 def _parts(ids: np.ndarray, ends: np.ndarray, gap: int) -> list[bytes]:
@@ -167,8 +211,11 @@ def assign(lengths: np.ndarray, size: int, linear: float, quadratic: float) -> l
 
 def pack(docs: DataFrame, tokenizer_path: str, text: str = "text", id_col: str = "doc_id", size: int = 2048,
          end_id: int = 1, linear: float = 1.0, quadratic: float = 1 / 2048, block: int = BLOCK,
-         remembered: int = REMEMBERED) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+         remembered: int = REMEMBERED, forget: bool = False) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    ``forget``: a task leaves no words behind in its worker (less memory for what the worker does next, more time).
+    """
     names = [c.split()[0] for c in SCHEMA.split(", ")]
 
     def run(batches):
@@ -195,26 +242,27 @@ def pack(docs: DataFrame, tokenizer_path: str, text: str = "text", id_col: str =
             used += ceil(int(lengths.sum()) / size)
             rests.clear()
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for doc, ids in zip(part.column(0).to_pylist(), encode(texts), strict=True):
-                    ids += end
-                    total = len(ids) // 4
-                    for start in range(0, total - size + 1, size):
-                        out.append((doc, start, size, zlib.crc32(ids[4 * start:4 * (start + size)]), total,
-                                    base + used, 0))
-                        used += 1
-                    if total % size:
-                        start = total - total % size
-                        rests.append((doc, start, ids[4 * start:], total))
-                        if len(rests) >= block:
-                            flush()
-                if len(out) > 10_000:
-                    yield emit()
+        for part in sliced(batches, 1, SLICE_TEXTS, SLICE_CHARS):
+            texts = [t or "" for t in part.column(1).to_pylist()]
+            for doc, ids in zip(part.column(0).to_pylist(), encode(texts), strict=True):
+                ids += end
+                total = len(ids) // 4
+                for start in range(0, total - size + 1, size):
+                    out.append((doc, start, size, zlib.crc32(ids[4 * start:4 * (start + size)]), total,
+                                base + used, 0))
+                    used += 1
+                if total % size:
+                    start = total - total % size
+                    rests.append((doc, start, ids[4 * start:], total))
+                    if len(rests) >= block:
+                        flush()
+            if len(out) > 10_000:
+                yield emit()
         if rests:
             flush()
         yield emit()
+        if forget:
+            encode.known, encode.before = {}, {}
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text).cast("string")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col(id_col).cast("long"), F.col(text).cast("string")).mapInArrow(
+        releasing(run), SCHEMA)

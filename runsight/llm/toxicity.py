@@ -23,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runsight.llm.common import written
+from runsight.llm.common import releasing, sliced, written
 
 TRAIN_ROWS = 8000
 MAX_FEATURES = 1024
 MIN_DOCS = 4
 FOLDS = 3
+#: Texts and bytes that are scored together; a longer text is scored alone.
+SLICE_TEXTS, SLICE_BYTES = 512, 4_000_000
 #: Terms that place a toxic text in a category; parameters, in chain order.
 CATEGORIES = {
     "insult": ("idiot", "moron", "stupid", "clown", "fool", "dumb"),
@@ -143,7 +145,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, text: str, id_col: str,
 def _count(batches):
     """Documents with each feature, by label, combined per task."""
     of = (Counter(), Counter())
-    for batch in batches:
+    for batch in sliced(batches, 0, SLICE_TEXTS, SLICE_BYTES):
         for t, y in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
             of[int(y > 0)].update(features(t))
     for y, c in enumerate(of):
@@ -174,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "d
     lookup = Chain(names, vocabulary, [], 0.5)
 
     def rows(batches):
-        for batch in batches:
+        for batch in sliced(batches, 0, SLICE_TEXTS, SLICE_BYTES):
             texts = batch.column("text").to_pylist()
             found = [features(t) for t in texts]
             ys = [[int(y > 0 and any(w.encode() in f for w in terms)) for terms in CATEGORIES.values()] + [int(y > 0)]
@@ -193,14 +195,14 @@ def score(docs: DataFrame, chain: Chain, text: str = "text", id_col: str = "doc_
     names = [f"p_{c}" for c in chain.names]
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches, 1, SLICE_TEXTS, SLICE_BYTES):
             p = chain.predict(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(p[:, k]) for k in range(len(names))],
                  pa.array(p[:, -1] >= chain.threshold)], ["doc_id", *names, "toxic"])
 
     schema = "doc_id long, " + ", ".join(f"{n} double" for n in names) + ", toxic boolean"
-    return docs.select(F.col(id_col).cast("long"), F.col(text).cast("string")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).cast("long"), F.col(text).cast("string")).mapInArrow(releasing(run), schema)
 
 
 def drop_toxic(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
@@ -208,8 +210,8 @@ def drop_toxic(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
     at = docs.columns.index(text)
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches, at, SLICE_TEXTS, SLICE_BYTES):
             p = chain.predict(batch.column(at).to_pylist())
             yield batch.filter(pa.array(p[:, -1] < chain.threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)
