@@ -36,8 +36,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 2048 tokens."""
-    # the workers still hold what earlier stages used, so the encoder remembers fewer words than by default
-    return packing.pack(docs, tokenizer_path(), remembered=400_000)
+    # the workers still hold what earlier stages used, so the encoder remembers fewer words than by default, and only
+    # as long as its task runs
+    return packing.pack(docs, tokenizer_path(), remembered=400_000, forget=True)
 
 
 STAGES = [("toxicity", nontoxic), ("exact_dedup", exact), ("near_dedup", near), ("mix_sources", mix), ("pack", pack)]
