@@ -1,18 +1,16 @@
-"""As-of join: latest right row at or before each left row's time, per key.
+"""As-of joins: the nearest right row before, after or on either side of each left row's time.
 
-The right side is reduced to one row per (key, time) first.  Then both sides
-are bucketed by time, a key with more than ``target_rows`` rows at the quantiles
-of its own times (or all at a fixed ``bucket_micros``), and:
+The right side is reduced to one row per (key, time) first.  Both sides are cut into chunks of time: a key with more than
+``target_rows`` rows by bounds from a sample of its own rows (``chunked.bounds``), so that also a join without keys, where
+everything is one key, is spread.  Then, for each direction wanted:
 
-1. the carry-in of every (key, bucket) is the last right row of any earlier
-   bucket: an aggregate to one row per (key, bucket) and a running
-   ``last(ignorenulls)`` over that small table;
-2. inside a bucket, left and right rows are unioned and a running
-   ``last(ignorenulls)`` over (key, bucket) fills each left row.
+1. the carry of every (key, chunk) is the nearest right row of any chunk before it (after it): an aggregate to one row
+   per (key, chunk) and a running ``last(ignorenulls)`` over that small table;
+2. inside a chunk, left and right rows are unioned and a running ``last(ignorenulls)`` over (key, chunk) fills
+   each left row.
 
-Windows are partitioned by (key, bucket), so one key with a long history is
-spread over many tasks, and no pairs are formed.  Every left row is kept: one with
-a NULL key or time matches nothing.
+Both directions share the partitions (the second sorts them the other way); no pairs are formed.  Every left row is kept: one with a NULL key or
+time matches nothing.
 """
 
 from __future__ import annotations
@@ -20,43 +18,65 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runsight.operators.chunked import chunk_of, cuts_of, join_same
+from runsight.operators.chunked import CHUNK_ROWS, bounds, chunk_of, join_same
 
-DAY_MICROS = 86_400_000_000
+DIRECTIONS = ("before", "after", "nearest")
 
 
-def asof_join(left: DataFrame, right: DataFrame, by: str, left_time: str, right_time: str,
-              values: list[str], bucket_micros: int | None = None, target_rows: int = 2_000_000) -> DataFrame:
-    """Left rows with the ``values`` of the latest right row whose time <= left time (NULL if none)."""
+def asof_join(left: DataFrame, right: DataFrame, by: str | None, left_time: str, right_time: str, values: list[str],
+              direction: str = "before", target_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Left rows with the ``values`` of one right row of their key (NULL if there is none).
+
+    ``direction``: "before" takes the latest row at or before the left time, "after" the earliest at or after it,
+    "nearest" the closer of the two (of equal ones the earlier).  Right rows of one key and time count as the one with the
+    greatest values.  ``by=None`` joins on time alone.
+    """
+    if direction not in DIRECTIONS:
+        raise ValueError(f"direction must be one of {DIRECTIONS}")
     lcols = left.columns
-    lt = F.unix_micros(F.col(left_time))
-    rt = F.unix_micros(F.col(right_time))
-    L0 = left.select(*lcols, lt.alias("_t"))
-    R0 = right.select(F.col(by), rt.alias("_t"), F.struct(*values).alias("_v")).filter(
-        F.col(by).isNotNull() & F.col("_t").isNotNull())
-    if bucket_micros is not None:
-        L = L0.withColumn("_b", F.floor(F.col("_t") / bucket_micros))
-        R = R0.withColumn("_b", F.floor(F.col("_t") / bucket_micros))
+    key = F.lit(0) if by is None else F.col(by)
+    lt, rt = F.unix_micros(F.col(left_time)), F.unix_micros(F.col(right_time))
+    L0 = left.select(F.struct(*lcols).alias("_l"), key.alias("_k"), lt.alias("_t"))
+    known = F.col("_k").isNotNull() & F.col("_t").isNotNull()
+    # left rows of one instant may lie in several chunks, its right row (_tie -1) in the first of them
+    L = L0.filter(known).withColumn("_tie", F.shiftrightunsigned(F.xxhash64("_l"), 1))
+    R = (right.select(key.alias("_k"), rt.alias("_t"), F.struct(*values).alias("_v")).filter(known)
+         .groupBy("_k", "_t").agg(F.struct(F.col("_t").alias("t"), F.max("_v").alias("v")).alias("_v"))
+         .withColumn("_tie", F.lit(-1).cast("long")))
+    both = (L.withColumn("_v", F.lit(None).cast(R.schema["_v"].dataType)).withColumn("_side", F.lit(1))
+            .unionByName(R.withColumn("_side", F.lit(0)), allowMissingColumns=True))
+    cuts = bounds(both.select("_k", "_t", "_tie"), "_k", ["_t", "_tie"], target_rows)
+    if cuts is None:
+        both = both.withColumn("_c", F.lit(0))
+    else:
+        both = (join_same(both, cuts, ["_k"], "left")
+                .withColumn("_c", chunk_of(F.struct("_t", "_tie"), F.col("_blocks"))).drop("_blocks"))
+    inside = Window.partitionBy("_k", "_c").orderBy("_t", "_side")
+    out = both.withColumn("_b", F.last("_v", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    if direction != "before":
+        # a frame that runs on to the end would be walked anew for each row: the order is turned round instead
+        back = Window.partitionBy("_k", "_c").orderBy(F.col("_t").desc(), F.col("_side"))
+        out = out.withColumn("_a", F.last("_v", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0)))
+    out = out.filter(F.col("_side") == 1)
+    if cuts is not None:
+        per = both.groupBy("_k", "_c").agg(F.max("_v").alias("_hi"), F.min("_v").alias("_lo"))
+        earlier = Window.partitionBy("_k").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+        later = Window.partitionBy("_k").orderBy(F.col("_c").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        per = per.select("_k", "_c",
+                         F.last("_hi", ignorenulls=True).over(earlier).alias("_cb"),
+                         F.last("_lo", ignorenulls=True).over(later).alias("_ca"))
+        out = join_same(out, per, ["_k", "_c"], "left").withColumn("_b", F.coalesce("_b", "_cb"))
+        if direction != "before":
+            out = out.withColumn("_a", F.coalesce("_a", "_ca"))
+    if direction == "before":
+        pick = F.col("_b")
     else:
-        cuts = cuts_of(L0.select(by, "_t").unionByName(R0.select(by, "_t")), by, "_t", target_rows)
-        b = F.when(F.col("_cuts").isNull(), 0).otherwise(chunk_of(F.col("_t"), F.col("_cuts")))
-        L = join_same(L0, cuts, [by], "left").withColumn("_b", b).drop("_cuts")
-        R = join_same(R0, cuts, [by], "left").withColumn("_b", b).drop("_cuts")
-    L = L.withColumn("_side", F.lit(1))
-    # 1. carry-in per (key, bucket) from earlier buckets
-    last_per_bucket = R.groupBy(by, "_b").agg(F.max_by("_v", "_t").alias("_bv"))
-    lb = L.select(by, "_b").distinct().withColumn("_bv", F.lit(None).cast(last_per_bucket.schema["_bv"].dataType))
-    # left buckets (_l = 0) sort before the right bucket of the same number: strictly earlier only
-    wb = Window.partitionBy(by).orderBy("_b", "_l").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (last_per_bucket.withColumn("_l", F.lit(1)).unionByName(lb.withColumn("_l", F.lit(0)))
-             .withColumn("_carry", F.last("_bv", ignorenulls=True).over(wb))
-             .filter(F.col("_l") == 0).select(by, "_b", "_carry"))
-    # 2. fill inside the bucket; right rows sort before left rows at equal times (<=)
-    Rb = R.select(by, "_t", "_b", "_v", F.lit(0).alias("_side"))
-    u = L.withColumn("_v", F.lit(None).cast(R.schema["_v"].dataType)).unionByName(
-        Rb, allowMissingColumns=True)
-    w = Window.partitionBy(by, "_b").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    filled = (u.withColumn("_f", F.last("_v", ignorenulls=True).over(w)).filter(F.col("_side") == 1)
-              .join(carry, [by, "_b"], "left"))
-    v = F.when(F.col("_t").isNotNull(), F.coalesce("_f", "_carry"))
-    return filled.select(*lcols, *[v[c].alias(c) for c in values])
+        same = F.col("_b.t") == F.col("_t")  # found going back, maybe in an earlier chunk
+        after = F.when(same, F.col("_b")).otherwise(F.col("_a"))
+        pick = after if direction == "after" else (
+            F.when(F.col("_b").isNull(), after).when(after.isNull(), F.col("_b"))
+            .when(after["t"] - F.col("_t") < F.col("_t") - F.col("_b.t"), after).otherwise(F.col("_b")))
+    found = out.select(*[F.col("_l")[c].alias(c) for c in lcols], *[pick["v"][c].alias(c) for c in values])
+    rest = L0.filter(~known).select(*[F.col("_l")[c].alias(c) for c in lcols],
+                                    *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in values])
+    return found.unionByName(rest)

@@ -140,17 +140,16 @@ def replay_scores(runs: DataFrame, min_runs: int = MIN_RUNS, order: tuple[str, .
                   split_hot: bool = True, chunk_rows: int = 2_000_000) -> DataFrame:
     """Score every run against the history before it.
 
-    Default: running (n, mean, M2) per (job, chunk of its history) merged with a small
-    per-job prefix of chunk totals (``chunked.prior_stats``), so a job with most of
-    the runs is spread over many tasks.  ``split_hot=False`` is the plain
+    Default: a job with more than ``chunk_rows`` runs is cut into chunks of its history; running (n, mean, M2) per
+    (job, chunk) are merged with a small per-job prefix of chunk totals (``chunked.prior_stats``), so a job with
+    most of the runs is spread over many tasks.  ``split_hot=False`` is the plain
     expanding frame ``rowsBetween(unboundedPreceding, -1)`` per job.
     """
     from pyspark.sql import Window as W
     base = runs.select("job_name", *[c for c in order if c != "job_name"], "duration_minutes", "rows_processed")
     if split_hot:
         from runsight.operators.chunked import prior_stats
-        s = prior_stats(base, "job_name", list(order), "duration_minutes", "_d", chunk_rows)
-        s = prior_stats(s, "job_name", list(order), "rows_processed", "_r", chunk_rows).drop("_c")
+        s = prior_stats(base, "job_name", list(order), {"_d": "duration_minutes", "_r": "rows_processed"}, chunk_rows)
         out = s.select("job_name", "run_id", "start_time", "duration_minutes", "rows_processed",
                        F.col("_d_n").alias("prior_runs"), F.col("_d_mean").alias("_m"), F.col("_d_sd").alias("_s"),
                        F.col("_r_mean").alias("_mr"), F.col("_r_sd").alias("_sr"))

@@ -188,6 +188,26 @@ def q_ci_nearest(t):
     return S.nearest_failure(fx.ci_runs(t).filter(F.col("created_at") <= lit_ts(a)), a).select(rnd("ci_minutes", 6).alias("ci_minutes"))
 
 
+@register("ci_nearest_per_run", O.with_(O.SUP, O.RUNS) + f""", f AS (
+  SELECT CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey * 37 % 86400) AS created_at,
+         max('ci-' || CAST(o_orderkey AS VARCHAR)) AS name FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1),
+b AS (SELECT r.job_name, r.run_id, r.start_time, f.created_at AS b_at, f.name AS b_name
+      FROM runs r ASOF LEFT JOIN f ON r.start_time >= f.created_at),
+n AS (SELECT b.*, f.created_at AS a_at, f.name AS a_name FROM b ASOF LEFT JOIN f ON b.start_time <= f.created_at),
+p AS (SELECT *, CASE WHEN b_at IS NULL THEN true WHEN a_at IS NULL THEN false
+                     ELSE a_at - start_time < start_time - b_at END AS later FROM n),
+q AS (SELECT job_name, run_id, start_time, CASE WHEN later THEN a_name ELSE b_name END AS ci_name,
+             CASE WHEN later THEN a_at ELSE b_at END AS ci_at FROM p)
+SELECT job_name, run_id, ci_name, {O.TS('ci_at')} AS ci_at,
+  {O.R('abs(epoch_us(ci_at) - epoch_us(start_time)) / 60000000.0::DOUBLE', 6)} AS ci_minutes FROM q""")
+def q_ci_nearest_per_run(t):
+    """J12 per run: the failed CI run nearest to each run's start, on either side."""
+    from runsight.functions import rnd
+    r = fx.runs(t).select("job_name", "run_id", "start_time")
+    return (S.nearest_failure_per_run(r, fx.ci_history(t))
+            .select("job_name", "run_id", "ci_name", "ci_at", rnd("ci_minutes", 6).alias("ci_minutes")))
+
+
 def _views(t):
     """Gold tables written by the pipeline, registered as views (S11); signals are read at the newest event."""
     from runsight.plans import pipeline

@@ -179,6 +179,14 @@ def ci_runs(t: Tables) -> DataFrame:
                     F.concat(F.lit("ci-"), F.col("event_id").cast("string")).alias("name"))
 
 
+def ci_history(t: Tables) -> DataFrame:
+    """CI runs over the years of the job runs, one an order: created_at, conclusion, name."""
+    at = _plus_seconds(_ts("o_orderdate"), F.col("o_orderkey") * 37 % 86400)
+    return t.orders.select(at.alias("created_at"),
+                           F.when(F.col("o_orderpriority") == "1-URGENT", "failure").otherwise("success").alias("conclusion"),
+                           F.concat(F.lit("ci-"), F.col("o_orderkey").cast("string")).alias("name"))
+
+
 def busy_ci(t: Tables):
     """(CI runs, as_of): every event is a CI run, one of 97 fails; as_of is 29 minutes after a failure."""
     ts = _ts("ts")

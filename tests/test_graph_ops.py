@@ -76,7 +76,7 @@ def test_asof_join_matches_merge_asof(spark):
     L = spark.createDataFrame(left, "job string, id long, t timestamp")
     R = spark.createDataFrame(right, "job string, rt timestamp, v long")
     R = R.groupBy("job", "rt").agg(F.max("v").alias("v"))
-    got = {r["id"]: r["v"] for r in asof_join(L, R, "job", "t", "rt", ["v"], bucket_micros=6 * 3600 * 10**6)
+    got = {r["id"]: r["v"] for r in asof_join(L, R, "job", "t", "rt", ["v"], target_rows=30)
            .collect()}
     adaptive = {r["id"]: r["v"] for r in asof_join(L, R, "job", "t", "rt", ["v"], target_rows=20).collect()}
     assert adaptive == got

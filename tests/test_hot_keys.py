@@ -31,7 +31,8 @@ def skewed_runs(spark):
 
 def test_hot_key_gets_many_chunks(spark):
     from runsight.operators.chunked import with_chunks
-    c = with_chunks(skewed_runs(spark), "job_name", "start_time", target_rows=50)
+    c, split = with_chunks(skewed_runs(spark), "job_name", ["start_time", "run_id"], target_rows=50)
+    assert split and not with_chunks(skewed_runs(spark), "job_name", ["start_time"], target_rows=5000)[1]
     per = {r["job_name"]: r["n"] for r in c.groupBy("job_name").agg(F.count_distinct("_c").alias("n")).collect()}
     assert per["hot"] >= 30 and per["cold0"] < per["hot"]
 
@@ -118,8 +119,40 @@ def test_burst_in_a_long_history_is_split(spark):
         F.lit(1_700_000_000_000_000) + F.col("id") * 1_000_000).alias("start_time"))
     cold = spark.range(400).select(F.lit("cold").alias("job_name"), F.timestamp_micros(
         F.lit(1_380_000_000_000_000) + F.col("id") * 800_000_000_000).alias("start_time"))
-    size = with_chunks(burst.unionByName(cold), "job_name", "start_time", target_rows=2000).groupBy("job_name", "_c").count()
-    assert size.agg(F.max("count")).first()[0] <= 4000
+    rows = with_chunks(burst.unionByName(cold), "job_name", ["start_time"], target_rows=2000)[0]
+    assert rows.groupBy("job_name", "_c").count().agg(F.max("count")).first()[0] <= 4000
+
+
+def test_one_instant_is_split(spark):
+    """400,000 rows of one key, half of them at one instant: no chunk above twice the target, the order is whole."""
+    from runsight.operators.chunked import with_chunks
+    at = F.when(F.col("id") % 2 == 0, F.lit(5)).otherwise(F.col("id"))
+    rows = spark.range(400_000).select(F.lit("hot").alias("k"), F.timestamp_micros(at).alias("t"), F.col("id").alias("tie"))
+    got = with_chunks(rows, "k", ["t", "tie"], target_rows=1000)[0].groupBy("_c").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("t", "tie")).alias("lo"), F.max(F.struct("t", "tie")).alias("hi"))
+    chunks = got.orderBy("_c").collect()
+    assert sum(c.n for c in chunks) == 400_000 and max(c.n for c in chunks) <= 2000 and len(chunks) > 300
+    assert all(a.hi < b.lo for a, b in zip(chunks, chunks[1:], strict=False))
+
+
+def test_nearest_on_both_sides_against_brute_force(spark):
+    from runsight.operators.asof import asof_join
+    rnd = random.Random(12)
+    t0 = datetime(2026, 1, 1)
+    left = [(i, rnd.choice("ab"), t0 + timedelta(minutes=rnd.choice([30, rnd.randint(0, 600)]))) for i in range(500)]
+    right = [(rnd.choice("ab"), t0 + timedelta(minutes=rnd.choice([30, rnd.randint(60, 500)])), i) for i in range(60)]
+    L = spark.createDataFrame(left, "id long, k string, at timestamp")
+    R = spark.createDataFrame(right, "k string, seen timestamp, v long")
+    for by in ("k", None):
+        for direction in ("before", "after", "nearest"):
+            want = {}
+            for i, k, at in left:
+                fits = [(abs(s - at), s, -v) for rk, s, v in right if (by is None or rk == k) and (
+                    direction == "nearest" or (s <= at if direction == "before" else s >= at))]
+                want[i] = -min(fits)[2] if fits else None
+            for n in (20, 2_000_000):
+                got = asof_join(L, R, by, "at", "seen", ["v"], direction, target_rows=n).collect()
+                assert {r["id"]: r["v"] for r in got} == want
 
 
 def test_asof_keeps_left_rows_without_key_or_time(spark):
