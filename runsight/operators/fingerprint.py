@@ -2,7 +2,7 @@
 
 Rules in priority order: data quality, infrastructure, cascade, volume spike,
 logic bug.  The graph facts (unrelated slow count, cascade root, chain) come
-from closure joins; the infra and CI signals are one-row aggregates attached
+from a search upwards from the jobs concerned; the infra and CI signals are one-row aggregates attached
 as scalar subqueries.  The rule chain itself is a single ``when`` expression.
 """
 
@@ -44,21 +44,21 @@ def _s(x):
 
 
 def fingerprint(metrics: DataFrame, edges_df: DataFrame, infra: DataFrame, ci: DataFrame, as_of,
-                root: str = "nearest", closure_df: DataFrame | None = None) -> DataFrame:
+                root: str = "nearest") -> DataFrame:
     """One row per anomalous job (verdict breached or at_risk).
 
+    The graph is searched upwards from the anomalous and the slow jobs only: that gives the slow ancestors of the
+    anomalous, the anomalous ancestors of the slow (so their slow descendants) and the ancestor counts of the slow.
+
     metrics: gold job metrics; edges_df: parent/child edges; infra: one-row
     signals (storage_errors, compute_errors); ci: created_at, conclusion, name.
     """
-    c = closure_df if closure_df is not None else G.closure(edges_df)
     anomalous = metrics.filter(F.col("verdict").isin(*URGENT))
     slow = metrics.filter(F.coalesce("time_drift_score", F.lit(0.0)) > SLOW_Z).select("job_name")
-    all_nodes = (edges_df.select(F.col("parent").alias("node"))
-                 .unionByName(edges_df.select(F.col("child").alias("node"))).distinct())
-    counts = G.ancestor_counts(c, all_nodes)
-    unrel = G.unrelated_slow(anomalous, slow, c)
-    roots = G.cascade_root(anomalous, slow, c, counts, mode=root)
-    chains = G.shortest_paths(roots.select("root", "job_name"), c)
+    reach = G.ancestors_of(anomalous.select("job_name").unionByName(slow), edges_df)
+    unrel = G.unrelated_slow(anomalous, slow, reach)
+    roots = G.cascade_root(anomalous, slow, reach, G.ancestor_counts(reach), mode=root)
+    chains = G.shortest_paths(roots.select("root", "job_name"), reach, edges_df)
     root_team = metrics.select(F.col("job_name").alias("root"), F.col("team").alias("root_team"))
 
     sig = infra.select(F.struct(F.col(STORAGE).alias("s"), F.col(COMPUTE).alias("c"))).scalar()  # one subquery

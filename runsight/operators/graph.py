@@ -6,6 +6,8 @@ closure with itself, so a chain of depth D needs about log2(D) rounds.  The
 driver only runs the loop and reads two numbers per round; the pairs stay on
 the executors, and every round is checkpointed to the shared checkpoint folder
 so lineage stays short and a lost executor recomputes one round only.
+
+Cause search does not need the closure: ``ancestors_of`` searches upwards from the jobs of interest only.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from runsight.session import ensure_checkpoint_dir, scratch_dir
+from runsight.session import scratch_dir
 
 ARROW = " → "  # separator of the displayed chain: " → "
 
@@ -79,9 +81,53 @@ def closure(edges_df: DataFrame, max_rounds: int = 64) -> DataFrame:
     raise RuntimeError("closure did not converge; raise max_rounds")
 
 
+#: Hops of the short cuts that the search jumps by, and rounds after which they are doubled (for very deep graphs).
+JUMP, PATIENCE = 4, 4
+
+
+def _compose(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(job, anc, hops): ``a`` followed by ``b``, upwards."""
+    x, y = a.alias("x"), b.alias("y")
+    return x.join(y, F.col("x.anc") == F.col("y.job")).select(
+        F.col("x.job").alias("job"), F.col("y.anc").alias("anc"), (F.col("x.hops") + F.col("y.hops")).alias("hops"))
+
+
+def _nearest(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("job", "anc").agg(F.min("hops").alias("hops"))
+
+
+def ancestors_of(sources: DataFrame, edges_df: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """(anc, job, hops) of the ancestors of ``sources`` (column job_name) only, each job itself included with 0 hops.
+
+    A breadth-first search from all sources at once over short cuts of up to JUMP hops.  The pairs found are the visited
+    set; once they hold every ancestor within h hops, whoever is farther is reached through a pair at exactly h hops, so
+    only those are the frontier.  A round is two jumps, one written table; the search ends when no pair lies at the
+    frontier.  After PATIENCE rounds the short cuts are doubled each round, so a chain of depth D takes about log2(D) rounds.
+    The work follows the ancestors of the sources, not the pairs of the graph.
+    """
+    one = edges_df.select(F.col("child").alias("job"), F.col("parent").alias("anc"), F.lit(1).alias("hops"))
+    two = _nearest(one.unionByName(_compose(one, one)))
+    cuts, _ = _materialize(_nearest(two.unionByName(_compose(two, two))), "short-cuts", F.count(F.lit(1)).alias("n"))
+    found = sources.select(F.col("job_name").alias("job")).distinct().select(
+        "job", F.col("job").alias("anc"), F.lit(0).alias("hops"))
+    jump, reached = JUMP, 0
+    for i in range(max_rounds):
+        for _ in range(2):
+            found = _nearest(found.unionByName(_compose(found.filter(F.col("hops") == reached), cuts)))
+            reached += jump
+        found, st = _materialize(found, f"search{i}", F.max("hops").alias("mx"))
+        if st["mx"] is None or st["mx"] < reached:
+            return found.select("anc", "job", "hops")
+        if i >= PATIENCE:
+            cuts, _ = _materialize(_nearest(cuts.unionByName(_compose(cuts, cuts))), f"short-cuts{i}",
+                                   F.count(F.lit(1)).alias("n"))
+            jump *= 2
+    raise RuntimeError("search did not end; raise max_rounds")
+
+
 def ancestor_counts(closure_df: DataFrame, all_nodes: DataFrame | None = None) -> DataFrame:
     """Number of ancestors of every job (0 for roots when ``all_nodes`` is given)."""
-    n = closure_df.groupBy("job").agg(F.count(F.lit(1)).alias("n_ancestors"))
+    n = closure_df.groupBy("job").agg(F.count_if(F.col("anc") != F.col("job")).alias("n_ancestors"))
     if all_nodes is None:
         return n.withColumnRenamed("job", "job_name")
     return (all_nodes.select(F.col("node").alias("job")).join(n, "job", "left")
@@ -95,6 +141,7 @@ def unrelated_slow(targets: DataFrame, slow: DataFrame, closure_df: DataFrame) -
     total_slow - related_slow, with related counted from the closure: no
     slow x slow pairing.  Jobs missing from the graph are related to nothing.
     """
+    closure_df = closure_df.filter(F.col("anc") != F.col("job"))
     s = slow.select(F.col("job_name").alias("s")).distinct()
     n_slow = s.agg(F.count(F.lit(1))).scalar()
     t = targets.select("job_name").distinct()
@@ -110,7 +157,7 @@ def unrelated_slow(targets: DataFrame, slow: DataFrame, closure_df: DataFrame) -
 def slow_ancestors(targets: DataFrame, slow: DataFrame, closure_df: DataFrame) -> DataFrame:
     """(job_name, anc) where anc is a slow ancestor of a target job."""
     s = slow.select(F.col("job_name").alias("anc")).distinct()
-    return (closure_df.join(targets.select(F.col("job_name").alias("job")).distinct(), "job")
+    return (closure_df.filter(F.col("anc") != F.col("job")).join(targets.select(F.col("job_name").alias("job")).distinct(), "job")
             .join(s, "anc").select(F.col("job").alias("job_name"), "anc"))
 
 
@@ -129,65 +176,35 @@ def cascade_root(targets: DataFrame, slow: DataFrame, closure_df: DataFrame, cou
     return sa.groupBy("job_name").agg(pick.alias("root"), F.count(F.lit(1)).alias("slow_ancestors"))
 
 
-def shortest_paths(pairs: DataFrame, closure_df: DataFrame, steps_per_table: int = 1) -> DataFrame:
+def shortest_paths(pairs: DataFrame, reach: DataFrame, edges_df: DataFrame | None = None) -> DataFrame:
     """Shortest path root -> job as "a → b → c" for each (root, job_name) pair.
 
-    A node m lies on a shortest path iff d(root, m) + d(m, job) = d(root, job);
-    its level is d(root, m).  The path is walked level by level: from the node
-    chosen so far, take the smallest-named child that lies on a shortest path,
-    so the chain always follows real edges even when several shortest paths
-    tie.  The walk touches only the (small) pair and candidate tables; it is
-    written out every ``steps_per_table`` levels to keep lineage short.  Pairs
-    without a path get the two-node fallback "root → job".
+    ``reach`` holds (anc, job, hops) for all ancestors of the pairs' jobs.  Every ancestor of a job keeps a pointer to its
+    smallest-named child that is one hop nearer to the job, so the chain follows real edges also when several shortest
+    paths tie; one join finds all pointers.  The pointers of one job are then followed from its root within a row:
+    no table per level.  Pairs without a path get the two-node fallback "root → job".
     """
-    c = closure_df
+    if edges_df is None:
+        edges_df = reach.filter(F.col("hops") == 1).select(F.col("anc").alias("parent"), F.col("job").alias("child"))
     p = pairs.select("root", "job_name").distinct()
-    d = (p.join(c.select(F.col("anc").alias("root"), F.col("job").alias("job_name"), F.col("hops").alias("D")),
-                ["root", "job_name"], "left"))
-    found = d.filter(F.col("D").isNotNull())
-    first = c.select(F.col("anc").alias("root"), F.col("job").alias("m"), F.col("hops").alias("d1"))
-    second = c.select(F.col("anc").alias("m"), F.col("job").alias("job_name"), F.col("hops").alias("d2"))
-    cand, st = _materialize(found.join(first, "root").join(second, ["m", "job_name"])
-                            .filter(F.col("d1") + F.col("d2") == F.col("D")).select("root", "job_name", "m", "d1"),
-                            "path-candidates", F.max("d1").alias("mx"))
-    # pairs whose shortest path is unique: one candidate per level gives the path directly
-    per_level = cand.groupBy("root", "job_name", "d1").agg(F.count(F.lit(1)).alias("k"), F.min("m").alias("m"))
-    tied, tst = _materialize(per_level.filter(F.col("k") > 1).select("root", "job_name").distinct(), "path-ties",
-                             F.count(F.lit(1)).alias("n"))
-    direct = (per_level.join(tied, ["root", "job_name"], "left_anti").groupBy("root", "job_name")
-              .agg(F.array_sort(F.collect_list(F.struct("d1", "m"))).alias("steps"))
-              .select("root", "job_name", F.concat(F.array("root"), F.col("steps.m")).alias("path")))
-    walked = direct
-    if tst["n"]:
-        walked = walked.unionByName(_walk(found.join(tied, ["root", "job_name"], "left_semi"),
-                                          cand.join(tied, ["root", "job_name"], "left_semi"), c, st["mx"] or 0,
-                                          steps_per_table))
-    chain = F.array_join(F.concat("path", F.array("job_name")), ARROW)
-    return (d.join(walked.select("root", "job_name", chain.alias("chain")), ["root", "job_name"], "left")
+    r = reach.filter(F.col("hops") > 0).select(F.col("job").alias("job_name"), F.col("anc").alias("node"), "hops")
+    ends = p.join(r.select("job_name", F.col("node").alias("root"), F.col("hops").alias("D")), ["root", "job_name"], "left")
+    near = r.join(ends.groupBy("job_name").agg(F.max("D").alias("D")), "job_name").filter(F.col("hops") <= F.col("D"))
+    step = near.join(edges_df.select(F.col("parent").alias("node"), F.col("child").alias("next")), "node")
+    # the child is the job itself, or an ancestor one hop nearer
+    inner = step.filter(F.col("hops") > 1).join(
+        r.select("job_name", F.col("node").alias("next"), (F.col("hops") + 1).alias("hops")), ["job_name", "next", "hops"])
+    last = step.filter((F.col("hops") == 1) & (F.col("next") == F.col("job_name")))
+    cols = ["job_name", "node", "next"]
+    pointers = (inner.select(cols).unionByName(last.select(cols)).groupBy("job_name", "node")
+                .agg(F.min("next").alias("next")).groupBy("job_name")
+                .agg(F.map_from_entries(F.collect_list(F.struct("node", "next"))).alias("to")))
+    path = F.aggregate(F.sequence(F.lit(1), F.col("D")), F.array("root"),
+                       lambda path, _: F.array_append(path, F.element_at(F.col("to"), F.element_at(path, -1))))
+    return (ends.join(pointers, "job_name", "left")
             .select("root", "job_name", F.col("D").alias("hops"),
-                    F.coalesce("chain", F.concat_ws(ARROW, "root", "job_name")).alias("chain")))
-
-
-def _walk(found: DataFrame, cand: DataFrame, c: DataFrame, max_level: int, steps_per_table: int) -> DataFrame:
-    """Greedy level walk for pairs with tied shortest paths: from the node chosen so far, the
-    smallest-named child that lies on a shortest path (so the chain follows real edges)."""
-    edges1 = c.filter(F.col("hops") == 1).select(F.col("anc").alias("node"), F.col("job").alias("m"))
-    cur, _ = _materialize(found.select("root", "job_name", "D", F.col("root").alias("node"),
-                                       F.array("root").alias("path")), "paths0", F.count(F.lit(1)).alias("n"))
-    finished = []
-    for i in range(1, max_level + 1):
-        finished.append(cur.filter(F.col("D") <= i))
-        step = (cur.filter(F.col("D") > i).join(edges1, "node")
-                .join(cand.filter(F.col("d1") == i), ["root", "job_name", "m"])
-                .groupBy("root", "job_name", "D", "path").agg(F.min("m").alias("node")))
-        cur = step.select("root", "job_name", "D", "node", F.concat("path", F.array("node")).alias("path"))
-        if i % steps_per_table == 0:
-            cur, _ = _materialize(cur, f"paths{i}", F.count(F.lit(1)).alias("n"))
-    finished.append(cur)
-    out = finished[0]
-    for f in finished[1:]:
-        out = out.unionByName(f)
-    return out.select("root", "job_name", "path")
+                    F.coalesce(F.when(F.col("D").isNotNull(), F.array_join(path, ARROW)),
+                               F.concat_ws(ARROW, "root", "job_name")).alias("chain")))
 
 
 def impacted(slow: DataFrame, closure_df: DataFrame) -> DataFrame:
@@ -197,19 +214,24 @@ def impacted(slow: DataFrame, closure_df: DataFrame) -> DataFrame:
             .groupBy(F.col("anc").alias("job_name")).agg(F.count("job").alias("impacted_jobs")))
 
 
-def cycles(edges_df: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """Jobs that reach themselves (a registry error to report)."""
-    spark = edges_df.sparkSession
-    ensure_checkpoint_dir(spark)
-    c = edges_df.select(F.col("parent").alias("anc"), F.col("child").alias("job")).distinct().checkpoint()
-    prev = None
-    for _ in range(max_rounds):
-        nxt = (c.unionByName(c.alias("a").join(c.alias("b"), F.col("a.job") == F.col("b.anc"))
-                             .select(F.col("a.anc").alias("anc"), F.col("b.job").alias("job")))
-               .distinct().checkpoint())
-        n = nxt.count()
-        c = nxt
-        if n == prev:
+def cycles(edges_df: DataFrame, rounds_per_table: int = 2) -> DataFrame:
+    """Jobs that reach themselves (a registry error to report).
+
+    Topological peeling: an edge whose parent has no parent, or whose child has no child, is in no cycle; such edges are
+    taken off layer by layer from both ends until nothing changes.  A sound registry is peeled to nothing.  What is
+    left lies on cycles or between two; a search upwards in this rest tells them apart.
+    """
+    e, n = edges_df.select("parent", "child").distinct(), -1
+    while True:
+        for _ in range(rounds_per_table):
+            e = (e.join(e.select(F.col("child").alias("parent")).distinct(), "parent", "left_semi")
+                 .join(e.select(F.col("parent").alias("child")).distinct(), "child", "left_semi").select("parent", "child"))
+        e, st = _materialize(e, "peeled", F.count(F.lit(1)).alias("n"))
+        if st["n"] == 0:
+            return e.select(F.col("parent").alias("job_name"))
+        if st["n"] == n:
             break
-        prev = n
-    return c.filter(F.col("anc") == F.col("job")).select(F.col("job").alias("job_name"))
+        n = st["n"]
+    above = ancestors_of(e.select(F.col("parent").alias("job_name")), e)
+    return (e.join(above, (F.col("parent") == F.col("job")) & (F.col("child") == F.col("anc")), "left_semi")
+            .select(F.col("parent").alias("job_name")).distinct())

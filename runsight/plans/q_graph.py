@@ -54,22 +54,22 @@ FPB = O.with_rec(O.SUP, O.RUNS, O.metrics_cte(), O.EDGES, O.CLOSURE, O.SLOW)
           "WHERE c.job IN (SELECT job_name FROM an)")
 def q_slow_ancestors(t):
     """Slow ancestors of each anomalous job."""
-    m = M.job_metrics(fx.runs(t))
-    return G.slow_ancestors(_anomalous(m), _slow(m), G.closure(_edges(t)))
+    m = gold_table(t)
+    return G.slow_ancestors(_anomalous(m), _slow(m), _search(t, m))
 
 
 @register("unrelated_slow", FPB + "SELECT job_name, unrelated_slow FROM unrel")
 def q_unrelated_slow(t):
     """Slow jobs unrelated to each anomalous job, without pairing slow x slow."""
-    m = M.job_metrics(fx.runs(t))
-    return G.unrelated_slow(_anomalous(m), _slow(m), G.closure(_edges(t)))
+    m = gold_table(t)
+    return G.unrelated_slow(_anomalous(m), _slow(m), _search(t, m))
 
 
 @register("cascade_root", FPB + "SELECT job_name, root, slow_ancestors FROM roots")
 def q_cascade_root(t):
     """Nearest slow ancestor (most ancestors) of each anomalous job."""
-    m = M.job_metrics(fx.runs(t))
-    c = G.closure(_edges(t))
+    m = gold_table(t)
+    c = _search(t, m)
     return G.cascade_root(_anomalous(m), _slow(m), c, G.ancestor_counts(c))
 
 
@@ -77,10 +77,33 @@ def q_cascade_root(t):
   JOIN chains ch ON ch.job_name = r.job_name JOIN clo c ON c.anc = r.root AND c.job = r.job_name""")
 def q_cascade_chain(t):
     """Shortest path from the cascade root to the job."""
-    m = M.job_metrics(fx.runs(t))
-    c = G.closure(_edges(t))
+    m = gold_table(t)
+    c = _search(t, m)
     roots = G.cascade_root(_anomalous(m), _slow(m), c, G.ancestor_counts(c))
-    return G.shortest_paths(roots.select("root", "job_name"), c)
+    return G.shortest_paths(roots.select("root", "job_name"), c, _edges(t))
+
+
+@register("cascade_root_origin", FPB + """SELECT c.job AS job_name, arg_min(c.anc, (coalesce(cnt.n_anc, 0), c.anc)) AS root,
+  count(*) AS slow_ancestors FROM clo c JOIN slow s ON s.job_name = c.anc LEFT JOIN cnt ON cnt.job = c.anc
+  WHERE c.job IN (SELECT job_name FROM an) GROUP BY c.job""")
+def q_cascade_root_origin(t):
+    """G7 with the origin of the cascade: the slow ancestor with the fewest ancestors of its own."""
+    m = gold_table(t)
+    c = _search(t, m)
+    return G.cascade_root(_anomalous(m), _slow(m), c, G.ancestor_counts(c), mode="origin")
+
+
+@register("registry_cycles", "WITH RECURSIVE " + ", ".join((O.SUP, O.EDGES)) + """,
+  wrong AS (SELECT parent, child FROM edges UNION ALL
+            SELECT a.job_name, b.job_name FROM sup a JOIN sup b ON a.k = b.k + 3 WHERE a.k % 20 = 8),
+  walk(origin, job) AS (SELECT parent, child FROM wrong UNION SELECT w.origin, e.child FROM walk w JOIN wrong e ON e.parent = w.job)
+  SELECT DISTINCT origin AS job_name FROM walk WHERE origin = job""")
+def q_registry_cycles(t):
+    """G2 guard: jobs on a cycle, found by peeling, when some jobs wrongly come before a job they depend on."""
+    s = fx.suppliers(t).select("k", "job_name")
+    back = s.filter(F.col("k") % 20 == 8).select((F.col("k") - 3).alias("k"), F.col("job_name").alias("parent")).join(
+        s.withColumnRenamed("job_name", "child"), "k").select("parent", "child")
+    return G.cycles(_edges(t).unionByName(back))
 
 
 @register("blast_radius", FPB + """SELECT s.job_name, count(c.job) AS impacted_jobs FROM slow s
@@ -91,6 +114,11 @@ def q_blast_radius(t):
     return G.impacted(_slow(m), G.closure(_edges(t)))
 
 
+def _search(t, m):
+    """Ancestors of the anomalous and the slow jobs."""
+    return G.ancestors_of(_anomalous(m).select("job_name").unionByName(_slow(m)), _edges(t))
+
+
 def gold_table(t):
     """Gold metrics computed once and written to the shared checkpoint folder (as the pipeline does)."""
     from runsight.operators.graph import _materialize

@@ -51,6 +51,37 @@ def test_closure_with_cycle_terminates_and_reports(spark):
     assert {r["job_name"] for r in G.cycles(e).collect()} == {"a", "b", "c"}
 
 
+def test_peeling_leaves_cycles_only(spark):
+    """Two cycles with a bridge of two jobs between them, tails on both sides, and an acyclic part."""
+    edges = [("a", "b"), ("b", "a"), ("b", "x"), ("x", "y"), ("y", "p"), ("p", "q"), ("q", "p"), ("t", "a"), ("q", "u")]
+    edges += [(f"n{k - 1}", f"n{k}") for k in range(1, 12)]
+    e = spark.createDataFrame(edges, "parent string, child string")
+    assert {r["job_name"] for r in G.cycles(e).collect()} == {"a", "b", "p", "q"}
+    assert G.cycles(e.filter(F.col("parent").startswith("n"))).count() == 0
+
+
+def test_search_from_some_jobs_equals_the_closure(spark):
+    edges = [(f"n{k - 1}", f"n{k}") for k in range(1, 60) if k % 20 != 0]
+    edges += [(f"n{k - 2}", f"n{k}") for k in range(2, 60) if k % 20 in (5, 11)]
+    e = spark.createDataFrame(edges, "parent string, child string")
+    some = ["n7", "n19", "n40", "n58", "unknown"]
+    got = {(r["anc"], r["job"]): r["hops"] for r in G.ancestors_of(
+        spark.createDataFrame([(j,) for j in some], "job_name string"), e).collect()}
+    want = {p: d for p, d in bfs_closure(edges).items() if p[1] in some} | {(j, j): 0 for j in some}
+    assert got == want
+
+
+def test_long_chain_is_found_and_read(spark):
+    e = spark.createDataFrame([(f"n{k:04d}", f"n{k + 1:04d}") for k in range(1000)], "parent string, child string")
+    c = G.ancestors_of(spark.createDataFrame([("n1000",)], "job_name string"), e)
+    assert c.count() == 1001
+    p = spark.createDataFrame([("n0000", "n1000"), ("n0990", "n1000"), ("n1000", "n0000")], "root string, job_name string")
+    got = {r["root"]: (r["hops"], r["chain"]) for r in G.shortest_paths(p, c, e).collect()}
+    assert got["n0000"] == (1000, G.ARROW.join(f"n{k:04d}" for k in range(1001)))
+    assert got["n0990"] == (10, G.ARROW.join(f"n{k:04d}" for k in range(990, 1001)))
+    assert got["n1000"] == (None, "n1000 → n0000")
+
+
 def test_shortest_path_and_origin_root(spark):
     edges = [("a", "b"), ("b", "c"), ("c", "d"), ("a", "d")]
     e = spark.createDataFrame(edges, "parent string, child string")
