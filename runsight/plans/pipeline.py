@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from runsight.functions.core import lit_ts
 from runsight.operators import deadlines as D
 from runsight.operators import fingerprint as FP
 from runsight.operators import graph as G
 from runsight.operators import metrics as M
 from runsight.operators import sla as H
 from runsight.operators import verdicts as V
-from runsight.operators.chunked import join_same
 from runsight.sources import extract as X
 from runsight.sources import files as IO
 from runsight.sources import signals as S
@@ -51,17 +51,17 @@ def run(runs: DataFrame, registry: DataFrame, infra_metrics: DataFrame, ci: Data
 
 def land_runs(task_records: DataFrame, results: DataFrame, registry: DataFrame, as_of, lookback_hours: int,
               silver: str) -> DataFrame:
-    """Extract completed runs of known jobs, give each its rows_processed, append those that silver lacks.
+    """Extract completed runs of known jobs, give each its rows_processed, add them to silver; returns the silver table.
 
-    Calling it again with the same records appends nothing.  Returns the silver table.
+    Of several copies of a run in one extract the longest counts (then by status and rows); a copy in a later extract that
+    differs replaces the one in silver (``upsert_partitioned``, by ``landed_at`` = as_of).  Calling it again with the
+    same records changes nothing.
     """
     spark = task_records.sparkSession
     new = X.attach_rows_processed(X.extract_runs(task_records, registry, as_of, lookback_hours), results, registry)
     key = ["job_name", "run_id", "start_time"]
-    new = new.dropDuplicates(key)
-    if IO.exists(spark, silver):
-        new = join_same(new, spark.read.parquet(silver).select(*key), key, "left_anti")
-    IO.append_partitioned(new, silver, ts_col="start_time")
+    new = IO.newest(new, key, ["duration_minutes", "status", "rows_processed"]).withColumn("landed_at", lit_ts(as_of))
+    IO.upsert_partitioned(new, silver, key, "start_time", "landed_at")
     return spark.read.parquet(silver)
 
 

@@ -193,10 +193,18 @@ def q_fingerprint_ranked(t):
                                                                              "job_name")
 
 
-@register("infra_signals_30m", O.with_(O.EV, "now_t AS (SELECT max(ts) AS t FROM ev)", O.infra_cte(720))
+@register("infra_signals_30m", O.with_(O.EV, "now_t AS (SELECT max(ts) AS t FROM ev WHERE event_type = 'error')", O.infra_cte(30))
           + "SELECT se AS storage_errors, ce AS compute_errors FROM inf")
 def q_infra_signals(t):
-    """Error counters summed over a trailing window (720 min at the fixture's as_of)."""
+    """Error counters summed over the 30 minutes up to the newest error."""
+    m = fx.infra_metrics(t)
+    return S.infra_signals(m, m.select(F.max("ts")).scalar())
+
+
+@register("infra_signals_720m", O.with_(O.EV, "now_t AS (SELECT max(ts) AS t FROM ev)", O.infra_cte(720))
+          + "SELECT se AS storage_errors, ce AS compute_errors FROM inf")
+def q_infra_signals_long(t):
+    """Error counters summed over 720 minutes."""
     return S.infra_signals(fx.infra_metrics(t), fx.events_max_ts(t), 720)
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runsight.functions.core import lit_ts
+from runsight.operators.chunked import join_same
+from runsight.session import scratch_dir
 
 RUN_SCHEMA = T.StructType([
     T.StructField("job_name", T.StringType()), T.StructField("team", T.StringType()),
@@ -107,6 +109,51 @@ def append_partitioned(df: DataFrame, path: str, as_of=None, ts_col: str | None
     out.write.mode("append").partitionBy("year", "month", "day").parquet(path)
 
 
+def newest(df: DataFrame, key: list[str], order: list) -> DataFrame:
+    """One row a key: the copy that is greatest in ``order`` (U4: latest wins)."""
+    rest = [c for c in df.columns if c not in key]
+    return (df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+            .select(*key, "_r.*").select(df.columns))
+
+
+def upsert_partitioned(new: DataFrame, path: str, key: list[str], ts_col: str, stamp: str) -> None:
+    """S4 with corrections: rows whose key the table lacks are appended; a copy that differs and was not extracted before
+    (``stamp``) replaces the one there; anything else is left out, so a replay changes nothing.
+
+    ``new`` has one row a key.  Only the months of ``new`` are read (a static filter on the partition columns), and only
+    the days with corrected rows are rewritten, by dynamic partition overwrite.  Rows are filed by the date of
+    ``ts_col``, which must be a part of the key: a correction stays in its day.
+    """
+    spark = new.sparkSession
+    if not exists(spark, path):
+        return append_partitioned(new, path, ts_col=ts_col)
+    months = [r[0] for r in new.select(F.date_format(ts_col, "yyyyMM").cast("int")).distinct().collect()]
+    there = spark.read.parquet(path)
+    month = F.col("year") * 100 + F.col("month")
+    there = there.filter(month.isin([m for m in months if m is not None])
+                         | (F.col("year").isNull() if None in months else F.lit(False)))
+    rest = [c for c in new.columns if c not in key and c != stamp]
+    seen = there.select(*key, F.struct(*rest).alias("_old"), F.col(stamp).alias("_seen"), F.lit(True).alias("_there"))
+    state = join_same(new, seen, key, "left").filter(
+        F.col("_there").isNull() | ((F.col("_seen") < F.col(stamp)) & ~F.struct(*rest).eqNullSafe(F.col("_old"))))
+    state = state.withColumn("_corrects", F.col("_there").isNotNull()).select(*new.columns, "_corrects")
+    tmp = scratch_dir(spark, "landing")
+    state.write.parquet(tmp)
+    state = spark.read.schema(state.schema).parquet(tmp)
+    fixed = state.filter("_corrects").drop("_corrects")
+    days = [r[0] for r in fixed.select(F.to_date(ts_col)).distinct().collect()]
+    if days:
+        own = there.filter(F.make_date("year", "month", "day").isin(days)).select(new.columns)
+        whole = join_same(own, fixed.select(key), key, "left_anti").unionByName(fixed)
+        tmp = scratch_dir(spark, "rewritten")
+        whole.write.parquet(tmp)  # the days are read and written: not in one step
+        d = F.to_date(ts_col)
+        (spark.read.schema(whole.schema).parquet(tmp)
+         .withColumns({"year": F.year(d), "month": F.month(d), "day": F.dayofmonth(d)}).hint("rebalance", "year", "month", "day")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month", "day").parquet(path))
+    append_partitioned(state.filter(~F.col("_corrects")).drop("_corrects"), path, ts_col=ts_col)
+
+
 def read_recent(spark: SparkSession, path: str, as_of, days: int) -> DataFrame:
     """Rows of the last ``days`` days up to as_of; the predicate uses only partition
     columns, so whole folders are pruned before any file is opened."""
@@ -122,11 +169,26 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def replace_atomic(df: DataFrame, path: str) -> str:
+#: Replaced versions are kept this long for readers that still use them.
+KEEP_HOURS = 24.0
+
+
+def drop_versions(spark: SparkSession, path: str, keep_hours: float) -> None:
+    """Remove versions older than ``keep_hours``, never the one that the pointer names."""
+    fs, p, jvm = _fs(spark, path)
+    current = _current_version(spark, path)
+    now = jvm.java.lang.System.currentTimeMillis()
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("v-") and name != current and now - st.getModificationTime() >= keep_hours * 3_600_000:
+            fs.delete(st.getPath(), True)
+
+
+def replace_atomic(df: DataFrame, path: str, keep_hours: float = KEEP_HOURS) -> str:
     """Write a new version folder, then swap the ``_CURRENT`` pointer by rename.
 
-    Readers that resolved the old pointer keep reading the old version; a failed
-    write leaves the pointer untouched.  Returns the version folder.
+    Readers that resolved the old pointer keep reading the old version, until it is ``keep_hours`` old and a later
+    publication removes it; a failed write leaves the pointer untouched.  Returns the version folder.
     """
     spark = df.sparkSession
     version = f"v-{uuid.uuid4().hex}"
@@ -142,6 +204,7 @@ def replace_atomic(df: DataFrame, path: str) -> str:
     opts = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     opts[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
     fc.rename(tmp, cur, opts)
+    drop_versions(spark, path, keep_hours)
     return version
 
 
@@ -150,15 +213,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def read_current(spark: SparkSession, path: str) -> DataFrame:
-    """Read the version the ``_CURRENT`` pointer names."""
+def _current_version(spark: SparkSession, path: str) -> str:
     fs, _, jvm = _fs(spark, path)
     cur = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_CURRENT")
     stream = fs.open(cur)
     reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream))
     version = reader.readLine().strip()
     reader.close()
-    return spark.read.parquet(f"{path.rstrip('/')}/{version}")
+    return version
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """Read the version the ``_CURRENT`` pointer names."""
+    return spark.read.parquet(f"{path.rstrip('/')}/{_current_version(spark, path)}")
 
 
 def write_incidents(df: DataFrame, path: str) -> None:

@@ -118,23 +118,39 @@ RUN_KEY = ["job_name", "run_id", "start_time"]
 
 
 def append_new_runs(spark: SparkSession, runs: DataFrame, silver_path: str, checkpoint: str) -> None:
-    """Append runs that the silver table does not have yet, however late they come.
+    """Append runs that the silver table does not have yet, however late they come, and newer copies of known runs.
 
-    Each micro-batch is deduplicated by (job_name, run_id, start_time) and compared with the silver rows of the months it
-    touches.  Rows of batch b go to ``batch_id=b`` and are compared with earlier batches only, so a replayed
-    batch writes the same rows.  No state is kept and nothing is dropped for its age.
+    Of several copies of a run in a micro-batch the longest counts (then by status and rows).  A copy that equals the
+    one known is left out; one that differs is appended and counts from then on (``current_runs``).  Only the months of
+    the micro-batch are read: a static filter on the partition column.  Rows of batch b go to ``batch_id=b`` and are compared
+    with earlier batches only, so a replayed batch writes the same rows.  No state is kept and nothing is dropped
+    for its age.
     """
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        new = df.dropDuplicates(RUN_KEY).withColumn("run_month", F.date_format("start_time", "yyyy-MM"))
+        new = (IO.newest(df, RUN_KEY, ["duration_minutes", "status", "rows_processed"])
+               .withColumn("run_month", F.date_format("start_time", "yyyy-MM")))
         if IO.exists(spark, silver_path):
-            seen = spark.read.parquet(silver_path).filter(F.col("batch_id") < batch_id)
-            new = join_same(new, seen.select("run_month", *RUN_KEY), ["run_month", *RUN_KEY], "left_anti")
+            months = [r[0] for r in new.select("run_month").distinct().collect()]
+            dated, undated = [m for m in months if m is not None], None in months
+            seen = spark.read.parquet(silver_path).filter(
+                (F.col("batch_id") < batch_id)
+                & (F.col("run_month").isin(dated) | (F.col("run_month").isNull() if undated else F.lit(False))))
+            new = join_same(new, _last_batch(seen).select(new.columns), new.columns, "left_anti")
         (new.withColumn("batch_id", F.lit(batch_id)).hint("rebalance", "run_month").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("run_month", "batch_id").parquet(silver_path))
 
     run_available(runs.writeStream.foreachBatch(per_batch), checkpoint)
 
 
+def _last_batch(silver: DataFrame) -> DataFrame:
+    return IO.newest(silver, RUN_KEY, ["batch_id"])
+
+
+def current_runs(spark: SparkSession, silver_path: str) -> DataFrame:
+    """The runs of the table that ``append_new_runs`` writes: of each run the copy that came last."""
+    return _last_batch(spark.read.parquet(silver_path)).drop("run_month", "batch_id")
+
+
 def infra_windows(metrics: DataFrame, size: str = "30 minutes", delay: str = "10 minutes") -> DataFrame:
     """Storage and compute errors per window."""
     return (metrics.withWatermark("ts", delay).groupBy(F.window("ts", size).alias("w"))

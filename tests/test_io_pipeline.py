@@ -3,6 +3,7 @@
 import json
 import os
 import tempfile
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -39,6 +40,40 @@ def test_atomic_replace_keeps_old_version_readable(spark):
     assert IO.read_current(spark, d).count() == 5 and old.count() == 3
 
 
+def test_old_versions_are_removed(spark):
+    d = tempfile.mkdtemp(prefix="runsight-gold-")
+    for n in range(4):
+        IO.replace_atomic(spark.range(n), d)
+    assert len([f for f in os.listdir(d) if f.startswith("v-")]) == 4  # younger than a day
+    last = IO.replace_atomic(spark.range(9), d, keep_hours=0)
+    assert [f for f in os.listdir(d) if f.startswith("v-")] == [last] and IO.read_current(spark, d).count() == 9
+
+
+def test_newest_copy_of_a_run_wins(spark):
+    """Copies in one batch, a corrected run, an older replay; other days' files stay as they are."""
+    d = os.path.join(tempfile.mkdtemp(prefix="runsight-silver-"), "runs")
+    schema = "job string, at timestamp, minutes double, status string, landed timestamp"
+    key = ["job", "at"]
+
+    def rows(*r, landed):
+        return spark.createDataFrame([(j, datetime.fromisoformat(t), m, s, datetime.fromisoformat(landed)) for j, t, m, s in r], schema)
+
+    first = rows(("a", "2026-01-05 10:00", 10.0, "success"), ("a", "2026-01-05 10:00", 4.0, "failed"),
+                 ("b", "2026-01-06 10:00", 5.0, "success"), ("c", "2026-03-01 10:00", 1.0, "success"), landed="2026-03-02")
+    first = IO.newest(first, key, ["minutes", "status"])
+    IO.upsert_partitioned(first, d, key, "at", "landed")
+    files = {f for _, _, names in os.walk(os.path.join(d, "year=2026", "month=3")) for f in names}
+    again = rows(("a", "2026-01-05 10:00", 15.0, "failed"), ("b", "2026-01-06 10:00", 5.0, "success"),
+                 ("e", "2026-01-05 11:00", 2.0, "success"), landed="2026-03-03")
+    IO.upsert_partitioned(again, d, key, "at", "landed")
+    for replay in (first, again, first):
+        IO.upsert_partitioned(replay, d, key, "at", "landed")
+        got = {(r["job"], r["minutes"], r["status"]) for r in spark.read.parquet(d).collect()}
+        assert got == {("a", 15.0, "failed"), ("b", 5.0, "success"), ("c", 1.0, "success"), ("e", 2.0, "success")}
+        assert spark.read.parquet(d).count() == 4
+    assert files == {f for _, _, names in os.walk(os.path.join(d, "year=2026", "month=3")) for f in names}
+
+
 def test_pipeline_writes_five_gold_tables(spark):
     t = fx.Tables(spark, SF)
     out = tempfile.mkdtemp(prefix="runsight-pipeline-")
