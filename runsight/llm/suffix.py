@@ -12,9 +12,10 @@ Neighbours alone can miss a partner that is second best on both sides.  The two
 around a position can match; where a feasible window is not settled by a neighbour, an exact check groups the
 windows of that gram by hash.  The result is every run of MIN words that occurs twice.
 
-Defined results: case is folded in A-Z, blanks do not count; texts under MIN words (or null) and rows with a null
-doc_id have no passages; a row that repeats another repeats its passages; an empty table gives an empty result; other
-columns are not read.
+Defined results: case is folded in A-Z, blanks do not count; texts under MIN words (or null) have no passages; rows are
+told apart by id and text, so several texts of one id are searched each on its own, their passages listed under the id;
+rows with a null id count like others, their passages have a null doc_id; a row that repeats another repeats its
+passages; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,6 +32,12 @@ MIN = 50
 GRAM = 8
 SPAN = MIN - GRAM + 1
 SIDE = MIN - GRAM
+#: A gram with at least 1 / SHARE of the kept positions is joined map-side; there are at most SHARE of them.
+SHARE = 1000
+#: Ends of sorted ranges that one task compares.
+ENDS = 20_000
+#: Stands for a null id.
+NO_ID = -2 ** 63
 _MUL = mixed(np.arange(1, GRAM + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -53,12 +60,12 @@ def minimisers(g: np.ndarray) -> np.ndarray:
 
 
 def positions(docs: DataFrame) -> DataFrame:
-    """(gram, doc_id, pos) of all minimisers."""
+    """(gram, row, pos) of all minimisers."""
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                gram, doc, pos = [], [], []
+                gram, row, pos = [], [], []
                 for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     h = word_hashes(t)
                     if len(h) >= MIN:
@@ -66,16 +73,23 @@ def positions(docs: DataFrame) -> DataFrame:
                         at_ = minimisers(g)
                         gram.append(g[at_].view(np.int64))
                         pos.append(at_)
-                        doc.append(np.full(len(at_), d))
+                        row.append(np.full(len(at_), d))
                 if gram:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(gram)), pa.array(np.concatenate(doc)),
-                         pa.array(np.concatenate(pos).astype(np.int32))], ["gram", "doc_id", "pos"])
+                        [pa.array(np.concatenate(gram)), pa.array(np.concatenate(row)),
+                         pa.array(np.concatenate(pos).astype(np.int32))], ["gram", "row", "pos"])
 
-    return docs.mapInArrow(run, "gram long, doc_id long, pos int")
+    return docs.select("row", "text").mapInArrow(run, "gram long, row long, pos int")
 
 
-_CONTEXT = "gram long, doc_id long, pos int, n_right int, n_left int, right binary, left binary"
+def with_gram(rows: DataFrame, wanted: DataFrame, heavy: DataFrame) -> DataFrame:
+    """The rows whose gram is in ``wanted``; the ``heavy`` grams (at most SHARE) are matched map-side."""
+    hot = wanted.select("gram").join(F.broadcast(heavy), "gram")
+    rest = rows.join(F.broadcast(heavy), "gram", "left_anti").join(wanted.select("gram"), "gram", "left_semi")
+    return rest.unionByName(rows.join(F.broadcast(hot), "gram", "left_semi").select(rest.columns))
+
+
+_CONTEXT = "gram long, row long, doc_id long, pos int, n_right int, n_left int, right binary, left binary"
 
 
 def contexts(docs: DataFrame, repeated: DataFrame) -> DataFrame:
@@ -85,12 +99,12 @@ def contexts(docs: DataFrame, repeated: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             rows = [[] for _ in names]
-            for d, t, at in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for k, d, t, at in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 h = word_hashes(t)
                 g, short = grams(h).view(np.int64), (h >> np.uint64(32)).astype(">u4")
                 for p in sorted(set(at)):
                     right, left = short[p + GRAM:p + GRAM + SIDE], short[max(0, p - SIDE):p][::-1]
-                    for column, value in zip(rows, (int(g[p]), d, p, len(right), len(left),
+                    for column, value in zip(rows, (int(g[p]), k, d, p, len(right), len(left),
                                                     right.tobytes().ljust(4 * SIDE, b"\0"),
                                                     left.tobytes().ljust(4 * SIDE, b"\0")), strict=True):
                         column.append(value)
@@ -100,10 +114,10 @@ def contexts(docs: DataFrame, repeated: DataFrame) -> DataFrame:
             yield table(rows)
 
     def table(rows):
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+        kinds = [pa.int64()] * 3 + [pa.int32()] * 3 + [pa.binary()] * 2
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds, strict=True)], names)
 
-    return docs.join(repeated, "doc_id").select("doc_id", "text", "at").mapInArrow(run, _CONTEXT)
+    return docs.join(repeated, "row").select("row", "doc_id", "text", "at").mapInArrow(run, _CONTEXT)
 
 
 def _side(column) -> np.ndarray:
@@ -124,18 +138,19 @@ def windows(right: np.ndarray, left: np.ndarray) -> np.ndarray:
 
 
 def neighbours(rows: DataFrame, order: list[str]) -> DataFrame:
-    """Matches of each suffix with its neighbours in ``order``: (gram, doc_id, pos, r, l, covered, other)."""
-    names = ["gram", "doc_id", "pos", "r", "l", "covered", "other"]
-    schema = "gram long, doc_id long, pos int, r int, l int, covered long, other long"
+    """Matches of each suffix with its neighbours in ``order``: (gram, row, doc_id, pos, r, l, covered, other)."""
+    names = ["gram", "row", "doc_id", "pos", "r", "l", "covered", "other"]
+    schema = "gram long, row long, doc_id long, pos int, r int, l int, covered long, other long"
+    kinds = [pa.int64()] * 3 + [pa.int32()] * 3 + [pa.int64()] * 2
 
     def compare(cols):
-        gram, doc, pos, n_right, n_left = cols[:5]
-        r, n = _common(cols[5], n_right), _common(cols[6], n_left)
+        gram, row, doc, pos, n_right, n_left = cols[:6]
+        r, n = _common(cols[6], n_right), _common(cols[7], n_left)
         pair = np.flatnonzero(gram[1:] == gram[:-1])
         r, n = r[pair], n[pair]
         mask = windows(r, n)
         a, b = pair, pair + 1
-        both = [np.concatenate([gram[a], gram[b]]), np.concatenate([doc[a], doc[b]]), np.concatenate([pos[a], pos[b]]),
+        both = [*[np.concatenate([x[a], x[b]]) for x in (gram, row, doc, pos)],
                 np.concatenate([r, r]).astype(np.int32), np.concatenate([n, n]).astype(np.int32),
                 np.concatenate([mask, mask]), np.concatenate([doc[b], doc[a]])]
         return [pa.array(x) for x in both]
@@ -146,8 +161,8 @@ def neighbours(rows: DataFrame, order: list[str]) -> DataFrame:
             if not batch.num_rows:
                 continue
             seen += batch.num_rows
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)] + [
-                _side(batch.column(5)), _side(batch.column(6))]
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)] + [
+                _side(batch.column(6)), _side(batch.column(7))]
             edge.append(batch.slice(0, 1)) if held is None else None
             cols = cols if held is None else [np.concatenate(x) for x in zip(held, cols, strict=True)]
             found = compare(cols)
@@ -158,25 +173,34 @@ def neighbours(rows: DataFrame, order: list[str]) -> DataFrame:
         if held is not None:
             # a task's only row is one end, not two: it must not meet itself
             ends = pa.Table.from_batches([*edge, last] if seen > 1 else edge).combine_chunks().to_batches()[0]
-            none = [pa.nulls(ends.num_rows, t) for t in
-                    (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())]
+            none = [pa.nulls(ends.num_rows, t) for t in kinds]
             yield pa.RecordBatch.from_arrays([*none, *ends.columns], [*names, *[f"e_{f.name}" for f in ends.schema]])
 
     whole = schema + ", " + ", ".join(f"e_{c}" for c in _CONTEXT.split(", "))
     cols = [c.split()[0] for c in _CONTEXT.split(", ")]
-    sort = [*order, "doc_id", "pos"]
+    sort = [*order, "row", "pos"]
+
+    def compared(dealt: DataFrame) -> DataFrame:
+        return written(dealt.sortWithinPartitions(*sort).mapInArrow(run, whole), "neighbours")
+
     # Ranges go by the first side only: ties on it have the longest match there, wherever they are cut.
-    out = written(rows.select(cols).repartitionByRange(*order[:2], "doc_id", "pos").sortWithinPartitions(*sort).mapInArrow(run, whole),
-                  "neighbours")
-    # The first and last suffix of each task: as many rows as two a task, compared once more across tasks.
-    ends = out.filter(F.col("e_gram").isNotNull()).select(*[F.col(f"e_{c}").alias(c) for c in cols])
-    across = ends.repartition(1).sortWithinPartitions(*sort).mapInArrow(run, whole)
-    return out.unionByName(across).filter(F.col("gram").isNotNull()).select(names)
+    cut = [*order[:2], "row", "pos"]
+    out = [compared(rows.select(cols).repartitionByRange(*cut))]
+    while True:  # the first and last suffix of each task are compared once more across tasks, ENDS of them in one
+        ends = out[-1].filter(F.col("e_gram").isNotNull()).select(*[F.col(f"e_{c}").alias(c) for c in cols])
+        n = -(-ends.count() // ENDS)
+        out.append(compared(ends.repartitionByRange(n, *cut) if n > 1 else ends.repartition(1)))
+        if n <= 1:
+            break
+    every = out[0]
+    for more in out[1:]:
+        every = every.unionByName(more)
+    return every.filter(F.col("gram").isNotNull()).select(names)
 
 
 def settled(found: DataFrame) -> DataFrame:
     """Per position: windows covered, windows that no neighbour settles (open), and a partner.  Written."""
-    best = found.groupBy("gram", "doc_id", "pos").agg(
+    best = found.groupBy("gram", "row", "doc_id", "pos").agg(
         F.max("r").alias("r"), F.max("l").alias("l"), F.bit_or("covered").alias("covered"),
         F.min(F.when(F.col("covered") != 0, F.col("other"))).alias("low"),
         F.max(F.when(F.col("covered") != 0, F.col("other"))).alias("high"))
@@ -190,19 +214,19 @@ def settled(found: DataFrame) -> DataFrame:
         "open", F.col("feasible").bitwiseAND(F.bitwise_not("covered"))), "settled")
 
 
-def checked(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """(gram, doc_id, pos, covered, low, high) of the feasible windows that occur twice, for grams with open ones."""
+def checked(rows: DataFrame, known: DataFrame, heavy: DataFrame) -> DataFrame:
+    """(gram, row, doc_id, pos, covered, low, high) of the feasible windows that occur twice, for grams with open ones."""
     todo = known.filter("open != 0").select("gram").distinct()
-    some = rows.join(known.join(todo, "gram", "left_semi").filter("feasible != 0")
-                     .select("gram", "doc_id", "pos", "feasible"), ["gram", "doc_id", "pos"])
+    some = rows.join(with_gram(known.filter("feasible != 0").select("gram", "row", "pos", "feasible"), todo, heavy),
+                     ["gram", "row", "pos"])
     power = np.multiply.accumulate(np.full(SIDE, 0xD1342543DE82EF95, np.uint64))
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                gram, doc, pos, mask = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 5))
-                right, left = _side(part.column(3)).astype(np.uint64), _side(part.column(4)).astype(np.uint64)
+                gram, row, doc, pos, mask = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 3, 6))
+                right, left = _side(part.column(4)).astype(np.uint64), _side(part.column(5)).astype(np.uint64)
                 zero = np.zeros((len(gram), 1), np.uint64)
                 rs = np.hstack([zero, np.cumsum(right * power, axis=1, dtype=np.uint64)])
                 ls = np.hstack([zero, np.cumsum(left * power, axis=1, dtype=np.uint64)])
@@ -210,15 +234,15 @@ def checked(rows: DataFrame, known: DataFrame) -> DataFrame:
                 key = mixed(mixed(ls[i, o]) * np.uint64(3) + mixed(rs[i, SIDE - o] ^ np.uint64(1))
                             + gram[i].view(np.uint64)) + o.astype(np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(mixed(key).view(np.int64)), pa.array(gram[i]), pa.array(doc[i]), pa.array(pos[i]),
-                     pa.array(o.astype(np.int32))], ["window", "gram", "doc_id", "pos", "o"])
+                    [pa.array(mixed(key).view(np.int64)), pa.array(gram[i]), pa.array(row[i]), pa.array(doc[i]),
+                     pa.array(pos[i]), pa.array(o.astype(np.int32))], ["window", "gram", "row", "doc_id", "pos", "o"])
 
-    seen = written(some.select("gram", "doc_id", "pos", "right", "left", "feasible").mapInArrow(
-        run, "window long, gram long, doc_id long, pos int, o int"), "windows")
+    seen = written(some.select("gram", "row", "doc_id", "pos", "right", "left", "feasible").mapInArrow(
+        run, "window long, gram long, row long, doc_id long, pos int, o int"), "windows")
     twice = seen.groupBy("window").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"),
                                        F.max("doc_id").alias("high")).filter("n > 1")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("o"))
-    return seen.join(twice, "window").groupBy("gram", "doc_id", "pos").agg(
+    return seen.join(twice, "window").groupBy("gram", "row", "doc_id", "pos").agg(
         F.bit_or(bit).alias("covered"), F.min("low").alias("low"), F.max("high").alias("high"))
 
 
@@ -228,20 +252,23 @@ def passages(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> Dat
     Every word of it lies in a run of MIN words that occurs again; other_id is a document that shares such a run
     (the document itself if it only repeats itself).
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).filter(
-        F.col("doc_id").isNotNull())
+    # rows are told apart by id and text; NO_ID stands for a null id on the way
+    docs = docs.select(F.xxhash64(F.col(id_col).cast("long"), F.col(text)).alias("row"),
+                       F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"),
+                       F.col(text).cast("string").alias("text"))
     sparse = written(positions(docs), "minimisers")
-    twice = sparse.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
-    at = written(sparse.join(twice, "gram").groupBy("doc_id").agg(F.collect_set("pos").alias("at")), "repeated")
+    twice = written(sparse.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated_grams")
+    heavy = twice.filter(F.col("n") * SHARE >= sparse.count()).select("gram")
+    at = written(with_gram(sparse, twice, heavy).groupBy("row").agg(F.collect_set("pos").alias("at")), "repeated")
     rows = written(contexts(docs, at), "suffixes")
     found = neighbours(rows, ["gram", "right", "left"]).unionByName(neighbours(rows, ["gram", "left", "right"]))
     known = settled(found)
-    cols = ["gram", "doc_id", "pos", "covered", "low", "high"]
-    hits = known.filter("covered != 0").select(cols).unionByName(checked(rows, known).select(cols))
+    cols = ["row", "doc_id", "pos", "covered", "low", "high"]
+    hits = known.filter("covered != 0").select(cols).unionByName(checked(rows, known, heavy).select(cols))
     own = F.col("doc_id")
     other = F.when(F.col("low") != own, F.col("low")).otherwise(F.col("high"))
-    per = hits.select("doc_id", F.struct("pos", "covered", other.alias("other")).alias("hit")).groupBy("doc_id").agg(
-        F.collect_list("hit").alias("hits"))
+    per = hits.select("row", "doc_id", F.struct("pos", "covered", other.alias("other")).alias("hit")).groupBy(
+        "row", "doc_id").agg(F.collect_list("hit").alias("hits")).select("doc_id", "hits")
 
     def merge(batches):
         for batch in batches:
@@ -270,4 +297,5 @@ def passages(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> Dat
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(5)],
                                              ["doc_id", "start", "end", "n_words", "other_id"])
 
-    return per.mapInArrow(merge, "doc_id long, start long, end long, n_words long, other_id long")
+    spans = per.mapInArrow(merge, "doc_id long, start long, end long, n_words long, other_id long")
+    return spans.withColumns({c: F.nullif(c, F.lit(NO_ID)) for c in ("doc_id", "other_id")})

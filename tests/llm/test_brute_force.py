@@ -96,3 +96,48 @@ def test_chain_against_dense_fits(links):
             t = dense_fit(full[fold != f], y[fold != f, k], 300, 1e-4, 0.1)
             p[fold == f] = 1 / (1 + np.exp(-np.clip(full[fold == f] @ t, -40, 40)))
         held = np.hstack([held, p[:, None]])
+
+
+def naive_spans(rows, least=50):
+    """(id, start, end) of the maximal stretches of words that lie in runs of ``least`` words that occur twice."""
+    words = [(t or "").lower().split() for _, t in rows]
+    seen = {}
+    for r, w in enumerate(words):
+        for i in range(len(w) - least + 1):
+            seen.setdefault(tuple(w[i:i + least]), []).append((r, i))
+    out = []
+    for r, w in enumerate(words):
+        mark = [False] * (len(w) + 1)
+        for i in range(len(w) - least + 1):
+            if len(seen[tuple(w[i:i + least])]) > 1:
+                mark[i:i + least] = [True] * least
+        start = None
+        for i, m in enumerate(mark):
+            if m and start is None:
+                start = i
+            elif not m and start is not None:
+                out.append((rows[r][0], start, i))
+                start = None
+    return sorted(set(out), key=str)
+
+
+def test_passages_of_repeated_and_null_ids(spark, monkeypatch):
+    """One id with two texts, null ids as partners, a passage in a third of the rows; also with ends compared in steps."""
+    import random
+
+    from runsight.llm import suffix
+    rng = random.Random(4)
+
+    def text(n):
+        return " ".join(rng.choice("abcdefghij") + str(rng.randint(0, 400)) for _ in range(n))
+
+    a, b, c = text(300), text(80), text(60)
+    rows = [(1, a), (2, a), (1, text(60)), (3, b), (None, b), (1, text(70) + " " + b), (None, text(55)), (4, None), (5, "x")]
+    rows += [(10 + k, text(rng.randint(0, 40)) + " " + c + " " + text(30)) for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = naive_spans(rows)
+    got = suffix.passages(docs).collect()
+    assert sorted({(r.doc_id, r.start, r.end) for r in got}, key=str) == want
+    monkeypatch.setattr(suffix, "ENDS", 6)
+    again = suffix.passages(docs.repartition(7)).collect()
+    assert sorted({(r.doc_id, r.start, r.end) for r in again}, key=str) == want
