@@ -82,6 +82,18 @@ def positions(docs: DataFrame) -> DataFrame:
     return docs.select("row", "text").mapInArrow(run, "gram long, row long, pos int")
 
 
+def told_apart(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text): row is the id where that is one row's own (small numbers stay small in all that is written),
+    else a hash of id and text; NO_ID stands for a null id on the way."""
+    shared = written(docs.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+                     .filter("n > 1").select("doc_id"), "repeated_ids")
+    row = F.coalesce("doc_id", F.xxhash64("text"))
+    if not shared.isEmpty():
+        docs = docs.join(shared.withColumn("shared", F.lit(True)), "doc_id", "left")
+        row = F.when(F.col("shared"), F.xxhash64("doc_id", "text")).otherwise(row)
+    return docs.select(row.alias("row"), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
+
+
 def with_gram(rows: DataFrame, wanted: DataFrame, heavy: DataFrame) -> DataFrame:
     """The rows whose gram is in ``wanted``; the ``heavy`` grams (at most SHARE) are matched map-side."""
     hot = wanted.select("gram").join(F.broadcast(heavy), "gram")
@@ -252,10 +264,7 @@ def passages(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> Dat
     Every word of it lies in a run of MIN words that occurs again; other_id is a document that shares such a run
     (the document itself if it only repeats itself).
     """
-    # rows are told apart by id and text; NO_ID stands for a null id on the way
-    docs = docs.select(F.xxhash64(F.col(id_col).cast("long"), F.col(text)).alias("row"),
-                       F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"),
-                       F.col(text).cast("string").alias("text"))
+    docs = told_apart(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")))
     sparse = written(positions(docs), "minimisers")
     twice = written(sparse.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated_grams")
     heavy = twice.filter(F.col("n") * SHARE >= sparse.count()).select("gram")
