@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runsight.functions.core import rnd
+from runsight.operators.chunked import CHUNK_ROWS, join_same, positions
 
 
 def daily_summary(hourly: DataFrame) -> DataFrame:
@@ -26,7 +27,13 @@ def share_of_total(df: DataFrame, key: str, value: str) -> DataFrame:
     return agg.select(key, value, rnd(F.col(value).cast("double") / total * 100.0, 2).alias("share_pct"))
 
 
-def share_ranked(shares: DataFrame, value: str) -> DataFrame:
-    """Rank by value, after aggregation (few rows per key set)."""
-    w = Window.orderBy(F.col(value).desc())
-    return shares.withColumn("rank", F.rank().over(w))
+def share_ranked(shares: DataFrame, value: str, target_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Rank by value (equal values share a rank, NULLs last).
+
+    Positions come from the prefix scan (``chunked.positions``) with one key for all rows, so a long table is ranked in many
+    tasks; a value's rank is its first position.
+    """
+    order = {"_k": F.lit(0), "_n": F.col(value).isNull(), "_o": -F.col(value)}
+    placed = positions(shares.withColumns(order), "_k", ["_n", "_o"], target_rows)
+    first = placed.groupBy(value).agg(F.min("pos").cast("int").alias("rank"))
+    return join_same(shares, first, [value])

@@ -13,8 +13,8 @@ from runsight.sources import fixtures as fx
 B = O.BASE
 
 
-def gold(t):
-    return M.job_metrics(fx.runs(t))
+def gold(t, p95="exact"):
+    return M.job_metrics(fx.runs(t), p95=p95)
 
 
 METRIC_COLS = ["job_name", "team", "impact", "sla_minutes", "total_runs", "duration_runs", "latest_duration",
@@ -80,12 +80,21 @@ def q_agg_p95_approx(t):
     return m.select("job_name", "p95_duration")
 
 
+@register("agg_p95_banded", RUNS_ONLY + f"""SELECT job_name,
+  {O.R('quantile_cont(duration_minutes, 0.95)', 6)} AS p95_duration FROM runs GROUP BY job_name""")
+def q_agg_p95_banded(t):
+    """The exact p95 with bounded state: a sketch brackets it, a second pass counts only the bracket's values."""
+    from runsight.functions import rnd
+    m = M.job_metrics(fx.runs(t), min_runs=0, rounding=False, p95="banded")
+    return m.select("job_name", rnd("p95_duration", 6).alias("p95_duration"))
+
+
 @register("agg_stddev", RUNS_ONLY + f"""SELECT job_name, {O.R('stddev_samp(duration_minutes)', 6)} AS stddev_duration,
   {O.R('stddev_samp(rows_processed)', 6)} AS stddev_rows FROM runs GROUP BY job_name""")
 def q_agg_stddev(t):
     """A1e: sample standard deviation."""
     from runsight.functions import rnd
-    m = M.job_metrics(fx.runs(t), min_runs=0, rounding=False)
+    m = M.job_metrics(fx.runs(t), min_runs=0, rounding=False, p95="none")
     return m.select("job_name", rnd("stddev_duration", 6).alias("stddev_duration"),
                     rnd("stddev_rows", 6).alias("stddev_rows"))
 
@@ -95,7 +104,7 @@ def q_agg_stddev(t):
   FROM runs GROUP BY job_name""")
 def q_agg_failure_rate(t):
     """A1f: share of failed runs."""
-    return M.job_metrics(fx.runs(t), min_runs=0).select("job_name", "failure_rate")
+    return M.job_metrics(fx.runs(t), min_runs=0, p95="none").select("job_name", "failure_rate")
 
 
 @register("agg_latest", RUNS_ONLY + """SELECT job_name, arg_max(duration_minutes, (start_time, run_id)) AS latest_duration,
@@ -145,19 +154,19 @@ def q_warmup_table(t):
 @register("drift_scores", B + "SELECT job_name, time_drift_score, volume_drift_score FROM m")
 def q_drift_scores(t):
     """Time and volume z-scores of the latest run."""
-    return M.drift_scores(gold(t))
+    return M.drift_scores(gold(t, "none"))
 
 
 @register("verdicts", B + "SELECT job_name, verdict FROM m")
 def q_verdicts(t):
     """Verdict per job."""
-    return gold(t).select("job_name", "verdict")
+    return gold(t, "none").select("job_name", "verdict")
 
 
 @register("priority", B + "SELECT job_name, impact, priority_score FROM m")
 def q_priority(t):
     """Impact-weighted priority."""
-    return gold(t).select("job_name", "impact", "priority_score")
+    return gold(t, "none").select("job_name", "impact", "priority_score")
 
 
 def _replay_sql(runs: str) -> str:
@@ -191,7 +200,7 @@ def q_replay_scores_undated(t):
   WHERE verdict IN ('breached', 'at_risk')""")
 def q_urgent_jobs(t):
     """Breached or at-risk jobs."""
-    return V.urgent_jobs(gold(t))
+    return V.urgent_jobs(gold(t, "none"))
 
 
 @register("urgent_topk", B + f"""SELECT job_name, team, verdict, {O.R('time_drift_score', 2)} AS time_drift,
@@ -213,8 +222,9 @@ def q_heatmap(t):
 @register("job_drilldown", B + """SELECT job_name, latest_duration, sla_minutes, verdict, priority_score FROM m
   WHERE job_name = 'Supplier#000000003'""")
 def q_job_drilldown(t):
-    """One job's card."""
-    return V.job_drilldown(gold(t), "Supplier#000000003")
+    """One job's card, from that job's runs only."""
+    job = "Supplier#000000003"
+    return V.job_drilldown(M.job_metrics(fx.runs(t).filter(F.col("job_name") == job), p95="none"), job)
 
 
 @register("total_events", RUNS_ONLY + """SELECT count(*) AS total_events, sum(rows_processed) AS total_rows,

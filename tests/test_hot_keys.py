@@ -164,3 +164,13 @@ def test_asof_keeps_left_rows_without_key_or_time(spark):
         got = asof_join(left, right, "k", "at", "seen", ["v"], target_rows=n).collect()
         assert sorted((str(r["k"]), str(r["at"]), r["v"]) for r in got) == sorted(
             [("a", str(t0 + timedelta(hours=2)), 1), ("None", str(t0), None), ("a", "None", None)])
+
+
+def test_rank_of_a_long_table_equals_the_plain_window(spark):
+    from pyspark.sql import Window
+
+    from runsight.operators.summaries import share_ranked
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 50 != 0, F.col("id") * 7919 % 400).alias("v"))
+    want = sorted(map(str, rows.withColumn("rank", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last()))).collect()))
+    for n in (100, 2_000_000):
+        assert sorted(map(str, share_ranked(rows, "v", n).select("id", "v", "rank").collect())) == want
