@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runsight.functions.core import lit_ts, minutes_between, rnd
+from runsight.sources import files as IO
 
 # Fixed defaults when no fingerprint exists for a job.
 DEFAULTS = {"fingerprint_type": "unknown", "evidence_score": "?",
@@ -59,6 +60,20 @@ def resolve(incidents: DataFrame, resolutions: DataFrame) -> DataFrame:
             .withColumn("resolved_at", F.coalesce("resolved_at", "_r")).drop("_r"))
 
 
+def publish_resolutions(spark: SparkSession, path: str, resolutions: DataFrame, number: int) -> None:
+    """K3 for good: the stored incidents (``files.publish_buckets`` by job) take the resolutions of publication ``number``.
+
+    Only buckets of resolved jobs are read and rewritten; an incident that has a resolution keeps it, and a repeated
+    publication changes nothing.
+    """
+    if not IO.is_newer(spark, path, number):
+        return
+    buckets = IO.manifest(spark, path)["count"]
+    own = IO.buckets_of(resolutions, "job_name", buckets)
+    there = IO.read_buckets(spark, path, only=own)
+    IO.publish_buckets(resolve(there, resolutions).select(there.columns), path, "job_name", buckets, number)
+
+
 def incident_log(incidents: DataFrame, n: int = 20) -> DataFrame:
     """K4: the n newest incidents with an open/resolved flag."""
     return (incidents.orderBy(F.col("detected_at").desc(), F.col("job_name"))

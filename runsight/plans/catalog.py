@@ -50,4 +50,4 @@ def register(name: str, sql: str | None = None):
 
 
 # Importing the query modules fills the two dictionaries.
-from runsight.plans import q_core, q_graph, q_io, q_ops, q_stream  # noqa: E402,F401
+from runsight.plans import q_core, q_graph, q_incremental, q_io, q_ops, q_stream  # noqa: E402,F401

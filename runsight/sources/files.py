@@ -8,6 +8,7 @@ pointer file with a single rename.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -173,30 +174,23 @@ def _fs(spark: SparkSession, path: str):
 KEEP_HOURS = 24.0
 
 
-def drop_versions(spark: SparkSession, path: str, keep_hours: float) -> None:
-    """Remove versions older than ``keep_hours``, never the one that the pointer names."""
+def drop_versions(spark: SparkSession, path: str, keep_hours: float, used: set[str] | None = None) -> None:
+    """Remove versions older than ``keep_hours``, never the one that the pointer names (or those in ``used``)."""
     fs, p, jvm = _fs(spark, path)
-    current = _current_version(spark, path)
+    current = {_current_version(spark, path)} if used is None else used
     now = jvm.java.lang.System.currentTimeMillis()
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("v-") and name != current and now - st.getModificationTime() >= keep_hours * 3_600_000:
+        if name.startswith("v-") and name not in current and now - st.getModificationTime() >= keep_hours * 3_600_000:
             fs.delete(st.getPath(), True)
 
 
-def replace_atomic(df: DataFrame, path: str, keep_hours: float = KEEP_HOURS) -> str:
-    """Write a new version folder, then swap the ``_CURRENT`` pointer by rename.
-
-    Readers that resolved the old pointer keep reading the old version, until it is ``keep_hours`` old and a later
-    publication removes it; a failed write leaves the pointer untouched.  Returns the version folder.
-    """
-    spark = df.sparkSession
-    version = f"v-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(f"{path.rstrip('/')}/{version}")
+def _point(spark: SparkSession, path: str, version: str, line: str) -> None:
+    """Make ``line`` the content of the ``_CURRENT`` pointer in one step."""
     fs, _, jvm = _fs(spark, path)
     tmp = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_CURRENT.{version}.tmp")
     out = fs.create(tmp, True)
-    out.write(bytearray(version.encode()))
+    out.write(bytearray(line.encode()))
     out.close()
     cur = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_CURRENT")
     # FileContext.rename with OVERWRITE replaces the pointer in one step.
@@ -204,6 +198,18 @@ def replace_atomic(df: DataFrame, path: str, keep_hours: float = KEEP_HOURS) ->
     opts = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     opts[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
     fc.rename(tmp, cur, opts)
+
+
+def replace_atomic(df: DataFrame, path: str, keep_hours: float = KEEP_HOURS) -> str:
+    """Write a new version folder, then swap the ``_CURRENT`` pointer by rename.
+
+    Readers that resolved the old pointer keep reading the old version, until it is ``keep_hours`` old and a later
+    publication removes it; a failed write leaves the pointer untouched.  Returns the version folder.
+    """
+    spark = df.sparkSession
+    version = f"v-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(f"{path.rstrip('/')}/{version}")
+    _point(spark, path, version, version)
     drop_versions(spark, path, keep_hours)
     return version
 
@@ -228,6 +234,67 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path.rstrip('/')}/{_current_version(spark, path)}")
 
 
+# ---- tables by key bucket: a publication rewrites the buckets it touches ------
+def bucket_of(key: str, buckets: int):
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def buckets_of(df: DataFrame, key: str, buckets: int) -> list[int]:
+    """The buckets that the rows of ``df`` fall in (at most ``buckets``)."""
+    return sorted(r[0] for r in df.select(bucket_of(key, buckets)).distinct().collect())
+
+
+def manifest(spark: SparkSession, path: str) -> dict:
+    """What the pointer of a bucketed table says: its last publication's number, bucket count, schema and each bucket's version."""
+    if not exists(spark, f"{path.rstrip('/')}/_CURRENT"):
+        return {"number": None, "count": None, "schema": None, "versions": {}}
+    return json.loads(_current_version(spark, path))
+
+
+def is_newer(spark: SparkSession, path: str, number: int) -> bool:
+    """Whether publication ``number`` is still to be made."""
+    last = manifest(spark, path)["number"]
+    return last is None or number > last
+
+
+def read_buckets(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                 only: list[int] | None = None) -> DataFrame:
+    """A bucketed table, or the files of some buckets; without a publication an empty table of ``schema``."""
+    m = manifest(spark, path)
+    own = m["versions"] if only is None else {b: v for b, v in m["versions"].items() if int(b) in set(only)}
+    kept = T.StructType.fromJson(m["schema"]) if m["schema"] else schema
+    if kept is None:
+        raise FileNotFoundError(f"no publication under {path}")
+    if not own:
+        return spark.createDataFrame([], kept)
+    return spark.read.schema(kept).parquet(*[f"{path.rstrip('/')}/{v}/bucket={b}" for b, v in sorted(own.items())])
+
+
+def publish_buckets(df: DataFrame, path: str, key: str, buckets: int, number: int,
+                    keep_hours: float = KEEP_HOURS) -> list[int]:
+    """Copy on write: ``df`` has all rows of each bucket it touches; they replace those buckets in one step.
+
+    The other buckets stay in the version that wrote them.  The pointer holds the number of the publication (rising;
+    see ``is_newer``).  Versions that no bucket uses any more go when they are ``keep_hours`` old.  Returns the
+    buckets written.
+    """
+    spark, base = df.sparkSession, path.rstrip("/")
+    m = manifest(spark, path)
+    if m["count"] not in (None, buckets):
+        raise ValueError(f"{path} has {m['count']} buckets, not {buckets}")
+    version = f"v-{uuid.uuid4().hex}"
+    (df.withColumn("bucket", bucket_of(key, buckets)).hint("rebalance", "bucket").write.mode("error")
+     .partitionBy("bucket").parquet(f"{base}/{version}"))
+    fs, _, jvm = _fs(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/{version}"))]
+    done = sorted(int(n.split("=")[1]) for n in names if n.startswith("bucket="))
+    versions = {**m["versions"], **{str(b): version for b in done}}
+    line = json.dumps({"number": number, "count": buckets, "schema": df.schema.jsonValue(), "versions": versions})
+    _point(spark, path, version, line)
+    drop_versions(spark, path, keep_hours, set(versions.values()))
+    return done
+
+
 def write_incidents(df: DataFrame, path: str) -> None:
     """Append incidents partitioned by detection date."""
     df.withColumn("detected_date", F.to_date("detected_at")).write.mode("append") \
