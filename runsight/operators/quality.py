@@ -6,7 +6,7 @@ row count and all null counts come from one aggregation pass.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runsight.functions.core import rnd
@@ -66,3 +66,53 @@ def quality_report(df: DataFrame, required=REQUIRED, null_pct: float = NULL_PCT,
                       F.when(F.col("row_count") == 0, 0).otherwise(F.greatest(F.lit(0), F.lit(N_CHECKS) - k))
                       .alias("checks_passed"),
                       F.when(F.col("row_count") == 0, 0).otherwise(k).alias("checks_failed"), "issues")
+
+
+# ---- types of raw records (Q2, S1) --------------------------------------------
+#: The JSON type of each field of a run record.
+RUN_TYPES = {"job_name": "string", "team": "string", "impact": "string", "sla_minutes": "number", "normal_rows": "integer",
+             "cycle_number": "integer", "run_id": "string", "start_time": "string", "duration_minutes": "number",
+             "rows_processed": "integer", "status": "string", "volume_multiplier": "number", "depends_on": "array"}
+UNREADABLE = "unreadable"
+
+
+def as_variant(lines: DataFrame, col: str = "value") -> DataFrame:
+    """One ``record`` a JSON text, as it came and with its own types; NULL where the text is no JSON object."""
+    v = F.try_parse_json(F.col(col))
+    return lines.select(F.when(F.schema_of_variant(v).startswith("OBJECT<"), v).alias("record"))
+
+
+def _json_type(v) -> Column:
+    t = F.schema_of_variant(v)
+    return (F.when(t == "VOID", "null").when(t == "BIGINT", "integer").when(t == "STRING", "string")
+            .when(t == "BOOLEAN", "boolean").when(t.startswith("ARRAY"), "array").when(t.startswith("OBJECT"), "object")
+            .otherwise("number"))
+
+
+def type_report(records: DataFrame, expected: dict[str, str] = RUN_TYPES) -> DataFrame:
+    """Per field and type found in the raw ``records``: expected_type (NULL: not expected), records, share_pct of all records, drift.
+
+    A field drifts where its type is not the expected one (an integer is a number; null fits any type) or it is not expected.
+    Texts that are no JSON object are counted in a row of their own, without a field, whose share is the rate of unreadable
+    records.  An empty table gives no rows.  One pass, counted on the map side; the total is that of the rows counted.
+    """
+    spark = records.sparkSession
+    broken = F.col("record").isNull()
+    one = records.withColumn("_record", F.when(broken, F.parse_json(F.lit("{}"))).otherwise(F.col("record")))
+    each = one.lateralJoin(spark.tvf.variant_explode_outer(F.col("_record").outer()))
+    # a record is counted once, at its first field (an empty or broken one has a single row without a field)
+    found = (each.groupBy(F.col("key").alias("field"),
+                          F.when(broken, UNREADABLE).when(F.col("key").isNotNull(), _json_type(F.col("value"))).alias("found_type"))
+             .agg(F.count(F.lit(1)).alias("records"), F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0).alias("_first")))
+    total = found.agg(F.sum("_first").alias("_total"))
+    want = F.create_map(*[F.lit(x) for kv in expected.items() for x in kv])[F.col("field")]
+    fits = (F.col("found_type") == "null") | (F.col("found_type") == want) | ((want == "number") & (F.col("found_type") == "integer"))
+    return (found.filter(F.col("found_type").isNotNull()).join(total, how="inner")
+            .select("field", want.alias("expected_type"), "found_type", "records",
+                    rnd(F.col("records").cast("double") / F.col("_total") * 100.0, 3).alias("share_pct"),
+                    (~F.coalesce(fits, F.lit(False))).alias("drift")))
+
+
+def merged_schema(records: DataFrame) -> DataFrame:
+    """One row: the schema that fits all readable records."""
+    return records.agg(F.schema_of_variant_agg("record").alias("schema"))

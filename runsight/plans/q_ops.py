@@ -17,6 +17,7 @@ from runsight.operators import summaries as SM
 from runsight.operators import velocity as VL
 from runsight.plans import oracle as O
 from runsight.plans.catalog import register
+from runsight.session import scratch_dir
 from runsight.sources import extract as X
 from runsight.sources import fixtures as fx
 from runsight.sources import signals as S
@@ -269,6 +270,39 @@ def q_dq_report_drift(t):
     return _dq(fx.runs(t).drop("team"))
 
 
+TYPED = ["job_name", "team", "impact", "sla_minutes", "normal_rows", "run_id", "start_time", "duration_minutes",
+         "rows_processed", "status"]
+
+
+def _types_sql() -> str:
+    """Line 5 spells rows_processed as text, line 6 breaks off, line 7 lacks its duration and has a field more."""
+    kinds = {**{c: f"'{Q.RUN_TYPES[c]}'" for c in TYPED}, "duration_minutes": "CASE WHEN l = 7 THEN NULL ELSE 'number' END",
+             "rows_processed": "CASE WHEN l = 5 THEN 'string' ELSE 'integer' END"}
+    rows = [f"SELECT '{c}' AS field, '{Q.RUN_TYPES[c]}' AS expected_type, {k} AS found_type, l FROM raw WHERE l <> 6"
+            for c, k in kinds.items()]
+    rows += ["SELECT 'retries', NULL, 'integer', l FROM raw WHERE l = 7", "SELECT NULL, NULL, 'unreadable', l FROM raw WHERE l = 6"]
+    share = R("count(*)::DOUBLE / (SELECT count(*) FROM raw) * 100.0", 3)
+    return RUNS_ONLY + f""", raw AS (SELECT line_no AS l FROM runs), f AS ({' UNION ALL '.join(rows)})
+SELECT field, expected_type, found_type, count(*) AS records, {share} AS share_pct,
+  NOT coalesce(found_type = expected_type, FALSE) AS drift
+FROM f WHERE found_type IS NOT NULL GROUP BY field, expected_type, found_type"""
+
+
+@register("dq_report_types", _types_sql())
+def q_dq_report_types(t):
+    """Type drift of raw JSON records, read as variants: a changed type, a new field and the rate of broken records."""
+    line = F.col("line_no")
+    duration = F.when(line != 7, F.col("duration_minutes").cast("double")).alias("duration_minutes")
+    plain = [duration if c == "duration_minutes" else F.col(c) for c in TYPED]
+    text = [F.col(c).cast("string").alias(c) if c == "rows_processed" else F.col(c) for c in TYPED]
+    j = F.to_json(F.struct(*plain, F.when(line == 7, 1).alias("retries")))
+    raw = fx.runs(t).select(F.when(line == 5, F.to_json(F.struct(*text)))
+                            .when(line == 6, F.substr(j, F.lit(1), F.length(j) - 1)).otherwise(j).alias("value"))
+    path = scratch_dir(t.spark, "raw-records")
+    raw.write.text(path)
+    return Q.type_report(Q.as_variant(t.spark.read.text(path)))
+
+
 @register("dq_report_by_day", _dq_sql(DIRTY + ", src AS (SELECT *, CAST(start_time AS DATE) AS d FROM dirty)",
                                       RUN_COLS, [], by="d"))
 def q_dq_report_by_day(t):

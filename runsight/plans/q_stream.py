@@ -160,6 +160,25 @@ def q_stream_corrections(t):
         F.sum(F.col("duration_minutes").cast("long")).alias("minutes"))
 
 
+@register("stream_velocity_trailing", O.with_(O.TX) + """SELECT account_id, txn_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
+  trailing_count FROM (SELECT *, count(*) OVER (PARTITION BY account_id ORDER BY epoch_us(ts)
+      RANGE BETWEEN 3600000000 PRECEDING AND CURRENT ROW) AS trailing_count FROM tx)
+  WHERE trailing_count > 2 AND ts + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM tx)""")
+def q_stream_velocity_trailing(t):
+    """W4 in a stream: more than 2 transactions in the trailing 60 minutes, per transaction that the watermark has passed."""
+    spark = t.spark
+    df = fx.transactions(t)
+    src, _ = ST.scratch(spark, "trailing-src")
+    out, ck = ST.scratch(spark, "trailing")
+
+    def run():
+        flagged = ST.trailing_counts(ST.read_stream(spark, src, df.schema), 60).filter(F.col("trailing_count") > 2)
+        ST.run_stateful(spark, flagged.writeStream.format("parquet").option("path", out), ck)
+
+    ST.in_steps(df, src, "ts", EVENT_CUTS, run)
+    return spark.read.parquet(out)
+
+
 @register("stream_infra_30m", O.with_(O.EV) + """SELECT strftime(ws, '%Y-%m-%d %H:%M:%S.%f') AS window_start,
   strftime(ws + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S.%f') AS window_end,
   CAST(count(*) FILTER (WHERE pk % 2 = 0) AS BIGINT) AS storage_errors,
@@ -193,7 +212,7 @@ def q_stream_run_drift(t):
 
     def run():
         d = ST.run_drift(ST.read_stream(spark, src, schema))
-        ST.run_available(d.writeStream.format("parquet").option("path", out), ck)
+        ST.run_stateful(spark, d.writeStream.format("parquet").option("path", out), ck)
 
     ST.in_steps(r, src, "start_time", RUN_CUTS, run)
     return spark.read.parquet(out)

@@ -10,12 +10,14 @@ same builders run with a processing-time trigger in production.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from runsight.operators import metrics as M
 from runsight.operators.chunked import join_same
@@ -162,6 +164,24 @@ def infra_windows(metrics: DataFrame, size: str = "30 minutes", delay: str = "10
                     "storage_errors", "compute_errors"))
 
 
+@contextmanager
+def rocksdb(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB, which the state API needs."""
+    name, cls = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, cls)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def run_stateful(spark: SparkSession, writer, checkpoint: str):
+    """``run_available`` for streams that use the state API."""
+    with rocksdb(spark):
+        return run_available(writer, checkpoint)
+
+
 DRIFT_OUT = T.StructType([
     T.StructField("job_name", T.StringType()), T.StructField("run_id", T.StringType()),
     T.StructField("start_time", T.TimestampType()), T.StructField("prior_runs", T.LongType()),
@@ -171,50 +191,130 @@ DRIFT_STATE = T.StructType([
     T.StructField("nr", T.LongType()), T.StructField("mean_r", T.DoubleType()), T.StructField("m2_r", T.DoubleType())])
 
 
-def _rint(x: float, n: int) -> float:
-    import numpy as np
-    s = 10.0 ** n
-    return float(np.rint(x * s) / s) + 0.0  # + 0.0 turns -0.0 into 0.0
-
-
-def _drift_fn(min_runs: int):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state):
-        n, mean, m2, nr, mr, m2r = state.get if state.exists else (0, 0.0, 0.0, 0, 0.0, 0.0)
-        pdf = pd.concat(list(pdfs)).sort_values(["start_time", "run_id"], kind="mergesort")
-        out = []
-        for d, rows, rid, st in zip(pdf["duration_minutes"], pdf["rows_processed"], pdf["run_id"],
-                                    pdf["start_time"]):
-            td = vd = None
-            if n >= min_runs:
-                sd = (m2 / (n - 1)) ** 0.5 if n > 1 else 0.0
-                sdr = (m2r / (nr - 1)) ** 0.5 if nr > 1 else 0.0
-                td = _rint((d - mean) / sd, 3) if sd > 0 else 0.0
-                vd = _rint((float(rows) - mr) / sdr, 3) if sdr > 0 else 0.0
-            out.append((key[0], rid, st, n, td, vd))
-            if d is not None and not pd.isna(d):
-                n += 1
-                delta = d - mean
-                mean += delta / n
-                m2 += delta * (d - mean)
-            if rows is not None and not pd.isna(rows):
-                nr += 1
-                dr = float(rows) - mr
-                mr += dr / nr
-                m2r += dr * (float(rows) - mr)
-        state.update((n, mean, m2, nr, mr, m2r))
-        yield pd.DataFrame(out, columns=[f.name for f in DRIFT_OUT.fields])
-    return fn
+def moments_before(x: np.ndarray, n: int, mean: float, m2: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Count, mean and squared deviations of all values before each of ``x``, and last of all; NaN counts as missing.
+
+    ``n``, ``mean``, ``m2`` are those of what came earlier.  Sums run over distances from the mean so far, so little cancels.
+    """
+    there = ~np.isnan(x)
+    centre = mean if n else (x[there][0] if there.any() else 0.0)
+    off = np.where(there, x - centre, 0.0)
+    count = n + np.concatenate([[0], np.cumsum(there)])
+    shift = np.concatenate([[0.0], np.cumsum(off)]) / np.maximum(count, 1)
+    square = m2 + np.concatenate([[0.0], np.cumsum(off * off)]) - count * shift * shift
+    return count, centre + shift, np.maximum(square, 0.0)
+
+
+def _z(x: np.ndarray, count: np.ndarray, mean: np.ndarray, m2: np.ndarray, warm: np.ndarray) -> np.ndarray:
+    """Scores to 3 places, 0 where there is no spread, NaN before warm-up."""
+    sd = np.sqrt(m2[:-1] / np.maximum(count[:-1] - 1, 1))
+    z = np.where(sd > 0, (x - mean[:-1]) / np.where(sd > 0, sd, 1.0), 0.0)
+    return np.where(warm, np.rint(z * 1000.0) / 1000.0 + 0.0, np.nan)
+
+
+class DriftScores(StatefulProcessor):
+    """Per job the moments of duration and rows; each run is scored against the runs before it."""
+
+    def __init__(self, min_runs: int):
+        self.min_runs = min_runs
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.moments = handle.getValueState("moments", DRIFT_STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        n, mean, m2, nr, mean_r, m2_r = self.moments.get() if self.moments.exists() else (0, 0.0, 0.0, 0, 0.0, 0.0)
+        new = pd.concat(list(rows)).sort_values(["start_time", "run_id"], kind="mergesort")
+        d = new["duration_minutes"].to_numpy(float, na_value=np.nan)
+        r = new["rows_processed"].to_numpy(float, na_value=np.nan)
+        one, two = moments_before(d, n, mean, m2), moments_before(r, nr, mean_r, m2_r)
+        warm = one[0][:-1] >= self.min_runs
+        self.moments.update((int(one[0][-1]), float(one[1][-1]), float(one[2][-1]),
+                             int(two[0][-1]), float(two[1][-1]), float(two[2][-1])))
+        yield pd.DataFrame({"job_name": key[0], "run_id": new["run_id"], "start_time": new["start_time"],
+                            "prior_runs": one[0][:-1], "time_drift_score": _z(d, *one, warm),
+                            "volume_drift_score": _z(r, *two, warm)})
+
+    def close(self) -> None:
+        pass
 
 
 def run_drift(runs: DataFrame, min_runs: int = M.MIN_RUNS) -> DataFrame:
-    """Score each arriving run against the job's running (n, mean, M2) state.
+    """Score each arriving run against its job's moments (six numbers of state); start it with ``run_stateful``.
+
+    A micro-batch's runs of one job are scored in (start_time, run_id) order, by cumulative sums; ``max_files`` of
+    ``read_stream`` bounds what one job brings at once.
+    """
+    cols = runs.select("job_name", "run_id", "start_time", F.col("duration_minutes").cast("double"),
+                       F.col("rows_processed").cast("double"))
+    return cols.groupBy("job_name").transformWithStateInPandas(DriftScores(min_runs), DRIFT_OUT, "Append", "None")
+
+
+TRAILING_OUT = T.StructType([T.StructField("account_id", T.LongType()), T.StructField("txn_id", T.LongType()),
+                             T.StructField("t", T.LongType()), T.StructField("trailing_count", T.LongType())])
+TRAILING_STATE = T.StructType([T.StructField("t", T.LongType()), T.StructField("txn_id", T.LongType())])
+
+
+class TrailingCounts(StatefulProcessor):
+    """Per account the transactions of the last ``width`` microseconds; counted once the watermark has passed them.
+
+    An event-time timer wakes the account at its first uncounted transaction, and last when its newest one has
+    left the window, so an account that falls silent leaves no state.
+    """
 
-    State per job is six numbers (Welford's update), not the run history; a
-    micro-batch's runs of one job are scored in (start_time, run_id) order.
+    def __init__(self, width: int):
+        self.width = width
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.recent = handle.getListState("recent", TRAILING_STATE)
+        self.counted = handle.getValueState("counted", T.StructType([T.StructField("t", T.LongType())]))
+
+    def _wake(self, t: int) -> None:
+        self.handle.registerTimer(-(-t // 1000))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        new = [(int(t), None if pd.isna(i) else int(i)) for part in rows
+               for t, i in part.loc[part["t"].notna(), ["t", "txn_id"]].itertuples(index=False, name=None)]
+        if new:
+            self.recent.appendList(new)
+            self._wake(min(t for t, _ in new))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        kept = sorted(self.recent.get(), key=lambda x: x[0]) if self.recent.exists() else []
+        t = np.array([x[0] for x in kept], np.int64)
+        after = self.counted.get()[0] if self.counted.exists() else np.iinfo(np.int64).min
+        due = np.flatnonzero((t > after) & (t <= now))
+        out = pd.DataFrame({"account_id": key[0], "txn_id": [kept[i][1] for i in due], "t": t[due],
+                            "trailing_count": np.searchsorted(t, t[due], "right")
+                            - np.searchsorted(t, t[due] - self.width, "left")})
+        left = [x for x in kept if x[0] >= now - self.width]
+        if left:
+            self.recent.put(left)
+            self.counted.update((now,))
+            self._wake(next((x[0] for x in left if x[0] > now), left[-1][0] + self.width + 1000))
+        else:
+            self.recent.clear()
+            self.counted.clear()
+        if len(out):
+            yield out
+
+    def close(self) -> None:
+        pass
+
+
+def trailing_counts(txn: DataFrame, minutes: int, delay: str = "10 minutes") -> DataFrame:
+    """W4/X6 in a stream: (account_id, txn_id, ts, trailing_count) of each transaction, the account's transactions in
+    [ts - minutes, ts], emitted once the watermark has passed ts; start it with ``run_stateful``.
+
+    Transactions that come more than ``delay`` late are left out, and so are those without a time.
     """
-    cols = runs.select("job_name", "run_id", "start_time", "duration_minutes", "rows_processed")
-    return cols.groupBy("job_name").applyInPandasWithState(
-        _drift_fn(min_runs), DRIFT_OUT, DRIFT_STATE, "append", GroupStateTimeout.NoTimeout)
+    cols = (txn.withWatermark("ts", delay)
+            .select(F.col("account_id").cast("long"), F.col("txn_id").cast("long"), "ts", F.unix_micros("ts").alias("t")))
+    out = cols.groupBy("account_id").transformWithStateInPandas(
+        TrailingCounts(minutes * 60_000_000), TRAILING_OUT, "Append", "EventTime")
+    return out.select("account_id", "txn_id", F.timestamp_micros("t").alias("ts"), "trailing_count")
 
 
 def scratch(spark: SparkSession, name: str) -> tuple[str, str]:
