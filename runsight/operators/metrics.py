@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runsight.functions.core import impact_weight, rnd, safe_z
+from runsight.functions.core import impact_weight, lit_ts, rnd, safe_z
 
 MIN_RUNS = 30
 TIME_Z = 1.5
@@ -26,13 +26,14 @@ def _order_key(order: tuple[str, ...]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
-def metric_aggs(order: tuple[str, ...] = RUN_ORDER, p95: str = "exact", duration_status: str | None = None):
+def metric_aggs(order: tuple[str, ...] = RUN_ORDER, p95: str = "exact", duration_status: str | None = None,
+                cycle: bool = False):
     """The aggregate columns of A1 (usable in batch and in a streaming ``groupBy``)."""
     d = F.col("duration_minutes")
     if duration_status is not None:
         d = F.when(F.col("status") == duration_status, d)
     latest = F.max_by(F.struct("team", "impact", "sla_minutes", "duration_minutes", "rows_processed",
-                               "status", "start_time", "run_id"), _order_key(order))
+                               "status", "start_time", "run_id", *(["cycle_number"] if cycle else [])), _order_key(order))
     if p95 in ("map", "exact"):
         # "exact" is replaced by the banded exact quantile in job_metrics; this buffer serves streams
         p = F.percentile(d, F.lit(0.95))
@@ -50,7 +51,7 @@ def metric_aggs(order: tuple[str, ...] = RUN_ORDER, p95: str = "exact", duration
 
 
 def finalize_metrics(agg: DataFrame, min_runs: int = MIN_RUNS, rounding: bool = True,
-                     keys: tuple[str, ...] = ("job_name",)) -> DataFrame:
+                     keys: tuple[str, ...] = ("job_name",), cycle: bool = False) -> DataFrame:
     """Turn the aggregate buffers of ``metric_aggs`` into the gold metrics row."""
     keys = list(keys)
     group_attrs = "team" in keys
@@ -66,6 +67,7 @@ def finalize_metrics(agg: DataFrame, min_runs: int = MIN_RUNS, rounding: bool =
         F.col("_l.rows_processed").alias("latest_rows"),
         F.col("_l.status").alias("latest_status"),
         F.col("_l.start_time").alias("latest_start_time"),
+        *([F.col("_l.cycle_number").alias("latest_cycle")] if cycle else []),
         F.when(warm, rn(F.col("_avg_d"), 2)).alias("avg_duration"),
         F.when(warm, rn(F.col("_p95"), 2)).alias("p95_duration"),
         F.when(warm, rn(F.col("_sd_d"), 2)).alias("stddev_duration"),
@@ -79,11 +81,11 @@ def finalize_metrics(agg: DataFrame, min_runs: int = MIN_RUNS, rounding: bool =
 
 def job_metrics(runs: DataFrame, min_runs: int = MIN_RUNS, p95: str = "exact", rounding: bool = True,
                 order: tuple[str, ...] = RUN_ORDER, group_attrs: bool = False,
-                duration_status: str | None = None) -> DataFrame:
+                duration_status: str | None = None, as_of=None) -> DataFrame:
     """Per-job baseline over run records.
 
     runs: job_name, team, impact, sla_minutes, start_time, run_id, duration_minutes,
-    rows_processed, status.  One output row per job.
+    rows_processed, status; with cycle_number the output has ``latest_cycle`` too.  One output row per job.
 
     * ``min_runs``: below it every statistic is NULL (warm-up); 0 disables the gate.
     * ``p95``: "exact" (linear interpolation by Spark's ``percentile``: one pass, one counter per distinct
@@ -91,14 +93,29 @@ def job_metrics(runs: DataFrame, min_runs: int = MIN_RUNS, p95: str = "exact", r
       same value with bounded state for unrounded durations, a second pass, ``quantiles.exact_quantile``), "approx"
       (``percentile_approx``, fixed-size sketch) or "none" (NULL).
     * ``rounding``: compare and report rounded values (latest 2 dp, z 3 dp).
-    * ``group_attrs``: group by the job's attributes too (an SLA change splits a job).
+    * ``group_attrs``: group by the job's attributes too, normal_rows among them where the runs have it (an SLA change
+      splits a job).
     * ``duration_status``: restrict duration statistics to runs with this status.
+    * ``as_of``: the time to stamp ``verdict_computed_at`` with (no such column without it).
     """
-    keys = ("job_name", "team", "impact", "sla_minutes") if group_attrs else ("job_name",)
+    out = _job_metrics(runs, min_runs, p95, rounding, order, group_attrs, duration_status)
+    return out if as_of is None else out.withColumn("verdict_computed_at", lit_ts(as_of))
+
+
+def managed_metrics(runs: DataFrame, as_of) -> DataFrame:
+    """The managed batch job's form of A1: by job and all its attributes, no warm-up gate, unrounded values compared."""
+    return job_metrics(runs, min_runs=0, p95="approx", rounding=False, group_attrs=True, as_of=as_of)
+
+
+def _job_metrics(runs: DataFrame, min_runs: int, p95: str, rounding: bool, order: tuple[str, ...], group_attrs: bool,
+                 duration_status: str | None) -> DataFrame:
+    cycle = "cycle_number" in runs.columns
+    attrs = ("team", "impact", "sla_minutes", *(["normal_rows"] if "normal_rows" in runs.columns else []))
+    keys = ("job_name", *attrs) if group_attrs else ("job_name",)
     r = runs.filter(F.col("job_name").isNotNull())
     if p95 != "banded":
-        agg = r.groupBy(*keys).agg(*metric_aggs(order, "map" if p95 == "exact" else p95, duration_status))
-        return finalize_metrics(agg, min_runs, rounding, keys)
+        agg = r.groupBy(*keys).agg(*metric_aggs(order, "map" if p95 == "exact" else p95, duration_status, cycle))
+        return finalize_metrics(agg, min_runs, rounding, keys, cycle)
     # The same p95 with bounded state: the sketch rides along in the one aggregation, whose
     # (per-job, small) result is written once to the shared checkpoint folder; a second pass
     # over the runs counts only the narrow value band around each job's p95.
@@ -108,11 +125,11 @@ def job_metrics(runs: DataFrame, min_runs: int = MIN_RUNS, p95: str = "exact", r
     if duration_status is not None:
         d = F.when(F.col("status") == duration_status, d)
     gk = F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys]) if group_attrs else F.col("job_name")
-    agg = r.groupBy(*keys).agg(*metric_aggs(order, "none", duration_status), *QT.sketch_cols(d))
+    agg = r.groupBy(*keys).agg(*metric_aggs(order, "none", duration_status, cycle), *QT.sketch_cols(d))
     agg, _ = _materialize(agg.withColumn("_gk", gk), "job-metrics", F.count(F.lit(1)).alias("n"))
     q = QT.banded(r.select(gk.alias("_gk"), d.alias("_d")), "_gk", "_d", QT.bounds(agg, "_gk"), 0.95, "_pq")
     agg = agg.join(q, "_gk", "left").withColumn("_p95", F.col("_pq")).drop("_gk", "_pq", "_qn", "_qb")
-    return finalize_metrics(agg, min_runs, rounding, keys)
+    return finalize_metrics(agg, min_runs, rounding, keys, cycle)
 
 
 def with_verdict(metrics: DataFrame, time_z: float = TIME_Z, volume_z: float = VOLUME_Z) -> DataFrame:

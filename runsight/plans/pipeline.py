@@ -31,7 +31,7 @@ def run(runs: DataFrame, registry: DataFrame, infra_metrics: DataFrame, ci: Data
     ``signals_as_of``: the time at which infra and CI signals are read, as_of unless given."""
     spark = runs.sparkSession
     base = out.rstrip("/")
-    IO.replace_atomic(M.job_metrics(runs, min_runs=min_runs, p95=p95), f"{base}/gold_job_metrics")
+    IO.replace_atomic(M.job_metrics(runs, min_runs=min_runs, p95=p95, as_of=as_of), f"{base}/gold_job_metrics")
     metrics = IO.read_current(spark, f"{base}/gold_job_metrics")
     edges = G.edges(registry)
     seen = as_of if signals_as_of is None else signals_as_of

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runsight.functions.core import lit_ts
+from runsight.functions.core import lit_ts, rnd
 from runsight.operators import baselines as B
 from runsight.operators import incidents as K
 from runsight.operators import metrics as M
 from runsight.plans import oracle as O
+from runsight.plans import sqlaccess as SA
 from runsight.plans.catalog import register
 from runsight.plans.q_core import METRIC_COLS
 from runsight.plans.q_ops import INC, TSF
@@ -73,3 +74,40 @@ def q_incident_resolved_stored(t):
     K.publish_resolutions(t.spark, path, later.filter(half).unionByName(first.filter(~half)), 2)
     K.publish_resolutions(t.spark, path, later, 2)
     return IO.read_buckets(t.spark, path)
+
+
+@register("managed_metrics", O.with_(O.SUP, O.RUNS) + f""", g AS (SELECT * REPLACE (CASE WHEN line_no <= 3 THEN sla_minutes
+    ELSE sla_minutes + 4 END AS sla_minutes), CAST(line_no AS BIGINT) AS cycle_number FROM runs),
+a AS (SELECT job_name, team, impact, sla_minutes, normal_rows, count(duration_minutes) AS duration_runs,
+    avg(duration_minutes) AS a_d, stddev_samp(duration_minutes) AS s_d, avg(rows_processed) AS a_r, stddev_samp(rows_processed) AS s_r,
+    avg(CASE WHEN status = 'failed' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS f,
+    arg_max(duration_minutes, (start_time, run_id)) AS l_d, arg_max(rows_processed, (start_time, run_id)) AS l_r,
+    arg_max(status, (start_time, run_id)) AS latest_status, max(start_time) AS latest_start_time,
+    arg_max(cycle_number, (start_time, run_id)) AS latest_cycle
+  FROM g GROUP BY ALL),
+z AS (SELECT *, CASE WHEN s_d > 0 THEN (l_d - a_d) / s_d ELSE 0.0 END AS td,
+    CASE WHEN s_r > 0 THEN (l_r - a_r) / s_r ELSE 0.0 END AS vd FROM a)
+SELECT job_name, team, impact, sla_minutes, normal_rows, duration_runs, latest_status, latest_cycle,
+  strftime(latest_start_time, {TSF}) AS latest_start_time, {O.R('a_d', 6)} AS avg_duration, {O.R('a_r', 3)} AS avg_rows,
+  {O.R('f', 6)} AS failure_rate, {O.R('td', 6)} AS time_drift_score, {O.R('vd', 6)} AS volume_drift_score,
+  CASE WHEN l_d > sla_minutes THEN 'breached' WHEN td > 1.5 OR vd < -1.5 THEN 'at_risk' ELSE 'safe' END AS verdict,
+  '2001-11-05 00:00:00.000000' AS verdict_computed_at FROM z""")
+def q_managed_metrics(t):
+    """A1/A1g/P2 in the managed job's form: an SLA change splits a job; no gate, raw comparison, latest cycle, stamp."""
+    changed = F.when(F.col("line_no") <= 3, F.col("sla_minutes")).otherwise(F.col("sla_minutes") + 4)
+    r = fx.runs(t).withColumns({"sla_minutes": changed, "cycle_number": F.col("line_no").cast("long")})
+    m = M.managed_metrics(r, fx.INCIDENT_AS_OF)
+    places = {"avg_duration": 6, "avg_rows": 3, "failure_rate": 6, "time_drift_score": 6, "volume_drift_score": 6}
+    return m.withColumns({c: rnd(c, n) for c, n in places.items()}).select(
+        "job_name", "team", "impact", "sla_minutes", "normal_rows", "duration_runs", "latest_status", "latest_cycle",
+        "latest_start_time", *places, "verdict", "verdict_computed_at")
+
+
+@register("view_drilldown", O.BASE + """SELECT job_name, latest_duration, sla_minutes, verdict, priority_score FROM m
+  WHERE verdict IN ('breached', 'at_risk')""")
+def q_view_drilldown(t):
+    """The drill-down page by SQL: a table function with a parameter, called for each urgent job of the catalog table."""
+    path = scratch_dir(t.spark, "gold")
+    IO.replace_atomic(M.job_metrics(fx.runs(t), p95="none"), path)
+    SA.publish(t.spark, {"gold_job_metrics": path})
+    return t.spark.sql("SELECT d.* FROM urgent_jobs() u, LATERAL drilldown(u.job_name) d")

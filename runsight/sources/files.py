@@ -229,9 +229,14 @@ def _current_version(spark: SparkSession, path: str) -> str:
     return version
 
 
+def current_folder(spark: SparkSession, path: str) -> str:
+    """The folder of the version that the ``_CURRENT`` pointer names."""
+    return f"{path.rstrip('/')}/{_current_version(spark, path)}"
+
+
 def read_current(spark: SparkSession, path: str) -> DataFrame:
     """Read the version the ``_CURRENT`` pointer names."""
-    return spark.read.parquet(f"{path.rstrip('/')}/{_current_version(spark, path)}")
+    return spark.read.parquet(current_folder(spark, path))
 
 
 # ---- tables by key bucket: a publication rewrites the buckets it touches ------

@@ -91,3 +91,27 @@ def test_resolutions_are_stored_once(spark):
     K.publish_resolutions(spark, path, res(("a", T0, at + dt.timedelta(hours=2)), ("c", T0, at)), 2)
     got = {r.job_name: r.resolved_at for r in IO.read_buckets(spark, path).collect()}
     assert got == {"a": at, "b": None, "c": at}
+
+
+def test_sql_functions_follow_publications(spark):
+    from runsight.plans import sqlaccess as SA
+    path = scratch_dir(spark, "gold")
+    for minutes, verdict in ((60.0, "breached"), (10.0, "safe")):
+        r = runs(spark, [("a", i, minutes if i == 39 else 10.0 + i % 3, 5, "success") for i in range(40)])
+        IO.replace_atomic(M.job_metrics(r, as_of=T0), path)
+        SA.publish(spark, {"gold_job_metrics": path}, "sqltest")
+        got = spark.sql("SELECT * FROM drilldown(:job)", args={"job": "a"}).collect()
+        assert [(x.latest_duration, x.verdict) for x in got] == [(minutes, verdict)]
+        assert spark.sql("SELECT * FROM drilldown('b')").count() == 0
+        assert spark.sql("SELECT * FROM urgent_jobs()").count() == (verdict == "breached")
+        assert spark.sql("SELECT * FROM team_jobs('t', 5.0)").count() == (verdict == "breached")
+    plan = spark.sql("SELECT * FROM drilldown('a')")._jdf.queryExecution().toString()
+    assert "EqualTo(job_name,a)" in plan
+
+
+def test_managed_form_splits_and_stamps(spark):
+    r = runs(spark, [("a", i, 10.0 + i, 5, "success") for i in range(4)]).withColumns(
+        {"cycle_number": F.minute("start_time").cast("long"), "normal_rows": F.when(F.col("run_id") < "r00002", 1).otherwise(2)})
+    got = sorted((x.normal_rows, x.total_runs, x.latest_cycle, x.verdict, x.verdict_computed_at)
+                 for x in M.managed_metrics(r, T0).collect())
+    assert got == [(1, 2, 1, "safe", T0), (2, 2, 3, "safe", T0)]
