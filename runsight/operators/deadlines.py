@@ -41,3 +41,9 @@ def deadline_risk(metrics: DataFrame, deadlines: DataFrame, as_of) -> DataFrame:
             .when(F.col("_buf") < MEDIUM_BUFFER, "medium").otherwise("low"))
     return out.select("deadline_name", "tz", "deadline_time", rnd("_buf", 1).alias("buffer_minutes"),
                       "critical_jobs", risk.alias("risk_level"), now.alias("checked_at"))
+
+
+def critical_jobs(metrics: DataFrame, deadlines: DataFrame) -> DataFrame:
+    """R2 as a table: one row a deadline and critical job, (deadline_name, pos, job_name, verdict); no list is gathered."""
+    v = metrics.filter(F.col("verdict").isin("at_risk", "breached")).select("job_name", "verdict")
+    return deadlines.join(v, "job_name").select("deadline_name", "pos", "job_name", "verdict")

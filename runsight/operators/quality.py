@@ -94,7 +94,7 @@ def type_report(records: DataFrame, expected: dict[str, str] = RUN_TYPES) -> Dat
 
     A field drifts where its type is not the expected one (an integer is a number; null fits any type) or it is not expected.
     Texts that are no JSON object are counted in a row of their own, without a field, whose share is the rate of unreadable
-    records.  An empty table gives no rows.  One pass, counted on the map side; the total is that of the rows counted.
+    records.  An empty table gives no rows.  Counted on the map side; the total of records is a scalar subquery over those counts.
     """
     spark = records.sparkSession
     broken = F.col("record").isNull()
@@ -104,12 +104,12 @@ def type_report(records: DataFrame, expected: dict[str, str] = RUN_TYPES) -> Dat
     found = (each.groupBy(F.col("key").alias("field"),
                           F.when(broken, UNREADABLE).when(F.col("key").isNotNull(), _json_type(F.col("value"))).alias("found_type"))
              .agg(F.count(F.lit(1)).alias("records"), F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0).alias("_first")))
-    total = found.agg(F.sum("_first").alias("_total"))
+    total = found.select(F.sum("_first")).scalar()
     want = F.create_map(*[F.lit(x) for kv in expected.items() for x in kv])[F.col("field")]
     fits = (F.col("found_type") == "null") | (F.col("found_type") == want) | ((want == "number") & (F.col("found_type") == "integer"))
-    return (found.filter(F.col("found_type").isNotNull()).join(total, how="inner")
+    return (found.filter(F.col("found_type").isNotNull())
             .select("field", want.alias("expected_type"), "found_type", "records",
-                    rnd(F.col("records").cast("double") / F.col("_total") * 100.0, 3).alias("share_pct"),
+                    rnd(F.col("records").cast("double") / total * 100.0, 3).alias("share_pct"),
                     (~F.coalesce(fits, F.lit(False))).alias("drift")))
 
 

@@ -275,8 +275,9 @@ def q_view_urgent(t):
 @register("view_deadline_gate", O.with_(O.SUP, O.RUNS) + "SELECT count(DISTINCT job_name) AS n FROM runs")
 def q_view_deadline_gate(t):
     """The deadline page's distinct-jobs gate (D23) as Spark SQL."""
-    from runsight.plans.views import page
-    return page(_views(t), "deadline_gate")
+    from runsight.plans.views import page, register_views
+    register_views(t.spark, {"silver_job_runs": fx.runs(t)})
+    return page(t.spark, "deadline_gate")
 
 
 @register("view_fingerprints", O.fingerprint_sql(MAXTS, 30, """SELECT job_name,

@@ -1,4 +1,4 @@
-"""Incremental forms: baselines merged from partials, publication by key bucket."""
+"""Incremental baselines, publication by key bucket, the managed job's form, SQL functions, and readers of the other inputs."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from runsight.functions.core import lit_ts, rnd
 from runsight.operators import baselines as B
+from runsight.operators import deadlines as D
+from runsight.operators import graph as G
 from runsight.operators import incidents as K
 from runsight.operators import metrics as M
 from runsight.plans import oracle as O
@@ -18,6 +20,8 @@ from runsight.plans.q_stream import RUN_CUTS, RUN_STREAM_COLS
 from runsight.session import scratch_dir
 from runsight.sources import files as IO
 from runsight.sources import fixtures as fx
+from runsight.sources import schemas as SC
+from runsight.sources import signals as S
 from runsight.streaming import runs as ST
 
 STATED = [c for c in METRIC_COLS if c != "p95_duration"]
@@ -111,3 +115,39 @@ def q_view_drilldown(t):
     IO.replace_atomic(M.job_metrics(fx.runs(t), p95="none"), path)
     SA.publish(t.spark, {"gold_job_metrics": path})
     return t.spark.sql("SELECT d.* FROM urgent_jobs() u, LATERAL drilldown(u.job_name) d")
+
+
+@register("deadline_critical_jobs", O.with_(O.SUP, O.RUNS, O.metrics_cte()) + """
+SELECT ['ledger_lock', 'branch_close', 'fee_posting', 'night_seal'][k % 20 + 1] AS deadline_name, CAST(k // 20 AS INTEGER) AS pos,
+  job_name, verdict FROM sup JOIN m USING (job_name) WHERE k % 20 < 4 AND verdict IN ('at_risk', 'breached')""")
+def q_deadline_critical_jobs(t):
+    """R2: the critical jobs of each deadline, a row each."""
+    return D.critical_jobs(M.job_metrics(fx.runs(t), p95="none"), fx.deadlines(t))
+
+
+@register("src_registry", O.with_(O.SUP, O.EDGES) + "SELECT parent, child FROM edges")
+def q_src_registry(t):
+    """The registry written as JSON lines and read by its schema gives the edges."""
+    path = scratch_dir(t.spark, "registry")
+    IO.write_ndjson(fx.registry(t), path)
+    return G.edges(SC.read_good(t.spark, "registry", path))
+
+
+@register("src_signals", O.with_(O.EV) + f""", e AS (SELECT *, max(ts) OVER () AS newest FROM ev),
+i AS (SELECT count(*) FILTER (WHERE pk % 2 = 0) AS s, count(*) FILTER (WHERE pk % 2 = 0 IS NOT TRUE) AS c FROM e
+  WHERE event_type = 'error' AND ts > newest - INTERVAL 720 MINUTE),
+c AS (SELECT count(*) AS n, count(*) FILTER (WHERE pk >= 50) AS f, max(ts) AS m FROM e
+  WHERE event_type = 'purchase' AND ts > newest - INTERVAL 720 MINUTE)
+SELECT CAST(s AS BIGINT) AS storage_errors, CAST(i.c AS BIGINT) AS compute_errors, n AS ci_runs, f AS ci_failures,
+  strftime(m, {TSF}) AS newest_ci FROM i, c""")
+def q_src_signals(t):
+    """Infra metrics as JSON lines and CI runs as parquet, read by their schemas: the last 720 minutes of both."""
+    infra, ci = scratch_dir(t.spark, "infra"), scratch_dir(t.spark, "ci")
+    IO.write_ndjson(fx.infra_metrics(t), infra)
+    IO.write_snapshot(fx.ci_runs(t).withColumn("created_at", F.col("created_at").cast("string")), ci)
+    newest = fx.events_max_ts(t)
+    errors = S.infra_signals(SC.read_good(t.spark, "infra_metrics", infra), newest, 720)
+    recent = S.ci_window(SC.read_good(t.spark, "ci_runs", ci, "parquet"), newest, 720)
+    return errors.withColumns({
+        "ci_runs": recent.select(F.count(F.lit(1))).scalar(), "newest_ci": recent.select(F.max("created_at")).scalar(),
+        "ci_failures": recent.select(F.count_if(F.col("conclusion") == "failure")).scalar()})

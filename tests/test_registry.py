@@ -16,7 +16,9 @@ FAST = ["job_metrics", "gold_verdicts", "verdict_counts", "agg_latest", "agg_p95
         "reconcile", "velocity_trailing", "daily_summary", "share_ranked", "extract_runs_newest",
         "asof_rows_processed", "silver_clean", "sink_atomic_replace", "stream_job_metrics", "stream_run_drift",
         "fingerprint_busy_ci", "volume_growth_undated", "replay_scores_undated", "incident_resolved", "incident_report", "view_fingerprints",
-        "stream_dedupe", "stream_incidents", "stream_velocity_tumbling", "pipeline_end_to_end"]
+        "stream_dedupe", "stream_incidents", "stream_velocity_tumbling", "pipeline_end_to_end", "job_metrics_incremental",
+        "incident_resolved_stored", "managed_metrics", "view_drilldown", "dq_report_types", "stream_velocity_trailing",
+        "deadline_critical_jobs", "src_signals"]
 
 
 def test_every_query_has_an_oracle():
