@@ -1,42 +1,53 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
 Tokens: words lower-cased in A-Z, then one end token a text.  Training texts are those whose CRC-32 of the doc_id
-(as text) is not divisible by 10.  Unigrams: add 0.1, over all training tokens.  Bigrams and trigrams: absolute
-discounting, interpolated with the next lower order; what pruned continuations leave goes to the lower order too, so
-each context's probabilities sum to one (before they are quantised to 8 bits).
-
-Bounds that follow from shares of the N training tokens, not from caps: a word is looked up in memory if it holds
-at least 2^-20 of them (so at most 2^20 words), it is in the trie's vocabulary at 2^-16 (at most 65,536 words), and
-an n-gram is in the trie at 2^-24 and two occurrences (at most 2^24 a level).  So the broadcast has a proven
-bound; all other words' counts stay a distributed table, joined to their tokens by an ordinary shuffle.
-
-The trie is split by the last context word v.  Levels: (v, w) successors; (v, u) contexts; under each context the
-rank of w among the successors of v, which needs fewer bits than w (context-relative).  Each level is one
-Elias-Fano sequence, pointers into it another; probabilities and back-off weights are 8-bit codes into a code book.  A
-worker maps the levels from an unlinked file.
+(as text) is not divisible by 10.  Unigrams: add 0.1, over all training tokens.  Bigrams and trigrams that occur
+LEAST times or more, of all words: absolute discounting, interpolated with the next lower order; what the other
+continuations leave goes to the lower order too, so each context's probabilities sum to one (before they are
+quantised to 8 bits).  LEAST is a count, so the model grows with the corpus.
+
+A word that holds 2^-IN_MEMORY of the tokens (so there are at most 2^IN_MEMORY of them) has its id and its count in
+memory; any other word is named by 62 bits of its hash and meets its count in an ordinary join.  That decides only
+where a count is read, never what is scored.
+
+The trie is cut into shards by the middle word v of (u, v, w), about PER_SHARD training tokens each, so their number
+grows with the corpus; a frequent v is cut further by u (at most SPLIT ways), each cut with all successors of v.  Levels
+of a shard: its words' names; (v, w) successors; (v, u) contexts; under each context the rank of w among the
+successors of v, which needs fewer bits than w (context-relative).  Each level is one Elias-Fano sequence, pointers
+into it another; probabilities and back-off weights are 8-bit codes into a code book.  Tokens travel to their shard in
+blocks, a worker maps the levels from an unlinked file and streams the blocks past them; a shard with far more
+tokens than others is served in several places.  No shard goes to the driver or to all workers.
 
 Defined results: a null or empty text is the end token alone; a null doc_id is held out; rows that repeat are scored
-(and learnt from) one by one; an empty table gives an empty result; other columns are not read.
+(and learnt from) one by one; an empty table gives an empty result; other columns are not read.  Rows are numbered
+within their partition, so ``docs`` is to give its rows in the same order when a task is repeated (files do).
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runsight.llm.common import written
+from runsight.llm.common import releasing, sliced, written
 from runsight.llm.eliasfano import EliasFano, mapped_arrays, pack_arrays
 
-IN_MEMORY, IN_TRIE, KEPT = 20, 16, 24  # shares as negative powers of two
-SHARDS = 16
+IN_MEMORY = 20  # share of a word in memory, as a negative power of two
+LEAST = 2
+PER_SHARD = 1 << 20
+LEAST_SHARDS = 16
+SPLIT = 256
+HOT = 4096  # a shard is served in several places from 1 / HOT of the tokens, so there are at most HOT of these
+FLUSH = 500_000
 DISCOUNT = 0.75
-BITS = 17
+SLICE_TEXTS, SLICE_BYTES = 200, 4_000_000
+START, SUCCESSOR = -1, -2  # in the place of u: no such token; a count of (v, w) alone
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -49,6 +60,11 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_LOWER).split()
 
 
+def name_of(word: bytes) -> int:
+    """The name of a word that is not in memory: above all ids of words that are."""
+    return xxhash.xxh3_64_intdigest(word) >> 2 | 1 << 62
+
+
 def _count(batches):
     seen: Counter = Counter()
 
@@ -56,124 +72,207 @@ def _count(batches):
         words = list(seen)
         for i in range(0, len(words), 50_000):
             part = words[i:i + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()),
-                                              pa.array([seen[w] for w in part], pa.int64())], ["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([name_of(w) for w in part], pa.int64()),
+                                              pa.array([seen[w] for w in part], pa.int64())], ["word", "name", "n"])
         seen.clear()
 
-    for batch in batches:
-        for at in range(0, batch.num_rows, 200):
-            for t in batch.column(0).slice(at, 200).to_pylist():
-                seen.update(tokens(t))
-            if len(seen) > 200_000:
-                yield from rows()
+    for batch in sliced(batches, 0, SLICE_TEXTS, SLICE_BYTES):
+        for t in batch.column(0).to_pylist():
+            seen.update(tokens(t))
+        if len(seen) > 200_000:
+            yield from rows()
     yield from rows()
 
 
 def unigrams(docs: DataFrame, text: str, id_col: str) -> tuple[DataFrame, int, int, int]:
-    """(word, n) of all training words, written; N, V and the number of training texts, end tokens included."""
+    """(word, name, n) of all training words, written; N, V and the number of training texts, end tokens included."""
     train = docs.filter(~held_out(id_col)).select(F.col(text).cast("string"))
-    table = written(train.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    table = written(train.mapInArrow(releasing(_count), "word binary, name long, n long").groupBy("word", "name")
+                    .agg(F.sum("n").alias("n")), "words")
     n, v = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     texts = train.count()
     return table, n + texts, v + (texts > 0), texts
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit hashes of integers."""
+    x = x.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 class Vocabulary:
-    """Words in memory: id 0 is the end token, ids below ``in_trie`` may occur in the trie."""
+    """Words in memory (id 0 is the end token) and the cut into shards."""
 
-    def __init__(self, words: list[tuple[bytes, int]], total: int, distinct: int, texts: int):
+    def __init__(self, words: list[tuple[bytes, int]], total: int, distinct: int, texts: int, per_shard: int = PER_SHARD):
         self.total, self.distinct = total, distinct
         ranked = sorted(words, key=lambda x: (-x[1], x[0]))
-        self.ids = {w: i + 1 for i, (w, _) in enumerate(ranked)}
+        self.ids = {b"": 0, **{w: i + 1 for i, (w, _) in enumerate(ranked)}}
         self.counts = np.array([texts, *[n for _, n in ranked]], np.int64)
-        self.in_trie = 1 + sum(n * 2**IN_TRIE >= total for _, n in ranked)
-        self.log_uni = np.log10((self.counts + 0.1) / (total + 0.1 * (distinct + 1)))
+        self.uni = (self.counts + 0.1) / (total + 0.1 * (distinct + 1))
+        self.log_uni = np.log10(self.uni)
+        self.shards = max(LEAST_SHARDS, -(-total // per_shard))
+        self.cuts = np.clip(-(-2 * self.counts * self.shards // max(total, 1)), 1, SPLIT)
+
+    def cuts_of(self, v: np.ndarray) -> np.ndarray:
+        """Shards that each middle word is cut over."""
+        inside = (v >= 0) & (v < len(self.cuts))
+        return np.where(inside, self.cuts[np.where(inside, v, 0)], 1)
+
+    def uni_of(self, w: np.ndarray) -> np.ndarray:
+        """Unigram probabilities; 0 for words that are not in memory."""
+        inside = w < len(self.uni)
+        return np.where(inside, self.uni[np.where(inside, w, 0)], 0.0)
 
+    def shard(self, v: np.ndarray, cut: np.ndarray) -> np.ndarray:
+        return (mixed(mixed(v) + cut.astype(np.uint64)) % np.uint64(self.shards)).astype(np.int64)
 
-def frequent_words(table: DataFrame, total: int, distinct: int, texts: int) -> Vocabulary:
-    rows = table.filter(F.col("n") * 2**IN_MEMORY >= total).collect()  # at most 2^20 by their share of N
-    return Vocabulary([(bytes(r["word"]), r["n"]) for r in rows], total, distinct, texts)
+    def home(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """The shard of each (u, v, w); tokens without a context are spread by w, as no shard knows them."""
+        cut = mixed(u) % self.cuts_of(v).astype(np.uint64)
+        return self.shard(np.where(v >= 0, v, w), cut)
+
+
+def frequent_words(table: DataFrame, total: int, distinct: int, texts: int, per_shard: int = PER_SHARD,
+                   in_memory: int = IN_MEMORY) -> Vocabulary:
+    rows = table.filter(F.col("n") * 2**in_memory >= total).collect()  # at most 2^in_memory by their share of N
+    return Vocabulary([(bytes(r["word"]), r["n"]) for r in rows], total, distinct, texts, per_shard)
 
 
 def _sequence(lines: list[list[bytes]], ids: dict[bytes, int]):
-    """Ids of all tokens of some texts (-1: not in memory, 0: end) and the text of each."""
-    out = []
-    for words in lines:
-        out += map(ids.get, words, repeat(-1))
-        out.append(0)
-    return np.array(out, np.int64), np.repeat(np.arange(len(lines)), [len(words) + 1 for words in lines])
-
-
-def _contexts(seq: np.ndarray, doc: np.ndarray, in_trie: int):
-    """(v, u) before each token, -1 where there is none or it is not in the trie's vocabulary."""
-    known = np.where(seq < in_trie, seq, -1)
-    v = np.concatenate([[-1], known[:-1]])[:len(seq)]
-    u = np.concatenate([[-1, -1], known[:-2]])[:len(seq)]
-    v[doc != np.concatenate([[-1], doc[:-1]])[:len(doc)]] = -1
-    u[doc != np.concatenate([[-1, -1], doc[:-2]])[:len(doc)]] = -1
-    return v, np.where(v >= 0, u, -1)
-
-
-def ngram_counts(docs: DataFrame, vocabulary, text: str, id_col: str) -> DataFrame:
-    """(shard, v, u, w, n) of the kept bigrams (u = -1) and trigrams."""
+    """Names of all tokens of some texts (0: end), the text of each, and the tokens (u, v) before each."""
+    flat = [*chain.from_iterable((*line, b"") for line in lines)]
+    seq = np.array([ids.get(w, -1) for w in flat], np.int64)
+    rare = np.flatnonzero(seq < 0)
+    if len(rare):
+        seq[rare] = [name_of(flat[i]) for i in rare.tolist()]
+    sizes = np.array([len(line) + 1 for line in lines], np.int64)
+    doc = np.repeat(np.arange(len(lines)), sizes)
+    place = np.arange(len(seq)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    v = np.where(place > 0, np.roll(seq, 1), START)
+    return seq, doc, v, np.where(place > 1, np.roll(seq, 2), START)
+
+
+def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first row of each kind (told apart by a 64-bit hash of its columns) and the number of its rows."""
+    h = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        h = mixed(h * np.uint64(31) + c.astype(np.uint64))
+    _, first, n = np.unique(h, return_index=True, return_counts=True)
+    return first, n
+
+
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of 64-bit integers by byte planes, so that small numbers compress to little."""
+    return b"".join(np.ascontiguousarray(c.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns)
+
+
+def _unpacked(block: bytes, columns: int) -> list[np.ndarray]:
+    planes = np.frombuffer(block, np.uint8).reshape(columns, 8, -1)
+    return [np.ascontiguousarray(p.T).view(np.int64).ravel() for p in planes]
+
+
+def _by_shard(shard: np.ndarray, v: np.ndarray, *columns: np.ndarray):
+    """(shard, its packed columns), rows ordered by v."""
+    order = np.lexsort((v, shard))
+    shard, columns = shard[order], [c[order] for c in columns]
+    ends = np.flatnonzero(np.diff(shard, append=-1)) + 1
+    for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True) if len(shard) else ():
+        yield int(shard[a]), _packed(*[c[a:b] for c in columns])
+
+
+def ngram_blocks(docs: DataFrame, vocabulary, text: str, id_col: str) -> DataFrame:
+    """(shard, block): counts of (v, u, w), added up over FLUSH tokens.  (v, w) is counted by its rows of all u; a middle
+    word cut over several shards sends each of them the counts of (v, w) as rows of their own."""
     def run(batches):
         words = vocabulary.value
         held, size = [], 0
 
         def rows():
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            v, u, w = (np.concatenate(c) for c in zip(*held, strict=True))
             held.clear()
-            for i in range(0, len(keys), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + 100_000]), pa.array(n[i:i + 100_000])], ["key", "n"])
-
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                seq, doc = _sequence([tokens(t) for t in batch.column(0).slice(at, 200).to_pylist()], words.ids)
-                v, u = _contexts(seq, doc, words.in_trie)
-                two = (v >= 0) & (seq >= 0) & (seq < words.in_trie)
-                key = (v << (2 * BITS)) | seq
-                held.append(key[two])
-                three = two & (u >= 0)
-                held.append((key | ((u + 1) << BITS))[three])
-                size += len(held[-1]) + len(held[-2])
-                if size > 1_000_000:
-                    yield from rows()
-                    size = 0
-        if held:
+            first, n = _distinct(v, u, w)
+            v, u, w = v[first], u[first], w[first]
+            out = [(words.home(u, v, w), v, u, w, n)]
+            cuts = words.cuts_of(v)
+            often = np.flatnonzero(cuts > 1)
+            if len(often):
+                bv, bw, bn = v[often], w[often], n[often]
+                order = np.lexsort((bw, bv))
+                bv, bw, bn = bv[order], bw[order], bn[order]
+                start = np.flatnonzero((np.diff(bv, prepend=-9) != 0) | (np.diff(bw, prepend=-9) != 0))
+                bn, bv, bw = np.add.reduceat(bn, start), bv[start], bw[start]
+                for cut in range(int(cuts.max())):
+                    k = words.cuts_of(bv) > cut
+                    out.append((words.shard(bv[k], np.full(k.sum(), cut)), bv[k], np.full(k.sum(), SUCCESSOR), bw[k], bn[k]))
+            s, *columns = (np.concatenate(c) for c in zip(*out, strict=True))
+            for shard, block in _by_shard(s, columns[0], *columns):
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([block], pa.binary())],
+                                                 ["shard", "block"])
+
+        for batch in sliced(batches, 0, SLICE_TEXTS, SLICE_BYTES):
+            seq, _, v, u = _sequence([tokens(t) for t in batch.column(0).to_pylist()], words.ids)
+            k = v >= 0
+            held.append((v[k], u[k], seq[k]))
+            size += int(k.sum())
+            if size > FLUSH:
+                yield from rows()
+                size = 0
+        if size:
             yield from rows()
 
-    least = max(2, -(-vocabulary.value.total // 2**KEPT))
-    mask = (1 << BITS) - 1
-    return (docs.filter(~held_out(id_col)).select(F.col(text).cast("string")).mapInArrow(run, "key long, n long")
-            .groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-            .select(F.shiftright("key", 2 * BITS).alias("v"),
-                    (F.shiftright("key", BITS).bitwiseAND(mask) - 1).alias("u"),
-                    F.col("key").bitwiseAND(mask).alias("w"), "n")
-            .withColumn("shard", (F.col("v") % SHARDS).cast("int")))
+    return (docs.filter(~held_out(id_col)).select(F.col(text).cast("string"))
+            .mapInArrow(releasing(run), "shard int, block binary"))
 
 
 def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """8-bit codes and their code book: 256 bins of equal numbers of values, each with its mean."""
-    order = np.argsort(x, kind="stable")
-    code = np.zeros(len(x), np.uint8)
-    code[order] = np.arange(len(x)) * 256 // max(len(x), 1)
-    count = np.bincount(code, minlength=256)
-    return code, np.bincount(code, weights=x, minlength=256) / np.maximum(count, 1)
-
-
-def build_shard(rows, vocabulary: Vocabulary) -> bytes:
-    """The levels of one shard from a pandas frame of its (v, u, w, n, pair)."""
-    width, uni = vocabulary.in_trie, 10 ** vocabulary.log_uni
-    local = (vocabulary.in_trie - 1) // SHARDS + 1
-    r = rows.sort_values(["v", "u", "w"])
-    b, t = r[r["u"] < 0], r[r["u"] >= 0]
-    v, w, n = b["v"].to_numpy(), b["w"].to_numpy(), b["n"].to_numpy()
-    flat = (v // SHARDS) * width + w
-    part = (n - DISCOUNT) / vocabulary.counts[v]
-    left = np.ones(local)
-    np.subtract.at(left, v // SHARDS, part)
-    p2 = part + left[v // SHARDS] * uni[w]
-    pointer = np.searchsorted(v // SHARDS, np.arange(local + 1))
+    """8-bit codes and their code book: 256 even steps down from the largest value, which is exact, to the smallest, so
+    no value is off by more than 1/510 of their range."""
+    if not len(x):
+        return np.zeros(0, np.uint8), np.zeros(256)
+    top, step = x.max(), max((x.max() - x.min()) / 255, 1e-12)
+    return np.round((top - x) / step).astype(np.uint8), top - np.arange(256) * step
+
+
+def _sums(keys: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of ``keys`` in order and the sums of their ``n``."""
+    order = np.lexsort(keys[::-1])
+    keys, n = [k[order] for k in keys], n[order]
+    if not len(n):
+        return keys, n
+    new = np.zeros(len(n), bool)
+    new[0] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    start = np.flatnonzero(new)
+    return [k[start] for k in keys], np.add.reduceat(n, start)
+
+
+def build_shard(v: np.ndarray, u: np.ndarray, w: np.ndarray, n: np.ndarray, vocabulary: Vocabulary) -> bytes:
+    """The levels of one shard from its counts.  Probabilities of words not in memory leave their unigram part out."""
+    alone = vocabulary.cuts_of(v) > 1
+    two = ~alone | (u == SUCCESSOR)
+    (bv, bw), bn = _sums([v[two], w[two]], n[two])
+    (cv,), cn = _sums([bv], bn)  # every occurrence of v has a successor: its count
+    three = u >= 0
+    (tv, tu, tw), tn = _sums([v[three], u[three], w[three]], n[three])
+    (pv, pu), pn = _sums([tv, tu], tn)
+    pair = np.repeat(pn, np.diff(np.append(np.flatnonzero((np.diff(tv, prepend=-9) != 0) | (np.diff(tu, prepend=-9) != 0)), len(tv)))
+                     ) if len(tv) else tn
+    keep, keep3 = bn >= LEAST, tn >= LEAST
+    bv, bw, bn = bv[keep], bw[keep], bn[keep]
+    tv, tu, tw, tn, pair = tv[keep3], tu[keep3], tw[keep3], tn[keep3], pair[keep3]
+    names = np.unique(np.concatenate([bv, bw, tu]))
+    width = max(len(names), 1)
+    v2, w2 = np.searchsorted(names, bv), np.searchsorted(names, bw)
+    v3, u3, w3 = (np.searchsorted(names, x) for x in (tv, tu, tw))
+    flat = v2 * width + w2
+    part = (bn - DISCOUNT) / cn[np.searchsorted(cv, bv)] if len(bn) else np.zeros(0)
+    left = np.ones(width)
+    np.subtract.at(left, v2, part)
+    p2 = part + left[v2] * vocabulary.uni_of(bw)
+    pointer = np.searchsorted(v2, np.arange(width + 1))
     arrays = {}
 
     def put(level: str, values: np.ndarray, universe: int):
@@ -182,150 +281,232 @@ def build_shard(rows, vocabulary: Vocabulary) -> bytes:
     def put_codes(name: str, x: np.ndarray):
         arrays[name], arrays[f"{name}.book"] = quantised(np.log10(np.maximum(x, 1e-12)))
 
-    put("next", flat, local * width)
+    put("word", names, 1 << 63)
+    put("next", flat, width * width)
     put("pointer", pointer, len(flat) + 1)
     put_codes("p2", p2)
     put_codes("left1", left)
-    tv, tu, tw, tn = (t[c].to_numpy() for c in ("v", "u", "w", "n"))
-    context = (tv // SHARDS) * width + tu
-    level, own = np.unique(context, return_inverse=True)
-    at = np.searchsorted(flat, (tv // SHARDS) * width + tw)
-    rank = at - pointer[tv // SHARDS]
+    context, own = np.unique(v3 * width + u3, return_inverse=True)
+    at = np.searchsorted(flat, v3 * width + w3)
     ranks = int(np.diff(pointer).max(initial=0)) + 1
-    # c(u, v) of each context, from the shard's own trigrams' context: given with the rows as "pair"
-    pair = t["pair"].to_numpy().astype(float)
     part3 = (tn - DISCOUNT) / np.maximum(pair, 1)
-    left2 = np.ones(len(level))
+    left2 = np.ones(len(context))
     np.subtract.at(left2, own, part3)
-    put("context", level, local * width)
-    put("rank", own * ranks + rank, len(level) * ranks + 1)
-    put_codes("p3", part3 + left2[own] * p2[at] if len(t) else np.zeros(0))
+    put("context", context, width * width)
+    put("rank", np.sort(own * ranks + at - pointer[v3]), len(context) * ranks + 1)
+    # the rows are in the order of (v, u, w), so also in that of (context, rank)
+    put_codes("p3", part3 + left2[own] * p2[at] if len(tn) else np.zeros(0))
     put_codes("left2", left2)
     arrays["meta"] = np.array([width, ranks], np.int64)
     return pack_arrays(arrays)
 
 
-def build_trie(ngrams: DataFrame, vocabulary) -> list[bytes]:
-    """One block of bytes a shard; each is built in its own task.  Bounded: at most 2^24 n-grams a level."""
-    kept = written(ngrams, "ngrams")
-    two = kept.filter("u < 0").select(F.col("v").alias("u"), F.col("w").alias("v"), F.col("n").alias("pair"))
-    full = kept.filter("u >= 0").join(two, ["u", "v"]).select("shard", "v", "u", "w", "n", "pair").unionByName(
-        kept.filter("u < 0").withColumn("pair", F.lit(0).cast("long")))
-
-    def run(rows):
-        import pandas as pd
-        return pd.DataFrame({"shard": [int(rows["shard"].iloc[0])], "block": [build_shard(rows, vocabulary.value)]})
+def build_trie(blocks: DataFrame, vocabulary) -> DataFrame:
+    """(shard, load, block), written: one row a shard, built in its own task; load: its training tokens."""
+    def run(batches):
+        held, shard = [], None
+        for batch in batches:
+            for s, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                shard = s
+                held.append(_unpacked(block.as_py(), 4))
+        if held:
+            v, u, w, n = (np.concatenate(c) for c in zip(*held, strict=True))
+            held.clear()
+            yield pa.RecordBatch.from_arrays([
+                pa.array([shard], pa.int32()), pa.array([int(n[u != SUCCESSOR].sum())], pa.int64()),
+                pa.array([build_shard(v, u, w, n, vocabulary.value)], pa.binary())], ["shard", "load", "block"])
 
-    built = full.groupBy("shard").applyInPandas(run, "shard int, block binary").collect()
-    blocks = {r["shard"]: bytes(r["block"]) for r in built}
-    return [blocks.get(s, b"") for s in range(SHARDS)]
+    return written(blocks.repartitionById(vocabulary.value.shards, F.col("shard"))
+                   .mapInArrow(releasing(run), "shard int, load long, block binary"), "trie")
 
 
 class Shard:
-    """A mapped shard; queries take arrays of word ids whose v belongs to it."""
+    """A mapped shard; queries take arrays of names."""
 
     def __init__(self, block: bytes):
         a = mapped_arrays(block)
         self.width, self.ranks = (int(x) for x in a["meta"])
         self.levels = {k: EliasFano({f: a[f"{k}.{f}"] for f in ("low", "high", "ones", "meta")})
-                       for k in ("next", "pointer", "context", "rank")}
+                       for k in ("word", "next", "pointer", "context", "rank")}
         self.codes = {k: (a[k], a[f"{k}.book"]) for k in ("p2", "left1", "p3", "left2")}
 
     def value(self, name: str, i: np.ndarray) -> np.ndarray:
         code, book = self.codes[name]
         return book[code[i]]
 
-    def score(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, uni: np.ndarray) -> np.ndarray:
-        """log10 P(w | u, v); ``uni`` is that of w alone (0 for words whose share is added elsewhere)."""
-        mine = v // SHARDS
-        out = self.value("left1", mine) + uni
-        known = np.flatnonzero(w >= 0)
+    def local(self, x: np.ndarray) -> np.ndarray:
+        """Places of names in the shard's words, -1 where they are not."""
+        kinds, back = np.unique(np.maximum(x, 0), return_inverse=True)
+        return np.where(x >= 0, self.levels["word"].find(kinds.astype(np.uint64))[back], -1)
+
+    def score(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(a, b) of each token, log10: P(w | u, v) = 10^a, or 10^b * P(w) where a is minus infinity.
+
+        For a word that is not in memory P(w | u, v) = 10^a + 10^b * P(w)."""
+        lv, lu, lw = self.local(v), self.local(u), self.local(w)
+        a, b = np.full(len(v), -np.inf), np.zeros(len(v))
+        inner = lv >= 0
+        b[inner] = self.value("left1", lv[inner])
         at = np.full(len(v), -1, np.int64)
-        at[known] = self.levels["next"].find((mine[known] * self.width + w[known]).astype(np.uint64))
+        known = np.flatnonzero(inner & (lw >= 0))
+        at[known] = self.levels["next"].find((lv[known] * self.width + lw[known]).astype(np.uint64))
         hit = at >= 0
-        out[hit] = self.value("p2", at[hit])
-        two = np.flatnonzero(u >= 0)
-        context = self.levels["context"].find((mine[two] * self.width + u[two]).astype(np.uint64))
+        a[hit] = self.value("p2", at[hit])
+        two = np.flatnonzero(inner & (lu >= 0))
+        context = self.levels["context"].find((lv[two] * self.width + lu[two]).astype(np.uint64))
         two, context = two[context >= 0], context[context >= 0]
-        out_two = out[two] + self.value("left2", context)
+        left = self.value("left2", context)
+        a[two] += left
+        b[two] += left
         near = np.flatnonzero(at[two] >= 0)
         if len(near):
-            rank = at[two[near]] - self.levels["pointer"].access(mine[two[near]]).astype(np.int64)
+            i = two[near]
+            rank = at[i] - self.levels["pointer"].access(lv[i]).astype(np.int64)
             found = self.levels["rank"].find((context[near] * self.ranks + rank).astype(np.uint64))
-            near, found = near[found >= 0], found[found >= 0]
-            out_two[near] = self.value("p3", found)
-        out[two] = out_two
-        return out
-
+            a[i[found >= 0]] = self.value("p3", found[found >= 0])
+        return a, b
 
-_OPEN: list = [None, []]
 
+ROW = ("place int, kind int, key long, block binary, doc_id long, held_out boolean, n_tokens long, n_known long, "
+       "base double, score double")
 
-def _shards(blocks: list[bytes]) -> list:
-    """The worker's mapped shards of a broadcast trie."""
-    if _OPEN[0] is not blocks:
-        _OPEN[:] = [blocks, [Shard(b) if b else None for b in blocks]]
-    return _OPEN[1]
 
+def _queries(docs: DataFrame, vocabulary, places: dict[int, list[int]], text: str, id_col: str) -> DataFrame:
+    """Rows of ROW: one a document (kind 2) with its sums over what needs no shard, and blocks of tokens (kind 1)."""
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(),
+             pa.float64()]
+    names = [c.split()[0] for c in ROW.split(", ")]
 
-def _partial(docs: DataFrame, vocabulary, trie, text: str, id_col: str) -> DataFrame:
-    """One row a document: key, doc_id, held_out, sums over tokens in memory, and the other words with their counts."""
-    names = ["key", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "others"]
+    def batch_of(n: int, **columns):
+        return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, t)
+                                           for c, t in zip(names, types, strict=True)], names)
 
     def run(batches):
-        words, shards = vocabulary.value, _shards(trie.value)
-        key = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                lines = [tokens(t) for t in part.column(2).to_pylist()]
-                seq, doc = _sequence(lines, words.ids)
-                v, u = _contexts(seq, doc, words.in_trie)
-                uni = np.where(seq >= 0, words.log_uni[np.maximum(seq, 0)], 0.0)
-                score = uni.copy()
-                w = np.where(seq < words.in_trie, seq, -1)
-                home = np.where(v >= 0, v % SHARDS, -1)
-                for s, shard in enumerate(shards):
-                    mine = np.flatnonzero(home == s)
-                    if shard is not None and len(mine):
-                        score[mine] = shard.score(u[mine], v[mine], w[mine], uni[mine])
-                n = len(lines)
-                others: list[Counter] = [Counter() for _ in lines]
-                flat = [*chain.from_iterable((*line, b"") for line in lines)]
-                rare = np.flatnonzero(seq < 0)
-                for k, d in zip(rare.tolist(), doc[rare].tolist(), strict=True):
-                    others[d][flat[k]] += 1
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(key, key + n)), part.column(0), part.column(1),
-                    pa.array(np.bincount(doc, minlength=n)),
-                    pa.array(np.bincount(doc, weights=(seq >= 0) & (words.counts[np.maximum(seq, 0)] > 0),
-                                         minlength=n).astype(np.int64)),
-                    pa.array(np.bincount(doc, weights=uni, minlength=n)),
-                    pa.array(np.bincount(doc, weights=score, minlength=n)),
-                    pa.array([[{"word": x, "tf": c} for x, c in o.items()] for o in others],
-                             pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int32())])))], names)
-                key += n
-
-    schema = ("key long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, "
-              "others array<struct<word: binary, tf: int>>")
+        words = vocabulary.value
+        part = TaskContext.get().partitionId()
+        key, held, size, flushes = part << 40, [], 0, part
+
+        def rows():
+            begin = held[0][0][0]
+            d, u, v, w = (np.concatenate(c) for c in zip(*held, strict=True))
+            held.clear()
+            d = d - begin
+            first, n = _distinct(d, u, v, w)
+            d, u, v, w = d[first], u[first], v[first], w[first]
+            for shard, block in _by_shard(words.home(u, v, w), v, d, u, v, w, n):
+                at = places.get(shard, [shard])
+                yield batch_of(1, place=pa.array([at[flushes % len(at)]], pa.int32()), kind=pa.array([1], pa.int32()),
+                               key=pa.array([int(begin)], pa.int64()), block=pa.array([block], pa.binary()))
+
+        for batch in sliced(batches, 2, SLICE_TEXTS, SLICE_BYTES):
+            seq, doc, v, u = _sequence([tokens(t) for t in batch.column(2).to_pylist()], words.ids)
+            n = batch.num_rows
+            inside = seq < len(words.counts)
+            log_uni = np.where(inside, words.log_uni[np.where(inside, seq, 0)], 0.0)
+            seen = inside & (words.counts[np.where(inside, seq, 0)] > 0)
+            yield batch_of(
+                n, place=pa.array((key + np.arange(n)) % words.shards, pa.int32()), kind=pa.array([2] * n, pa.int32()),
+                key=pa.array(key + np.arange(n)), doc_id=batch.column(0), held_out=batch.column(1),
+                n_tokens=pa.array(np.bincount(doc, minlength=n)),
+                n_known=pa.array(np.bincount(doc, weights=seen, minlength=n).astype(np.int64)),
+                base=pa.array(np.bincount(doc, weights=log_uni, minlength=n)),
+                score=pa.array(np.bincount(doc, weights=np.where(v < 0, log_uni, 0.0), minlength=n)))
+            k = (v >= 0) | ~inside
+            if k.any():
+                held.append((key + doc[k], u[k], v[k], seq[k]))
+            key += n
+            size += int(k.sum())
+            if size > FLUSH:
+                yield from rows()
+                size, flushes = 0, flushes + 1
+        if held:
+            yield from rows()
+
     rows = docs.select(F.col(id_col).cast("long"), held_out(id_col), F.col(text).cast("string"))
-    return written(rows.mapInArrow(run, schema), "scored")
+    return rows.mapInArrow(releasing(run), ROW)
+
 
+def _answers(queries: DataFrame, trie: DataFrame, vocabulary, places: dict[int, list[int]]) -> DataFrame:
+    """Per document and shard the sum over words in memory; each other word with tf, a and b; the documents' rows.
 
-def score(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    ``name`` is the word's; elsewhere a negative number that meets no word and spreads the rows."""
+    schema = ("key long, name long, tf long, a double, b double, doc_id long, held_out boolean, n_tokens long, "
+              "n_known long, base double")
+    names = [c.split()[0] for c in schema.split(", ")]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(),
+             pa.float64()]
+
+    def batch_of(n: int, **columns):
+        return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, t)
+                                           for c, t in zip(names, types, strict=True)], names)
+
+    def run(batches):
+        words, shard = vocabulary.value, None
+        for batch in batches:
+            kinds = batch.column(1).to_numpy()
+            whole = batch.filter(pa.array(kinds == 2))
+            if whole.num_rows:
+                key = whole.column("key").to_numpy()
+                yield batch_of(len(key), name=pa.array(-1 - key), a=whole.column("score"),
+                               **{c: whole.column(c) for c in ("key", "doc_id", "held_out", "n_tokens", "n_known", "base")})
+            for i in np.flatnonzero(kinds < 2).tolist():
+                block = batch.column("block")[i].as_py()
+                if kinds[i] == 0:
+                    shard = Shard(block)
+                    continue
+                d, u, v, w, n = _unpacked(block, 5)
+                a, b = shard.score(u, v, w) if shard else (np.full(len(v), -np.inf), np.zeros(len(v)))
+                inside = w < len(words.uni)
+                begin = batch.column("key")[i].as_py()
+                log_p = np.where(a > -np.inf, a, b + words.log_uni[np.where(inside, w, 0)])
+                total = np.bincount(d[inside], weights=(n * log_p)[inside])
+                own = np.flatnonzero(np.bincount(d[inside]))
+                if len(own):
+                    yield batch_of(len(own), key=pa.array(begin + own), name=pa.array(-1 - begin - own), a=pa.array(total[own]))
+                rare = np.flatnonzero(~inside)
+                if len(rare):
+                    yield batch_of(len(rare), key=pa.array(begin + d[rare]), name=pa.array(w[rare]), tf=pa.array(n[rare]),
+                                   a=pa.array(10.0 ** a[rare]), b=pa.array(10.0 ** b[rare]))
+
+    spark = queries.sparkSession
+    parts = vocabulary.value.shards + sum(len(p) - 1 for p in places.values())
+    more = spark.createDataFrame([(s, p) for s, p in places.items()], "shard int, places array<int>")
+    served = (trie.join(more, "shard", "left")
+              .withColumn("place", F.explode(F.coalesce("places", F.array("shard"))))
+              .select("place", F.lit(0).alias("kind"), "block"))
+    rows = served.unionByName(queries, allowMissingColumns=True)
+    return rows.repartitionById(parts, F.col("place")).sortWithinPartitions("kind").mapInArrow(releasing(run), schema)
+
+
+def serving_places(trie: DataFrame, vocabulary: Vocabulary) -> dict[int, list[int]]:
+    """The places of shards with over 4 times the mean load (and 1 / HOT of all: at most HOT shards), the first their own."""
+    mean = vocabulary.total / vocabulary.shards
+    hot = trie.filter((F.col("load") > 4 * mean) & (F.col("load") * HOT > vocabulary.total)).select("shard", "load").collect()
+    places, free = {}, vocabulary.shards
+    for r in sorted(hot):
+        extra = int(r["load"] // (2 * mean))
+        places[r["shard"]] = [r["shard"], *range(free, free + extra)]
+        free += extra
+    return places
+
+
+def score(docs: DataFrame, text: str = "text", id_col: str = "doc_id", per_shard: int = PER_SHARD,
+          in_memory: int = IN_MEMORY) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for every document."""
     spark = docs.sparkSession
     table, total, distinct, texts = unigrams(docs, text, id_col)
-    vocabulary = spark.sparkContext.broadcast(frequent_words(table, total, distinct, texts))
-    trie = spark.sparkContext.broadcast(build_trie(ngram_counts(docs, vocabulary, text, id_col), vocabulary))
-    rows = _partial(docs, vocabulary, trie, text, id_col)
-    rare = rows.select("key", F.explode("others").alias("o")).select("key", "o.word", "o.tf")
+    vocabulary = spark.sparkContext.broadcast(frequent_words(table, total, distinct, texts, per_shard, in_memory))
+    trie = build_trie(ngram_blocks(docs, vocabulary, text, id_col), vocabulary)
+    places = serving_places(trie, vocabulary.value)
+    rows = _answers(_queries(docs, vocabulary, places, text, id_col), trie, vocabulary, places)
+    rare = table.filter(F.col("n") * 2**in_memory < total).select("name", "n")
     c = F.coalesce(F.col("n"), F.lit(0))
-    add = (rare.join(table.filter(F.col("n") * 2**IN_MEMORY < total), "word", "left")
-           .groupBy("key").agg(F.sum(F.col("tf") * F.log10((c + 0.1) / F.lit(total + 0.1 * (distinct + 1)))).alias("add"),
-                               F.sum(F.when(c > 0, F.col("tf")).otherwise(0)).alias("more")))
-    more = F.coalesce(F.col("add"), F.lit(0.0))
-    return rows.drop("others").join(add, "key", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"),
-        (F.col("score") + more).alias("score"))
+    uni = (c + 0.1) / F.lit(total + 0.1 * (distinct + 1))
+    word = F.col("name") >= 0
+    per = rows.join(rare, "name", "left").groupBy("key").agg(
+        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
+        F.sum(F.when(word, F.when(c > 0, F.col("tf")).otherwise(0)).otherwise(F.coalesce("n_known", F.lit(0)))).alias("n_known"),
+        F.sum(F.when(word, F.col("tf") * F.log10(uni)).otherwise(F.coalesce("base", F.lit(0.0)))).alias("base_score"),
+        F.sum(F.when(word, F.col("tf") * F.log10(F.col("a") + F.col("b") * uni)).otherwise(F.col("a"))).alias("score"))
+    return per.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
+                      "base_score", "score")

@@ -206,23 +206,24 @@ def test_suffix_over_many_tasks(spark):
             spark.conf.set(k, v)
 
 
-def test_language_model(spark, docs, texts):
-    got = {r.doc_id: r for r in lm.score(docs).collect()}
+@pytest.mark.parametrize(("in_memory", "per_shard"), [(20, 1 << 20), (9, 1 << 20), (11, 4000)])
+def test_language_model(spark, docs, texts, in_memory, per_shard):
+    """All n-grams that occur twice, whether their words are in memory or not and however the trie is cut."""
+    got = {r.doc_id: r for r in lm.score(docs, in_memory=in_memory, per_shard=per_shard).collect()}
     tokens = {i: [*fold(t), None] for i, t in texts.items()}
     train = [w for i, w in tokens.items() if zlib.crc32(str(i).encode()) % 10]
     uni = Counter(t for w in train for t in w)
     n, v = sum(uni.values()), len(uni)
     two = Counter(p for w in train for p in zip(w, w[1:], strict=False))
     three = Counter(p for w in train for p in zip(w, w[1:], w[2:], strict=False))
-    least = 2
-    in_trie = {t for t, c in uni.items() if c * 2**lm.IN_TRIE >= n} | {None}
-    two = {k: c for k, c in two.items() if c >= least and set(k) <= in_trie}
-    three = {k: c for k, c in three.items() if c >= least and set(k) <= in_trie}
+    every = two
+    two = {k: c for k, c in two.items() if c >= 2}
+    three = {k: c for k, c in three.items() if c >= 2}
     left1, left2 = defaultdict(lambda: 1.0), defaultdict(lambda: 1.0)
     for (a, _), c in two.items():
         left1[a] -= (c - 0.75) / uni[a]
     for (a, b, _), c in three.items():
-        left2[a, b] -= (c - 0.75) / two[a, b]
+        left2[a, b] -= (c - 0.75) / every[a, b]
 
     def p1(w):
         return (uni[w] + 0.1) / (n + 0.1 * (v + 1))
@@ -238,7 +239,7 @@ def test_language_model(spark, docs, texts):
         total = 0.0
         for k, t in enumerate(w):
             if k > 1 and (w[k - 2], w[k - 1]) in left2:
-                total += log10(max(three.get((w[k - 2], w[k - 1], t), 0) - 0.75, 0) / two[w[k - 2], w[k - 1]]
+                total += log10(max(three.get((w[k - 2], w[k - 1], t), 0) - 0.75, 0) / every[w[k - 2], w[k - 1]]
                                + left2[w[k - 2], w[k - 1]] * p2(w[k - 1], t))
             else:
                 total += log10(p2(w[k - 1], t) if k else p1(t))
