@@ -10,13 +10,14 @@ A word that holds 2^-IN_MEMORY of the tokens (so there are at most 2^IN_MEMORY o
 memory; any other word is named by 62 bits of its hash and meets its count in an ordinary join.  That decides only
 where a count is read, never what is scored.
 
-The trie is cut into shards by the middle word v of (u, v, w), about PER_SHARD training tokens each, so their number
-grows with the corpus; a frequent v is cut further by u (at most SPLIT ways), each cut with all successors of v.  Levels
-of a shard: its words' names; (v, w) successors; (v, u) contexts; under each context the rank of w among the
-successors of v, which needs fewer bits than w (context-relative).  Each level is one Elias-Fano sequence, pointers
-into it another; probabilities and back-off weights are 8-bit codes into a code book.  Tokens travel to their shard in
-blocks, a worker maps the levels from an unlinked file and streams the blocks past them; a shard with far more
-tokens than others is served in several places.  No shard goes to the driver or to all workers.
+The trie is cut into shards by the middle word v of (u, v, w), about PER_SHARD tokens each, so their number grows with
+the corpus; a frequent v is cut further by u (at most SPLIT ways), each cut with all successors of v.  Levels of a
+shard: its words' names; (v, w) successors; (v, u) contexts; under each context the rank of w among the successors
+of v, which needs fewer bits than w (context-relative).  Each level is one Elias-Fano sequence, pointers into it
+another; probabilities and back-off weights are 8-bit codes into a code book.  All tokens travel once, in compressed
+blocks, to their shard, whose task counts those of training texts, builds its levels, maps them from an unlinked file
+and scores all its tokens by them; sums travel back in blocks.  No shard goes to the driver or to other tasks.
+A task holds its shard's tokens (a few bytes each); a pair (u, v) is not cut further.
 
 Defined results: a null or empty text is the end token alone; a null doc_id is held out; rows that repeat are scored
 (and learnt from) one by one; an empty table gives an empty result; other columns are not read.  Rows are numbered
@@ -31,6 +32,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,11 +45,10 @@ LEAST = 2
 PER_SHARD = 1 << 20
 LEAST_SHARDS = 16
 SPLIT = 256
-HOT = 4096  # a shard is served in several places from 1 / HOT of the tokens, so there are at most HOT of these
-FLUSH = 500_000
+FLUSH = 1_000_000
 DISCOUNT = 0.75
 SLICE_TEXTS, SLICE_BYTES = 200, 4_000_000
-START, SUCCESSOR = -1, -2  # in the place of u: no such token; a count of (v, w) alone
+START = -1  # in the place of u or v: no such token
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -79,7 +80,7 @@ def _count(batches):
     for batch in sliced(batches, 0, SLICE_TEXTS, SLICE_BYTES):
         for t in batch.column(0).to_pylist():
             seen.update(tokens(t))
-        if len(seen) > 200_000:
+        if len(seen) > 400_000:
             yield from rows()
     yield from rows()
 
@@ -113,7 +114,7 @@ class Vocabulary:
         self.uni = (self.counts + 0.1) / (total + 0.1 * (distinct + 1))
         self.log_uni = np.log10(self.uni)
         self.shards = max(LEAST_SHARDS, -(-total // per_shard))
-        self.cuts = np.clip(-(-2 * self.counts * self.shards // max(total, 1)), 1, SPLIT)
+        self.cuts = np.clip(-(-self.counts * self.shards // max(total, 1)), 1, SPLIT)
 
     def cuts_of(self, v: np.ndarray) -> np.ndarray:
         """Shards that each middle word is cut over."""
@@ -154,78 +155,26 @@ def _sequence(lines: list[list[bytes]], ids: dict[bytes, int]):
     return seq, doc, v, np.where(place > 1, np.roll(seq, 2), START)
 
 
-def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first row of each kind (told apart by a 64-bit hash of its columns) and the number of its rows."""
-    h = np.zeros(len(columns[0]), np.uint64)
-    for c in columns:
-        h = mixed(h * np.uint64(31) + c.astype(np.uint64))
-    _, first, n = np.unique(h, return_index=True, return_counts=True)
-    return first, n
-
-
 def _packed(*columns: np.ndarray) -> bytes:
-    """Columns of 64-bit integers by byte planes, so that small numbers compress to little."""
-    return b"".join(np.ascontiguousarray(c.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns)
+    """Columns of 64-bit numbers by byte planes, so that small ones compress to little."""
+    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
 def _unpacked(block: bytes, columns: int) -> list[np.ndarray]:
-    planes = np.frombuffer(block, np.uint8).reshape(columns, 8, -1)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.uint8).reshape(columns, 8, -1)
     return [np.ascontiguousarray(p.T).view(np.int64).ravel() for p in planes]
 
 
 def _by_shard(shard: np.ndarray, v: np.ndarray, *columns: np.ndarray):
     """(shard, its packed columns), rows ordered by v."""
-    order = np.lexsort((v, shard))
+    order = np.argsort(shard << 22 | np.clip(v, 0, 1 << 21))
     shard, columns = shard[order], [c[order] for c in columns]
-    ends = np.flatnonzero(np.diff(shard, append=-1)) + 1
-    for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True) if len(shard) else ():
+    start = np.flatnonzero(np.diff(shard, prepend=-1)).tolist()
+    for a, b in zip(start, [*start[1:], len(shard)], strict=True):
         yield int(shard[a]), _packed(*[c[a:b] for c in columns])
 
 
-def ngram_blocks(docs: DataFrame, vocabulary, text: str, id_col: str) -> DataFrame:
-    """(shard, block): counts of (v, u, w), added up over FLUSH tokens.  (v, w) is counted by its rows of all u; a middle
-    word cut over several shards sends each of them the counts of (v, w) as rows of their own."""
-    def run(batches):
-        words = vocabulary.value
-        held, size = [], 0
-
-        def rows():
-            v, u, w = (np.concatenate(c) for c in zip(*held, strict=True))
-            held.clear()
-            first, n = _distinct(v, u, w)
-            v, u, w = v[first], u[first], w[first]
-            out = [(words.home(u, v, w), v, u, w, n)]
-            cuts = words.cuts_of(v)
-            often = np.flatnonzero(cuts > 1)
-            if len(often):
-                bv, bw, bn = v[often], w[often], n[often]
-                order = np.lexsort((bw, bv))
-                bv, bw, bn = bv[order], bw[order], bn[order]
-                start = np.flatnonzero((np.diff(bv, prepend=-9) != 0) | (np.diff(bw, prepend=-9) != 0))
-                bn, bv, bw = np.add.reduceat(bn, start), bv[start], bw[start]
-                for cut in range(int(cuts.max())):
-                    k = words.cuts_of(bv) > cut
-                    out.append((words.shard(bv[k], np.full(k.sum(), cut)), bv[k], np.full(k.sum(), SUCCESSOR), bw[k], bn[k]))
-            s, *columns = (np.concatenate(c) for c in zip(*out, strict=True))
-            for shard, block in _by_shard(s, columns[0], *columns):
-                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([block], pa.binary())],
-                                                 ["shard", "block"])
-
-        for batch in sliced(batches, 0, SLICE_TEXTS, SLICE_BYTES):
-            seq, _, v, u = _sequence([tokens(t) for t in batch.column(0).to_pylist()], words.ids)
-            k = v >= 0
-            held.append((v[k], u[k], seq[k]))
-            size += int(k.sum())
-            if size > FLUSH:
-                yield from rows()
-                size = 0
-        if size:
-            yield from rows()
-
-    return (docs.filter(~held_out(id_col)).select(F.col(text).cast("string"))
-            .mapInArrow(releasing(run), "shard int, block binary"))
-
-
 def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """8-bit codes and their code book: 256 even steps down from the largest value, which is exact, to the smallest, so
     no value is off by more than 1/510 of their range."""
@@ -235,40 +184,44 @@ def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.round((top - x) / step).astype(np.uint8), top - np.arange(256) * step
 
 
-def _sums(keys: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows of ``keys`` in order and the sums of their ``n``."""
-    order = np.lexsort(keys[::-1])
-    keys, n = [k[order] for k in keys], n[order]
-    if not len(n):
-        return keys, n
-    new = np.zeros(len(n), bool)
-    new[0] = True
-    for k in keys:
-        new[1:] |= k[1:] != k[:-1]
-    start = np.flatnonzero(new)
-    return [k[start] for k in keys], np.add.reduceat(n, start)
-
-
-def build_shard(v: np.ndarray, u: np.ndarray, w: np.ndarray, n: np.ndarray, vocabulary: Vocabulary) -> bytes:
-    """The levels of one shard from its counts.  Probabilities of words not in memory leave their unigram part out."""
-    alone = vocabulary.cuts_of(v) > 1
-    two = ~alone | (u == SUCCESSOR)
-    (bv, bw), bn = _sums([v[two], w[two]], n[two])
-    (cv,), cn = _sums([bv], bn)  # every occurrence of v has a successor: its count
-    three = u >= 0
-    (tv, tu, tw), tn = _sums([v[three], u[three], w[three]], n[three])
-    (pv, pu), pn = _sums([tv, tu], tn)
-    pair = np.repeat(pn, np.diff(np.append(np.flatnonzero((np.diff(tv, prepend=-9) != 0) | (np.diff(tu, prepend=-9) != 0)), len(tv)))
-                     ) if len(tv) else tn
-    keep, keep3 = bn >= LEAST, tn >= LEAST
-    bv, bw, bn = bv[keep], bw[keep], bn[keep]
-    tv, tu, tw, tn, pair = tv[keep3], tu[keep3], tw[keep3], tn[keep3], pair[keep3]
+def _counted(key: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and how often each occurs (or the sums of their ``n``)."""
+    if n is None:
+        return np.unique(key, return_counts=True)
+    order = np.argsort(key, kind="stable")
+    start = np.flatnonzero(np.diff(key[order], prepend=-1))
+    return key[order][start], np.add.reduceat(n[order], start) if len(start) else n
+
+
+def build_shard(v: np.ndarray, u: np.ndarray, w: np.ndarray, more: list[np.ndarray], vocabulary: Vocabulary) -> bytes:
+    """The levels of one shard from its training tokens and the counts (v, w, n) of words cut over several shards.
+
+    Probabilities of words that are not in memory leave their unigram part out.
+    """
+    every = np.unique(np.concatenate([v, u, w, *more[:2]]))
+    size = np.int64(len(every) + 1)
+    v, u, w, mv, mw = (np.searchsorted(every, x) for x in (v, u, w, *more[:2]))
+    whole = vocabulary.cuts_of(every)[v] == 1
+    two, n2 = _counted(np.concatenate([(v * size + w)[whole], mv * size + mw]),
+                       np.concatenate([np.ones(int(whole.sum()), np.int64), more[2]]))
+    after_start = every[u] >= 0
+    contexts, own = np.unique((v * size + u)[after_start], return_inverse=True)
+    three, tn = _counted(own * size + w[after_start])
+    # every occurrence of v, or of (u, v), has a successor: its count
+    cv, cn = _counted(two // size, n2)
+    pairs, pn = _counted(three // size, tn)
+    keep, keep3 = n2 >= LEAST, tn >= LEAST
+    two, bn, three, tn = two[keep], n2[keep], three[keep3], tn[keep3]
+    count = cn[np.searchsorted(cv, two // size)] if len(two) else np.ones(0)
+    pair = pn[np.searchsorted(pairs, three // size)] if len(three) else np.ones(0)
+    bv, bw = every[two // size], every[two % size]
+    tv, tu, tw = every[contexts[three // size] // size], every[contexts[three // size] % size], every[three % size]
     names = np.unique(np.concatenate([bv, bw, tu]))
     width = max(len(names), 1)
     v2, w2 = np.searchsorted(names, bv), np.searchsorted(names, bw)
     v3, u3, w3 = (np.searchsorted(names, x) for x in (tv, tu, tw))
     flat = v2 * width + w2
-    part = (bn - DISCOUNT) / cn[np.searchsorted(cv, bv)] if len(bn) else np.zeros(0)
+    part = (bn - DISCOUNT) / count
     left = np.ones(width)
     np.subtract.at(left, v2, part)
     p2 = part + left[v2] * vocabulary.uni_of(bw)
@@ -289,7 +242,7 @@ def build_shard(v: np.ndarray, u: np.ndarray, w: np.ndarray, n: np.ndarray, voca
     context, own = np.unique(v3 * width + u3, return_inverse=True)
     at = np.searchsorted(flat, v3 * width + w3)
     ranks = int(np.diff(pointer).max(initial=0)) + 1
-    part3 = (tn - DISCOUNT) / np.maximum(pair, 1)
+    part3 = (tn - DISCOUNT) / pair
     left2 = np.ones(len(context))
     np.subtract.at(left2, own, part3)
     put("context", context, width * width)
@@ -301,23 +254,10 @@ def build_shard(v: np.ndarray, u: np.ndarray, w: np.ndarray, n: np.ndarray, voca
     return pack_arrays(arrays)
 
 
-def build_trie(blocks: DataFrame, vocabulary) -> DataFrame:
-    """(shard, load, block), written: one row a shard, built in its own task; load: its training tokens."""
-    def run(batches):
-        held, shard = [], None
-        for batch in batches:
-            for s, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                shard = s
-                held.append(_unpacked(block.as_py(), 4))
-        if held:
-            v, u, w, n = (np.concatenate(c) for c in zip(*held, strict=True))
-            held.clear()
-            yield pa.RecordBatch.from_arrays([
-                pa.array([shard], pa.int32()), pa.array([int(n[u != SUCCESSOR].sum())], pa.int64()),
-                pa.array([build_shard(v, u, w, n, vocabulary.value)], pa.binary())], ["shard", "load", "block"])
-
-    return written(blocks.repartitionById(vocabulary.value.shards, F.col("shard"))
-                   .mapInArrow(releasing(run), "shard int, load long, block binary"), "trie")
+def _through(find, x: np.ndarray) -> np.ndarray:
+    """``find`` of non-negative numbers, each different one looked up once."""
+    kinds, back = np.unique(x, return_inverse=True)
+    return find(kinds.astype(np.uint64))[back]
 
 
 class Shard:
@@ -336,8 +276,10 @@ class Shard:
 
     def local(self, x: np.ndarray) -> np.ndarray:
         """Places of names in the shard's words, -1 where they are not."""
-        kinds, back = np.unique(np.maximum(x, 0), return_inverse=True)
-        return np.where(x >= 0, self.levels["word"].find(kinds.astype(np.uint64))[back], -1)
+        out = np.full(len(x), -1, np.int64)
+        real = np.flatnonzero(x >= 0)
+        out[real] = _through(self.levels["word"].find, x[real])
+        return out
 
     def score(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(a, b) of each token, log10: P(w | u, v) = 10^a, or 10^b * P(w) where a is minus infinity.
@@ -349,11 +291,11 @@ class Shard:
         b[inner] = self.value("left1", lv[inner])
         at = np.full(len(v), -1, np.int64)
         known = np.flatnonzero(inner & (lw >= 0))
-        at[known] = self.levels["next"].find((lv[known] * self.width + lw[known]).astype(np.uint64))
+        at[known] = _through(self.levels["next"].find, lv[known] * self.width + lw[known])
         hit = at >= 0
         a[hit] = self.value("p2", at[hit])
         two = np.flatnonzero(inner & (lu >= 0))
-        context = self.levels["context"].find((lv[two] * self.width + lu[two]).astype(np.uint64))
+        context = _through(self.levels["context"].find, lv[two] * self.width + lu[two])
         two, context = two[context >= 0], context[context >= 0]
         left = self.value("left2", context)
         a[two] += left
@@ -367,127 +309,157 @@ class Shard:
         return a, b
 
 
-ROW = ("place int, kind int, key long, block binary, doc_id long, held_out boolean, n_tokens long, n_known long, "
-       "base double, score double")
+def _record_batches(schema: str):
+    """A function from columns by name (the others null) to a batch of ``schema``."""
+    arrow = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_(), "double": pa.float64()}
+    fields = [(name, arrow[kind]) for name, kind in (c.split() for c in schema.split(", "))]
+
+    def batch(n: int, **columns):
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in fields],
+                                          [c for c, _ in fields])
+    return batch
+
 
+DOCUMENT, TOKENS, SUCCESSORS = 0, 1, 2
+ROW = ("shard int, kind int, key long, block binary, doc_id long, held_out boolean, n_tokens long, n_known long, "
+       "base double, score double")
 
-def _queries(docs: DataFrame, vocabulary, places: dict[int, list[int]], text: str, id_col: str) -> DataFrame:
-    """Rows of ROW: one a document (kind 2) with its sums over what needs no shard, and blocks of tokens (kind 1)."""
-    types = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(),
-             pa.float64()]
-    names = [c.split()[0] for c in ROW.split(", ")]
 
-    def batch_of(n: int, **columns):
-        return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, t)
-                                           for c, t in zip(names, types, strict=True)], names)
+def token_blocks(docs: DataFrame, vocabulary, text: str, id_col: str) -> DataFrame:
+    """Rows of ROW.  DOCUMENT: a document with its sums over what needs no shard.  TOKENS: a block of (document * 2 +
+    training, u, v, w), documents counted from ``key``.  SUCCESSORS: training counts (v, w, n) for each shard that v is
+    cut over; elsewhere (v, w) is counted by the tokens themselves."""
+    batch_of = _record_batches(ROW)
 
     def run(batches):
         words = vocabulary.value
-        part = TaskContext.get().partitionId()
-        key, held, size, flushes = part << 40, [], 0, part
+        key = TaskContext.get().partitionId() << 40
+        held, size, begin = [], 0, key
+
+        def block(shard, kind, data):
+            return batch_of(1, shard=[shard], kind=[kind], key=[begin], block=[data])
 
         def rows():
-            begin = held[0][0][0]
             d, u, v, w = (np.concatenate(c) for c in zip(*held, strict=True))
             held.clear()
-            d = d - begin
-            first, n = _distinct(d, u, v, w)
-            d, u, v, w = d[first], u[first], v[first], w[first]
-            for shard, block in _by_shard(words.home(u, v, w), v, d, u, v, w, n):
-                at = places.get(shard, [shard])
-                yield batch_of(1, place=pa.array([at[flushes % len(at)]], pa.int32()), kind=pa.array([1], pa.int32()),
-                               key=pa.array([int(begin)], pa.int64()), block=pa.array([block], pa.binary()))
+            for shard, data in _by_shard(words.home(u, v, w), v, d, u, v, w):
+                yield block(shard, TOKENS, data)
+            often = np.flatnonzero((words.cuts_of(v) > 1) & (d & 1 > 0))
+            if len(often):
+                names, place = np.unique(w[often], return_inverse=True)
+                pairs, n = np.unique(v[often] * len(names) + place, return_counts=True)
+                bv, bw = pairs // len(names), names[pairs % len(names)]
+                cuts = words.cuts_of(bv)
+                for cut in range(int(cuts.max())):
+                    k = cuts > cut
+                    for shard, data in _by_shard(words.shard(bv[k], np.full(int(k.sum()), cut)), bv[k], bv[k], bw[k], n[k]):
+                        yield block(shard, SUCCESSORS, data)
 
         for batch in sliced(batches, 2, SLICE_TEXTS, SLICE_BYTES):
             seq, doc, v, u = _sequence([tokens(t) for t in batch.column(2).to_pylist()], words.ids)
             n = batch.num_rows
             inside = seq < len(words.counts)
-            log_uni = np.where(inside, words.log_uni[np.where(inside, seq, 0)], 0.0)
-            seen = inside & (words.counts[np.where(inside, seq, 0)] > 0)
+            place = np.where(inside, seq, 0)
+            log_uni = np.where(inside, words.log_uni[place], 0.0)
+            number = key + np.arange(n)
             yield batch_of(
-                n, place=pa.array((key + np.arange(n)) % words.shards, pa.int32()), kind=pa.array([2] * n, pa.int32()),
-                key=pa.array(key + np.arange(n)), doc_id=batch.column(0), held_out=batch.column(1),
-                n_tokens=pa.array(np.bincount(doc, minlength=n)),
-                n_known=pa.array(np.bincount(doc, weights=seen, minlength=n).astype(np.int64)),
-                base=pa.array(np.bincount(doc, weights=log_uni, minlength=n)),
-                score=pa.array(np.bincount(doc, weights=np.where(v < 0, log_uni, 0.0), minlength=n)))
+                n, shard=number % words.shards, kind=np.full(n, DOCUMENT), key=number, doc_id=batch.column(0),
+                held_out=batch.column(1), n_tokens=np.bincount(doc, minlength=n),
+                n_known=np.bincount(doc, weights=inside & (words.counts[place] > 0), minlength=n).astype(np.int64),
+                base=np.bincount(doc, weights=log_uni, minlength=n),
+                score=np.bincount(doc, weights=np.where(v < 0, log_uni, 0.0), minlength=n))
+            train = ~batch.column(1).to_numpy(zero_copy_only=False)
             k = (v >= 0) | ~inside
-            if k.any():
-                held.append((key + doc[k], u[k], v[k], seq[k]))
+            held.append((((key - begin + doc) * 2 + train[doc])[k], u[k], v[k], seq[k]))
             key += n
             size += int(k.sum())
             if size > FLUSH:
                 yield from rows()
-                size, flushes = 0, flushes + 1
-        if held:
+                size, begin = 0, key
+        if size:
             yield from rows()
 
     rows = docs.select(F.col(id_col).cast("long"), held_out(id_col), F.col(text).cast("string"))
     return rows.mapInArrow(releasing(run), ROW)
 
 
-def _answers(queries: DataFrame, trie: DataFrame, vocabulary, places: dict[int, list[int]]) -> DataFrame:
-    """Per document and shard the sum over words in memory; each other word with tf, a and b; the documents' rows.
+ANSWER = ("kind int, key long, block binary, name long, a double, b double, doc_id long, held_out boolean, n_tokens long, "
+          "n_known long, base double, score double")
 
-    ``name`` is the word's; elsewhere a negative number that meets no word and spreads the rows."""
-    schema = ("key long, name long, tf long, a double, b double, doc_id long, held_out boolean, n_tokens long, "
-              "n_known long, base double")
-    names = [c.split()[0] for c in schema.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(),
-             pa.float64()]
 
-    def batch_of(n: int, **columns):
-        return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, t)
-                                           for c, t in zip(names, types, strict=True)], names)
+def answers(blocks: DataFrame, vocabulary) -> DataFrame:
+    """Rows of ANSWER, written.  DOCUMENT rows as they came; TOKENS: a block of (document, bits of the sum of its words in
+    memory); SUCCESSORS: each token whose word is not in memory, with P(w | u, v) = a + b * P(w)."""
+    batch_of = _record_batches(ANSWER)
 
     def run(batches):
-        words, shard = vocabulary.value, None
+        words, held, begins, more = vocabulary.value, [], [], []
         for batch in batches:
             kinds = batch.column(1).to_numpy()
-            whole = batch.filter(pa.array(kinds == 2))
+            whole = batch.filter(pa.array(kinds == DOCUMENT))
             if whole.num_rows:
-                key = whole.column("key").to_numpy()
-                yield batch_of(len(key), name=pa.array(-1 - key), a=whole.column("score"),
-                               **{c: whole.column(c) for c in ("key", "doc_id", "held_out", "n_tokens", "n_known", "base")})
-            for i in np.flatnonzero(kinds < 2).tolist():
-                block = batch.column("block")[i].as_py()
-                if kinds[i] == 0:
-                    shard = Shard(block)
-                    continue
-                d, u, v, w, n = _unpacked(block, 5)
-                a, b = shard.score(u, v, w) if shard else (np.full(len(v), -np.inf), np.zeros(len(v)))
-                inside = w < len(words.uni)
-                begin = batch.column("key")[i].as_py()
-                log_p = np.where(a > -np.inf, a, b + words.log_uni[np.where(inside, w, 0)])
-                total = np.bincount(d[inside], weights=(n * log_p)[inside])
-                own = np.flatnonzero(np.bincount(d[inside]))
+                same = ("kind", "key", "doc_id", "held_out", "n_tokens", "n_known", "base", "score")
+                yield batch_of(whole.num_rows, **{c: whole.column(c) for c in same})
+            for i in np.flatnonzero(kinds != DOCUMENT).tolist():
+                data = batch.column("block")[i].as_py()
+                if kinds[i] == SUCCESSORS:
+                    more.append(_unpacked(data, 3))
+                else:
+                    begins.append(batch.column("key")[i].as_py())
+                    held.append(data)
+        if not held:
+            return
+        none = [np.zeros(0, np.int64)] * 3
+        counts = [np.concatenate(c) for c in zip(none, *more, strict=True)]
+        train = []
+        for data in held:
+            d, u, v, w = _unpacked(data, 4)
+            k = (d & 1 > 0) & (v >= 0)
+            train.append((v[k], u[k], w[k]))
+        shard = Shard(build_shard(*(np.concatenate(c) for c in zip(*train, strict=True)), counts, words))
+        train.clear()
+        at = 0
+        while at < len(held):
+            # blocks are scored together, up to about a shard's usual number of tokens
+            group, size = [], 0
+            while at + len(group) < len(held) and size < PER_SHARD:
+                group.append(_unpacked(held[at + len(group)], 4))
+                size += len(group[-1][0])
+            _, u, v, w = (np.concatenate(c) for c in zip(*group, strict=True))
+            a, b = shard.score(u, v, w)
+            inside = w < len(words.uni)
+            log_p = np.where(a > -np.inf, a, b + words.log_uni[np.where(inside, w, 0)])
+            end = 0
+            for i, (d, _, _, name) in enumerate(group):
+                part, d, begin = slice(end, end + len(d)), d >> 1, begins[at + i]
+                end += len(d)
+                mine, p = inside[part], log_p[part]
+                total = np.bincount(d[mine], weights=p[mine])
+                own = np.flatnonzero(np.bincount(d[mine]))
                 if len(own):
-                    yield batch_of(len(own), key=pa.array(begin + own), name=pa.array(-1 - begin - own), a=pa.array(total[own]))
-                rare = np.flatnonzero(~inside)
+                    yield batch_of(1, kind=[TOKENS], key=[begin], block=[_packed(own, total[own].view(np.int64))])
+                rare = np.flatnonzero(~mine)
                 if len(rare):
-                    yield batch_of(len(rare), key=pa.array(begin + d[rare]), name=pa.array(w[rare]), tf=pa.array(n[rare]),
-                                   a=pa.array(10.0 ** a[rare]), b=pa.array(10.0 ** b[rare]))
-
-    spark = queries.sparkSession
-    parts = vocabulary.value.shards + sum(len(p) - 1 for p in places.values())
-    more = spark.createDataFrame([(s, p) for s, p in places.items()], "shard int, places array<int>")
-    served = (trie.join(more, "shard", "left")
-              .withColumn("place", F.explode(F.coalesce("places", F.array("shard"))))
-              .select("place", F.lit(0).alias("kind"), "block"))
-    rows = served.unionByName(queries, allowMissingColumns=True)
-    return rows.repartitionById(parts, F.col("place")).sortWithinPartitions("kind").mapInArrow(releasing(run), schema)
-
-
-def serving_places(trie: DataFrame, vocabulary: Vocabulary) -> dict[int, list[int]]:
-    """The places of shards with over 4 times the mean load (and 1 / HOT of all: at most HOT shards), the first their own."""
-    mean = vocabulary.total / vocabulary.shards
-    hot = trie.filter((F.col("load") > 4 * mean) & (F.col("load") * HOT > vocabulary.total)).select("shard", "load").collect()
-    places, free = {}, vocabulary.shards
-    for r in sorted(hot):
-        extra = int(r["load"] // (2 * mean))
-        places[r["shard"]] = [r["shard"], *range(free, free + extra)]
-        free += extra
-    return places
+                    yield batch_of(len(rare), kind=np.full(len(rare), SUCCESSORS), key=begin + d[rare], name=name[rare],
+                                   a=10.0 ** a[part][rare], b=10.0 ** b[part][rare])
+            at += len(group)
+
+    return written(blocks.repartitionById(vocabulary.value.shards, F.col("shard")).mapInArrow(releasing(run), ANSWER), "answers")
+
+
+def _added(batches):
+    """(key, score): the blocks of sums, added up per block of documents."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for key, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            d, bits = _unpacked(data.as_py(), 2)
+            old = sums.get(key, np.zeros(0))
+            new = np.zeros(max(len(old), int(d[-1]) + 1))
+            new[:len(old)] = old
+            new[d] += bits.view(np.float64)
+            sums[key] = new
+    for key, total in sums.items():
+        yield pa.RecordBatch.from_arrays([pa.array(key + np.arange(len(total))), pa.array(total)], ["key", "score"])
 
 
 def score(docs: DataFrame, text: str = "text", id_col: str = "doc_id", per_shard: int = PER_SHARD,
@@ -496,17 +468,18 @@ def score(docs: DataFrame, text: str = "text", id_col: str = "doc_id", per_shard
     spark = docs.sparkSession
     table, total, distinct, texts = unigrams(docs, text, id_col)
     vocabulary = spark.sparkContext.broadcast(frequent_words(table, total, distinct, texts, per_shard, in_memory))
-    trie = build_trie(ngram_blocks(docs, vocabulary, text, id_col), vocabulary)
-    places = serving_places(trie, vocabulary.value)
-    rows = _answers(_queries(docs, vocabulary, places, text, id_col), trie, vocabulary, places)
-    rare = table.filter(F.col("n") * 2**in_memory < total).select("name", "n")
+    rows = answers(token_blocks(docs, vocabulary, text, id_col), vocabulary)
+    sums = rows.filter(F.col("kind") == TOKENS).select("key", "block").repartition("key")
+    sums = sums.mapInArrow(releasing(_added), "key long, score double")
+    words = table.filter(F.col("n") * 2**in_memory < total).select("name", "n")
     c = F.coalesce(F.col("n"), F.lit(0))
     uni = (c + 0.1) / F.lit(total + 0.1 * (distinct + 1))
-    word = F.col("name") >= 0
-    per = rows.join(rare, "name", "left").groupBy("key").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.when(word, F.when(c > 0, F.col("tf")).otherwise(0)).otherwise(F.coalesce("n_known", F.lit(0)))).alias("n_known"),
-        F.sum(F.when(word, F.col("tf") * F.log10(uni)).otherwise(F.coalesce("base", F.lit(0.0)))).alias("base_score"),
-        F.sum(F.when(word, F.col("tf") * F.log10(F.col("a") + F.col("b") * uni)).otherwise(F.col("a"))).alias("score"))
+    rare = (rows.filter(F.col("kind") == SUCCESSORS).select("key", "name", "a", "b").join(words, "name", "left")
+            .groupBy("key").agg(F.sum((c > 0).cast("long")).alias("n_known"), F.sum(F.log10(uni)).alias("base"),
+                                F.sum(F.log10(F.col("a") + F.col("b") * uni)).alias("score")))
+    known = rows.filter(F.col("kind") == DOCUMENT).drop("kind", "block", "name", "a", "b")
+    per = (known.unionByName(sums, allowMissingColumns=True).unionByName(rare, allowMissingColumns=True).groupBy("key")
+           .agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"),
+                *[F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "score")]))
     return per.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
-                      "base_score", "score")
+                      F.col("base").alias("base_score"), "score")
