@@ -3,14 +3,12 @@
 Targets: sources in code-point order (null last) weigh 5, 2, 1, repeating, and share the words of all
 documents; a target stops at REPEAT times its source's size and the excess is shared again by weight.
 
-Schedule: the corpus is cut into 2^20 equal-token slots (of at least one word).  Slot i has the golden-ratio
-point u_i = i * 1327217885 mod 2^31, whose place in the cumulated targets names its source; slots are ranked
-within their source.  Block r of a source is words [r * block, (r + 1) * block) of its documents in a shuffled
-order (MD5 of doc_id), repeated at most REPEAT times.  Slot with rank r of a source takes block r.
-
-A block grows with the corpus, so a source whose target is under FINE blocks would meet its slots by chance.  Where
-a block is more than one word, such a source has blocks of its own, up to FINE of them however small its target;
-they are spread evenly over the slots and end at its target exactly.
+Schedule: the mixture has a slot for about every BLOCK words, so slots grow with the corpus.  Slot i has the
+golden-ratio point u_i = i * 1327217885 mod 2^31, whose place in the cumulated targets names its source; slots are
+ranked within their source.  A source that no point meets has one slot, at the place of its targets.  A source's words
+are those of its documents in a shuffled order (MD5 of doc_id), repeated at most REPEAT times and cut at the target;
+they are dealt to its slots in equal blocks (of sizes that differ by one word at most).  Slot with rank r of a source
+takes its block r, so each source comes to its target exactly, be it large or small.
 
 All arithmetic is on integers, so reruns agree.  Ranks and offsets are prefix sums over small (source, chunk)
 tables; no window holds a whole source.  Unpartitioned windows exist over the table of sources only.
@@ -28,8 +26,7 @@ from runsight.llm.common import free_name, words_of, written
 
 WEIGHTS = (5, 2, 1)
 REPEAT = 3
-SLOTS = 1 << 20
-FINE = 1024
+BLOCK = 64
 GOLDEN, RING = 1327217885, 1 << 31
 CELLS = 4096
 CHUNK = 1 << 14
@@ -76,24 +73,26 @@ def targets(sized: DataFrame, weights=WEIGHTS, repeat: int = REPEAT) -> DataFram
 
 
 def schedule(shares: DataFrame, n_slots: int) -> DataFrame:
-    """(slot, source, rank): each slot's source by its golden-ratio point, and its rank within the source."""
+    """(slot, skey, rank): each slot's source by its golden-ratio point, and its rank within the source."""
     spark = shares.sparkSession
     cell = RING // CELLS
+    key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
     parts = (shares.filter(F.col("hi") > F.col("lo"))
-             .select("source", "lo", "hi", F.explode(F.sequence(
+             .select(key.alias("skey"), "lo", "hi", F.explode(F.sequence(
                  F.floor(F.col("lo") / cell), F.floor((F.col("hi") - 1) / cell))).alias("cell")))
     slots = (spark.range(n_slots).select(F.col("id").alias("slot"), (F.col("id") % RING * GOLDEN % RING).alias("u"))
              .withColumn("cell", F.floor(F.col("u") / cell)))
     named = (slots.join(parts, "cell").filter((F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi")))
-             .select("slot", F.floor(F.col("slot") / CHUNK).alias("chunk"), "source"))
-    key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
-    named = named.withColumn("skey", key)
+             .select("slot", F.floor(F.col("slot") / CHUNK).alias("chunk"), "skey"))
     count = named.groupBy("chunk", "skey").agg(F.count(F.lit(1)).alias("n"))
     start = count.select("chunk", "skey", (F.sum("n").over(Window.partitionBy("skey").orderBy("chunk")) - F.col("n"))
                          .alias("start"))
     own = F.row_number().over(Window.partitionBy("chunk", "skey").orderBy("slot")) - 1
-    return (named.withColumn("own", own).join(start, ["chunk", "skey"])
-            .select("slot", "source", "skey", (F.col("own") + F.col("start")).alias("rank")))
+    met = written(named.withColumn("own", own).join(start, ["chunk", "skey"])
+                  .select("slot", "skey", (F.col("own") + F.col("start")).alias("rank")), "schedule")
+    unmet = (shares.filter("target > 0").withColumn("skey", key).join(met.filter("rank = 0"), "skey", "left_anti")
+             .select(F.floor(F.col("lo") / RING * n_slots).alias("slot"), "skey", F.lit(0).cast("long").alias("rank")))
+    return met.unionByName(unmet)
 
 
 def placed(sized: DataFrame, shares: DataFrame) -> DataFrame:
@@ -111,7 +110,7 @@ def placed(sized: DataFrame, shares: DataFrame) -> DataFrame:
                     (F.col("start") + F.col("inside")).alias("at")))
 
 
-def mix(sized: DataFrame, weights=WEIGHTS, repeat: int = REPEAT, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
+def mix(sized: DataFrame, weights=WEIGHTS, repeat: int = REPEAT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """The placed documents, and the mixture's pieces: (slot, doc_id, skey, at, round, words, opens).
 
     ``sized`` comes from ``sizes``.  A piece is the part of one document's one repetition that lies in the
@@ -119,28 +118,29 @@ def mix(sized: DataFrame, weights=WEIGHTS, repeat: int = REPEAT, slots: int = SL
     """
     shares = written(targets(sized, weights, repeat), "shares")
     total = shares.agg(F.sum("source_size")).first()[0] or 0
-    block = max(1, -(-total // slots))
-    n_slots = -(-total // block)
+    slots = schedule(shares, -(-total // block))
     docs = written(placed(sized, shares), "placed")
+    # words [0, stop) of a source over n slots: the first ``longer`` blocks have step + 1 words, the others step
+    blocks = slots.groupBy("skey").agg(F.count(F.lit(1)).alias("n"))
+    rows = docs.filter(F.col("size") > 0).join(blocks, "skey").withColumn("stop", F.round("target").cast("long"))
+    rows = rows.withColumns({"step": F.expr("stop div n"), "longer": F.expr("stop % n")})
     begin = F.col("round") * F.col("source_size") + F.col("at")
-    own = F.lit(block > 1) & (F.col("target") < FINE * block)
-    rows = docs.filter(F.col("size") > 0).withColumns({
-        "own": own, "stop": F.when(own, F.round("target")).otherwise(F.col("target") + 64 * block).cast("long"),
-        "step": F.when(own, F.ceil(F.col("target") / FINE)).otherwise(F.lit(block)).cast("long")})
-    end = F.when(F.col("own"), F.least(F.col("begin") + F.col("size"), F.col("stop"))).otherwise(
-        F.col("begin") + F.col("size"))
+
+    def rank(word: str):
+        return F.expr(f"CASE WHEN {word} < longer * (step + 1) THEN ({word}) div (step + 1) "
+                      f"ELSE longer + ({word} - longer * (step + 1)) div greatest(step, 1) END")
+
+    def first(r):
+        return r * F.col("step") + F.least(r, F.col("longer"))
+
     parts = (rows.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(repeat - 1))))
-             .withColumn("begin", begin).filter(F.col("begin") < F.col("stop")).withColumn("end", end)
-             .withColumn("rank", F.explode(F.sequence(F.floor(F.col("begin") / F.col("step")),
-                                                      F.floor((F.col("end") - 1) / F.col("step"))))))
-    coarse = parts.filter(~F.col("own")).join(schedule(shares, n_slots).select("skey", "rank", "slot"), ["skey", "rank"])
-    fine = parts.filter("own").withColumn("slot", F.expr(
-        f"((rank * {CELLS} + pmod(xxhash64(skey), {CELLS})) * {n_slots}) div (ceil(stop / step) * {CELLS})"))
-    pieces = coarse.unionByName(fine).select(
+             .withColumn("begin", begin).filter(F.col("begin") < F.col("stop"))
+             .withColumn("end", F.least(F.col("begin") + F.col("size"), F.col("stop")))
+             .withColumn("opening", rank("begin")).withColumn("rank", F.explode(F.sequence("opening", rank("end - 1")))))
+    pieces = parts.join(slots, ["skey", "rank"]).select(
         "slot", "doc_id", "skey", "source", "size", "source_size", "target", "at", "round",
-        (F.least(F.col("end"), (F.col("rank") + 1) * F.col("step"))
-         - F.greatest(F.col("begin"), F.col("rank") * F.col("step"))).alias("words"),
-        (F.floor(F.col("begin") / F.col("step")) == F.col("rank")).alias("opens"))
+        (F.least(F.col("end"), first(F.col("rank") + 1)) - F.greatest(F.col("begin"), first(F.col("rank")))).alias("words"),
+        (F.col("opening") == F.col("rank")).alias("opens"))
     return docs, pieces
 
 

@@ -62,13 +62,7 @@ q AS (SELECT *, total - coalesce(sum(3 * source_size) FILTER (WHERE is_full) OVE
              (sum(weight) FILTER (WHERE NOT is_full) OVER ())::BIGINT AS open_weight FROM f),
 t AS (SELECT source, source_size, total,
              CASE WHEN is_full THEN (3 * source_size)::DOUBLE ELSE (rest * weight) / open_weight END AS target FROM q),
-v AS (SELECT *, CASE WHEN total > 0 THEN round(target / total * 2147483648.0::DOUBLE)::BIGINT ELSE 0 END AS width FROM t),
-i AS (SELECT *, (sum(width) OVER (ORDER BY source NULLS LAST))::BIGINT AS hi,
-             greatest(1, (total + 1048575) // 1048576) AS block FROM v),
-u AS (SELECT (range % 2147483648) * 1327217885 % 2147483648 AS u
-      FROM range(0, (SELECT max((total + block - 1) // block) FROM i)::BIGINT)),
-k AS (SELECT i.source, i.source_size, i.target, any_value(i.block) * count(u.u) AS word_limit
-      FROM i LEFT JOIN u ON u.u >= i.hi - i.width AND u.u < least(i.hi, 2147483648) GROUP BY i.source, i.source_size, i.target),
+k AS (SELECT *, round(target)::BIGINT AS word_limit FROM t),
 a AS (SELECT *, (sum(size) OVER (PARTITION BY source ORDER BY place, doc_id, size
                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT - size AS pos FROM d)
 SELECT a.doc_id, a.size, k.source_size, k.target,
