@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,18 +54,27 @@ def write_ndjson(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 10000) -> None:
-    """Write records as JSON-array files of at most about ``rows_per_file`` records each.
+    """Write records as gzip JSON-array files of at most ``rows_per_file`` records each.
 
-    Rows are hashed into buckets sized from the row count, each bucket becomes
-    one array in its own folder, so no group grows with the table.
+    Every partition cuts its own rows into arrays, one a file: nothing is shuffled, no array grows with the table.
     """
-    n = df.count()
-    buckets = max(1, -(-n // rows_per_file))
-    recs = df.select(F.to_json(F.struct(*df.columns)).alias("j"),
-                     F.pmod(F.xxhash64(*df.columns), F.lit(buckets)).alias("bucket"))
-    arr = recs.groupBy("bucket").agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ",\n"), F.lit("]"))
-                                     .alias("value"))
-    arr.repartition("bucket").write.mode("overwrite").partitionBy("bucket").text(path)
+    def arrays(batches):
+        held = []
+        for batch in batches:
+            held += batch.column(0).to_pylist()
+            while len(held) >= rows_per_file:
+                yield _array_batch(held[:rows_per_file])
+                held = held[rows_per_file:]
+        if held:
+            yield _array_batch(held)
+
+    recs = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
+    (recs.mapInArrow(arrays, "value string").write.mode("overwrite").option("maxRecordsPerFile", 1)
+     .option("compression", "gzip").text(path))
+
+
+def _array_batch(records: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"value": ["[" + ",\n".join(records) + "]"]})
 
 
 def clean_runs(raw: DataFrame, as_of) -> DataFrame:

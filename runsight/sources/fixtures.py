@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runsight.functions.core import lit_ts
+from runsight.session import scratch_dir
 
 # Fixed fixture parameters (FIXTURES.md section 2).
 NORMAL_ROWS = 50000
@@ -58,6 +59,16 @@ def suppliers(t: Tables) -> DataFrame:
             .select("k", "job_name", "team"))
 
 
+def _kept(t: Tables, name: str, df: DataFrame) -> DataFrame:
+    """``df`` written once for these tables and read back.  Catalyst multiplies the sizes of joined tables; of a written one it
+    knows the size, so small ones go to the rows they are joined with and large ones meet them in a shuffle."""
+    if name not in t._cache:
+        path = scratch_dir(t.spark, name)
+        df.write.parquet(path)
+        t._cache[name] = t.spark.read.schema(df.schema).parquet(path)
+    return t._cache[name]
+
+
 def _impact(k):
     m = k % 3
     return F.when(m == 0, "high").when(m == 1, "medium").otherwise("low")
@@ -72,7 +83,7 @@ def _run_id():
 
 def runs(t: Tables) -> DataFrame:
     """Run records, one per lineitem row (600 per job on average)."""
-    s = suppliers(t).withColumnRenamed("k", "l_suppkey")
+    s = _kept(t, "_suppliers", suppliers(t)).withColumnRenamed("k", "l_suppkey")
     return (t.lineitem.join(s, "l_suppkey")
             .withColumnRenamed("l_suppkey", "k")
             .select(

@@ -1,5 +1,6 @@
 """Sources/sinks and the end-to-end pipeline."""
 
+import gzip
 import json
 import os
 import tempfile
@@ -85,3 +86,22 @@ def test_pipeline_writes_five_gold_tables(spark):
     assert counts == {"safe": 6, "at_risk": 1, "breached": 3, "insufficient_data": 0}
     assert gold["gold_verdicts"].count() == 4 and gold["gold_deadline_risk"].count() == 5  # five deadlines, one without jobs
     assert all(os.path.isdir(os.path.join(out, n)) for n in gold)
+
+
+def test_json_arrays_without_a_shuffle(spark):
+    """Each file one array of at most so many records; nothing is shuffled and the files are compressed."""
+    d = tempfile.mkdtemp(prefix="runsight-json-")
+    df = spark.range(0, 95, 1, 3).select(F.concat(F.lit("job\n"), "id").alias("job_name"), F.col("id").alias("rows_processed"))
+    IO.write_json_arrays(df, f"{d}/a", rows_per_file=10)
+    files = [os.path.join(d, "a", f) for f in os.listdir(f"{d}/a") if f.startswith("part-")]
+    sizes = [len(json.loads(gzip.open(f, "rt").read())) for f in files]
+    assert sum(sizes) == 95 and max(sizes) == 10 and len(sizes) == 12  # 31, 32 and 32 rows
+    back = IO.read_runs_json(spark, f"{d}/a")
+    assert sorted(map(tuple, back.select("job_name", "rows_processed").collect())) == sorted(map(tuple, df.collect()))
+    IO.write_json_arrays(df.limit(0), f"{d}/none")
+    assert IO.read_runs_json(spark, f"{d}/none").count() == 0
+
+
+def test_runs_are_not_shuffled_to_a_small_registry(spark):
+    plan = fx.runs(fx.Tables(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
