@@ -25,10 +25,16 @@ from runsight.session import scratch_dir
 from runsight.sources import files as IO
 
 
-def land(df: DataFrame, path: str, files: int = 4, order: str | None = None) -> None:
-    """Write ``df`` as about ``files`` parquet files (range-split on ``order`` when given)."""
+#: Rows of a landed file (a task writes one), and bytes of its row groups (several tasks read one).
+LANDED_ROWS, LANDED_GROUP = 2_000_000, 16 << 20
+
+
+def land(df: DataFrame, path: str, files: int = 4, order: str | None = None, most_rows: int = LANDED_ROWS) -> None:
+    """Write ``df`` as about ``files`` parquet files (range-split on ``order`` when given), or as many more as keep them
+    near ``most_rows`` rows."""
+    files = max(files, -(-df.count() // most_rows))
     out = df.repartitionByRange(files, order) if order else df.repartition(files)
-    out.write.mode("append").parquet(path)
+    out.write.mode("append").option("parquet.block.size", LANDED_GROUP).parquet(path)
 
 
 def in_steps(df: DataFrame, path: str, col: str, cuts: list[str], run) -> None:

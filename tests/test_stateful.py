@@ -1,5 +1,7 @@
 """Streams with the state API against batch results, eviction of their state, and types of raw records."""
 
+import tempfile
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -60,3 +62,17 @@ def test_type_report(spark):
                    ("extra", "array"): (None, 1, 12.5, True), (None, "unreadable"): (None, 4, 50.0, True)}
     assert Q.type_report(df.limit(0)).collect() == []
     assert "extra: ARRAY<BOOLEAN>" in Q.merged_schema(df).first()[0]
+
+
+def test_landed_files_have_bounded_rows(spark):
+    """More rows than the files may hold give more files, still cut by range; a task writes no more than one."""
+    d = tempfile.mkdtemp(prefix="runsight-land-")
+    df = spark.range(10_000).withColumn("at", F.hash("id"))
+    ST.land(df, f"{d}/many", 4, "at", most_rows=500)
+    ST.land(df, f"{d}/few", 4, "at")
+    per = {n: spark.read.parquet(f"{d}/{n}").groupBy(F.input_file_name()).agg(F.count(F.lit(1)), F.min("at"), F.max("at")).collect()
+           for n in ("many", "few")}
+    assert len(per["few"]) == 4 and len(per["many"]) == 20 and max(r[1] for r in per["many"]) < 1000
+    spans = sorted((r[2], r[3]) for r in per["many"])
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False))
+    assert spark.read.parquet(f"{d}/many").distinct().count() == 10_000
