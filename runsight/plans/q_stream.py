@@ -130,7 +130,7 @@ def q_stream_dedupe(t):
     out, ck = ST.scratch(spark, "dedupe")
     late = F.col("line_no") == 2
     for part in (r.filter(~late), r.filter(late | (F.col("line_no") == 3))):
-        part.write.mode("append").parquet(src)
+        part.write.mode("append").option("compression", "zstd").parquet(src)
         ST.append_new_runs(spark, ST.read_stream(spark, src, r.schema), out, ck)
     return spark.read.parquet(out).groupBy("job_name").agg(F.count(F.lit(1)).alias("runs"))
 
@@ -152,7 +152,7 @@ def q_stream_corrections(t):
         "duration_minutes": F.when(bad, F.col("duration_minutes") + 1).otherwise(F.col("duration_minutes")),
         "status": F.lit("success")})
     for part in (r, again):
-        part.select(*cols).write.mode("append").parquet(src)
+        part.select(*cols).write.mode("append").option("compression", "zstd").parquet(src)
         ST.append_new_runs(spark, ST.read_stream(spark, src, r.select(*cols).schema), out, ck)
     now = ST.current_runs(spark, out)
     return now.groupBy("job_name").agg(

@@ -14,13 +14,12 @@ from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from runsight.operators import metrics as M
-from runsight.operators.chunked import join_same
 from runsight.session import scratch_dir
 from runsight.sources import files as IO
 
@@ -133,30 +132,52 @@ def append_new_runs(spark: SparkSession, runs: DataFrame, silver_path: str, chec
     the micro-batch are read: a static filter on the partition column.  Rows of batch b go to ``batch_id=b`` and are compared
     with earlier batches only, so a replayed batch writes the same rows.  No state is kept and nothing is dropped
     for its age.
+
+    New rows are shuffled once, by month and by a cut of the key, and written where they are compared.  Of known rows only
+    hashes travel: 128 bits name the key, 64 tell its copies apart.
     """
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        new = (IO.newest(df, RUN_KEY, ["duration_minutes", "status", "rows_processed"])
-               .withColumn("run_month", F.date_format("start_time", "yyyy-MM")))
+        month = F.date_format("start_time", "yyyy-MM")
+        months = [r[0] for r in df.select(month).distinct().collect()]
+        # about four (month, cut) for each shuffle partition, so a task writes few files
+        cuts = max(1, -(-4 * int(spark.conf.get("spark.sql.shuffle.partitions")) // max(1, len(months))))
+        rest = [c for c in df.columns if c not in RUN_KEY]
+        named = {"_k": _hashed(RUN_KEY, 0), "_k2": _hashed(RUN_KEY, 1), "_v": _hashed(rest, 0)}
+        place = {"run_month": month, "_cut": F.pmod(_hashed(RUN_KEY, 2), F.lit(cuts)).cast("int")}
+        rows = df.withColumns({**place, "_batch": F.lit(batch_id)})
         if IO.exists(spark, silver_path):
-            months = [r[0] for r in new.select("run_month").distinct().collect()]
             dated, undated = [m for m in months if m is not None], None in months
             seen = spark.read.parquet(silver_path).filter(
                 (F.col("batch_id") < batch_id)
                 & (F.col("run_month").isin(dated) | (F.col("run_month").isNull() if undated else F.lit(False))))
-            new = join_same(new, _last_batch(seen).select(new.columns), new.columns, "left_anti")
-        (new.withColumn("batch_id", F.lit(batch_id)).hint("rebalance", "run_month").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("run_month", "batch_id").parquet(silver_path))
+            seen = seen.withColumns({**place, **named}).select(
+                *place, F.col("batch_id").cast("int").alias("_batch"), *named)
+            rows = rows.unionByName(seen, allowMissingColumns=True)
+            named = {c: F.coalesce(c, x) for c, x in named.items()}
+        rows = rows.repartition(*place).withColumns(named)
+        order = Window.partitionBy("_k", "_k2", *place).orderBy("_batch", "duration_minutes", "status", "rows_processed")
+        known = F.last(F.when(F.col("_batch") < batch_id, F.col("_v")), ignorenulls=True)
+        rows = rows.withColumns({"_later": F.lead(F.lit(True)).over(order),
+                                 "_known": known.over(order.rowsBetween(Window.unboundedPreceding, 0))})
+        new = rows.filter(F.col("_later").isNull() & (F.col("_batch") == batch_id) & ~F.col("_v").eqNullSafe(F.col("_known")))
+        (new.select(*df.columns, "run_month", F.lit(batch_id).alias("batch_id")).write.mode("overwrite")
+         .option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy("run_month", "batch_id")
+         .parquet(silver_path))
 
     run_available(runs.writeStream.foreachBatch(per_batch), checkpoint)
 
 
-def _last_batch(silver: DataFrame) -> DataFrame:
-    return IO.newest(silver, RUN_KEY, ["batch_id"])
+def _hashed(columns: list[str], seed: int):
+    """64 bits of the columns' values; a NULL counts where it stands."""
+    return F.xxhash64(F.lit(seed), *columns, *[F.col(c).isNull() for c in columns])
 
 
 def current_runs(spark: SparkSession, silver_path: str) -> DataFrame:
     """The runs of the table that ``append_new_runs`` writes: of each run the copy that came last."""
-    return _last_batch(spark.read.parquet(silver_path)).drop("run_month", "batch_id")
+    silver = spark.read.parquet(silver_path)
+    order = Window.partitionBy(*RUN_KEY).orderBy("batch_id")
+    return (silver.withColumn("_later", F.lead(F.lit(True)).over(order)).filter(F.col("_later").isNull())
+            .drop("_later", "run_month", "batch_id"))
 
 
 def infra_windows(metrics: DataFrame, size: str = "30 minutes", delay: str = "10 minutes") -> DataFrame:

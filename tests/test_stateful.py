@@ -1,6 +1,7 @@
 """Streams with the state API against batch results, eviction of their state, and types of raw records."""
 
 import tempfile
+from datetime import datetime
 
 import numpy as np
 import pytest
@@ -76,3 +77,33 @@ def test_landed_files_have_bounded_rows(spark):
     spans = sorted((r[2], r[3]) for r in per["many"])
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False))
     assert spark.read.parquet(f"{d}/many").distinct().count() == 10_000
+
+
+def test_silver_of_copies_and_corrections(spark):
+    """Copies in a batch, equal and corrected copies later, NULLs in the key: silver holds each different copy once, and
+    reading the current ones takes only the columns asked for."""
+    schema = "job_name string, team string, run_id string, start_time timestamp, duration_minutes double, rows_processed long, status string"
+    at = [datetime(2026, 1, 5, 10), datetime(2026, 2, 5, 10), None]
+
+    def rows(*r):
+        return spark.createDataFrame([(j, "t", i, at[k], d, n, s) for j, i, k, d, n, s in r], schema)
+
+    src, _ = ST.scratch(spark, "corr-src")
+    out, ck = ST.scratch(spark, "corr")
+    first = rows(("a", "1", 0, 4.0, 1, "failed"), ("a", "1", 0, 9.0, 1, "success"), ("a", None, 0, 1.0, 1, "success"),
+                 (None, "a", 1, 2.0, 1, "success"), ("b", "2", 2, None, None, None), ("c", "3", 1, 3.0, 1, "failed"))
+    again = rows(("a", "1", 0, 9.0, 1, "success"), ("c", "3", 1, 3.0, 1, "success"), ("b", "2", 2, None, None, None),
+                 (None, "a", 0, 2.0, 1, "success"), ("d", "4", 1, 1.0, 2, "success"), ("d", "4", 1, 1.0, 3, "success"))
+    back = rows(("c", "3", 1, 3.0, 1, "failed"), ("a", None, 0, 1.0, 1, "success"))
+    for part in (first, again, back):
+        part.coalesce(1).write.mode("append").parquet(src)
+        ST.append_new_runs(spark, ST.read_stream(spark, src, first.schema), out, ck)
+    silver = spark.read.parquet(out)
+    assert {r["batch_id"]: r["count"] for r in silver.groupBy("batch_id").count().collect()} == {0: 5, 1: 3, 2: 1}
+    got = {(r["job_name"], r["run_id"], r["start_time"], r["duration_minutes"], r["rows_processed"], r["status"])
+           for r in ST.current_runs(spark, out).collect()}
+    assert got == {("a", "1", at[0], 9.0, 1, "success"), ("a", None, at[0], 1.0, 1, "success"), (None, "a", at[1], 2.0, 1, "success"),
+                   ("b", "2", None, None, None, None), ("c", "3", at[1], 3.0, 1, "failed"), (None, "a", at[0], 2.0, 1, "success"),
+                   ("d", "4", at[1], 1.0, 3, "success")}
+    plan = ST.current_runs(spark, out).groupBy("job_name").count()._jdf.queryExecution().executedPlan().toString()
+    assert "max_by" not in plan and "rows_processed" not in plan  # columns that are not asked for are not shuffled
