@@ -278,14 +278,16 @@ def run_drift(runs: DataFrame, min_runs: int = M.MIN_RUNS) -> DataFrame:
 
 TRAILING_OUT = T.StructType([T.StructField("account_id", T.LongType()), T.StructField("txn_id", T.LongType()),
                              T.StructField("t", T.LongType()), T.StructField("trailing_count", T.LongType())])
-TRAILING_STATE = T.StructType([T.StructField("t", T.LongType()), T.StructField("txn_id", T.LongType())])
+TRAILING_STATE = T.StructType([T.StructField("counted", T.LongType()), T.StructField("t", T.ArrayType(T.LongType())),
+                               T.StructField("txn_id", T.ArrayType(T.LongType()))])
 
 
 class TrailingCounts(StatefulProcessor):
     """Per account the transactions of the last ``width`` microseconds; counted once the watermark has passed them.
 
     An event-time timer wakes the account at its first uncounted transaction, and last when its newest one has
-    left the window, so an account that falls silent leaves no state.
+    left the window, so an account that falls silent leaves no state.  Each call of the state API is a round trip to the
+    JVM, so an account's state is one value: a step reads it once and writes it once.
     """
 
     def __init__(self, width: int):
@@ -293,39 +295,41 @@ class TrailingCounts(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.recent = handle.getListState("recent", TRAILING_STATE)
-        self.counted = handle.getValueState("counted", T.StructType([T.StructField("t", T.LongType())]))
+        self.recent = handle.getValueState("recent", TRAILING_STATE)
 
     def _wake(self, t: int) -> None:
         self.handle.registerTimer(-(-t // 1000))
 
+    def _kept(self) -> tuple[int, list[int], list[int | None]]:
+        kept = self.recent.get()
+        return (np.iinfo(np.int64).min, [], []) if kept is None else (kept[0], list(kept[1]), list(kept[2]))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         new = [(int(t), None if pd.isna(i) else int(i)) for part in rows
-               for t, i in part.loc[part["t"].notna(), ["t", "txn_id"]].itertuples(index=False, name=None)]
+               for t, i in zip(part["t"].tolist(), part["txn_id"].tolist(), strict=True) if not pd.isna(t)]
         if new:
-            self.recent.appendList(new)
-            self._wake(min(t for t, _ in new))
+            counted, t, ids = self._kept()
+            self.recent.update((counted, t + [x for x, _ in new], ids + [i for _, i in new]))
+            self._wake(min(x for x, _ in new))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        kept = sorted(self.recent.get(), key=lambda x: x[0]) if self.recent.exists() else []
-        t = np.array([x[0] for x in kept], np.int64)
-        after = self.counted.get()[0] if self.counted.exists() else np.iinfo(np.int64).min
+        after, t, ids = self._kept()
+        order = np.argsort(np.array(t, np.int64), kind="stable")
+        t, ids = np.array(t, np.int64)[order], [ids[i] for i in order.tolist()]
         due = np.flatnonzero((t > after) & (t <= now))
-        out = pd.DataFrame({"account_id": key[0], "txn_id": [kept[i][1] for i in due], "t": t[due],
-                            "trailing_count": np.searchsorted(t, t[due], "right")
-                            - np.searchsorted(t, t[due] - self.width, "left")})
-        left = [x for x in kept if x[0] >= now - self.width]
-        if left:
-            self.recent.put(left)
-            self.counted.update((now,))
-            self._wake(next((x[0] for x in left if x[0] > now), left[-1][0] + self.width + 1000))
-        else:
+        first = int(np.searchsorted(t, now - self.width, "left"))
+        if first < len(t):
+            self.recent.update((now, t[first:].tolist(), ids[first:]))
+            later = int(np.searchsorted(t, now, "right"))
+            self._wake(int(t[later]) if later < len(t) else int(t[-1]) + self.width + 1000)
+        elif len(t):
             self.recent.clear()
-            self.counted.clear()
-        if len(out):
-            yield out
+        if len(due):
+            yield pd.DataFrame({"account_id": key[0], "txn_id": [ids[i] for i in due.tolist()], "t": t[due],
+                                "trailing_count": np.searchsorted(t, t[due], "right")
+                                - np.searchsorted(t, t[due] - self.width, "left")})
 
     def close(self) -> None:
         pass

@@ -107,3 +107,16 @@ def test_silver_of_copies_and_corrections(spark):
                    ("d", "4", at[1], 1.0, 3, "success")}
     plan = ST.current_runs(spark, out).groupBy("job_name").count()._jdf.queryExecution().executedPlan().toString()
     assert "max_by" not in plan and "rows_processed" not in plan  # columns that are not asked for are not shuffled
+
+
+def test_trailing_state_is_one_value_an_account(spark):
+    """A state row an account, however many transactions it holds."""
+    df = spark.range(300).select((F.col("id") % 3).alias("account_id"), F.col("id").alias("txn_id"),
+                                 F.timestamp_seconds(1_000_000 + F.col("id")).alias("ts"))
+    src, _ = ST.scratch(spark, "one-src")
+    out, ck = ST.scratch(spark, "one")
+    df.coalesce(1).write.parquet(src)
+    s = ST.trailing_counts(ST.read_stream(spark, src, df.schema), 5)
+    q = ST.run_stateful(spark, s.writeStream.format("parquet").option("path", out), ck)
+    rows = [p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators]
+    assert max(rows) <= 3 * 3  # the value and its timer, under two keys
