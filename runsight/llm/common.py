@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -30,6 +32,19 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Writes started inside leave no shuffle files: Spark removes each one's at its end, on all executors, instead of
+    when the driver's garbage collector finds them."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def words_of(text: Column) -> Column:
     """The words of a text (null: none)."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")

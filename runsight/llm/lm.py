@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runsight.llm.common import releasing, sliced, written
+from runsight.llm.common import releasing, shuffles_dropped, sliced, written
 from runsight.llm.eliasfano import EliasFano, mapped_arrays, pack_arrays
 
 IN_MEMORY = 20  # share of a word in memory, as a negative power of two
@@ -466,9 +466,10 @@ def score(docs: DataFrame, text: str = "text", id_col: str = "doc_id", per_shard
           in_memory: int = IN_MEMORY) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for every document."""
     spark = docs.sparkSession
-    table, total, distinct, texts = unigrams(docs, text, id_col)
-    vocabulary = spark.sparkContext.broadcast(frequent_words(table, total, distinct, texts, per_shard, in_memory))
-    rows = answers(token_blocks(docs, vocabulary, text, id_col), vocabulary)
+    with shuffles_dropped(spark):  # the counts and blocks that travelled are not read again
+        table, total, distinct, texts = unigrams(docs, text, id_col)
+        vocabulary = spark.sparkContext.broadcast(frequent_words(table, total, distinct, texts, per_shard, in_memory))
+        rows = answers(token_blocks(docs, vocabulary, text, id_col), vocabulary)
     sums = rows.filter(F.col("kind") == TOKENS).select("key", "block").repartition("key")
     sums = sums.mapInArrow(releasing(_added), "key long, score double")
     words = table.filter(F.col("n") * 2**in_memory < total).select("name", "n")
