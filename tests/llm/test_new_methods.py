@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -238,3 +239,26 @@ def test_language_odd_rows(spark, odd, none):
     assert langid.predict(none, model).count() == 0
     blank = langid.fit(none)
     assert {(r.lang_pred, r.score) for r in langid.predict(odd, blank).collect()} == {("und", 0.0)}
+
+
+def test_written_shuffles_are_dropped(spark):
+    """Inside shuffles_dropped a write leaves no shuffle behind, and the setting is as before afterwards."""
+    from runsight.llm.common import shuffles_dropped, written
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, env = spark.conf.get(name), spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+
+    def blocks():
+        kept = env.blockManager().diskBlockManager().getAllFiles().iterator()
+        names = set()
+        while kept.hasNext():
+            names.add(kept.next().getName())
+        return {n for n in names if n.startswith("shuffle_")}
+
+    had = blocks()
+    with shuffles_dropped(spark):
+        df = written(spark.range(10_000).repartition(7, "id").mapInArrow(lambda batches: batches, "id long"), "dropped")
+    for _ in range(50):  # removal is asked for at the end of the write and carried out in the background
+        if not blocks() - had:
+            break
+        time.sleep(0.1)
+    assert not blocks() - had and df.count() == 10_000 and spark.conf.get(name) == before
