@@ -1,8 +1,9 @@
 """As-of joins: the nearest right row before, after or on either side of each left row's time.
 
-The right side is reduced to one row per (key, time) first.  Both sides are cut into chunks of time: a key with more than
-``target_rows`` rows by bounds from a sample of its own rows (``chunked.bounds``), so that also a join without keys, where
-everything is one key, is spread.  Then, for each direction wanted:
+Both sides are cut into chunks of time: a key with more than ``target_rows`` rows by bounds from a sample of its own rows
+(``chunked.bounds``), so that also a join without keys, where everything is one key, is spread; the right side is then reduced
+to one row per (key, time) first.  Where no key is that large, rows are shuffled once, by key, and right rows of one time are
+put in order.  Then, for each direction wanted:
 
 1. the carry of every (key, chunk) is the nearest right row of any chunk before it (after it): an aggregate to one row
    per (key, chunk) and a running ``last(ignorenulls)`` over that small table;
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runsight.operators.chunked import CHUNK_ROWS, bounds, chunk_of, join_same
 
@@ -24,38 +26,47 @@ DIRECTIONS = ("before", "after", "nearest")
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: str | None, left_time: str, right_time: str, values: list[str],
-              direction: str = "before", target_rows: int = CHUNK_ROWS) -> DataFrame:
+              direction: str = "before", target_rows: int = CHUNK_ROWS, all_known: bool = False) -> DataFrame:
     """Left rows with the ``values`` of one right row of their key (NULL if there is none).
 
     ``direction``: "before" takes the latest row at or before the left time, "after" the earliest at or after it,
     "nearest" the closer of the two (of equal ones the earlier).  Right rows of one key and time count as the one with the
-    greatest values.  ``by=None`` joins on time alone.
+    greatest values.  ``by=None`` joins on time alone.  ``all_known``: the caller knows that no left row has a NULL key or
+    time; the result is then clustered by the key (where none is cut), so steps by that key need no shuffle.
     """
     if direction not in DIRECTIONS:
         raise ValueError(f"direction must be one of {DIRECTIONS}")
     lcols = left.columns
     key = F.lit(0) if by is None else F.col(by)
     lt, rt = F.unix_micros(F.col(left_time)), F.unix_micros(F.col(right_time))
-    L0 = left.select(F.struct(*lcols).alias("_l"), key.alias("_k"), lt.alias("_t"))
+    # the key and a time that travel as _k and _t anyway do not travel twice
+    own = {} if by is None else {by: F.col("_k")}
+    if left.schema[left_time].dataType == T.TimestampType():
+        own[left_time] = F.timestamp_micros("_t")
+    kept = [c for c in lcols if c not in own]
+    L0 = left.select(F.struct(F.lit(1).alias("_"), *kept).alias("_l"), key.alias("_k"), lt.alias("_t"))
     known = F.col("_k").isNotNull() & F.col("_t").isNotNull()
     # left rows of one instant may lie in several chunks, its right row (_tie -1) in the first of them
     L = L0.filter(known).withColumn("_tie", F.shiftrightunsigned(F.xxhash64("_l"), 1))
-    R = (right.select(key.alias("_k"), rt.alias("_t"), F.struct(*values).alias("_v")).filter(known)
-         .groupBy("_k", "_t").agg(F.struct(F.col("_t").alias("t"), F.max("_v").alias("v")).alias("_v"))
-         .withColumn("_tie", F.lit(-1).cast("long")))
-    both = (L.withColumn("_v", F.lit(None).cast(R.schema["_v"].dataType)).withColumn("_side", F.lit(1))
-            .unionByName(R.withColumn("_side", F.lit(0)), allowMissingColumns=True))
-    cuts = bounds(both.select("_k", "_t", "_tie"), "_k", ["_t", "_tie"], target_rows)
+    R = (right.select(key.alias("_k"), rt.alias("_t"), F.struct(rt.alias("t"), F.struct(*values).alias("v")).alias("_v"))
+         .filter(known).withColumn("_tie", F.lit(-1).cast("long")))
+
+    def united(R):
+        return (L.withColumn("_v", F.lit(None).cast(R.schema["_v"].dataType)).withColumn("_side", F.lit(1))
+                .unionByName(R.withColumn("_side", F.lit(0)), allowMissingColumns=True))
+
+    cuts = bounds(united(R).select("_k", "_t", "_tie"), "_k", ["_t", "_tie"], target_rows)
     if cuts is None:
-        both = both.withColumn("_c", F.lit(0))
+        both, part = united(R), ["_k"]
     else:
-        both = (join_same(both, cuts, ["_k"], "left")
-                .withColumn("_c", chunk_of(F.struct("_t", "_tie"), F.col("_blocks"))).drop("_blocks"))
-    inside = Window.partitionBy("_k", "_c").orderBy("_t", "_side")
+        R = R.groupBy("_k", "_t", "_tie").agg(F.max("_v").alias("_v"))
+        both, part = (join_same(united(R), cuts, ["_k"], "left")
+                      .withColumn("_c", chunk_of(F.struct("_t", "_tie"), F.col("_blocks"))).drop("_blocks")), ["_k", "_c"]
+    inside = Window.partitionBy(*part).orderBy("_t", "_side", "_v")
     out = both.withColumn("_b", F.last("_v", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     if direction != "before":
         # a frame that runs on to the end would be walked anew for each row: the order is turned round instead
-        back = Window.partitionBy("_k", "_c").orderBy(F.col("_t").desc(), F.col("_side"))
+        back = Window.partitionBy(*part).orderBy(F.col("_t").desc(), F.col("_side"), F.col("_v"))
         out = out.withColumn("_a", F.last("_v", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0)))
     out = out.filter(F.col("_side") == 1)
     if cuts is not None:
@@ -76,7 +87,9 @@ def asof_join(left: DataFrame, right: DataFrame, by: str | None, left_time: str,
         pick = after if direction == "after" else (
             F.when(F.col("_b").isNull(), after).when(after.isNull(), F.col("_b"))
             .when(after["t"] - F.col("_t") < F.col("_t") - F.col("_b.t"), after).otherwise(F.col("_b")))
-    found = out.select(*[F.col("_l")[c].alias(c) for c in lcols], *[pick["v"][c].alias(c) for c in values])
-    rest = L0.filter(~known).select(*[F.col("_l")[c].alias(c) for c in lcols],
-                                    *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in values])
+    found = out.select(*[own.get(c, F.col("_l")[c]).alias(c) for c in lcols], *[pick["v"][c].alias(c) for c in values])
+    if all_known:
+        return found
+    rest = left.filter(~(key.isNotNull() & lt.isNotNull())).select(
+        *lcols, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in values])
     return found.unionByName(rest)

@@ -6,8 +6,7 @@ sorted sample of its own rows, about every ``target_rows`` rows.  Bounds compare
 so a burst is cut as finely as an even history, rows of one instant are cut as well, and the number of chunks follows the key's
 size.  Rows are windowed per (key, chunk); one carry row a chunk holds what earlier chunks contribute.
 
-Keys are counted first (map-side combined).  Where none is hot, which is the rule, there is one chunk a key and nothing else
-is done.  NULL times come first; NULL keys are a key of their own.  Rows that agree in the whole order stay together.
+Keys are counted first: rows of each part of the keys' hashes, then the keys of parts above the target.  Where no key is hot, which is the rule, there is one chunk a key and nothing else is done.  NULL times come first; NULL keys are a key of their own.  Rows that agree in the whole order stay together.
 """
 
 from __future__ import annotations
@@ -20,6 +19,8 @@ from runsight.session import scratch_dir
 CHUNK_ROWS = 2_000_000
 #: Sampled rows for each chunk: the largest of thousands of chunks then stays below twice the target.
 SAMPLES = 64
+#: Parts of the keys' hashes whose rows are counted before the keys themselves.
+KEY_PARTS = 1 << 14
 
 
 def join_same(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
@@ -42,6 +43,13 @@ def bounds(rows: DataFrame, key: str, order: list[str], target_rows: int = CHUNK
     The bounds are every SAMPLES-th row of a sorted sample, kept as blocks of about the square root of their number, so
     that a row finds its chunk in two short passes.  They are written, so every reader sees the same ones.
     """
+    # rows by hash of the key first: a count of bounded size, whatever the number of keys, and mostly no part is large
+    part = F.pmod(F.xxhash64(key), F.lit(KEY_PARTS))
+    large = rows.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_pn")).filter(F.col("_pn") > target_rows)
+    large = [r["_p"] for r in large.collect()]
+    if not large:
+        return None
+    rows = rows.filter(part.isin(large))
     sizes, hot = _written(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_kn")).filter(F.col("_kn") > target_rows), "hot-keys")
     if not hot:
         return None

@@ -58,10 +58,15 @@ def land_runs(task_records: DataFrame, results: DataFrame, registry: DataFrame,
     same records changes nothing.
     """
     spark = task_records.sparkSession
-    new = X.attach_rows_processed(X.extract_runs(task_records, registry, as_of, lookback_hours), results, registry)
+    runs = X.extract_runs(task_records, registry, as_of, lookback_hours)  # none without job, start or duration
     key = ["job_name", "run_id", "start_time"]
+    attrs = ["team", "impact", "sla_minutes", "normal_rows"]
+    # the job's attributes stay behind while runs travel to their results
+    new = X.attach_rows_processed(runs.drop(*attrs), results, registry, all_known=True)
+    new = (new.join(registry.select("job_name", *attrs), "job_name")
+           .select(*runs.columns, *[c for c in new.columns if c not in runs.columns]))
     new = IO.newest(new, key, ["duration_minutes", "status", "rows_processed"]).withColumn("landed_at", lit_ts(as_of))
-    IO.upsert_partitioned(new, silver, key, "start_time", "landed_at")
+    IO.upsert_partitioned(new, silver, key, "start_time", "landed_at", never_null=["job_name"], times=runs)
     return spark.read.parquet(silver)
 
 

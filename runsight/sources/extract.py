@@ -39,13 +39,13 @@ def enrich(runs: DataFrame, registry: DataFrame) -> DataFrame:
     return runs.join(registry.select("job_name", "team", "impact", "sla_minutes"), "job_name")
 
 
-def attach_rows_processed(runs: DataFrame, results: DataFrame, registry: DataFrame) -> DataFrame:
+def attach_rows_processed(runs: DataFrame, results: DataFrame, registry: DataFrame, all_known: bool = False) -> DataFrame:
     """Each run gets rows_processed of its job's latest result at or before the run's end;
-    the registry's normal_rows when there is none."""
+    the registry's normal_rows when there is none.  ``all_known``: every run has a job, a start and a duration."""
     end = F.timestamp_micros(F.unix_micros("start_time")
                              + (F.col("duration_minutes") * 60_000_000).cast("long"))
     r = runs.withColumn("run_end", end)
-    j = asof_join(r, results, "job_name", "run_end", "recorded_at", ["rows_processed"])
+    j = asof_join(r, results, "job_name", "run_end", "recorded_at", ["rows_processed"], all_known=all_known)
     nr = registry.select("job_name", F.col("normal_rows").alias("_nr"))
     return (j.join(nr, "job_name", "left")
             .withColumn("rows_processed", F.coalesce("rows_processed", "_nr")).drop("_nr"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -114,10 +115,11 @@ def append_partitioned(df: DataFrame, path: str, as_of=None, ts_col: str | None
     if (as_of is None) == (ts_col is None):
         raise ValueError("give exactly one of as_of or ts_col")
     d = F.to_date(lit_ts(as_of)) if as_of is not None else F.to_date(ts_col)
-    out = df.withColumn("year", F.year(d)).withColumn("month", F.month(d)).withColumn("day", F.dayofmonth(d))
+    out = df.withColumn("_day", d)
     if ts_col is not None:
-        out = out.hint("rebalance", "year", "month", "day")
-    out.write.mode("append").partitionBy("year", "month", "day").parquet(path)
+        out = out.hint("rebalance", "_day")
+    out = out.withColumns({"year": F.year("_day"), "month": F.month("_day"), "day": F.dayofmonth("_day")}).drop("_day")
+    out.write.mode("append").option("compression", "zstd").partitionBy("year", "month", "day").parquet(path)
 
 
 def newest(df: DataFrame, key: list[str], order: list) -> DataFrame:
@@ -127,29 +129,51 @@ def newest(df: DataFrame, key: list[str], order: list) -> DataFrame:
             .select(*key, "_r.*").select(df.columns))
 
 
-def upsert_partitioned(new: DataFrame, path: str, key: list[str], ts_col: str, stamp: str) -> None:
+@contextmanager
+def clustering_kept(spark: SparkSession):
+    """Joins started inside take a side as it is that is clustered by some of their columns, and shuffle the other to it."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def upsert_partitioned(new: DataFrame, path: str, key: list[str], ts_col: str, stamp: str,
+                       never_null: list[str] | None = None, times: DataFrame | None = None) -> None:
     """S4 with corrections: rows whose key the table lacks are appended; a copy that differs and was not extracted before
     (``stamp``) replaces the one there; anything else is left out, so a replay changes nothing.
 
     ``new`` has one row a key.  Only the months of ``new`` are read (a static filter on the partition columns), and only
     the days with corrected rows are rewritten, by dynamic partition overwrite.  Rows are filed by the date of
     ``ts_col``, which must be a part of the key: a correction stays in its day.
+
+    Of known rows the key, the stamp and 64 bits of the other values travel.  ``never_null``: key columns that hold no NULL in
+    ``new``; if it is clustered by them, only the known rows are shuffled.  ``times``: a table that is cheaper to read
+    than ``new`` and holds all its values of ``ts_col`` (or more).
     """
     spark = new.sparkSession
     if not exists(spark, path):
         return append_partitioned(new, path, ts_col=ts_col)
-    months = [r[0] for r in new.select(F.date_format(ts_col, "yyyyMM").cast("int")).distinct().collect()]
+    months = [r[0] for r in (new if times is None else times).select(F.date_format(ts_col, "yyyyMM").cast("int")).distinct().collect()]
     there = spark.read.parquet(path)
     month = F.col("year") * 100 + F.col("month")
     there = there.filter(month.isin([m for m in months if m is not None])
                          | (F.col("year").isNull() if None in months else F.lit(False)))
     rest = [c for c in new.columns if c not in key and c != stamp]
-    seen = there.select(*key, F.struct(*rest).alias("_old"), F.col(stamp).alias("_seen"), F.lit(True).alias("_there"))
-    state = join_same(new, seen, key, "left").filter(
-        F.col("_there").isNull() | ((F.col("_seen") < F.col(stamp)) & ~F.struct(*rest).eqNullSafe(F.col("_old"))))
+    copy = F.xxhash64(*rest, *[F.col(c).isNull() for c in rest])
+    plain = never_null or []
+    seen = there.select(*[F.col(c).alias(f"_on_{c}") for c in key], copy.alias("_old"), F.col(stamp).alias("_seen"),
+                        F.lit(True).alias("_there"))
+    same = [F.col(c) == F.col(f"_on_{c}") if c in plain else F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in key]
+    state = new.join(seen, same, "left").filter(
+        F.col("_there").isNull() | ((F.col("_seen") < F.col(stamp)) & (copy != F.col("_old"))))
     state = state.withColumn("_corrects", F.col("_there").isNotNull()).select(*new.columns, "_corrects")
     tmp = scratch_dir(spark, "landing")
-    state.write.parquet(tmp)
+    with clustering_kept(spark):
+        state.write.option("compression", "zstd").parquet(tmp)
     state = spark.read.schema(state.schema).parquet(tmp)
     fixed = state.filter("_corrects").drop("_corrects")
     days = [r[0] for r in fixed.select(F.to_date(ts_col)).distinct().collect()]
@@ -161,7 +185,7 @@ def upsert_partitioned(new: DataFrame, path: str, key: list[str], ts_col: str, s
         d = F.to_date(ts_col)
         (spark.read.schema(whole.schema).parquet(tmp)
          .withColumns({"year": F.year(d), "month": F.month(d), "day": F.dayofmonth(d)}).hint("rebalance", "year", "month", "day")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month", "day").parquet(path))
+         .write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month", "day").parquet(path))
     append_partitioned(state.filter(~F.col("_corrects")).drop("_corrects"), path, ts_col=ts_col)
 
 

@@ -154,7 +154,7 @@ def task_instances(t: Tables) -> DataFrame:
 def registry_known(t: Tables) -> DataFrame:
     """Registry that knows 9 of every 10 jobs (k % 10 <> 9)."""
     s = suppliers(t).filter(F.col("k") % 10 != 9).select("job_name")
-    return registry(t).join(s, "job_name", "left_semi")
+    return _kept(t, "_registry_known", registry(t).join(s, "job_name", "left_semi"))
 
 
 def results(t: Tables) -> DataFrame:
@@ -165,9 +165,9 @@ def results(t: Tables) -> DataFrame:
     o = t.orders.select((F.col("o_custkey") % n_jobs).alias("k"),
                         _plus_seconds(_ts("o_orderdate"), F.col("o_orderkey") % 86400).alias("recorded_at"),
                         F.floor("o_totalprice").cast("long").alias("rows_processed"))
-    names = suppliers(t).select("k", "job_name")
-    return (o.join(names, "k").groupBy("job_name", "recorded_at")
-            .agg(F.max("rows_processed").alias("rows_processed")))
+    names = _kept(t, "_suppliers", suppliers(t)).select("k", "job_name")
+    return _kept(t, "_results", o.join(names, "k").groupBy("job_name", "recorded_at")
+                 .agg(F.max("rows_processed").alias("rows_processed")))
 
 
 def _props_k():
