@@ -27,7 +27,7 @@ within their partition, so ``docs`` is to give its rows in the same order when a
 from __future__ import annotations
 
 from collections import Counter
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -144,7 +144,7 @@ def frequent_words(table: DataFrame, total: int, distinct: int, texts: int, per_
 def _sequence(lines: list[list[bytes]], ids: dict[bytes, int]):
     """Names of all tokens of some texts (0: end), the text of each, and the tokens (u, v) before each."""
     flat = [*chain.from_iterable((*line, b"") for line in lines)]
-    seq = np.array([ids.get(w, -1) for w in flat], np.int64)
+    seq = np.fromiter(map(ids.get, flat, repeat(-1)), np.int64, len(flat))
     rare = np.flatnonzero(seq < 0)
     if len(rare):
         seq[rare] = [name_of(flat[i]) for i in rare.tolist()]
@@ -193,6 +193,20 @@ def _counted(key: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray,
     return key[order][start], np.add.reduceat(n[order], start) if len(start) else n
 
 
+def _places(every: np.ndarray, dense: int):
+    """A function from names to their places in ``every``: ids below ``dense`` and START by a table, others by search."""
+    low = int(np.searchsorted(every, dense))
+    table = np.zeros(dense + 1, np.int64)  # START, -1, is its last entry
+    table[every[:low]] = np.arange(low)
+
+    def find(x: np.ndarray) -> np.ndarray:
+        out = table[np.minimum(x, dense - 1)]
+        rare = np.flatnonzero(x >= dense)
+        out[rare] = low + np.searchsorted(every[low:], x[rare])
+        return out
+    return find
+
+
 def build_shard(v: np.ndarray, u: np.ndarray, w: np.ndarray, more: list[np.ndarray], vocabulary: Vocabulary) -> bytes:
     """The levels of one shard from its training tokens and the counts (v, w, n) of words cut over several shards.
 
@@ -200,7 +214,7 @@ def build_shard(v: np.ndarray, u: np.ndarray, w: np.ndarray, more: list[np.ndarr
     """
     every = np.unique(np.concatenate([v, u, w, *more[:2]]))
     size = np.int64(len(every) + 1)
-    v, u, w, mv, mw = (np.searchsorted(every, x) for x in (v, u, w, *more[:2]))
+    v, u, w, mv, mw = map(_places(every, len(vocabulary.counts)), (v, u, w, *more[:2]))
     whole = vocabulary.cuts_of(every)[v] == 1
     two, n2 = _counted(np.concatenate([(v * size + w)[whole], mv * size + mw]),
                        np.concatenate([np.ones(int(whole.sum()), np.int64), more[2]]))
@@ -411,19 +425,26 @@ def answers(blocks: DataFrame, vocabulary) -> DataFrame:
             return
         none = [np.zeros(0, np.int64)] * 3
         counts = [np.concatenate(c) for c in zip(none, *more, strict=True)]
-        train = []
+        train, opened, size = [], [], 0
         for data in held:
-            d, u, v, w = _unpacked(data, 4)
+            block = _unpacked(data, 4)
+            d, u, v, w = block
             k = (d & 1 > 0) & (v >= 0)
             train.append((v[k], u[k], w[k]))
-        shard = Shard(build_shard(*(np.concatenate(c) for c in zip(*train, strict=True)), counts, words))
+            size += len(d)
+            if size <= PER_SHARD:
+                opened.append(block)  # up to a shard's usual number of tokens; later blocks are opened again
+        columns = [np.concatenate(c) for c in zip(*train, strict=True)]
         train.clear()
+        shard = Shard(build_shard(*columns, counts, words))
+        columns.clear()
         at = 0
         while at < len(held):
             # blocks are scored together, up to about a shard's usual number of tokens
             group, size = [], 0
             while at + len(group) < len(held) and size < PER_SHARD:
-                group.append(_unpacked(held[at + len(group)], 4))
+                i = at + len(group)
+                group.append(opened[i] if i < len(opened) else _unpacked(held[i], 4))
                 size += len(group[-1][0])
             _, u, v, w = (np.concatenate(c) for c in zip(*group, strict=True))
             a, b = shard.score(u, v, w)
